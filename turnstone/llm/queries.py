@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnstone.llm import chat, decontamination, mixing, substring_dedup, token_counts, warc
+from turnstone.llm import chat, decontamination, jaccard, mixing, substring_dedup, token_counts, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,13 +39,17 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_similar(_table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derive(_table(spark, sf_dir, "pages"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_mixing, op3_chat_format, op7_token_counts, op8_decontamination, op10_warc)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_mixing, op3_chat_format, op7_token_counts, op8_decontamination, op9_jaccard_join, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": substring_dedup.ORACLE_SQL, "op2_mixing": mixing.ORACLE_SQL, "op3_chat_format": chat.ORACLE_SQL, "op10_warc": warc.ORACLE_SQL}
+    return {"op1_substring_dedup": substring_dedup.ORACLE_SQL, "op2_mixing": mixing.ORACLE_SQL, "op3_chat_format": chat.ORACLE_SQL, "op9_jaccard_join": jaccard.ORACLE_SQL, "op10_warc": warc.ORACLE_SQL}
