@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnstone.llm import chat, decontamination, jaccard, mixing, substring_dedup, token_counts, warc
+from turnstone.llm import chat, decontamination, jaccard, langid, mixing, secrets, substring_dedup, token_counts, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,14 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.collapse_and_render(_table(spark, sf_dir, "conversations"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.report(_table(spark, sf_dir, "documents"))
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(_table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path(), keep=["doc_id"])
 
@@ -48,7 +56,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_mixing, op3_chat_format, op7_token_counts, op8_decontamination, op9_jaccard_join, op10_warc)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_mixing, op3_chat_format, op4_language_id, op6_secrets, op7_token_counts, op8_decontamination, op9_jaccard_join, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
