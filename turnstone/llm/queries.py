@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnstone.llm import chat, decontamination, jaccard, langid, mixing, secrets, substring_dedup, token_counts, warc
+from turnstone.llm import chat, decontamination, embedding_dedup, jaccard, langid, mixing, secrets, substring_dedup, token_counts, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.report(_table(spark, sf_dir, "documents"))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.link_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(_table(spark, sf_dir, "documents"))
 
@@ -56,8 +60,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_mixing, op3_chat_format, op4_language_id, op6_secrets, op7_token_counts, op8_decontamination, op9_jaccard_join, op10_warc)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_mixing, op3_chat_format, op4_language_id, op5_embedding_dedup, op6_secrets, op7_token_counts, op8_decontamination, op9_jaccard_join, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": substring_dedup.ORACLE_SQL, "op2_mixing": mixing.ORACLE_SQL, "op3_chat_format": chat.ORACLE_SQL, "op9_jaccard_join": jaccard.ORACLE_SQL, "op10_warc": warc.ORACLE_SQL}
+    return {"op1_substring_dedup": substring_dedup.ORACLE_SQL, "op2_mixing": mixing.ORACLE_SQL, "op3_chat_format": chat.ORACLE_SQL, "op5_embedding_dedup": embedding_dedup.ORACLE_SQL, "op9_jaccard_join": jaccard.ORACLE_SQL, "op10_warc": warc.ORACLE_SQL}
