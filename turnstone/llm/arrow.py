@@ -12,7 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from turnstone.session import ship
 
 #: Texts are worked on in pieces of about so many bytes, to bound memory; one longer text is a piece of its own.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 
 def pieces(texts: Sequence[bytes | None], limit: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:

@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnstone.session import materialize
 
 
+def roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest row of each row's component under the links (i, j)."""
+    up = np.arange(n)
+    while len(i):
+        low = np.minimum(up[i], up[j])
+        np.minimum.at(up, up[i], low)
+        np.minimum.at(up, up[j], low)
+        while (up[up] != up).any():
+            up = up[up]
+        live = up[i] != up[j]
+        i, j = i[live], j[live]
+    return up
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """node and component (its smallest node) of every node in edges (a, b).
 

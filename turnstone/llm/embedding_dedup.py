@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from turnstone.llm.components import components
+from turnstone.llm.components import components, roots
 from turnstone.session import materialize, ship
 
 COSINE = 0.95
@@ -112,20 +112,6 @@ def linked(a: Tile, b: Tile, same: bool, cosine: float = COSINE) -> tuple[np.nda
     return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
 
 
-def roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The smallest row of each row's component under the links (i, j)."""
-    up = np.arange(n)
-    while len(i):
-        low = np.minimum(up[i], up[j])
-        np.minimum.at(up, up[i], low)
-        np.minimum.at(up, up[j], low)
-        while (up[up] != up).any():
-            up = up[up]
-        live = up[i] != up[j]
-        i, j = i[live], j[live]
-    return up
-
-
 def _tiles(vectors: DataFrame, size: int, axes: np.ndarray, kind: str, tile: int) -> DataFrame:
     """Vectors in tiles, with the tile's bounds along the first axes.
 

@@ -47,7 +47,7 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
             steps[0] = 1
             tables.append(np.cumprod(steps, dtype=U))
         found = (tables[0], tables[1])
-        if n <= 1 << 23:
+        if n <= 1 << 21:
             _POWERS[base] = found
     return found
 

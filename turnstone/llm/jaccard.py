@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from turnstone.llm import sketch
 from turnstone.llm.arrow import pieces, raw
-from turnstone.llm.components import components
+from turnstone.llm.components import components, roots
 from turnstone.llm.hashing import U, mix, split_words, window_hashes, word_hashes
 from turnstone.session import materialize, ship
 
@@ -28,8 +28,12 @@ SMALL_SET = 64
 #: Tokens in this share of the hash range are counted and come first in the global order.
 COUNTED_SHARE = 0.35
 CELLS_PER_BYTE = 0.18
-#: Pivots of an unsettled group in one round.
-PIVOTS = 8
+#: Documents this alike to a pivot, in hundredths, are its family and are compared among themselves.
+KIN = 30
+#: Documents of a family in a block.
+BLOCK = 512
+#: What an unsettled group of at most so many documents leaves open is listed as pairs; a larger one is a family.
+SETTLED = 128
 
 _COUNTED = U(int(COUNTED_SHARE * 2**64))
 _KEYS = [U(0x9FB21C651E98DF25), U(0xA24BAED4963EE407), U(0xC2B2AE3D27D4EB4F)]
@@ -92,11 +96,36 @@ def signatures(tokens: np.ndarray, counts: sketch.CountMin) -> np.ndarray:
     return np.unique(np.concatenate(out)) if out else np.zeros(0, U)
 
 
-def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    if not len(a) or not len(b) or 100 * min(len(a), len(b)) < SIMILARITY * max(len(a), len(b)):
+def similar(a: np.ndarray, b: np.ndarray, least: int = SIMILARITY) -> bool:
+    if not len(a) or not len(b) or 100 * min(len(a), len(b)) < least * max(len(a), len(b)):
         return False
     both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= SIMILARITY * (len(a) + len(b) - both)
+    return 100 * both >= least * (len(a) + len(b) - both)
+
+
+def similar_pairs(left: list[np.ndarray], right: list[np.ndarray], columns: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of all similar sets of two blocks. Intersections are products of incidence matrices over the
+    tokens that both blocks hold, `columns` tokens at a time."""
+    sizes = [np.array([len(x) for x in side]) for side in (left, right)]
+    both = np.zeros((len(left), len(right)))
+    flat = [np.concatenate(side) if side else np.zeros(0, U) for side in (left, right)]
+    shared = np.intersect1d(flat[0], flat[1])
+    rows, cols = [], []
+    for side, tokens, size in zip((left, right), flat, sizes, strict=True):
+        at = np.minimum(np.searchsorted(shared, tokens), max(0, len(shared) - 1))
+        known = shared[at] == tokens if len(shared) else np.zeros(len(tokens), bool)
+        rows.append(np.repeat(np.arange(len(side)), size)[known])
+        cols.append(at[known])
+    for begin in range(0, len(shared), columns):
+        grids = []
+        for side, row, col in zip((left, right), rows, cols, strict=True):
+            grid = np.zeros((len(side), columns), np.float32)
+            here = (col >= begin) & (col < begin + columns)
+            grid[row[here], col[here] - begin] = 1
+            grids.append(grid)
+        both += grids[0] @ grids[1].T
+    union = sizes[0][:, None] + sizes[1][None] - both
+    return np.nonzero((union > 0) & (100 * both >= SIMILARITY * union))
 
 
 def index_documents(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -129,17 +158,19 @@ def index_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     return materialize(rows.mapInArrow(index, "doc_id long, n_shingles long, s1 long, s2 long, keys array<long>, text binary"), "shingles")
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of documents whose shingle sets are alike. texts: doc_id, text. A text travels with its b;
-    that of a common a is joined last, from the side that is unique."""
+def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of documents that are kin at least, with linked: whether their shingle sets are alike.
+
+    texts: doc_id, text. A text travels with its b; that of a common a is joined last, from the side that is
+    unique."""
     side = lambda c: texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: OrderedDict[tuple[int, int], np.ndarray] = OrderedDict()
         for batch in batches:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            a = batch.column(0).to_pylist()
             text_a, text_b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            found = []
+            found, linked = [], []
             for begin, end in pieces(text_b):
                 for i, mine in enumerate(shingle_sets(text_b[begin:end]), begin):
                     key = (a[i], hash(text_a[i]))
@@ -148,23 +179,75 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                         other = known[key] = shingle_sets([text_a[i]])[0]
                         if len(known) > 256:
                             known.popitem(last=False)
-                    if similar(mine, other):
+                    if similar(mine, other, KIN):
                         found.append(i)
-            yield pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(found, pa.int64())) for k in range(2)], ["a", "b"])
+                        linked.append(similar(mine, other))
+            kept = [batch.column(k).take(pa.array(found, pa.int64())) for k in range(2)]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(linked, pa.bool_())], ["a", "b", "linked"])
 
     joined = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
-    return materialize(joined.mapInArrow(check, "a long, b long"), "links")
+    return materialize(joined.mapInArrow(check, "a long, b long, linked boolean"), "compared")
+
+
+def within_families(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between documents of a family (members: doc_id, family, component) that connect its components.
+
+    Members outside the family's largest component are compared with all members, in blocks of BLOCK documents
+    against BLOCK; a pair of blocks gives at most one link a document. So a family that is one component
+    costs nothing, and texts travel once for every block on the other side."""
+    parts = members.groupBy("family", "component").agg(F.count(F.lit(1)).alias("n"))
+    home = parts.groupBy("family").agg(F.max_by("component", F.struct("n", "component")).alias("home"))
+    marked = members.join(home, "family").withColumn("out", F.col("component") != F.col("home"))
+    sizes = marked.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.count_if("out").alias("n_out")).where("n_out > 0")
+    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    placed = marked.join(sizes, "family").select("family", "doc_id", "component", "out", blocks("n").alias("nb"), blocks("n_out").alias("ob"))
+    place = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    key = ["family", "i", "j"]
+    one = placed.where("out").select("family", "doc_id", "component", F.lit(True).alias("outer"), place("ob").alias("i"), upto("nb").alias("j"))
+    other = placed.select("family", "doc_id", "component", F.lit(False).alias("outer"), place("nb").alias("j"), upto("ob").alias("i"))
+    rows = one.unionByName(other).join(texts, "doc_id").select(*key, "doc_id", "component", "outer", "text")
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        outer = table["outer"].to_numpy()
+        ids, parts, held = table["doc_id"].to_numpy(), table["component"].to_numpy(), table["text"].to_pylist()
+        places = [np.flatnonzero(outer), np.flatnonzero(~outer)]
+        sides = [[s for a, b in pieces(mine) for s in shingle_sets(mine[a:b])] for mine in ([held[k] for k in p] for p in places)]
+        i, j = similar_pairs(*sides)
+        i, j = places[0][i], places[1][j]
+        across = parts[i] != parts[j]
+        names, at = np.unique(np.concatenate((parts[i[across]], parts[j[across]])), return_inverse=True)
+        n = int(across.sum())
+        up = roots(len(names), at[:n], at[n:])
+        moved = np.flatnonzero(up != np.arange(len(names)))
+        return pa.table({"a": pa.array(names[up[moved]], pa.int64()), "b": pa.array(names[moved], pa.int64())})
+
+    return materialize(rows.groupBy(*key).applyInArrow(compare, "a long, b long"), "within")
+
+
+def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels (node, component) once links (a, b) between documents or components have joined components."""
+    top = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"{c}_top"))
+    lifted = links.join(top("a"), "a", "left").join(top("b"), "b", "left").select(F.coalesce("a_top", "a").alias("a"), F.coalesce("b_top", "b").alias("b"))
+    moved = components(lifted)
+    fresh = moved.join(labels.select("node"), "node", "left_anti").select("node", F.col("node").alias("via"))
+    old = labels.select("node", F.col("component").alias("via")).union(fresh)
+    up = moved.select(F.col("node").alias("via"), "component")
+    return materialize(old.join(up, "via", "left").select("node", F.coalesce("component", "via").alias("component")), "labels")
 
 
 def link_components(indexed: DataFrame) -> DataFrame:
     """node and component of every document that is linked with another.
 
-    Equal sets are linked first and one document stands for each. In a group of documents that share a key, the
-    smallest is the pivot and is compared with all others: one pair a member, so a group's size costs in
-    proportion. Then only documents of a group that are still in different components can matter. Such groups
-    go through more rounds: up to PIVOTS members outside the group's smallest component are compared with all
-    members of other components, and leave the group. It ends when no group has two components; every pair of a
-    group is then compared, or known to be connected. Nothing is capped.
+    1. Equal sets are linked and one document stands for each. 2. In a group of documents that share a key, the
+    smallest is the pivot and is compared with all others: one pair a member, so a group costs in proportion to
+    its size. 3. Documents that are at least kin to a pivot are its family; its members are compared in blocks
+    (within_families). 4. What is left are groups with members of different families and different components. A small
+    one's open pairs are listed, at most SETTLED a member. Documents of larger ones become the family of their
+    smallest open key and are compared in blocks, until no group has members of two families and two components:
+    keys are hashes, so every round settles a good part of them. In the end every pair that shares a key is
+    compared or known to be connected. Nothing is capped.
     """
     held = indexed.where(F.size("keys") > 0)
     texts = held.select("doc_id", "text")
@@ -176,36 +259,44 @@ def link_components(indexed: DataFrame) -> DataFrame:
     rows = held.select("doc_id", "keys").join(single, "doc_id", "left_semi").select(F.explode("keys").alias("key"), "doc_id")
     pivots = rows.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last")).where("pivot < last")
     groups = materialize(rows.join(pivots.select("key", "pivot"), "key"), "groups")
+    texts = materialize(texts.join(groups.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
     pairs = groups.where("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = copies.union(verified(pairs, texts))
-    labels = components(links)
+    kin = compared(pairs, texts)
+    labels = components(copies.union(kin.where("linked").select("a", "b")))
+
+    heads = kin.groupBy("b").agg(F.min("a").alias("family"))
+    leading = heads.select(F.col("family").alias("b")).distinct().join(heads.select("b"), "b", "left_anti").select("b", F.col("b").alias("family"))
+    # a pivot that is in another's family leads its own no longer: its members follow it there
+    up = heads.select(F.col("b").alias("family"), F.col("family").alias("higher"))
+    families = heads.join(up, "family", "left").select("b", F.coalesce("higher", "family").alias("family")).union(leading)
+    families = materialize(families.select(F.col("b").alias("doc_id"), "family"), "families")
+    known = lambda: labels.select(F.col("node").alias("doc_id"), "component")
+    led = families.join(families.where("doc_id = family").select("family"), "family", "left_semi")
+    members = led.join(known(), "doc_id", "left").select("doc_id", "family", F.coalesce("component", "doc_id").alias("component"))
+    inside = within_families(materialize(members, "kin"), texts)
+    if not inside.isEmpty():
+        labels = _relabel(labels, inside)
+
     groups = groups.where("doc_id <> pivot").select("key", "doc_id")
+    groups = groups.join(led.select("doc_id", "family"), "doc_id", "left").select("key", "doc_id", F.coalesce("family", "doc_id").alias("family"))
     while True:
-        known = labels.select(F.col("node").alias("doc_id"), "component")
-        members = groups.join(known, "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-        members = materialize(members, "members")
-        least = members.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
-        open_ = materialize(members.join(least.select("key", "least"), "key"), "open")
-        if open_.isEmpty():
+        named = groups.join(known(), "doc_id", "left").select("key", "doc_id", "family", F.coalesce("component", "doc_id").alias("component"))
+        ends = [f(c).alias(f"{n}_{c}") for c in ("family", "component") for n, f in (("least", F.min), ("most", F.max))]
+        unsettled = named.groupBy("key").agg(*ends, F.count(F.lit(1)).alias("n"))
+        unsettled = unsettled.where("least_family < most_family AND least_component < most_component")
+        left = materialize(named.join(unsettled.select("key", "n"), "key"), "left")
+        if left.isEmpty():
             return labels
-        salt = F.pmod(F.xxhash64("doc_id"), F.lit(PIVOTS))
-        chosen = open_.where("component <> least").groupBy("key", salt.alias("salt")).agg(
-            F.min("doc_id").alias("a"), F.min_by("component", "doc_id").alias("of")
-        )
-        chosen = materialize(chosen.drop("salt"), "pivots")
-        tested = open_.join(chosen, "key").where("component <> of").select(F.greatest("a", "doc_id").alias("b"), F.least("a", "doc_id").alias("a"))
-        more = verified(tested.distinct(), texts)
-        if not more.isEmpty():
-            top = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"{c}_top"))
-            lifted = more.join(top("a"), "a", "left").join(top("b"), "b", "left").select(F.coalesce("a_top", "a").alias("a"), F.coalesce("b_top", "b").alias("b"))
-            moved = components(lifted)
-            old = labels.select("node", F.col("component").alias("via")).union(
-                moved.join(labels.select("node"), "node", "left_anti").select("node", F.col("node").alias("via"))
-            )
-            up = moved.select(F.col("node").alias("via"), "component")
-            labels = materialize(old.join(up, "via", "left").select("node", F.coalesce("component", "via").alias("component")), "labels")
-        gone = chosen.select("key", F.col("a").alias("doc_id"))
-        groups = open_.select("key", "doc_id").join(gone, ["key", "doc_id"], "left_anti")
+        texts = materialize(texts.join(left.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
+        few, many = left.where(F.col("n") <= SETTLED), left.where(F.col("n") > SETTLED)
+        one = few.select("key", F.col("doc_id").alias("a"), F.col("component").alias("of"), F.col("family").alias("kin"))
+        tested = few.join(one, "key").where("a < doc_id AND component <> of AND family <> kin").select("a", F.col("doc_id").alias("b"))
+        more = compared(tested.distinct(), texts).where("linked").select("a", "b")
+        own = materialize(many.groupBy("doc_id").agg(F.min("key").alias("family"), F.min("component").alias("component")), "own")
+        links = more.union(within_families(own, texts))
+        if not links.isEmpty():
+            labels = _relabel(labels, links)
+        groups = many.select("key", "doc_id").join(own.select("doc_id", "family"), "doc_id")
 
 
 def join_similar(docs: DataFrame, text: str = "text") -> DataFrame:
