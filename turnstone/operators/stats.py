@@ -11,9 +11,11 @@ BANDS = {"Good": 0.75, "Neutral": 0.50, "Bad": 0.25}
 LEAD_WARNING_SECONDS = 30.0
 
 
-def mean_confidence(words: DataFrame, *key: str) -> DataFrame:
-    """Mean of the known confidences, to 4 places; null where none is known."""
-    return words.groupBy(*key).agg(F.round(F.avg("confidence"), 4).alias("mean_confidence"))
+def mean_confidence(words: DataFrame, *key: str, scale: int = 1, digits: int = 4) -> DataFrame:
+    """Mean of the known confidences, rounded; null where none is known. Confidences may be given as whole
+    numbers of 1 / scale: sums are then exact in any order."""
+    mean = F.sum("confidence").cast("double") / F.count("confidence") / scale
+    return words.groupBy(*key).agg(F.round(F.when(F.count("confidence") > 0, mean), digits).alias("mean_confidence"))
 
 
 def score_bands(words: DataFrame) -> DataFrame:

@@ -220,10 +220,11 @@ def escaped_pages(spark, sf_dir):
 # --- statistics -----------------------------------------------------------------------------------------------------
 
 
-@query(_sql("SELECT interview_id, segment_index, round(avg(confidence), 4) AS mean_confidence FROM marked GROUP BY ALL"))
+@query(_sql("SELECT interview_id, segment_index, round(CAST(sum(CAST(round(confidence * 1000) AS BIGINT)) AS DOUBLE) / count(confidence) / 1000, 12) AS mean_confidence FROM marked GROUP BY ALL"))
 def segment_confidence(spark, sf_dir):
     marked, _ = _marked(spark, sf_dir)
-    return stats.mean_confidence(marked, "interview_id", "segment_index")
+    exact = marked.withColumn("confidence", F.round(F.col("confidence") * 1000).cast("long"))
+    return stats.mean_confidence(exact, "interview_id", "segment_index", scale=1000, digits=12)
 
 
 @query(
