@@ -162,3 +162,39 @@ def test_without_training_operators():
     import __spark_entry__
 
     assert "fused_recordings" in __spark_entry__.queries()
+
+
+def test_run_status_and_streams(spark, tmp_path, capsys):
+    from turnstone import cli
+    from turnstone.streaming import incremental
+
+    words = spark.createDataFrame([(1, 0, 0.0, 1.0, "a", 0.5, "measured"), (2, 0, 0.0, 1.0, "b", None, "measured")], WORD + ", confidence double, source string")
+    words.write.parquet(str(tmp_path / "words"))
+    spark.createDataFrame([(1, 0, 0.0, 1.0, "S01")], TURN).write.parquet(str(tmp_path / "turns"))
+    out = str(tmp_path / "out")
+    for expected in ("2 files", "2 files", "0 files"):
+        cli.main(["run", "--words", str(tmp_path / "words"), "--turns", str(tmp_path / "turns"), "--out", out, "--max-files", "1"])
+        assert expected in capsys.readouterr().out
+    assert '"speaker": "S01"' in (tmp_path / "out/json/1.json").read_text()
+    cli.main(["status", "--out", out])
+    assert "2 finished" in capsys.readouterr().out
+
+    spark.createDataFrame([("a",), ("b",)], "id string").write.parquet(str(tmp_path / "items"))
+    done = tmp_path / "done"
+    spark.createDataFrame([("a",)], "id string").write.parquet(str(done))
+    query = incremental.process_new_items(spark.readStream.schema("id string").parquet(str(tmp_path / "items")), lambda: spark.read.parquet(str(done)), lambda rows: rows.write.mode("append").parquet(str(done)), str(tmp_path / "check"))
+    query.awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(str(done)).collect()) == ["a", "b"]
+
+
+def test_folder_source(spark, tmp_path):
+    from turnstone.session import ship
+    from turnstone.sources.folders import FolderSource
+
+    (tmp_path / "f1").mkdir()
+    (tmp_path / "f1" / "x.MP3").write_bytes(b"")
+    (tmp_path / "f1" / "x.txt").write_bytes(b"")
+    ship(spark)
+    spark.dataSource.register(FolderSource)
+    read = lambda **o: [(r.folder, r.name) for r in spark.read.format("audio_folders").options(root=str(tmp_path), **o).load().collect()]
+    assert read() == [("f1", "x.MP3")] and read(folders="none,f1") == [("f1", "x.MP3")]

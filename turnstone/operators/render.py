@@ -112,6 +112,47 @@ def _plain(value):
     return [_plain(v) for v in value] if isinstance(value, list) else value
 
 
+def full_document(row: dict) -> str:
+    """A recording's whole record as JSON: its text, facts, segments with confidences and words, and lines. Here an
+    unknown confidence or speaker is null, and a word's status and reference come together."""
+    known = lambda words: [w["confidence"] for w in words if w.get("confidence") is not None and not math.isnan(w["confidence"])]
+    mean = lambda words: _maybe(sum(known(words)) / len(known(words)), 4) if known(words) else None
+    span = lambda x: {"start": round(x["start"], 3), "end": round(x["end"], 3)}
+
+    def word(w: dict, segment: int) -> dict:
+        entry = {"word": w["text"], **span(w), "confidence": _maybe(w.get("confidence"), 4), "source": w.get("source"), "speaker": w.get("speaker"), "segment_index": segment}
+        return entry | ({"status": w["status"], "reference": w.get("reference")} if w.get("status") is not None else {})
+
+    segments = [
+        {"index": s["segment_index"], **span(s), "speaker": s["speaker"], "text": s["text"], "confidence": mean(s["words"] or []), "words": [word(w, s["segment_index"]) for w in s["words"] or []]}
+        for s in row["segments"]
+    ]
+    of = {w["idx"]: w for s in row["segments"] for w in s["words"] or []}
+    lines = [
+        {"index": x["line_ix"], **span(x), "speaker": x["speaker"], "segment_index": x["segment_index"], "text": x["text"], "confidence": mean([of[k] for k in x["idx"]])}
+        for x in row["lines"] or []
+    ]
+    text = " ".join(s["text"] for s in row["segments"] if s["text"])
+    facts = {"audio_path": row.get("audio_path"), "duration": _maybe(row.get("duration"), 3), "text": text}
+    return json.dumps(facts | {"segments": segments, "lines": lines}, indent=2, ensure_ascii=False)
+
+
+def to_full_json(nested: DataFrame, lines: DataFrame, interviews: DataFrame) -> DataFrame:
+    """interview_id and json of whole records. interviews: interview_id, audio_path, duration; lines carry words."""
+    packed = F.struct("line_ix", "segment_index", "start", "end", "text", "speaker", F.transform("words", lambda w: w["idx"]).alias("idx"))
+    rows = nested.join(lines.groupBy("interview_id").agg(F.array_sort(F.collect_list(packed)).alias("lines")), "interview_id", "left")
+    rows = rows.join(interviews.select("interview_id", "audio_path", "duration"), "interview_id", "left")
+
+    def render(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = [full_document({k: _plain(v) for k, v in row.items()}) for row in batch.to_dict("records")]
+            yield pd.DataFrame({"interview_id": batch["interview_id"], "json": texts})
+
+    ship(nested.sparkSession)
+    kept = rows.select("interview_id", "audio_path", "duration", "segments", "lines")
+    return kept.mapInPandas(render, f"interview_id {nested.schema['interview_id'].dataType.simpleString()}, json string")
+
+
 def to_json(nested: DataFrame, language: str = "en", extras: str | None = None) -> DataFrame:
     """interview_id and json, from segments (see nested_segments); extras: a column with more top-level entries, as
     JSON. Exact null and rounding rules need Python; recordings are rendered one by one in Arrow batches."""

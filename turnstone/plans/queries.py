@@ -204,6 +204,14 @@ def transcript_json(spark, sf_dir):
     return render.to_json(render.nested_segments(marked, fusion.segments(marked)))
 
 
+@query()
+def transcript_records(spark, sf_dir):
+    words = _words(spark, sf_dir)
+    made = recording.fuse(words, fixtures.speaker_turns(words))
+    facts = words.groupBy("interview_id").agg(F.max("end").alias("duration")).withColumn("audio_path", F.concat(F.lit("/audio/iv_"), "interview_id", F.lit(".mp3")))
+    return render.to_full_json(render.nested_segments(made.words, made.segments), made.lines, facts)
+
+
 @query(
     f"""SELECT event_id, {_stamp_sql("value")} AS dot, {_stamp_sql("value * 100", ",")} AS comma FROM events"""
 )
@@ -570,6 +578,22 @@ def diarized_turns(spark, sf_dir):
     return model_output.diarized_turns(model_output.parse_raw_turns(raw), limits)
 
 
+@query(
+    _sql(
+        """, n AS (SELECT interview_id, count(*) AS t, string_agg(DISTINCT speaker, ',' ORDER BY speaker) AS names FROM turns WHERE interview_id % 3 <> 0 GROUP BY interview_id)
+SELECT DISTINCT w.interview_id, coalesce(t, 0) AS turns, coalesce(names, '') AS speakers, round(w.interview_id / 100.0 / 60.0, 5) AS rtf,
+  CASE w.interview_id % 3 WHEN 0 THEN 'failed' ELSE NULL END AS status FROM words w LEFT JOIN n USING (interview_id)""",
+        "turns",
+    )
+)
+def diarization_meta(spark, sf_dir):
+    words = _words(spark, sf_dir)
+    turns = fixtures.speaker_turns(words).where("interview_id % 3 <> 0")
+    failed = F.col("interview_id") % 3 == 0
+    runs = words.select("interview_id").distinct().select("interview_id", (F.col("interview_id") / 100.0).alias("elapsed"), F.lit(60.0).alias("duration"), failed.alias("failed"), F.lit(True).alias("enabled"))
+    return model_output.diarization_meta(turns, runs).withColumn("speakers", F.array_join("speakers", ","))
+
+
 # --- scoring ------------------------------------------------------------------------------------------------------------
 
 
