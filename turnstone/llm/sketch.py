@@ -16,7 +16,7 @@ SHARD_BITS = 20
 #: Cells of a row at most: a merged bit map then has 128 MB a row, whatever the corpus. Beyond, estimates only get coarser.
 MAX_WIDTH = 1 << 30
 #: Hashes that a task holds before it writes them out.
-FLUSH = 4 << 20
+FLUSH = 1 << 20
 
 
 def cells_of(hashes: np.ndarray, row: int, width: int) -> np.ndarray:

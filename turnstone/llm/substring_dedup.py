@@ -19,6 +19,8 @@ from turnstone.session import ship
 WINDOW = 20
 #: Sketch cells a byte of text: about three a window, as words take some six bytes.
 CELLS_PER_BYTE = 0.5
+#: Bits of a packed place that hold the start; a text has at most half as many words as bytes, and one more.
+PLACE_BITS = 26
 _FIRST_ID = -(1 << 63)
 
 
@@ -39,8 +41,9 @@ def repeated_windows(docs: DataFrame, size: int = WINDOW, text: str = "text") ->
 def first_places(docs: DataFrame, found, size: int = WINDOW) -> DataFrame:
     """doc_id and `firsts`: where windows that the sketch takes for repeated start for the first time.
 
-    docs: doc_id, text. A window is named by 128 bits of hash; its first place is a minimum, so occurrences are
-    brought together by partial aggregation, however many there are. Each first is its start and 32 bits of hash.
+    docs: doc_id, text. A window is named by 96 bits of hash; its first place is a minimum, so occurrences are
+    brought together by partial aggregation, however many there are. A place is one number where ids and lengths
+    allow, which keeps the shuffle small, or else a pair. Each first is its start and 32 bits of hash.
     """
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,15 +61,22 @@ def first_places(docs: DataFrame, found, size: int = WINDOW) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(a[likely].view(np.int64)),
-                        pa.array(b[likely].view(np.int64)),
+                        pa.array((b[likely] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
                         pa.array(ids[begin:end][doc]),
                         pa.array((starts[likely] - words.bounds[doc]).astype(np.int32)),
                     ],
                     ["a", "b", "doc_id", "start"],
                 )
 
-    rows = docs.mapInArrow(occurrences, "a long, b long, doc_id long, start int")
-    first = rows.groupBy("a", "b").agg(F.min(F.struct("doc_id", "start")).alias("first"))
+    rows = docs.mapInArrow(occurrences, "a long, b int, doc_id long, start int")
+    low, high, longest = docs.agg(F.min("doc_id"), F.max("doc_id"), F.max(F.octet_length("text"))).first()
+    if low is not None and low >= 0 and high < 1 << (63 - PLACE_BITS) and (longest or 0) < 2 << PLACE_BITS:
+        place = F.shiftleft("doc_id", PLACE_BITS).bitwiseOR(F.col("start").cast("long"))
+        packed = rows.select("a", "b", place.alias("place")).groupBy("a", "b").agg(F.min("place").alias("place"))
+        split = F.struct(F.shiftright("place", PLACE_BITS).alias("doc_id"), F.col("place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int").alias("start"))
+        first = packed.select("a", split.alias("first"))
+    else:
+        first = rows.groupBy("a", "b").agg(F.min(F.struct("doc_id", "start")).alias("first"))
     mark = F.shiftleft(F.col("first.start").cast("long"), 32).bitwiseOR(F.col("a").bitwiseAND(F.lit(0xFFFFFFFF)))
     return first.select("first.doc_id", mark.alias("mark")).groupBy("doc_id").agg(F.collect_list("mark").alias("firsts"))
 
@@ -78,7 +88,7 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, keep: list[str] | None =
     earlier is a smaller doc_id, or the same and a smaller start. Windows are judged on the input. kept_text has
     the other words, joined by one space.
 
-    First pass: tasks count windows in count-min sketches, merged by shard. Second pass: exact grouping, by 128
+    First pass: tasks count windows in count-min sketches, merged by shard. Second pass: exact grouping, by 96
     bits of hash, of the windows estimated repeated; estimates are never too low, so none is lost, and windows
     wrongly taken along are seen to be their own first. Third pass: each document learns its own first places and
     drops what other windows cover. Texts are shuffled once, in the join of the third pass.
@@ -107,8 +117,8 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, keep: list[str] | None =
             flat = marks.flatten().to_numpy(zero_copy_only=False)
             sizes = np.array([x or 0 for x in marks.value_lengths().to_pylist()], np.int64)
             at = np.concatenate(([0], np.cumsum(sizes)))
-            out: list[list] = [[], [], []]
             for begin, end in pieces(texts):
+                out: list[list] = [[], [], []]
                 words = split_words(texts[begin:end])
                 starts, a = window_hashes(word_hashes(words), words.bounds, size)
                 likely = np.flatnonzero(found.value.at_least(a, 2))
@@ -130,9 +140,9 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, keep: list[str] | None =
                         tokens = list(compress(tokens, stays))
                     out[1].append(int(last - first) - len(tokens))
                     out[2].append(b" ".join(tokens))
-            columns = [batch.column(i) for i in range(n_kept)]
-            columns += [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary()).cast(pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, [*kept, *(f.name for f in fields)])
+                columns = [batch.column(i).slice(begin, end - begin) for i in range(n_kept)]
+                columns += [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary()).cast(pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, [*kept, *(f.name for f in fields)])
 
     schema = T.StructType([docs.schema[c] for c in kept] + fields)
     return joined.mapInArrow(remove, schema)
