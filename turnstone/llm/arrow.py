@@ -56,13 +56,11 @@ def annotate(
         work = start()
         for batch in batches:
             texts = raw(batch.column(at))
-            done: list[list] = [[] for _ in arrow_fields]
+            names = pa.schema([*(batch.schema.field(i) for i in range(n_kept)), *arrow_fields])
             for begin, end in pieces(texts):
-                for values, more in zip(done, work(texts[begin:end]), strict=True):
-                    values.extend(more)
-            columns = [batch.column(i) for i in range(n_kept)]
-            columns += [pa.array(v, f.type) for v, f in zip(done, arrow_fields, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, schema=pa.schema([*(batch.schema.field(i) for i in range(n_kept)), *arrow_fields]))
+                columns = [batch.column(i).slice(begin, end - begin) for i in range(n_kept)]
+                columns += [pa.array(v, f.type) for v, f in zip(work(texts[begin:end]), arrow_fields, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, schema=names)
 
     ship(df.sparkSession)
     return df.select(*[df[f"`{c}`"] for c in sent]).mapInArrow(run, schema)
