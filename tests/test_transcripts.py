@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from turnstone.functions import audio, text
+from turnstone.functions import audio, edits, text
 from turnstone.functions.edits import alignment, distance
 from turnstone.operators import fusion, lines, model_output, publish, scoring, stats, worklist
 from turnstone.sources import files, listing
@@ -134,6 +134,19 @@ def test_error_rates(spark):
     assert (got.mean_confidence_correct, got.mean_confidence_incorrect) == (0.5, 0.25)
 
 
+def test_large_alignments(spark):
+    rng = random.Random(4)
+    for _ in range(300):
+        a, b = (rng.choices("abcd", k=rng.randrange(40)) for _ in range(2))
+        assert edits.whole_alignment(a, b, cells=rng.choice((1, 20, 100))) == alignment(a, b)
+    said = [f"w{rng.randrange(500)}" for _ in range(5500)]
+    heard = [w for i, w in enumerate(said) if i % 50]
+    words = spark.createDataFrame([(1, i, w, 0.5) for i, w in enumerate(heard)], "interview_id long, idx int, text string, confidence double")
+    got = scoring.error_rates(words, spark.createDataFrame([(1, " ".join(said))], "interview_id long, reference_text string")).collect()
+    assert [(r.reference_words, r.hypothesis_words, r.hits, r.substitutions, r.deletions, r.insertions) for r in got] == [(5500, 5390, 5390, 0, 110, 0)]
+    assert (got[0].wer, got[0].mean_confidence_correct) == (0.02, 0.5)
+
+
 def test_audio_round_trip():
     import numpy as np
 

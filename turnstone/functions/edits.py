@@ -7,8 +7,10 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Fixed value: cells of an alignment at most; larger ones have no result.
+#: Fixed value: cells of an alignment whose table is held at once; `whole_alignment` takes larger ones in blocks of rows.
 MAX_CELLS = 25_000_000
+#: Rows that are kept to start again from, at each level of blocks inside blocks.
+KEPT_ROWS = 16
 
 OPS = T.ArrayType(
     T.StructType([T.StructField("kind", T.StringType()), T.StructField("ref_index", T.IntegerType()), T.StructField("hyp_index", T.IntegerType())])
@@ -21,12 +23,15 @@ def _codes(reference, hypothesis) -> tuple[np.ndarray, np.ndarray]:
     return number(reference), number(hypothesis)
 
 
-def _rows(a: np.ndarray, b: np.ndarray):
-    """Rows of the distance table, one a token of a. An insertion run is a running minimum, so a row is one pass."""
+def _rows(a: np.ndarray, b: np.ndarray, row: np.ndarray | None = None, first: int = 0):
+    """Rows of the distance table, one a token of a. An insertion run is a running minimum, so a row is one pass.
+
+    row: the table's row `first`, to go on from; a then holds the tokens after it.
+    """
     places = np.arange(len(b) + 1, dtype=np.int32)
-    row = places.copy()
+    row = places.copy() if row is None else row
     yield row
-    for i, code in enumerate(a, 1):
+    for i, code in enumerate(a, first + 1):
         step = np.empty_like(row)
         step[0] = i
         np.minimum(row[:-1] + (b != code), row[1:] + 1, out=step[1:])
@@ -65,12 +70,52 @@ def alignment(reference, hypothesis) -> list[tuple[str, int | None, int | None]]
     return back[::-1]
 
 
+def whole_alignment(reference, hypothesis, cells: int = MAX_CELLS) -> list[tuple[str, int | None, int | None]]:
+    """The same operations as `alignment` gives, for token arrays of any length.
+
+    A table of more than `cells` is not held: KEPT_ROWS of its rows are, and from the last one back each block between
+    two of them is made again, and parted in turn if it is too large. Memory grows with the length of one array.
+    """
+    x, y = _codes(reference, hypothesis)
+    back: list[tuple[str, int | None, int | None]] = []
+
+    def walk(low: int, high: int, j: int, row: np.ndarray) -> int:
+        """Go back from cell (high, j) to row `low`, which is given up to column j; the column reached there."""
+        if high - low > 1 and (high - low + 1) * (j + 1) > cells:
+            step = -(-(high - low) // KEPT_ROWS)
+            kept = [(low + k, r) for k, r in enumerate(_rows(x[low : high - 1], y[:j], row, low)) if k % step == 0]
+            while kept:
+                begin, row = kept.pop()
+                j = walk(begin, high, j, row[: j + 1])
+                high = begin
+            return j
+        table = list(_rows(x[low:high], y[:j], row, low))
+        i = high
+        while i > low:
+            here, above = table[i - low][j], table[i - 1 - low]
+            differs = int(j > 0 and x[i - 1] != y[j - 1])
+            if j and here == above[j - 1] + differs:
+                i, j = i - 1, j - 1
+                back.append(("substitution" if differs else "match", i, j))
+            elif here == above[j] + 1:
+                i -= 1
+                back.append(("deletion", i, None))
+            else:
+                j -= 1
+                back.append(("insertion", None, j))
+        return j
+
+    j = walk(0, len(x), len(y), np.arange(len(y) + 1, dtype=np.int32))
+    back += [("insertion", None, k) for k in range(j - 1, -1, -1)]
+    return back[::-1]
+
+
 @F.pandas_udf(OPS)
 def edit_ops(reference: pd.Series, hypothesis: pd.Series) -> pd.Series:
-    """array<kind, ref_index, hyp_index>; null where the table would pass MAX_CELLS or an array is null."""
+    """array<kind, ref_index, hyp_index>, whatever the arrays' lengths; null where an array is null."""
 
     def align(a, b):
-        found = None if a is None or b is None else alignment(a, b)
+        found = None if a is None or b is None else whole_alignment(a, b)
         return None if found is None else [{"kind": k, "ref_index": i, "hyp_index": j} for k, i, j in found]
 
     return pd.Series([align(a, b) for a, b in zip(reference, hypothesis, strict=True)], dtype=object)

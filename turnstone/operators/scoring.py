@@ -26,7 +26,7 @@ def scored_words(words: DataFrame) -> DataFrame:
 
 
 def align(words: DataFrame, references: DataFrame) -> DataFrame:
-    """interview_id, ref, hyp, ops; ops is null where the alignment would be too large."""
+    """interview_id, ref, hyp, ops: one row a reference with tokens, of whatever length."""
     ship(words.sparkSession)
     hyp = words.where("token <> ''").groupBy("interview_id").agg(ordered("hyp_index", "token").alias("hyp"))
     both = reference_tokens(references).join(hyp, "interview_id", "left")
@@ -56,7 +56,7 @@ def error_rates(words: DataFrame, references: DataFrame) -> DataFrame:
     )
     count = lambda kind: F.size(F.filter("ops", lambda o: o["kind"] == kind)).cast("long")
     chars = lambda c: F.split(F.array_join(c, ""), "")
-    counted = aligned.where("ops IS NOT NULL").select(
+    counted = aligned.select(
         "interview_id",
         F.size("ref").cast("long").alias("reference_words"),
         F.size("hyp").cast("long").alias("hypothesis_words"),
