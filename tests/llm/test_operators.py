@@ -174,6 +174,19 @@ def test_language(spark, empty):
     assert np.allclose(langid.posteriors(e, b, t, 4), langid.posteriors(e, b, t, 100))
 
 
+def test_language_sample_of_copies(spark):
+    few = [" ".join(f"xx{i}y{k}" for k in range(40)) for i in range(3)]
+    hashed = spark.createDataFrame([(t,) for t in few], "text string").select(F.pmod(F.xxhash64("text"), F.lit(1_000_000))).collect()
+    copies = 20 * 1_000_000 // min(r[0] for r in hashed) + 20
+    rows = [(4 * i + 3, few[i % 3], "xx", "s", 0) for i in range(copies)]
+    rows += [(10**6 + i, " ".join(f"zz{i}q{k}" for k in range(40)), "zz", "s", 0) for i in range(50)]
+    rows += [(2 * 10**6 + i, f"kurz{i}", "ku", "s", 0) for i in range(20)] + [(3 * 10**6 + i, " \n", "blank", "s", 0) for i in range(20)]
+    sequences, labels = langid.sample_sequences(spark.createDataFrame(rows, DOCS), documents=5)
+    assert labels == ["ku", "xx", "zz"] and {labels[k] for _, gold in sequences for k in gold} == {"ku", "xx", "zz"}
+    assert {b" ".join(t).decode() for t, g in sequences if g == [1] * 32} <= {" ".join(t.split()[:32]) for t in few}
+    assert len(sequences) == 5 + 3 + 5
+
+
 def test_secrets(spark, empty):
     key = "AKIA" + "ABCDEFGH12345678"
     texts = [f'x token = "0123456789abcdef0123456789" {key} y', "Password: abc", "é api-key: none, API_KEY=abcdef", None, "", "plain words only"]

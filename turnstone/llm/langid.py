@@ -14,7 +14,7 @@ from turnstone.llm.arrow import annotate
 from turnstone.llm.hashing import U, Words, mix, split_words, word_hashes
 
 UNKNOWN = "und"
-#: Documents of each language that the model is fitted on at most, and the words taken of each.
+#: Distinct texts of each language that the model is fitted on at most, and the words taken of each.
 SAMPLE_DOCUMENTS = 400
 SAMPLE_WORDS = 192
 #: Training sequences are so many words; half of them switch from one language to another inside.
@@ -229,18 +229,27 @@ def held_out(doc_id):
 def sample_sequences(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS, words: int = SAMPLE_WORDS, seed: int = SEED) -> tuple[list, list[str]]:
     """Labelled sequences of the languages' sample documents: `documents` a language at most, `words` of each.
 
+    They are the first distinct texts of the language by a hash of the text, copies counting once and blank texts
+    not at all; any language with a text has some. A share of the hashes is read at first, more if that has too few.
+
     A sequence has SEQUENCE words; half of them go over from one document to one in another language.
     """
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
-    texts: dict[str, list[list[bytes]]] = {}
+    spoken = F.col("lang").isNotNull() & F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    known = docs.where(spoken & ~held_out(F.col("doc_id"))).select("lang", "text", F.xxhash64("text").alias("o"))
+    sizes = {r["lang"]: r["count"] for r in known.select("lang", "o").distinct().groupBy("lang").count().collect()}
     cut = F.slice(F.split(F.trim("text"), r"[\x20\x09-\x0D]+"), 1, words)
-    for lang, n in sorted(sizes.items()):
-        share = min(1.0, 2 * documents / n)
-        mine = known.where((F.col("lang") == lang) & (F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000) + 1))
-        mine = mine.where(F.length("text") > 40)
-        rows = mine.select(F.xxhash64("text", "doc_id").alias("o"), cut.alias("w")).orderBy("o").limit(documents).collect()
-        texts[lang] = [[w.encode() for w in r["w"] if w] for r in rows]
+    texts: dict[str, list[list[bytes]]] = {}
+    shares = {lang: min(1.0, 2 * documents / n) for lang, n in sizes.items()}
+    while shares:
+        reach = F.create_map(*[F.lit(x).cast("long" if isinstance(x, int) else "string") for lang, share in shares.items() for x in (lang, min(2**63 - 1, int(share * 2**64) - 2**63))])
+        rows = known.where(F.col("o") <= reach[F.col("lang")]).dropDuplicates(["lang", "o"]).select("lang", "o", cut.alias("w")).collect()
+        found: dict[str, list] = {lang: [] for lang in shares}
+        for r in rows:
+            found[r["lang"]].append((r["o"], r["w"]))
+        for lang, mine in found.items():
+            if len(mine) >= min(documents, sizes[lang]):
+                texts[lang] = [[w.encode() for w in ws if w] for _, ws in sorted(mine)[:documents]]
+        shares = {lang: min(1.0, 4 * share) for lang, share in shares.items() if lang not in texts}
     labels = sorted(texts)
     rng = np.random.default_rng(seed)
     pieces = []
