@@ -187,6 +187,18 @@ def test_language_sample_of_copies(spark):
     assert len(sequences) == 5 + 3 + 5
 
 
+def test_mixed_languages_are_kept(spark):
+    rng = np.random.default_rng(0)
+    tables = {"de": ["der", "und", "schön", "nicht", "eine", "zeitung"], "en": ["the", "and", "thing", "with", "other", "where"], "fi": ["joka", "hän", "että", "kaikki", "mutta", "silloin"]}
+    rows = [(i, " ".join(rng.choice(tables[k], 40)), k, "s", 0) for i, k in enumerate(["de", "en", "fi"] * 60)]
+    mixed = " ".join(w for k in tables for w in rng.choice(tables[k], 20))
+    table = spark.createDataFrame([*rows, (500, mixed, None, "s", 0), (501, "12 34", None, "s", 0)], DOCS)
+    got = langid.identify(table).where("doc_id = 500").first()
+    assert got.score < 0.5 and got.certainty > 0.8
+    kept = langid.keep_identified(table.withColumn("certainty", F.lit("own")))
+    assert kept.columns == [*table.columns, "certainty"] and {r.doc_id for r in kept.collect()} == {*range(180), 500}
+
+
 def test_secrets(spark, empty):
     key = "AKIA" + "ABCDEFGH12345678"
     texts = [f'x token = "0123456789abcdef0123456789" {key} y', "Password: abc", "é api-key: none, API_KEY=abcdef", None, "", "plain words only"]

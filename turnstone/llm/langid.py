@@ -24,13 +24,14 @@ EPOCHS = 4
 SEED = 5
 #: Words a block of the chain; blocks are multiplied through side by side.
 BLOCK = 32
-#: A document is rejected below this mean posterior.
+#: A document is rejected if its words' own largest marginals have a mean below this.
 LEAST_SCORE = 0.5
 
 _SALTS = {name: U((k + 1) * 0x9E3779B97F4A7C15 % 2**64) for k, name in enumerate(("word", "p1", "p2", "p3", "s1", "s2", "s3", "g2", "g3"))}
 _FOLD = np.array([b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)], np.uint64)
 
 FIELDS = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("lang_words", T.MapType(T.StringType(), T.LongType()))]
+CERTAINTY = T.StructField("certainty", T.DoubleType())
 
 
 def _bucket(name: str, codes: np.ndarray) -> np.ndarray:
@@ -277,13 +278,13 @@ def fit(docs: DataFrame, **options) -> Model | None:
 
 
 def predictor(model: Model | None) -> Callable[[list[bytes | None]], list[list]]:
-    """A function from texts to language, score and the number of words of each language."""
+    """A function from texts to language, score, the number of words of each language, and certainty."""
 
     def predict(texts: list[bytes | None]) -> list[list]:
         words = split_words(texts)
         heard = has_letter(words)
         if model is None:
-            return [[UNKNOWN] * len(texts), [0.0] * len(texts), [{} for _ in texts]]
+            return [[UNKNOWN] * len(texts), [0.0] * len(texts), [{} for _ in texts], [0.0] * len(texts)]
         found = posteriors(model.emissions(words, heard), words.bounds, model.transitions) * heard[:, None]
         sums = np.concatenate((np.zeros((1, len(model.labels))), np.cumsum(found, 0)))
         totals = sums[words.bounds[1:]] - sums[words.bounds[:-1]]
@@ -291,21 +292,25 @@ def predictor(model: Model | None) -> Callable[[list[bytes | None]], list[list]]
         n = letters[words.bounds[1:]] - letters[words.bounds[:-1]]
         best = totals.argmax(1)
         score = np.clip(totals[np.arange(len(texts)), best] / np.maximum(n, 1), 0, 1)
+        sure = np.concatenate(([0.0], np.cumsum(found.max(1))))
+        sure = np.clip((sure[words.bounds[1:]] - sure[words.bounds[:-1]]) / np.maximum(n, 1), 0, 1)
         votes = np.eye(len(model.labels), dtype=np.int64)[found.argmax(1)] * heard[:, None]
         votes = np.concatenate((np.zeros((1, len(model.labels)), np.int64), np.cumsum(votes, 0)))
         counts = votes[words.bounds[1:]] - votes[words.bounds[:-1]]
         langs = [model.labels[k] if m else UNKNOWN for k, m in zip(best, n, strict=True)]
         by_lang = [{lang: c for lang, c in zip(model.labels, row, strict=True) if c} for row in counts.tolist()]
-        return [langs, [float(s) if m else 0.0 for s, m in zip(score, n, strict=True)], by_lang]
+        plain = lambda values: [float(v) if m else 0.0 for v, m in zip(values, n, strict=True)]
+        return [langs, plain(score), by_lang, plain(sure)]
 
     return predict
 
 
 def identify(docs: DataFrame, model: Model | None = None, keep: list[str] | None = None) -> DataFrame:
-    """docs with lang_pred, score and lang_words (words of each language, by their own marginals).
+    """docs with lang_pred, score, lang_words (words of each language, by their own marginals) and certainty.
 
     Each word of the whole text gets marginals by forward-backward; the language is the one with the largest sum
-    over words with a letter, and score their mean marginal of it. Map side only. Without a model, one is fitted
+    over words with a letter, score their mean marginal of it, and certainty the mean of each one's own largest
+    marginal, which a text in several languages has too. Map side only. Without a model, one is fitted
     on docs: a bounded sample of rows with a language, held-out rows left out. Prediction reads only text.
 
     A null text, or one without a letter, is 'und' with score 0, and so is everything if nothing could be learned;
@@ -313,7 +318,7 @@ def identify(docs: DataFrame, model: Model | None = None, keep: list[str] | None
     columns named like a result are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model or fit(docs))
-    return annotate(docs, "text", lambda: predictor(shared.value), FIELDS, keep)
+    return annotate(docs, "text", lambda: predictor(shared.value), [*FIELDS, CERTAINTY], keep)
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -323,9 +328,12 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """docs without those that have no language by name or a score under LEAST_SCORE, with their own columns."""
-    names = {f.name for f in FIELDS}
+    """docs without those that have no language by name or a certainty under LEAST_SCORE, with their own columns.
+
+    Texts in several languages stay if their words are labelled with certainty.
+    """
+    names = {f.name for f in (*FIELDS, CERTAINTY)}
     hidden = {c: f"__own_{c}" for c in docs.columns if c in names}
     found = identify(docs.withColumnsRenamed(hidden), fit(docs))
-    kept = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).drop(*names)
+    kept = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("certainty") >= LEAST_SCORE)).drop(*names)
     return kept.withColumnsRenamed({v: k for k, v in hidden.items()}).select(*[F.col(f"`{c}`") for c in docs.columns])
