@@ -216,6 +216,22 @@ def test_secrets(spark, empty):
     assert secrets.scan_secrets(empty, net).count() == 0
 
 
+def test_secrets_in_long_tokens():
+    token = "services/production/eu-west-1/accounts/v2/hooks/users/" + "Zq3" * 30
+    read = list(secrets.windows(f"see {token}", 4, 4 + len(token)))
+    inside = [w[secrets.BEFORE : secrets.BEFORE + secrets.INSIDE] for w in read]
+    assert inside[0] == secrets.window(f"see {token}", 4, 4 + len(token))[secrets.BEFORE : secrets.BEFORE + secrets.INSIDE]
+    at = [*range(0, len(token) - secrets.INSIDE, secrets.STRIDE), len(token) - secrets.INSIDE]
+    assert inside == [[secrets._symbol(c) for c in token[k : k + secrets.INSIDE]] for k in at]
+    net = secrets.train_whole(secrets.made_findings(800) + secrets.long_findings(800), epochs=6)
+    held = secrets.long_findings(300, seed=99) + secrets.made_findings(200, seed=99)
+    scores, labels = np.array(net.judge(f[:3] for f in held)), np.array([f[3] for f in held])
+    assert (scores[labels == 1] >= net.threshold).mean() > 0.9 and (scores[labels == 0] < net.threshold).mean() > 0.9
+    path = "services/production/eu-west-1/accounts/v2/hooks/"
+    found = secrets.scanner(net)([f"see {path}x9Kf2LmQ7bTz4RvW8nYc3HdJ6sGp1AeU5oXi now".encode(), f"see {path}users/images/v1/static/assets now".encode()])[1]
+    assert [[s["kind"] for s in spans] for spans in found] == [["learned"], []]
+
+
 def test_mixing(docs, empty):
     rows = mixing.mix(docs, budget=500).collect()
     assert sum(r.n_taken for r in rows) <= 500 and sum(r.n_taken for r in rows) > 480
