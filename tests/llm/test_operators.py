@@ -232,6 +232,16 @@ def test_secrets_in_long_tokens():
     assert [[s["kind"] for s in spans] for spans in found] == [["learned"], []]
 
 
+def test_secrets_around_a_pattern(spark):
+    net = secrets.train_whole(secrets.made_findings(40), epochs=1)
+    net.threshold = 0.0
+    token = "Ab9_" + "0123456789abcdef01234567" + "_Zq8LmQ7bTz4RvW8nYc3"
+    found = secrets.scanner(net)([f"x {token} end".encode(), b'token = "0123456789abcdef0123456789"'])[1]
+    assert [[(s["kind"], s["start"], s["end"]) for s in spans] for spans in found] == [[("learned", 2, 2 + len(token)), ("hex", 6, 30)], [("assign", 0, 35), ("hex", 9, 35)]]
+    masked = secrets.mask_secrets(spark.createDataFrame([(1, f"x {token} end")], "doc_id long, text string"), net).first()
+    assert masked.text == "x [secret] end"
+
+
 def test_mixing(docs, empty):
     rows = mixing.mix(docs, budget=500).collect()
     assert sum(r.n_taken for r in rows) <= 500 and sum(r.n_taken for r in rows) > 480
