@@ -57,7 +57,7 @@ def test_substring_dedup(docs, empty):
 
 def test_sketch_never_too_low(docs):
     hashes = lambda texts: hashing.word_hashes(hashing.split_words(texts))
-    found = sketch.build(docs, "text", hashes, 1 << 20, (2, 33))
+    found = sketch.build(docs, "text", hashes, 1 << 20, lambda load: (2, 33))
     tokens = [t.encode() for t in make_texts() if t]
     every = hashes(tokens)
     values, counts = np.unique(every, return_counts=True)

@@ -20,22 +20,21 @@ SHINGLE = 5
 #: Least similarity, in hundredths.
 SIMILARITY = 80
 #: Tokens (shingles) whose estimated document frequency is above this are frequent: they are indexed in pairs.
+#: A sketch at its largest width raises it with its load (see CountMin.load), so that rare tokens stay single.
 FREQUENT = 32
-#: Frequent tokens fall into so many classes; pairs are made within a class.
-CLASSES = 32
-#: Sets up to this size are indexed by single tokens only; larger ones, from SIMILARITY per cent of it, by both kinds.
-SMALL_SET = 64
-#: Tokens in this share of the hash range are counted and come first in the global order.
-COUNTED_SHARE = 0.35
-CELLS_PER_BYTE = 0.18
+LOAD_ROOM = 4
+#: Sets up to this size are indexed by single tokens only; beyond, frequent tokens fall into about a quarter as many
+#: classes as a set has tokens, and pairs are made within a class.
+SMALL_SET = 63
+CELLS_PER_BYTE = 0.3
 #: Documents this alike to a pivot, in hundredths, are its family and are compared among themselves.
 KIN = 30
-#: Documents of a family in a block.
-BLOCK = 512
-#: What an unsettled group of at most so many documents leaves open is listed as pairs; a larger one is a family.
+#: Documents and tokens of a family in a block, about.
+BLOCK = 2048
+BLOCK_TOKENS = 2_000_000
+#: An unsettled group of at most so many documents is compared as it is; documents of larger ones are dealt out first.
 SETTLED = 128
 
-_COUNTED = U(int(COUNTED_SHARE * 2**64))
 _KEYS = [U(0x9FB21C651E98DF25), U(0xA24BAED4963EE407), U(0xC2B2AE3D27D4EB4F)]
 
 
@@ -47,9 +46,9 @@ def shingle_sets(texts: list[bytes | None], size: int = SHINGLE) -> list[np.ndar
     return [np.unique(hashes[cuts[i] : cuts[i + 1]]) for i in range(len(texts))]
 
 
-def _counted(texts: list[bytes | None]) -> np.ndarray:
+def _tokens(texts: list[bytes | None]) -> np.ndarray:
     sets = shingle_sets(texts)
-    return np.concatenate([s[: np.searchsorted(s, _COUNTED)] for s in sets]) if sets else np.zeros(0, U)
+    return np.concatenate(sets) if sets else np.zeros(0, U)
 
 
 def required(n: int) -> int:
@@ -57,43 +56,53 @@ def required(n: int) -> int:
     return -(-n * SIMILARITY // 100)
 
 
-def signatures(tokens: np.ndarray, counts: sketch.CountMin) -> np.ndarray:
+def schemes(n: int) -> list[int]:
+    """The index schemes of a set of n tokens: those of all sizes it can be similar to. 0: single tokens; s: pairs of
+    frequent tokens in 2 ** (s - 2) classes."""
+    sizes = (required(n), n, n * 100 // SIMILARITY)
+    return sorted({0 if m <= SMALL_SET else m.bit_length() for m in sizes})
+
+
+def signatures(tokens: np.ndarray, repeated: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """The index keys of a set (sorted hashes): two sets of SIMILARITY or more share one.
 
-    The global order is by frequency class, then by hash. Of a set of n that shares t tokens at least, the prefix
-    holds n - t + 1 tokens more than sharing could avoid: a single token counts 1, a class of frequent tokens its
-    number less 1, since a shared key takes two of the class. If two sets shared no key, the set whose prefix ends
-    first would miss n - t + 1 of its tokens in the other, so they'd share fewer than t. Tokens that are certainly
-    in one document only count, but are no keys.
+    The global order is by frequency class (once, some times, frequent), then by hash. Of a set of n that shares t
+    tokens at least, the prefix holds n - t + 1 tokens more than sharing could avoid: a single token counts 1, a class
+    of frequent tokens its number less 1, since a shared key takes two of the class. If two sets shared no key, the
+    set whose prefix ends first would miss n - t + 1 of its tokens in the other, so they'd share fewer than t. Tokens
+    that are certainly in one document only count, but are no keys. Similar sets share one scheme at least, and within
+    a scheme keys are made alike.
     """
     n = len(tokens)
     need = n - required(n) + 1
-    counted = np.arange(n) < np.searchsorted(tokens, _COUNTED)
-    repeated = counts.at_least(tokens, 2) | ~counted
-    frequent = counts.at_least(tokens, FREQUENT + 1) & counted
+    if n - int(repeated.sum()) >= need:
+        return np.zeros(0, U)
+    rank = repeated.astype(np.int8) + frequent
+    order = np.argsort(rank, kind="stable")  # tokens come sorted
     out = []
-    if n <= SMALL_SET:
-        order = np.lexsort((tokens, frequent, repeated))[:need]
-        chosen = tokens[order][repeated[order]]
-        out.append(mix(chosen ^ _KEYS[0]))
-    if 100 * n >= SIMILARITY * SMALL_SET:
-        order = np.lexsort((tokens, np.where(counted, repeated.astype(np.int8) + frequent, 3)))
-        single = ~frequent[order]
-        kinds = (tokens[order] & U(CLASSES - 1)).astype(np.int64)
-        worth = single.astype(np.int64)
-        if not single.all():
-            seen = np.zeros(CLASSES, bool)
-            for i in np.flatnonzero(~single)[: need + CLASSES]:
-                worth[i] = seen[kinds[i]]
-                seen[kinds[i]] = True
+    for scheme in schemes(n):
+        if not scheme:
+            chosen = order[:need]
+            out.append(mix(tokens[chosen][repeated[chosen]] ^ _KEYS[0]))
+            continue
+        classes = 1 << (scheme - 2)
+        single = rank[order] < 2
+        kinds = (tokens[order] & U(classes - 1)).astype(np.int64)
+        worth = np.ones(n, np.int64)
+        others = np.flatnonzero(~single)
+        worth[others[np.unique(kinds[others], return_index=True)[1]]] = 0
         end = int(np.searchsorted(np.cumsum(worth), need)) + 1
-        order, single, kinds = order[:end], single[:end], kinds[:end]
-        out.append(mix(tokens[order][single & repeated[order]] ^ _KEYS[1]))
-        for kind in np.unique(kinds[~single]):
-            mine = np.sort(tokens[order][~single & (kinds == kind)])
-            i, j = np.triu_indices(len(mine), 1)
-            out.append(mix(mix(mine[i] ^ _KEYS[2]) * U(3) + mine[j]))
-    return np.unique(np.concatenate(out)) if out else np.zeros(0, U)
+        mine = tokens[order[:end]]
+        out.append(mix(mine[single[:end] & repeated[order[:end]]] ^ _KEYS[1] ^ U(scheme)))
+        pairs = np.flatnonzero(~single[:end])
+        pairs = pairs[np.lexsort((mine[pairs], kinds[pairs]))]
+        bounds = np.concatenate((np.flatnonzero(np.diff(kinds[pairs], prepend=-1)), [len(pairs)]))
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            if b - a > 1:
+                i, j = np.triu_indices(b - a, 1)
+                held = mine[pairs[a:b]]
+                out.append(mix(mix(held[i] ^ _KEYS[2] ^ U(scheme)) * U(3) + held[j]))
+    return np.unique(np.concatenate(out))
 
 
 def similar(a: np.ndarray, b: np.ndarray, least: int = SIMILARITY) -> bool:
@@ -107,7 +116,7 @@ def similar_pairs(left: list[np.ndarray], right: list[np.ndarray], columns: int
     """Places (i, j) of all similar sets of two blocks. Intersections are products of incidence matrices over the
     tokens that both blocks hold, `columns` tokens at a time."""
     sizes = [np.array([len(x) for x in side]) for side in (left, right)]
-    both = np.zeros((len(left), len(right)))
+    both = np.zeros((len(left), len(right)), np.float32)  # whole numbers: exact
     flat = [np.concatenate(side) if side else np.zeros(0, U) for side in (left, right)]
     shared = np.intersect1d(flat[0], flat[1])
     rows, cols = [], []
@@ -131,23 +140,30 @@ def similar_pairs(left: list[np.ndarray], right: list[np.ndarray], columns: int
 def index_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, n_shingles, s1, s2 (the set's name), keys, and text where a document has keys."""
     total = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
-    made = sketch.build(docs, text, _counted, int(total * CELLS_PER_BYTE), (2, FREQUENT + 1))
+    made = sketch.build(docs, text, _tokens, int(total * CELLS_PER_BYTE), lambda load: (2, FREQUENT + 1 + int(LOAD_ROOM * load)))
     counts = docs.sparkSession.sparkContext.broadcast(made)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        twice, often = counts.value.thresholds
         for batch in batches:
             texts = raw(batch.column(1))
             for begin, end in pieces(texts):
                 sets = shingle_sets(texts[begin:end])
-                keys = [signatures(s, counts.value) if len(s) else s for s in sets]
-                names = [(int(np.sum(s)), int(np.sum(mix(s ^ _KEYS[0])))) for s in sets]
+                flat = np.concatenate(sets)
+                cuts = np.cumsum([0, *map(len, sets)])
+                repeated, frequent = counts.value.at_least(flat, twice), counts.value.at_least(flat, often)
+                spans = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                keys = [signatures(s, repeated[at], frequent[at]) if len(s) else s for s, at in zip(sets, spans, strict=True)]
+                mixed = np.concatenate(([U(0)], np.cumsum(mix(flat ^ _KEYS[0]))))
+                plain = np.concatenate(([U(0)], np.cumsum(flat)))
+                names = [(sums[cuts[1:]] - sums[cuts[:-1]]).view(np.int64) for sums in (plain, mixed)]
                 sizes = np.cumsum([0, *map(len, keys)])
                 listed = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.concatenate(keys).view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(begin, end - begin),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        *[pa.array(np.array([x[k] for x in names], U).view(np.int64)) for k in range(2)],
+                        pa.array(np.diff(cuts), pa.int64()),
+                        *map(pa.array, names),
                         listed,
                         pa.array([t if len(k) else None for t, k in zip(texts[begin:end], keys, strict=True)], pa.binary()),
                     ],
@@ -189,45 +205,74 @@ def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return materialize(joined.mapInArrow(check, "a long, b long, linked boolean"), "compared")
 
 
-def within_families(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links (a, b) between documents of a family (members: doc_id, family, component) that connect its components.
+def _block_links(table: pa.Table) -> pa.Table:
+    """Links (a, b) between components, from comparing the outer rows of a block with the others, or, where all
+    are outer, with one another. A component gives one link at most."""
+    table = table.combine_chunks()
+    outer = table["outer"].to_numpy(zero_copy_only=False)
+    parts, held = table["component"].to_numpy(), table["text"].to_pylist()
+    sides = [np.flatnonzero(outer), np.flatnonzero(~outer)]
+    sets = [[s for a, b in pieces(mine) for s in shingle_sets(mine[a:b])] for mine in ([held[k] for k in p] for p in sides)]
+    if not sets[1]:
+        sides[1], sets[1] = sides[0], sets[0]
+    i, j = similar_pairs(*sets)
+    i, j = parts[sides[0][i]], parts[sides[1][j]]
+    names, at = np.unique(np.concatenate((i[i != j], j[i != j])), return_inverse=True)
+    n = int((i != j).sum())
+    up = roots(len(names), at[:n], at[n:])
+    moved = np.flatnonzero(up != np.arange(len(names)))
+    return pa.table({"a": pa.array(names[up[moved]], pa.int64()), "b": pa.array(names[moved], pa.int64())})
+
+
+def _open_families(members: DataFrame) -> DataFrame:
+    """members (family, doc_id, component, n_shingles) of families with several components, with their family's
+    number of blocks and its largest component (home)."""
+    parts = members.groupBy("family", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("tokens"))
+    sums = [F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.sum("tokens").alias("tokens"), F.max_by("component", F.struct("n", "component")).alias("home")]
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("tokens") / BLOCK_TOKENS)).cast("int")
+    families = parts.groupBy("family").agg(*sums).where("parts > 1").select("family", "home", blocks.alias("blocks"))
+    return materialize(members.join(families, "family"), "open")
+
+
+def connect_families(members: DataFrame, texts: DataFrame, labels: DataFrame) -> DataFrame:
+    """labels once all members of each family (members: family, doc_id, n_shingles) are compared or connected.
+
+    Members are dealt into blocks. A block is compared within itself: a row a member, whatever the family's size.
+    Families of one block, and those that this connects, are done; of others, members outside the largest component
+    are then compared with the other blocks, a row a block on the other side. So what a family sends grows with its
+    size, and only what stays unconnected in families of many blocks is sent more than twice.
+    """
 
-    Members outside the family's largest component are compared with all members, in blocks of BLOCK documents
-    against BLOCK; a pair of blocks gives at most one link a document. So a family that is one component
-    costs nothing, and texts travel once for every block on the other side."""
-    parts = members.groupBy("family", "component").agg(F.count(F.lit(1)).alias("n"))
-    home = parts.groupBy("family").agg(F.max_by("component", F.struct("n", "component")).alias("home"))
-    marked = members.join(home, "family").withColumn("out", F.col("component") != F.col("home"))
-    sizes = marked.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.count_if("out").alias("n_out")).where("n_out > 0")
-    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
-    placed = marked.join(sizes, "family").select("family", "doc_id", "component", "out", blocks("n").alias("nb"), blocks("n_out").alias("ob"))
-    place = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
+    def marked() -> DataFrame:
+        known = labels.select(F.col("node").alias("doc_id"), "component")
+        found = members.join(known, "doc_id", "left").select("family", "doc_id", F.coalesce("component", "doc_id").alias("component"), "n_shingles")
+        return _open_families(found)
+
+    place = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("blocks")).cast("int")
+    first = marked()
+    rows = first.select("family", place.alias("i"), "doc_id", "component", F.lit(True).alias("outer")).join(texts, "doc_id")
+    rows = rows.select("family", "i", "component", "outer", "text")
+    labels = _relabel(labels, materialize(rows.groupBy("family", "i").applyInArrow(_block_links, "a long, b long"), "within"))
+    members = first.where("blocks > 1").select("family", "doc_id", "n_shingles")
+    if members.isEmpty():
+        return labels
+    second = marked().where("blocks > 1")
+    if second.isEmpty():
+        return labels
+    outside = second.where("component <> home").groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("tokens"))
+    need = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("tokens") / BLOCK_TOKENS)).cast("int")
+    placed = second.join(outside.select("family", need.alias("outer_blocks")), "family").join(texts, "doc_id")
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    key = ["family", "i", "j"]
-    one = placed.where("out").select("family", "doc_id", "component", F.lit(True).alias("outer"), place("ob").alias("i"), upto("nb").alias("j"))
-    other = placed.select("family", "doc_id", "component", F.lit(False).alias("outer"), place("nb").alias("j"), upto("ob").alias("i"))
-    rows = one.unionByName(other).join(texts, "doc_id").select(*key, "doc_id", "component", "outer", "text")
-
-    def compare(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        outer = table["outer"].to_numpy()
-        ids, parts, held = table["doc_id"].to_numpy(), table["component"].to_numpy(), table["text"].to_pylist()
-        places = [np.flatnonzero(outer), np.flatnonzero(~outer)]
-        sides = [[s for a, b in pieces(mine) for s in shingle_sets(mine[a:b])] for mine in ([held[k] for k in p] for p in places)]
-        i, j = similar_pairs(*sides)
-        i, j = places[0][i], places[1][j]
-        across = parts[i] != parts[j]
-        names, at = np.unique(np.concatenate((parts[i[across]], parts[j[across]])), return_inverse=True)
-        n = int(across.sum())
-        up = roots(len(names), at[:n], at[n:])
-        moved = np.flatnonzero(up != np.arange(len(names)))
-        return pa.table({"a": pa.array(names[up[moved]], pa.int64()), "b": pa.array(names[moved], pa.int64())})
-
-    return materialize(rows.groupBy(*key).applyInArrow(compare, "a long, b long"), "within")
+    one = placed.where("component <> home").select("family", F.pmod(F.xxhash64("doc_id"), F.col("outer_blocks")).cast("int").alias("i"), upto("blocks").alias("j"), "component", F.lit(True).alias("outer"), "text")
+    other = placed.select("family", upto("outer_blocks").alias("i"), place.alias("j"), "component", F.lit(False).alias("outer"), "text")
+    rows = one.select("family", "i", "j", "component", "outer", "text").union(other.select("family", "i", "j", "component", "outer", "text"))
+    return _relabel(labels, materialize(rows.groupBy("family", "i", "j").applyInArrow(_block_links, "a long, b long"), "across"))
 
 
 def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
     """labels (node, component) once links (a, b) between documents or components have joined components."""
+    if links.isEmpty():
+        return labels
     top = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"{c}_top"))
     lifted = links.join(top("a"), "a", "left").join(top("b"), "b", "left").select(F.coalesce("a_top", "a").alias("a"), F.coalesce("b_top", "b").alias("b"))
     moved = components(lifted)
@@ -242,24 +287,26 @@ def link_components(indexed: DataFrame) -> DataFrame:
 
     1. Equal sets are linked and one document stands for each. 2. In a group of documents that share a key, the
     smallest is the pivot and is compared with all others: one pair a member, so a group costs in proportion to
-    its size. 3. Documents that are at least kin to a pivot are its family; its members are compared in blocks
-    (within_families). 4. What is left are groups with members of different families and different components. A small
-    one's open pairs are listed, at most SETTLED a member. Documents of larger ones become the family of their
-    smallest open key and are compared in blocks, until no group has members of two families and two components:
-    keys are hashes, so every round settles a good part of them. In the end every pair that shares a key is
-    compared or known to be connected. Nothing is capped.
+    its size. 3. Documents that are at least kin to a pivot are its family, whose members are compared in blocks
+    (connect_families). 4. What is left are groups with members of different families and different components. Small
+    ones are compared in blocks as they are. Documents of larger ones become the family of their smallest open key,
+    until no group has members of two families and two components: keys are hashes, so every round settles a
+    good part of them. In the end every pair that shares a key is compared or known to be connected. Nothing is capped.
     """
-    held = indexed.where(F.size("keys") > 0)
-    texts = held.select("doc_id", "text")
+    held = indexed.where("doc_id IS NOT NULL AND size(keys) > 0")
     named = held.select("doc_id", "s1", "s2", "n_shingles")
     firsts = materialize(named.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("first")), "firsts")
     copies = named.join(firsts, ["s1", "s2", "n_shingles"]).select(F.col("first").alias("a"), F.col("doc_id").alias("b")).where("a <> b")
 
     single = firsts.select(F.col("first").alias("doc_id")).distinct()
-    rows = held.select("doc_id", "keys").join(single, "doc_id", "left_semi").select(F.explode("keys").alias("key"), "doc_id")
+    rows = held.select("doc_id", "keys").join(single, "doc_id", "left_semi").select(F.explode("keys").alias("key"), "doc_id").distinct()
     pivots = rows.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last")).where("pivot < last")
     groups = materialize(rows.join(pivots.select("key", "pivot"), "key"), "groups")
-    texts = materialize(texts.join(groups.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
+    # rows that repeat an id and a set come once; an id with several sets keeps all of them
+    texts = held.select("doc_id", "s1", "n_shingles", "text").join(groups.select("doc_id").distinct(), "doc_id", "left_semi")
+    texts = materialize(texts.dropDuplicates(["doc_id", "s1", "n_shingles"]).drop("s1"), "texts")
+    sizes = texts.groupBy("doc_id").agg(F.sum("n_shingles").alias("n_shingles"))
+    texts = texts.drop("n_shingles")
     pairs = groups.where("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
     kin = compared(pairs, texts)
     labels = components(copies.union(kin.where("linked").select("a", "b")))
@@ -270,33 +317,27 @@ def link_components(indexed: DataFrame) -> DataFrame:
     up = heads.select(F.col("b").alias("family"), F.col("family").alias("higher"))
     families = heads.join(up, "family", "left").select("b", F.coalesce("higher", "family").alias("family")).union(leading)
     families = materialize(families.select(F.col("b").alias("doc_id"), "family"), "families")
-    known = lambda: labels.select(F.col("node").alias("doc_id"), "component")
     led = families.join(families.where("doc_id = family").select("family"), "family", "left_semi")
-    members = led.join(known(), "doc_id", "left").select("doc_id", "family", F.coalesce("component", "doc_id").alias("component"))
-    inside = within_families(materialize(members, "kin"), texts)
-    if not inside.isEmpty():
-        labels = _relabel(labels, inside)
+    led = materialize(led.join(sizes, "doc_id").select("doc_id", "family", "n_shingles"), "kin")
+    labels = connect_families(led, texts, labels)
 
     groups = groups.where("doc_id <> pivot").select("key", "doc_id")
     groups = groups.join(led.select("doc_id", "family"), "doc_id", "left").select("key", "doc_id", F.coalesce("family", "doc_id").alias("family"))
     while True:
-        named = groups.join(known(), "doc_id", "left").select("key", "doc_id", "family", F.coalesce("component", "doc_id").alias("component"))
+        known = labels.select(F.col("node").alias("doc_id"), "component")
+        named = groups.join(known, "doc_id", "left").select("key", "doc_id", "family", F.coalesce("component", "doc_id").alias("component"))
         ends = [f(c).alias(f"{n}_{c}") for c in ("family", "component") for n, f in (("least", F.min), ("most", F.max))]
         unsettled = named.groupBy("key").agg(*ends, F.count(F.lit(1)).alias("n"))
         unsettled = unsettled.where("least_family < most_family AND least_component < most_component")
-        left = materialize(named.join(unsettled.select("key", "n"), "key"), "left")
+        left = materialize(named.join(unsettled.select("key", "n"), "key").select("key", "doc_id", "n"), "left")
         if left.isEmpty():
             return labels
         texts = materialize(texts.join(left.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
-        few, many = left.where(F.col("n") <= SETTLED), left.where(F.col("n") > SETTLED)
-        one = few.select("key", F.col("doc_id").alias("a"), F.col("component").alias("of"), F.col("family").alias("kin"))
-        tested = few.join(one, "key").where("a < doc_id AND component <> of AND family <> kin").select("a", F.col("doc_id").alias("b"))
-        more = compared(tested.distinct(), texts).where("linked").select("a", "b")
-        own = materialize(many.groupBy("doc_id").agg(F.min("key").alias("family"), F.min("component").alias("component")), "own")
-        links = more.union(within_families(own, texts))
-        if not links.isEmpty():
-            labels = _relabel(labels, links)
-        groups = many.select("key", "doc_id").join(own.select("doc_id", "family"), "doc_id")
+        many = left.where(F.col("n") > SETTLED)
+        own = materialize(many.groupBy("doc_id").agg(F.min("key").alias("family")), "own")
+        members = left.where(F.col("n") <= SETTLED).select(F.col("key").alias("family"), "doc_id").union(own.select("family", "doc_id"))
+        labels = connect_families(materialize(members.join(sizes, "doc_id"), "members"), texts, labels)
+        groups = many.select("key", "doc_id").join(own, "doc_id").select("key", "doc_id", "family")
 
 
 def join_similar(docs: DataFrame, text: str = "text") -> DataFrame:

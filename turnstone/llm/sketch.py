@@ -13,8 +13,10 @@ from turnstone.session import ship
 
 ROWS = 2
 SHARD_BITS = 20
-#: Cells of a row at most: a merged bit map then has 128 MB a row, whatever the corpus. Beyond, estimates only get coarser.
-MAX_WIDTH = 1 << 30
+#: Cells of a row at most: a merged bit map then has 64 MB a row and threshold, in the driver and in every Python worker.
+#: This is a bound on memory, to be raised with it; beyond it cells hold several hashes (load), estimates get coarser
+#: by about that many, and thresholds that are given as a function of the load rise with it.
+MAX_WIDTH = 1 << 29
 #: Hashes that a task holds before it writes them out.
 FLUSH = 1 << 20
 
@@ -26,7 +28,7 @@ def cells_of(hashes: np.ndarray, row: int, width: int) -> np.ndarray:
 
 
 def pack(cells: np.ndarray) -> bytes:
-    """Sorted cells as bytes of gaps; 255 adds to the gap that follows."""
+    """Sorted cells as bytes of gaps; 255 adds 255 to the gap that follows."""
     gaps = np.diff(cells, prepend=cells.dtype.type(0)).astype(np.int64)
     more, last = np.divmod(gaps, 255)
     ends = np.cumsum(more + 1) - 1
@@ -74,15 +76,19 @@ def _flush(held: list[np.ndarray], width: int, most: int) -> Iterator[pa.RecordB
 
 
 def build(
-    docs: DataFrame, text: str, hashes_of: Callable[[list[bytes | None]], np.ndarray], width: int, thresholds: Sequence[int]
+    docs: DataFrame, text: str, hashes_of: Callable[[list[bytes | None]], np.ndarray], width: int, thresholds: Callable[[float], Sequence[int]]
 ) -> CountMin:
-    """Count `hashes_of` every piece of texts. Thresholds are below 100.
+    """Count `hashes_of` every piece of texts.
 
+    thresholds: from the load, the hashes there are to a cell at the wanted width, 0 unless MAX_WIDTH cuts that.
     Each task packs its own sparse counts by shard (about a byte a hash and row); shards are merged apart from one
     another, in streams; the driver gets bit maps, of width / 8 bytes a row and threshold, which MAX_WIDTH bounds.
     """
-    width = int(min(MAX_WIDTH, max(1 << SHARD_BITS, width)))
-    most = max(thresholds)
+    wanted = max(1 << SHARD_BITS, width)
+    width = min(MAX_WIDTH, wanted)
+    levels = tuple(thresholds(wanted / width - 1))
+    most = max(levels)
+    kind = np.uint8 if most < 128 else np.uint32
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -102,12 +108,12 @@ def build(
         for batch in batches:
             for row, shard, payload in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 cells, times = np.unique(unpack(payload), return_counts=True)
-                mine = counts.setdefault((row, shard), np.zeros(1 << SHARD_BITS, np.uint8))
-                mine[cells] = np.minimum(mine[cells] + times, most)
+                mine = counts.setdefault((row, shard), np.zeros(1 << SHARD_BITS, kind))
+                mine[cells] = np.minimum(mine[cells].astype(np.int64) + times, most)
         for (row, shard), mine in counts.items():
-            maps = [np.packbits(mine >= t, bitorder="little").tobytes() for t in thresholds]
+            maps = [np.packbits(mine >= t, bitorder="little").tobytes() for t in levels]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([row] * len(maps), pa.int32()), pa.array([shard] * len(maps), pa.int32()), pa.array(list(thresholds), pa.int32()), pa.array(maps, pa.binary())],
+                [pa.array([row] * len(maps), pa.int32()), pa.array([shard] * len(maps), pa.int32()), pa.array(list(levels), pa.int32()), pa.array(maps, pa.binary())],
                 ["row", "shard", "threshold", "bits"],
             )
 
@@ -115,7 +121,9 @@ def build(
     counted = docs.select(text).mapInArrow(count, "row int, shard int, payload binary")
     merged = counted.repartition("row", "shard").mapInArrow(merge, "row int, shard int, threshold int, bits binary")
     size = 1 << (SHARD_BITS - 3)
-    maps = {(row, t): np.zeros((((width - 1) >> SHARD_BITS) + 1) * size, np.uint8) for row in range(ROWS) for t in thresholds}
-    for row, shard, threshold, bits in zip(*(c.to_pylist() for c in merged.toArrow().columns), strict=True):
-        maps[row, threshold][shard * size : (shard + 1) * size] = np.frombuffer(bits, np.uint8)
-    return CountMin(width, thresholds, maps)
+    maps = {(row, t): np.zeros((((width - 1) >> SHARD_BITS) + 1) * size, np.uint8) for row in range(ROWS) for t in levels}
+    for batch in merged.toArrow().to_batches():
+        for row, shard, threshold, bits in zip(*batch.columns, strict=True):
+            place = shard.as_py() * size
+            maps[row.as_py(), threshold.as_py()][place : place + size] = np.frombuffer(bits.as_buffer(), np.uint8)
+    return CountMin(width, levels, maps)

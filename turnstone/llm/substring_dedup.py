@@ -35,7 +35,7 @@ def _hashes(size: int):
 def repeated_windows(docs: DataFrame, size: int = WINDOW, text: str = "text") -> sketch.CountMin:
     """The prefilter: a sketch of all windows, as wide as the corpus asks for, up to the sketch's bound."""
     total = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
-    return sketch.build(docs, text, _hashes(size), int(total * CELLS_PER_BYTE), (2,))
+    return sketch.build(docs, text, _hashes(size), int(total * CELLS_PER_BYTE), lambda load: (2,))
 
 
 def first_places(docs: DataFrame, found, size: int = WINDOW) -> DataFrame:
