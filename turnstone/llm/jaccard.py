@@ -26,12 +26,13 @@ LOAD_ROOM = 4
 #: Sets up to this size are indexed by single tokens only; beyond, frequent tokens fall into about a quarter as many
 #: classes as a set has tokens, and pairs are made within a class.
 SMALL_SET = 63
-CELLS_PER_BYTE = 0.3
+#: Sketch cells a byte of text: about three a token. One row of them does: a token wrongly taken for repeated is a key without a partner.
+CELLS_PER_BYTE = 0.4
 #: Documents this alike to a pivot, in hundredths, are its family and are compared among themselves.
 KIN = 30
 #: Documents and tokens of a family in a block, about.
-BLOCK = 2048
-BLOCK_TOKENS = 2_000_000
+BLOCK = 512
+BLOCK_TOKENS = 1_000_000
 #: An unsettled group of at most so many documents is compared as it is; documents of larger ones are dealt out first.
 SETTLED = 128
 
@@ -140,7 +141,7 @@ def similar_pairs(left: list[np.ndarray], right: list[np.ndarray], columns: int
 def index_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, n_shingles, s1, s2 (the set's name), keys, and text where a document has keys."""
     total = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
-    made = sketch.build(docs, text, _tokens, int(total * CELLS_PER_BYTE), lambda load: (2, FREQUENT + 1 + int(LOAD_ROOM * load)))
+    made = sketch.build(docs, text, _tokens, int(total * CELLS_PER_BYTE), lambda load: (2, FREQUENT + 1 + int(LOAD_ROOM * load)), rows=1)
     counts = docs.sparkSession.sparkContext.broadcast(made)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,14 +11,13 @@ from pyspark.sql import DataFrame
 from turnstone.llm.arrow import pieces, raw
 from turnstone.session import ship
 
-ROWS = 2
 SHARD_BITS = 20
-#: Cells of a row at most: a merged bit map then has 64 MB a row and threshold, in the driver and in every Python worker.
+#: Cells of a row at most: a merged bit map then has 128 MB a row and threshold, in the driver and in every Python worker.
 #: This is a bound on memory, to be raised with it; beyond it cells hold several hashes (load), estimates get coarser
 #: by about that many, and thresholds that are given as a function of the load rise with it.
-MAX_WIDTH = 1 << 29
+MAX_WIDTH = 1 << 30
 #: Hashes that a task holds before it writes them out.
-FLUSH = 1 << 20
+FLUSH = 1 << 21
 
 
 def cells_of(hashes: np.ndarray, row: int, width: int) -> np.ndarray:
@@ -27,40 +26,41 @@ def cells_of(hashes: np.ndarray, row: int, width: int) -> np.ndarray:
     return (half * np.uint64(width)) >> np.uint64(32)
 
 
-def pack(cells: np.ndarray) -> bytes:
-    """Sorted cells as bytes of gaps; 255 adds 255 to the gap that follows."""
+def pack(cells: np.ndarray, unit: type = np.uint8) -> bytes:
+    """Sorted cells as units of gaps; the largest unit adds itself to the gap that follows."""
+    most = np.iinfo(unit).max
     gaps = np.diff(cells, prepend=cells.dtype.type(0)).astype(np.int64)
-    more, last = np.divmod(gaps, 255)
+    more, last = np.divmod(gaps, most)
     ends = np.cumsum(more + 1) - 1
-    out = np.full(int(ends[-1]) + 1, 255, np.uint8)
+    out = np.full(int(ends[-1]) + 1, most, unit)
     out[ends] = last
     return out.tobytes()
 
 
-def unpack(payload: bytes) -> np.ndarray:
-    gaps = np.frombuffer(payload, np.uint8)
-    return np.cumsum(gaps, dtype=np.int64)[gaps != 255]
+def unpack(payload: bytes, unit: type = np.uint8) -> np.ndarray:
+    gaps = np.frombuffer(payload, unit)
+    return np.cumsum(gaps, dtype=np.int64)[gaps != np.iinfo(unit).max]
 
 
 class CountMin:
     """Merged estimates. They are never too low; bit maps tell which cells have reached each threshold."""
 
-    def __init__(self, width: int, thresholds: Sequence[int], maps: dict[tuple[int, int], np.ndarray]):
-        self.width, self.thresholds, self.maps = width, tuple(thresholds), maps
+    def __init__(self, width: int, rows: int, thresholds: Sequence[int], maps: dict[tuple[int, int], np.ndarray]):
+        self.width, self.rows, self.thresholds, self.maps = width, rows, tuple(thresholds), maps
 
     def at_least(self, hashes: np.ndarray, threshold: int) -> np.ndarray:
         """Whether each hash may have been counted `threshold` times; False is certain."""
         found = np.ones(len(hashes), bool)
-        for row in range(ROWS):
+        for row in range(self.rows):
             cells = cells_of(hashes, row, self.width)
             bits = self.maps[row, threshold][cells >> np.uint64(3)]
             found &= (bits >> (cells & np.uint64(7)).astype(np.uint8)) & 1 == 1
         return found
 
 
-def _flush(held: list[np.ndarray], width: int, most: int) -> Iterator[pa.RecordBatch]:
+def _flush(held: list[np.ndarray], width: int, rows: int, most: int, unit: type) -> Iterator[pa.RecordBatch]:
     hashes = np.concatenate(held)
-    for row in range(ROWS):
+    for row in range(rows):
         cells = np.sort(cells_of(hashes, row, width))
         fresh = np.ones(len(cells), bool)
         fresh[most:] = cells[most:] != cells[:-most]
@@ -68,7 +68,7 @@ def _flush(held: list[np.ndarray], width: int, most: int) -> Iterator[pa.RecordB
         shards = np.arange(((width - 1) >> SHARD_BITS) + 2, dtype=np.uint64)
         at = np.searchsorted(cells, shards << np.uint64(SHARD_BITS))
         full = np.flatnonzero(at[1:] > at[:-1])
-        payloads = [pack(cells[at[s] : at[s + 1]] - (np.uint64(s) << np.uint64(SHARD_BITS))) for s in full]
+        payloads = [pack(cells[at[s] : at[s + 1]] - (np.uint64(s) << np.uint64(SHARD_BITS)), unit) for s in full]
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.full(len(full), row, np.int32)), pa.array(full.astype(np.int32)), pa.array(payloads, pa.binary())],
             ["row", "shard", "payload"],
@@ -76,12 +76,12 @@ def _flush(held: list[np.ndarray], width: int, most: int) -> Iterator[pa.RecordB
 
 
 def build(
-    docs: DataFrame, text: str, hashes_of: Callable[[list[bytes | None]], np.ndarray], width: int, thresholds: Callable[[float], Sequence[int]]
+    docs: DataFrame, text: str, hashes_of: Callable[[list[bytes | None]], np.ndarray], width: int, thresholds: Callable[[float], Sequence[int]], rows: int = 2
 ) -> CountMin:
     """Count `hashes_of` every piece of texts.
 
     thresholds: from the load, the hashes there are to a cell at the wanted width, 0 unless MAX_WIDTH cuts that.
-    Each task packs its own sparse counts by shard (about a byte a hash and row); shards are merged apart from one
+    Each task packs its own sparse counts by shard (a byte or two a hash and row); shards are merged apart from one
     another, in streams; the driver gets bit maps, of width / 8 bytes a row and threshold, which MAX_WIDTH bounds.
     """
     wanted = max(1 << SHARD_BITS, width)
@@ -89,6 +89,7 @@ def build(
     levels = tuple(thresholds(wanted / width - 1))
     most = max(levels)
     kind = np.uint8 if most < 128 else np.uint32
+    unit = np.uint8 if width < 256 * FLUSH else np.uint16
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -98,16 +99,16 @@ def build(
                 held.append(hashes_of(texts[begin:end]))
                 size += len(held[-1])
                 if size >= FLUSH:
-                    yield from _flush(held, width, most)
+                    yield from _flush(held, width, rows, most, unit)
                     held, size = [], 0
         if size:
-            yield from _flush(held, width, most)
+            yield from _flush(held, width, rows, most, unit)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
             for row, shard, payload in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                cells, times = np.unique(unpack(payload), return_counts=True)
+                cells, times = np.unique(unpack(payload, unit), return_counts=True)
                 mine = counts.setdefault((row, shard), np.zeros(1 << SHARD_BITS, kind))
                 mine[cells] = np.minimum(mine[cells].astype(np.int64) + times, most)
         for (row, shard), mine in counts.items():
@@ -121,9 +122,9 @@ def build(
     counted = docs.select(text).mapInArrow(count, "row int, shard int, payload binary")
     merged = counted.repartition("row", "shard").mapInArrow(merge, "row int, shard int, threshold int, bits binary")
     size = 1 << (SHARD_BITS - 3)
-    maps = {(row, t): np.zeros((((width - 1) >> SHARD_BITS) + 1) * size, np.uint8) for row in range(ROWS) for t in levels}
+    maps = {(row, t): np.zeros((((width - 1) >> SHARD_BITS) + 1) * size, np.uint8) for row in range(rows) for t in levels}
     for batch in merged.toArrow().to_batches():
         for row, shard, threshold, bits in zip(*batch.columns, strict=True):
             place = shard.as_py() * size
             maps[row.as_py(), threshold.as_py()][place : place + size] = np.frombuffer(bits.as_buffer(), np.uint8)
-    return CountMin(width, levels, maps)
+    return CountMin(width, rows, levels, maps)
