@@ -55,6 +55,37 @@ def test_substring_dedup(docs, empty):
     assert clash.schema["n_words"].dataType.simpleString() == "bigint" and "more" in clash.columns
 
 
+def brute_removed(rows, size=20):
+    """(key, text) rows in order -> words that stay, by the rule word for word; rows of one key and text share places."""
+    first = {}
+    for key, t in rows:
+        w = (t or "").split()
+        for a in range(len(w) - size + 1):
+            first.setdefault(tuple(w[a : a + size]), (key, a))
+    out = []
+    for key, t in rows:
+        w = (t or "").split()
+        gone = {i for a in range(len(w) - size + 1) if first[tuple(w[a : a + size])] != (key, a) for i in range(a, a + size)}
+        out.append(" ".join(x for i, x in enumerate(w) if i not in gone))
+    return out
+
+
+def test_substring_dedup_odd_rows(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "CHUNK_BYTES", 4000)  # many chunks
+    monkeypatch.setattr(substring_dedup, "SHARD_CELLS", 64)  # a narrow sketch: many false repeats
+    rng = random.Random(8)
+    passage = " ".join(f"p{i}" for i in range(45))
+    rows = [(i, " ".join(f"u{rng.randrange(3000)}" for _ in range(60)) + " " + passage + f" end{i}") for i in range(120)]
+    rows += [(200, "ha " * 70), (201, "ha " * 70), (202, None), (203, ""), (204, " ".join(f"v{k % 977}" for k in range(60_000)))]
+    rows += [(205, passage), (205, passage)]
+    nulls = [(None, "only once " * 3), (None, passage + " tail")]
+    table = spark.createDataFrame([(k, t, "own", 1, "x") for k, t in rows + nulls], "doc_id long, text string, n_words string, __id int, __text string")
+    found = substring_dedup.remove_repeats(table)
+    assert found.columns == ["doc_id", "text", "__id", "__text", "n_words", "n_removed", "kept_text"]
+    expected = sorted(zip([str(k) for k, _ in nulls + rows], brute_removed([(-1 - i, t) for i, (_, t) in enumerate(nulls)] + rows), strict=True))
+    assert sorted((str(r.doc_id), r.kept_text) for r in found.collect()) == expected
+
+
 def test_sketch_never_too_low(docs):
     hashes = lambda texts: hashing.word_hashes(hashing.split_words(texts))
     found = sketch.build(docs, "text", hashes, 1 << 20, lambda load: (2, 33))

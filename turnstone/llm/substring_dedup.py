@@ -2,83 +2,238 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute  # noqa: F401
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from turnstone.llm import sketch
-from turnstone.llm.arrow import pieces, raw
-from turnstone.llm.hashing import split_words, window_hashes, word_hashes
+from turnstone.llm.arrow import raw
+from turnstone.llm.hashing import U, mix, split_words, window_hashes, word_hashes
+from turnstone.llm.sketch import pack, unpack
 from turnstone.session import ship
 
 WINDOW = 20
-#: Sketch cells a byte of text: about three a window, as words take some six bytes.
-CELLS_PER_BYTE = 0.5
+#: Words of the grams among which each window has its anchor, the one of least hash.
+GRAM = 6
+#: Documents are dealt into chunks of about so many bytes of text; beyond MAX_CHUNKS of them chunks grow.
+CHUNK_BYTES = 4 << 20
+MAX_CHUNKS = 2_000_000
+#: The sketch: rows, cells of each a byte of text (about four an anchor, and no bound), and cells of a shard; beyond
+#: MAX_SHARDS of them shards grow.
+ROWS = 2
+CELLS_PER_BYTE = 0.08
+SHARD_CELLS = 1 << 24
+MAX_SHARDS = 65_536
 #: Bits of a packed place that hold the start; a text has at most half as many words as bytes, and one more.
 PLACE_BITS = 26
-_FIRST_ID = -(1 << 63)
+_NULL_IDS = -(1 << 62)
+_SALTS = [U(0x9E3779B97F4A7C15), U(0xD1B54A32D192ED03)]
+_LAST = U(2**64 - 1)
 
 
-def _hashes(size: int):
-    def first_hashes(texts: list[bytes | None]) -> np.ndarray:
-        words = split_words(texts)
-        return window_hashes(word_hashes(words), words.bounds, size)[1]
+def _sliding(pick, values: np.ndarray, size: int) -> np.ndarray:
+    """pick (minimum or maximum) over values[i : i + size], for every i; the last places see what is there."""
+    out, span = values, 1
+    while span < size:
+        step = min(span, size - span)
+        wider = out.copy()
+        pick(out[:-step], out[step:], out=wider[:-step])
+        out, span = wider, span + step
+    return out
 
-    return first_hashes
 
+class Anchors:
+    """The anchors of all windows of some texts.
 
-def repeated_windows(docs: DataFrame, size: int = WINDOW, text: str = "text") -> sketch.CountMin:
-    """The prefilter: a sketch of all windows, as wide as the corpus asks for, up to the sketch's bound."""
-    total = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
-    return sketch.build(docs, text, _hashes(size), int(total * CELLS_PER_BYTE), lambda load: (2,))
+    A window's anchor is the gram of least hash inside it. Equal windows have equal anchors, at the same distance
+    from their starts, so windows that start at several places have as many anchors: the count of a window's anchor is never
+    below the window's own. One word in eight or so starts an anchor, so it is anchors that are sketched.
+    """
 
+    def __init__(self, texts: list[bytes | None], size: int):
+        self.words = split_words(texts)
+        self.size, gram = size, min(GRAM, size)
+        self.span = size - gram + 1
+        self.hashes = word_hashes(self.words)
+        bounds, n = self.words.bounds, len(self.hashes)
+        at, grams = window_hashes(self.hashes, bounds, gram)
+        self.grams = np.full(n, _LAST, U)
+        self.grams[at] = grams & ~U(1)
+        self.starts, self.names = window_hashes(self.hashes, bounds, size)
+        least = np.zeros(n + self.span - 1, U)
+        least[self.starts + self.span - 1] = _sliding(np.minimum, self.grams, self.span)[self.starts]
+        self.places = np.flatnonzero((_sliding(np.maximum, least, self.span)[:n] == self.grams) & (self.grams != 0))
 
-def first_places(docs: DataFrame, found, size: int = WINDOW) -> DataFrame:
-    """doc_id and `firsts`: where windows that the sketch takes for repeated start for the first time.
+    def cells(self, row: int, width: int) -> np.ndarray:
+        return mix(self.grams[self.places] + _SALTS[row]) % U(width)
 
-    docs: doc_id, text. A window is named by 96 bits of hash; its first place is a minimum, so occurrences are
-    brought together by partial aggregation, however many there are. A place is one number where ids and lengths
-    allow, which keeps the shuffle small, or else a pair. Each first is its start and 32 bits of hash.
-    """
+    def likely(self, hot: np.ndarray) -> np.ndarray:
+        """Which windows have an anchor that is hot; hot goes with places."""
+        marked = self.grams.copy()
+        marked[self.places[hot]] |= U(1)
+        return np.flatnonzero(_sliding(np.minimum, marked, self.span)[self.starts] & U(1))
+
+
+class Layout:
+    """How the corpus is dealt into chunks, and the sketch into shards, both in proportion to its bytes."""
+
+    def __init__(self, total: int):
+        self.chunks = max(1, min(MAX_CHUNKS, -(-total // CHUNK_BYTES)))
+        self.width = max(SHARD_CELLS, int(total * CELLS_PER_BYTE))
+        self.shard = max(SHARD_CELLS, -(-self.width // MAX_SHARDS))
+        gap = self.width / max(1.0, total * CELLS_PER_BYTE / 4 / self.chunks)
+        self.unit = np.uint8 if gap < 100 else np.uint16 if gap < 20_000 else np.uint32
+
+    def cuts(self, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The shards that sorted cells fall into, and where each one's begin (one more entry)."""
+        every = np.arange(-(-self.width // self.shard) + 1, dtype=U) * U(self.shard)
+        at = np.searchsorted(cells, every)
+        full = np.flatnonzero(at[1:] > at[:-1])
+        return full, np.concatenate((at[full], at[-1:]))
+
+
+def _ordered(table: pa.Table) -> tuple[pa.Table, list[bytes | None]]:
+    """A chunk's documents in an order that doesn't depend on how they came, and their texts."""
+    table = table.sort_by([("key", "ascending"), ("text", "ascending")]).combine_chunks()
+    return table, raw(table["text"])
+
+
+def _chunk_sketch(layout: Layout, size: int):
+    """A chunk's part of the sketch: its anchors' cells, sorted and packed, by row and shard."""
+
+    def ask(table: pa.Table) -> pa.Table:
+        chunk = table["chunk"][0].as_py()
+        found = Anchors(_ordered(table)[1], size)
+        out = []
+        for row in range(ROWS):
+            cells = np.sort(found.cells(row, layout.width))
+            full, at = layout.cuts(cells)
+            out += [{"chunk": chunk, "row": row, "shard": s, "payload": pack(cells[a:b] - U(int(s) * layout.shard), layout.unit)} for s, a, b in zip(full.tolist(), at[:-1], at[1:], strict=True)]
+        return pa.Table.from_pylist(out, pa.schema([("chunk", pa.int64()), ("row", pa.int32()), ("shard", pa.int32()), ("payload", pa.binary())]))
+
+    return ask
+
+
+def _shard_answers(layout: Layout):
+    """Merges a shard: adds up all chunks' cells, and tells each chunk, a bit a cell, which have reached two."""
+
+    def answer(table: pa.Table) -> pa.Table:
+        counts = np.zeros(layout.shard, np.uint8)
+        asked = [unpack(p.as_buffer(), layout.unit) for p in table["payload"]]
+        for cells in asked:
+            own, times = np.unique(cells, return_counts=True)
+            counts[own] = np.minimum(counts[own] + times, 2)
+        bits = pa.array([np.packbits(counts[cells] > 1).tobytes() for cells in asked], pa.binary())
+        return pa.table({"chunk": table["chunk"], "row": table["row"], "shard": table["shard"], "bits": bits})
+
+    return answer
 
-    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            texts = raw(batch.column(1))
-            for begin, end in pieces(texts):
-                words = split_words(texts[begin:end])
-                starts, a = window_hashes(word_hashes(words), words.bounds, size)
-                likely = np.flatnonzero(found.value.at_least(a, 2))
-                if not len(likely):
-                    continue
-                again, b = window_hashes(word_hashes(words, 1), words.bounds, size, 1)
-                doc = np.searchsorted(words.bounds, starts[likely], side="right") - 1
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(a[likely].view(np.int64)),
-                        pa.array((b[likely] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
-                        pa.array(ids[begin:end][doc]),
-                        pa.array((starts[likely] - words.bounds[doc]).astype(np.int32)),
-                    ],
-                    ["a", "b", "doc_id", "start"],
-                )
-
-    rows = docs.mapInArrow(occurrences, "a long, b int, doc_id long, start int")
-    low, high, longest = docs.agg(F.min("doc_id"), F.max("doc_id"), F.max(F.octet_length("text"))).first()
+
+def _hot(found: Anchors, layout: Layout, side: pa.Table) -> np.ndarray:
+    """Which anchors of a chunk are repeated by every row of the sketch."""
+    answers = {(row, shard): bits.as_buffer() for row, shard, bits in zip(side["row"].to_pylist(), side["shard"].to_pylist(), side["bits"], strict=True) if row is not None}
+    hot = np.ones(len(found.places), bool)
+    for row in range(ROWS):
+        cells = found.cells(row, layout.width)
+        order = np.argsort(cells, kind="stable")
+        full, at = layout.cuts(cells[order])
+        bits = [np.unpackbits(np.frombuffer(answers[row, s], np.uint8), count=int(b - a)) for s, a, b in zip(full.tolist(), at[:-1], at[1:], strict=True)]
+        if bits:
+            hot[order] &= np.concatenate(bits).astype(bool)
+    return hot
+
+
+def _occurrences(layout: Layout, size: int):
+    """The windows of a chunk that are estimated repeated: 96 bits of hash, document and start."""
+    names = pa.schema([("a", pa.int64()), ("b", pa.int32()), ("key", pa.int64()), ("start", pa.int32())])
+
+    def emit(docs: pa.Table, side: pa.Table) -> pa.Table:
+        if not docs.num_rows or not side.num_rows:
+            return names.empty_table()
+        docs, texts = _ordered(docs)
+        found = Anchors(texts, size)
+        likely = found.likely(_hot(found, layout, side))
+        other = window_hashes(word_hashes(found.words, 1), found.words.bounds, size, 1)[1]
+        doc = np.searchsorted(found.words.bounds, found.starts[likely], side="right") - 1
+        return pa.Table.from_arrays(
+            [
+                pa.array(found.names[likely].view(np.int64)),
+                pa.array((other[likely] >> U(32)).astype(np.uint32).view(np.int32)),
+                pa.array(docs["key"].to_numpy()[doc]),
+                pa.array((found.starts[likely] - found.words.bounds[doc]).astype(np.int32)),
+            ],
+            schema=names,
+        )
+
+    return emit
+
+
+def _remove(layout: Layout, size: int, names: pa.Schema):
+    """A chunk's documents without the words of windows that are estimated repeated and are not the first of theirs."""
+
+    def remove(docs: pa.Table, side: pa.Table) -> pa.Table:
+        if not docs.num_rows:
+            return names.empty_table()
+        docs, texts = _ordered(docs)
+        found = Anchors(texts, size)
+        gone = np.zeros(len(found.hashes) + 1, np.int32)
+        bounds = found.words.bounds
+        if len(found.places):
+            likely = found.likely(_hot(found, layout, side))
+            starts, low = found.starts[likely], (found.names[likely] & U(0xFFFFFFFF)).astype(np.int64)
+            doc = np.searchsorted(bounds, starts, side="right") - 1
+            firsts = side.filter(pa.compute.is_valid(side["key"]))
+            # a first place: the document, numbered within the chunk, then its start and 32 bits of the window's hash
+            keys = docs["key"].to_numpy()
+            known, number = np.unique(keys, return_inverse=True)
+            owner = np.searchsorted(known, firsts["key"].to_numpy())
+            marks = np.stack((owner, firsts["mark"].to_numpy()), 1)
+            mine = np.stack((number[doc], ((starts - bounds[doc]) << 32) | low), 1)
+            _, at = np.unique(np.concatenate((marks, mine)), axis=0, return_inverse=True)
+            first = np.zeros(len(marks) + len(mine), bool)
+            first[at[: len(marks)]] = True
+            later = starts[~first[at[len(marks) :]]]
+            gone[later] += 1
+            np.subtract.at(gone, later + size, 1)
+        stays = np.cumsum(gone[:-1]) == 0
+        kept = []
+        for text, a, b in zip(texts, bounds[:-1], bounds[1:], strict=True):
+            tokens = (text or b"").split()
+            kept.append(b" ".join(tokens if stays[a:b].all() else compress(tokens, stays[a:b])))
+        sums = np.concatenate(([0], np.cumsum(~stays)))
+        made = [pa.array(np.diff(bounds), pa.int64()), pa.array(sums[bounds[1:]] - sums[bounds[:-1]], pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
+        return pa.Table.from_arrays([docs[names.names[0]], *made], schema=names)
+
+    return remove
+
+
+def _first_places(rows: DataFrame, low: int | None, high: int | None, longest: int | None) -> DataFrame:
+    """key and mark (start, and 32 bits of hash) of where each window starts for the first time.
+
+    rows: a, b, key, start. A window's first place is a minimum, so occurrences are brought together by partial
+    aggregation, however many there are. A place is one number where ids and lengths allow, which keeps the shuffle
+    small, or else a pair.
+    """
     if low is not None and low >= 0 and high < 1 << (63 - PLACE_BITS) and (longest or 0) < 2 << PLACE_BITS:
-        place = F.shiftleft("doc_id", PLACE_BITS).bitwiseOR(F.col("start").cast("long"))
+        place = F.shiftleft("key", PLACE_BITS).bitwiseOR(F.col("start").cast("long"))
         packed = rows.select("a", "b", place.alias("place")).groupBy("a", "b").agg(F.min("place").alias("place"))
-        split = F.struct(F.shiftright("place", PLACE_BITS).alias("doc_id"), F.col("place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int").alias("start"))
-        first = packed.select("a", split.alias("first"))
+        start = F.col("place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+        first = packed.select("a", F.shiftright("place", PLACE_BITS).alias("key"), start.alias("start"))
     else:
-        first = rows.groupBy("a", "b").agg(F.min(F.struct("doc_id", "start")).alias("first"))
-    mark = F.shiftleft(F.col("first.start").cast("long"), 32).bitwiseOR(F.col("a").bitwiseAND(F.lit(0xFFFFFFFF)))
-    return first.select("first.doc_id", mark.alias("mark")).groupBy("doc_id").agg(F.collect_list("mark").alias("firsts"))
+        first = rows.groupBy("a", "b").agg(F.min(F.struct("key", "start")).alias("first")).select("a", "first.key", "first.start")
+    mark = F.shiftleft(F.col("start").cast("long"), 32).bitwiseOR(F.col("a").bitwiseAND(F.lit(0xFFFFFFFF)))
+    return first.select("key", mark.alias("mark"))
+
+
+def _document_key() -> Column:
+    """doc_id; rows without one have keys below all ids, by a hash of their text."""
+    hidden = F.lit(_NULL_IDS) - F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1))
+    return F.coalesce(F.col("doc_id").cast("long"), hidden)
 
 
 def remove_repeats(docs: DataFrame, size: int = WINDOW, keep: list[str] | None = None) -> DataFrame:
@@ -88,64 +243,44 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, keep: list[str] | None =
     earlier is a smaller doc_id, or the same and a smaller start. Windows are judged on the input. kept_text has
     the other words, joined by one space.
 
-    First pass: tasks count windows in count-min sketches, merged by shard. Second pass: exact grouping, by 96
-    bits of hash, of the windows estimated repeated; estimates are never too low, so none is lost, and windows
-    wrongly taken along are seen to be their own first. Third pass: each document learns its own first places and
-    drops what other windows cover. Texts are shuffled once, in the join of the third pass.
+    Documents are dealt into chunks by a hash of their id, once; all passes read the same exchange. First pass: each
+    chunk counts its windows' anchors in a count-min sketch; the chunks' sketches are merged by shard, and the shard
+    answers each chunk with a bit an anchor: estimated repeated or not. The sketch is as wide as the corpus asks for and
+    no task holds more than a shard. Second pass: exact grouping, by 96 bits of hash, of the windows estimated repeated;
+    estimates are never too low, so none is lost, and windows wrongly taken along are seen to be their own first. Third
+    pass: a chunk learns its own first places and drops what its other windows cover.
 
-    A null text has no words and an empty kept_text; texts under `size` words stay whole; rows that repeat a
-    doc_id share its places, so equal rows keep the same words; a null doc_id comes before all others; an empty
-    table gives no rows; columns named like a result are replaced.
+    A null text has no words and an empty kept_text; texts under `size` words stay whole; texts of any length are
+    whole; rows that repeat a doc_id share its places, so equal rows keep the same words; null doc_ids come before all
+    others (ids are above -2 ** 62), in the order of a hash of their text; an empty table gives no rows; columns named
+    like a result are replaced.
     """
-    spark = docs.sparkSession
-    ship(spark)
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST_ID))
-    keyed = docs.select(key.alias("doc_id"), "text")
-    found = spark.sparkContext.broadcast(repeated_windows(keyed, size))
+    ship(docs.sparkSession)
     fields = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())]
     new = {f.name for f in fields}
     kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
-    firsts = first_places(keyed, found, size).withColumnsRenamed({"doc_id": "__id", "firsts": "__firsts"})
-    sent = docs.select(*[F.col(f"`{c}`") for c in kept], F.col("text").alias("__text"), key.alias("__id"))
-    joined = sent.join(firsts, "__id", "left").select(*[F.col(f"`{c}`") for c in kept], "__text", "__firsts")
-    n_kept = len(kept)
-
-    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = raw(batch.column(n_kept))
-            marks = batch.column(n_kept + 1)
-            flat = marks.flatten().to_numpy(zero_copy_only=False)
-            sizes = np.array([x or 0 for x in marks.value_lengths().to_pylist()], np.int64)
-            at = np.concatenate(([0], np.cumsum(sizes)))
-            for begin, end in pieces(texts):
-                out: list[list] = [[], [], []]
-                words = split_words(texts[begin:end])
-                starts, a = window_hashes(word_hashes(words), words.bounds, size)
-                likely = np.flatnonzero(found.value.at_least(a, 2))
-                starts, low = starts[likely], (a[likely] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-                cuts = np.searchsorted(starts, words.bounds)
-                for i in range(end - begin):
-                    first, last = words.bounds[i], words.bounds[i + 1]
-                    mine = starts[cuts[i] : cuts[i + 1]] - first
-                    if len(mine):
-                        own = flat[at[begin + i] : at[begin + i + 1]]
-                        mine = mine[~np.isin((mine << 32) | low[cuts[i] : cuts[i + 1]], own)]
-                    tokens = (texts[begin + i] or b"").split()
-                    out[0].append(int(last - first))
-                    if len(mine):
-                        step = np.zeros(last - first + 1, np.int32)
-                        step[mine] += 1
-                        step[mine + size] -= 1
-                        stays = np.cumsum(step[:-1]) == 0
-                        tokens = list(compress(tokens, stays))
-                    out[1].append(int(last - first) - len(tokens))
-                    out[2].append(b" ".join(tokens))
-                columns = [batch.column(i).slice(begin, end - begin) for i in range(n_kept)]
-                columns += [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary()).cast(pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, [*kept, *(f.name for f in fields)])
-
-    schema = T.StructType([docs.schema[c] for c in kept] + fields)
-    return joined.mapInArrow(remove, schema)
+    keyed = docs.select(_document_key().alias("key"), "text")
+    total, low, high, longest = keyed.agg(F.sum(F.octet_length("text")), F.min("key"), F.max("key"), F.max(F.octet_length("text"))).first()
+    layout = Layout(total or 0)
+    chunk = F.pmod(F.xxhash64("key"), F.lit(layout.chunks)).alias("chunk")
+    dealt = keyed.select(chunk, "key", "text")
+    asked = dealt.groupBy("chunk").applyInArrow(_chunk_sketch(layout, size), "chunk long, row int, shard int, payload binary")
+    answers = asked.groupBy("row", "shard").applyInArrow(_shard_answers(layout), "chunk long, row int, shard int, bits binary")
+    rows = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_occurrences(layout, size), "a long, b int, key long, start int")
+    firsts = _first_places(rows, low, high, longest).select(chunk, "key", "mark")
+    side = answers.unionByName(firsts, allowMissingColumns=True)
+    if kept in ([], ["doc_id"]):  # all that is needed is in the key, and the exchange of the first passes serves again
+        sent, first = dealt, T.StructField("key", T.LongType())
+        given = [F.when(F.col("key") > _NULL_IDS, F.col("key")).cast(docs.schema["doc_id"].dataType).alias("doc_id")] if kept else []
+    else:
+        own = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("own")
+        whole = docs.select(_document_key().alias("key"), "text", own)
+        sent, first = whole.select(chunk, "key", "text", "own"), whole.schema["own"]
+        given = [F.col(f"own.`{c}`") for c in kept]
+    schema = T.StructType([first, *fields])
+    names = pa.schema([pa.field(first.name, to_arrow_type(first.dataType)), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())])
+    out = sent.groupBy("chunk").cogroup(side.groupBy("chunk")).applyInArrow(_remove(layout, size, names), schema)
+    return out.select(*given, *[f.name for f in fields])
 
 
 def report(docs: DataFrame) -> DataFrame:
