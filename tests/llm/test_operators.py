@@ -159,17 +159,30 @@ def test_token_counts(spark, empty):
     assert token_counts.count_tokens(empty, tokenizer_path()).count() == 0
 
 
-def test_chat(spark):
+def test_chat(spark, tmp_path):
     rows = [(1, 0, "user", "a"), (2, 0, "user", "a"), (2, 1, "assistant", "b"), (3, 0, "user", "a"), (3, 1, "assistant", "b"), (4, 0, "user", "c"), (4, 0, "user", "c"), (None, 0, "user", "z"), (5, None, None, None)]
     table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     got = {r.conv_id: r.n_turns for r in chat.collapse_and_render(table).collect()}
     assert got == {2: 2, 4: 2, 5: 1}
-    long = spark.range(1300).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.col("id").cast("string").alias("text"))
-    parts = chat.collapse_and_render(long.union(long.where("turn < 900").withColumn("conv_id", F.lit(2).cast("long")))).orderBy("part").collect()
-    assert [(r.conv_id, r.part, r.n_part_turns) for r in parts] == [(1, 0, 512), (1, 1, 512), (1, 2, 276)]
     assert chat.collapse_and_render(table.limit(0)).count() == 0
 
 
+def test_chat_against_sql(spark, tmp_path):
+    import duckdb
+
+    rng = random.Random(6)
+    rows = [(6, i, "user", str(i)) for i in range(1300)] + [(7, i, "user", str(i)) for i in range(900)]  # a long one and its snapshot
+    rows += [(8, 3, rng.choice("uv"), rng.choice("xyz")) for _ in range(700)] + [(9, None, None, "long " * 200_000)]  # one turn number
+    for c in range(20, 120):
+        rows += [(c, i // 2, rng.choice(["user", None]), rng.choice(["p", "q"])) for i in range(rng.randrange(1, 5))]
+    rows += rows[-6:]
+    table = spark.createDataFrame([(*r, 1, "own") for r in rows], "conv_id long, turn long, role string, text string, k int, chat string")
+    table.write.parquet(str(tmp_path / "c"))
+    expected = duckdb.sql(chat.ORACLE_SQL.replace("FROM conversations", f"FROM '{tmp_path}/c/*.parquet'")).fetchall()
+    got = [tuple(r) for r in chat.collapse_and_render(table).select("conv_id", "n_turns", "chat").collect()]
+    assert sorted(got) == sorted(expected) and {6, 8, 9} <= {r[0] for r in got} and 7 not in {r[0] for r in got}
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(2)
     base = rng.normal(size=(40, 16))

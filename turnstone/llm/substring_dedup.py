@@ -21,7 +21,7 @@ WINDOW = 20
 #: Words of the grams among which each window has its anchor, the one of least hash.
 GRAM = 6
 #: Documents are dealt into chunks of about so many bytes of text; beyond MAX_CHUNKS of them chunks grow.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 MAX_CHUNKS = 2_000_000
 #: The sketch: rows, cells of each a byte of text (about four an anchor, and no bound), and cells of a shard; beyond
 #: MAX_SHARDS of them shards grow.
@@ -64,11 +64,17 @@ class Anchors:
         at, grams = window_hashes(self.hashes, bounds, gram)
         self.grams = np.full(n, _LAST, U)
         self.grams[at] = grams & ~U(1)
-        self.starts, self.names = window_hashes(self.hashes, bounds, size)
+        text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        self.starts = np.flatnonzero(text[: n - size + 1] == text[size - 1 :]) if n >= size else np.zeros(0, np.int64)
         least = np.zeros(n + self.span - 1, U)
         least[self.starts + self.span - 1] = _sliding(np.minimum, self.grams, self.span)[self.starts]
         self.places = np.flatnonzero((_sliding(np.maximum, least, self.span)[:n] == self.grams) & (self.grams != 0))
 
+    def names(self, which: int = 0) -> np.ndarray:
+        """The hashes of the windows themselves."""
+        words = self.hashes if not which else word_hashes(self.words, which)
+        return window_hashes(words, self.words.bounds, self.size, which)[1]
+
     def cells(self, row: int, width: int) -> np.ndarray:
         return mix(self.grams[self.places] + _SALTS[row]) % U(width)
 
@@ -158,12 +164,13 @@ def _occurrences(layout: Layout, size: int):
         docs, texts = _ordered(docs)
         found = Anchors(texts, size)
         likely = found.likely(_hot(found, layout, side))
-        other = window_hashes(word_hashes(found.words, 1), found.words.bounds, size, 1)[1]
+        if not len(likely):
+            return names.empty_table()
         doc = np.searchsorted(found.words.bounds, found.starts[likely], side="right") - 1
         return pa.Table.from_arrays(
             [
-                pa.array(found.names[likely].view(np.int64)),
-                pa.array((other[likely] >> U(32)).astype(np.uint32).view(np.int32)),
+                pa.array(found.names()[likely].view(np.int64)),
+                pa.array((found.names(1)[likely] >> U(32)).astype(np.uint32).view(np.int32)),
                 pa.array(docs["key"].to_numpy()[doc]),
                 pa.array((found.starts[likely] - found.words.bounds[doc]).astype(np.int32)),
             ],
@@ -185,7 +192,7 @@ def _remove(layout: Layout, size: int, names: pa.Schema):
         bounds = found.words.bounds
         if len(found.places):
             likely = found.likely(_hot(found, layout, side))
-            starts, low = found.starts[likely], (found.names[likely] & U(0xFFFFFFFF)).astype(np.int64)
+            starts, low = found.starts[likely], (found.names()[likely] & U(0xFFFFFFFF)).astype(np.int64)
             doc = np.searchsorted(bounds, starts, side="right") - 1
             firsts = side.filter(pa.compute.is_valid(side["key"]))
             # a first place: the document, numbered within the chunk, then its start and 32 bits of the window's hash
