@@ -4,110 +4,61 @@ DataFrame operations only."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Turns in a block: no task and no row ever gathers more turns of one conversation than this.
-BLOCK_TURNS = 512
-
-
-def _turn_hash(seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), F.coalesce("role", F.lit("")), F.coalesce("text", F.lit("")))
-
-
-def _turns(conversations: DataFrame) -> DataFrame:
-    """Turns with their block and their content's two hashes; rows without a conversation are left out."""
-    return conversations.where(F.col("conv_id").isNotNull()).select(
-        "conv_id",
-        F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(-(1 << 40))).alias("block"),
-        "turn",
-        F.coalesce("role", F.lit("")).alias("role"),
-        F.coalesce("text", F.lit("")).alias("text"),
-        _turn_hash(1).alias("a"),
-        _turn_hash(2).alias("b"),
-    )
-
 
 def prefixes(conversations: DataFrame) -> DataFrame:
-    """Every turn-prefix of every conversation: conv_id, k (turns), a, b (rolling hashes) and n (all its turns).
+    """Every turn of every conversation with the turn-prefix it ends: conv_id, k (turns so far), n (all turns), role,
+    text, a, b (rolling hashes of the prefix).
 
     A prefix's hash is the running XOR of its turns' hashes, each keyed by the turn's place, so it names the
-    sequence. Places and running values are made within blocks of BLOCK_TURNS turns and carried over from the
-    blocks before, so that a conversation of any length is split over tasks.
+    sequence. Texts are shuffled by conversation here, once; what is made from this reads the same exchange.
     """
-    turns = _turns(conversations).drop("role", "text")
-    in_block = Window.partitionBy("conv_id", "block").orderBy("turn", "a", "b")
-    placed = turns.withColumn("i", F.row_number().over(in_block))
-    sizes = turns.groupBy("conv_id", "block").agg(F.count(F.lit(1)).alias("size"))
-    earlier = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("conv_id")
-    sizes = sizes.select(
-        "conv_id",
-        "block",
-        F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"),
-        F.sum("size").over(whole).alias("n"),
-    )
-    keyed = placed.join(sizes, ["conv_id", "block"]).select(
-        "conv_id", "block", "n", (F.col("before") + F.col("i")).alias("k"), *[F.xxhash64(F.col("before") + F.col("i"), c).alias(c) for c in "ab"]
-    )
-    running = Window.partitionBy("conv_id", "block").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    rolled = keyed.select("conv_id", "block", "n", "k", *[F.bit_xor(c).over(running).alias(c) for c in "ab"])
-    blocks = keyed.groupBy("conv_id", "block").agg(*[F.bit_xor(c).alias(c) for c in "ab"])
-    carry = blocks.select(
-        "conv_id", "block", *[F.coalesce(F.bit_xor(c).over(earlier), F.lit(0)).alias(f"carry_{c}") for c in "ab"]
-    )
-    return rolled.join(carry, ["conv_id", "block"]).select(
-        "conv_id", "k", *[F.col(c).bitwiseXOR(F.col(f"carry_{c}")).alias(c) for c in "ab"], "n"
+    turns = conversations.where(F.col("conv_id").isNotNull()).select(
+        "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    placed = turns.withColumn("k", F.row_number().over(order)).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("conv_id")))
+    rolled = [F.bit_xor(F.xxhash64(F.lit(seed), "k", "role", "text")).over(so_far).alias(c) for seed, c in ((1, "a"), (2, "b"))]
+    return placed.select("conv_id", "k", "n", "role", "text", *rolled)
 
 
-def maximal(conversations: DataFrame) -> DataFrame:
-    """conv_id and n_turns of the conversations that are no proper prefix of another; of equal ones the smallest id."""
-    found = prefixes(conversations)
-    full = found.where("k = n").groupBy("k", "a", "b").agg(F.min("conv_id").alias("conv_id"))
-    inner = found.where("k < n").groupBy("k", "a", "b").agg(F.count(F.lit(1)).alias("longer"))
-    return full.join(inner, ["k", "a", "b"], "left_anti").select("conv_id", F.col("k").alias("n_turns"))
+def maximal(found: DataFrame) -> DataFrame:
+    """conv_id of the conversations (of prefixes) that are no proper prefix of another; of equal ones the smallest id."""
+    name = ["k", "a", "b"]
+    full = found.where("k = n").groupBy(*name).agg(F.min("conv_id").alias("conv_id"))
+    inner = found.where("k < n").select(*name).distinct()
+    return full.join(inner, name, "left_anti").select("conv_id")
 
 
-def render(conversations: DataFrame) -> DataFrame:
-    """conv_id, part, n_part_turns and chat: each block of a conversation's turns as one text in the chat template."""
-    turns = _turns(conversations)
-    text = F.transform(
-        F.array_sort(F.collect_list(F.struct("turn", "a", "b", "role", "text"))),
-        lambda t: F.concat(F.lit("<|im_start|>"), t["role"], F.lit("\n"), t["text"], F.lit("<|im_end|>\n")),
-    )
-    return turns.groupBy("conv_id", "block").agg(
-        F.count(F.lit(1)).alias("n_part_turns"), F.array_join(text, "").alias("chat")
-    )
+def render(found: DataFrame) -> DataFrame:
+    """conv_id, n_turns and chat: each conversation's turns (of prefixes) as one text in the chat template."""
+    turn = F.concat(F.lit("<|im_start|>"), F.col("role"), F.lit("\n"), F.col("text"), F.lit("<|im_end|>\n"))
+    listed = F.array_sort(F.collect_list(F.struct("k", turn.alias("turn"))))
+    return found.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_turns"), F.array_join(F.transform(listed, lambda t: t["turn"]), "").alias("chat"))
 
 
 def collapse_and_render(conversations: DataFrame) -> DataFrame:
-    """Maximal conversations in the chat template: conv_id, part, n_turns, n_part_turns, chat.
+    """Maximal conversations in the chat template, one row each: conv_id, n_turns, chat.
 
     A conversation whose turns (role and text, in order) begin another, longer one is a snapshot of it and goes;
-    of conversations equal throughout, the smallest conv_id stays. Turns are ordered by turn, then by content.
-    A conversation of more than BLOCK_TURNS turn numbers comes in parts, 0 first, to be read one after another.
+    of conversations equal throughout, the smallest conv_id stays. Only those that stay are rendered. Turns are
+    ordered by turn, then by content. A conversation is a row of the result, so one task holds its turns: any number of
+    them, up to what a row can hold. Equal conversations, prefixes and turns are aggregated partially, however many.
 
     Rows with a null conv_id are left out; a null turn comes first, a null role or text counts as empty; repeated
-    rows are repeated turns; an empty table gives no rows; other columns are ignored.
+    rows are repeated turns; texts of any length are whole; an empty table gives no rows; other columns are ignored.
     """
-    kept = maximal(conversations)
-    blocks = render(conversations)
-    parts = Window.partitionBy("conv_id").orderBy("block")
-    numbered = (
-        _turns(conversations)
-        .select("conv_id", "block")
-        .distinct()
-        .join(kept, "conv_id")
-        .select("conv_id", "block", "n_turns", (F.row_number().over(parts) - 1).cast("long").alias("part"))
-    )
-    return blocks.join(numbered, ["conv_id", "block"]).select("conv_id", "part", "n_turns", "n_part_turns", "chat")
+    found = prefixes(conversations)
+    return render(found.join(maximal(found), "conv_id", "left_semi"))
 
 
 ORACLE_SQL = """
 WITH base AS (
   SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
-         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k,
          count(*) OVER (PARTITION BY conv_id) AS n
   FROM conversations WHERE conv_id IS NOT NULL),
 pre AS (
@@ -116,7 +67,7 @@ pre AS (
   FROM base),
 uniq AS (SELECT p, min(conv_id) AS conv_id, min(n) AS n FROM pre WHERE k = n GROUP BY p),
 kept AS (SELECT conv_id, n FROM uniq WHERE p NOT IN (SELECT p FROM pre WHERE k < n))
-SELECT b.conv_id, CAST(0 AS BIGINT) AS part, CAST(max(kept.n) AS BIGINT) AS n_turns, CAST(count(*) AS BIGINT) AS n_part_turns,
+SELECT b.conv_id, CAST(count(*) AS BIGINT) AS n_turns,
        string_agg('<|im_start|>' || b.role || chr(10) || b.text || '<|im_end|>' || chr(10), '' ORDER BY b.k) AS chat
 FROM base b JOIN kept ON kept.conv_id = b.conv_id GROUP BY b.conv_id
 """
