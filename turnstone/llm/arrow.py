@@ -38,18 +38,19 @@ def annotate(
     start: Callable[[], Callable[[list[bytes | None]], list[list]]],
     fields: Sequence[T.StructField],
     keep: Sequence[str] | None = None,
+    extra: Sequence[str] = (),
 ) -> DataFrame:
     """df's columns (or only those in `keep`) and `fields`, computed from each row's `text`.
 
     `start` runs once a task and gives the function that maps texts (UTF-8, or None) to one list of values
-    a field. A column of df with the name of a new field is replaced.
+    a field; it is also given the values of the columns in `extra`. A column of df with the name of a new field is replaced.
     """
     new = {f.name for f in fields}
     kept = [c for c in (df.columns if keep is None else keep) if c not in new]
-    sent = [*kept, *([] if text in kept else [text])]
+    sent = list(dict.fromkeys([*kept, text, *extra]))
     schema = T.StructType([df.schema[c] for c in kept] + list(fields))
     arrow_fields = [pa.field(f.name, to_arrow_type(f.dataType), f.nullable) for f in fields]
-    at = sent.index(text)
+    at, more = sent.index(text), [sent.index(c) for c in extra]
     n_kept = len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,7 +60,7 @@ def annotate(
             names = pa.schema([*(batch.schema.field(i) for i in range(n_kept)), *arrow_fields])
             for begin, end in pieces(texts):
                 columns = [batch.column(i).slice(begin, end - begin) for i in range(n_kept)]
-                columns += [pa.array(v, f.type) for v, f in zip(work(texts[begin:end]), arrow_fields, strict=True)]
+                columns += [pa.array(v, f.type) for v, f in zip(work(texts[begin:end], *(batch.column(i).slice(begin, end - begin).to_pylist() for i in more)), arrow_fields, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, schema=names)
 
     ship(df.sparkSession)

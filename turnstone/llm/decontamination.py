@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left
-from collections.abc import Callable, Iterable
+import uuid
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -11,22 +11,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnstone.llm.arrow import annotate
+from turnstone.session import materialize
 
 WINDOW = 10
-#: An automaton holds at most about so many characters of windows; a larger benchmark is scanned in groups of items.
-MAX_PATTERN_CHARS = 4_000_000
+#: Windows that an automaton holds at most, with each item that has one: a kilobyte or so each in every Python worker.
+#: This is a bound on memory, to be raised with it; a benchmark that needs more takes several scans, one after another.
+MAX_WINDOWS = 400_000
+#: Distinct words that an automaton can tell apart.
+CODES = 32**4
+_UNKNOWN = "\0" * 4
 
 #: Bytes of a word stay or become lower case, all others become a space, so offsets stay as they are.
 _NORMAL = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)
 )
 
-FIELDS = [
-    T.StructField("n_words", T.LongType()),
-    T.StructField("hit_words", T.ArrayType(T.IntegerType())),
-    T.StructField("item_ids", T.ArrayType(T.StringType())),
-    T.StructField("hit_spans", T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))),
-]
+HITS = [T.StructField("n_words", T.LongType()), T.StructField("hit_words", T.ArrayType(T.IntegerType())), T.StructField("item_ids", T.ArrayType(T.StringType()))]
+SPANS = T.StructField("hit_spans", T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])))
+FIELDS = [*HITS, SPANS]
 
 
 def normal(text: bytes | None) -> bytes:
@@ -34,76 +36,95 @@ def normal(text: bytes | None) -> bytes:
     return text.translate(_NORMAL) if text else b""
 
 
-def item_windows(items: Iterable[tuple[str, bytes]], size: int = WINDOW) -> dict[str, tuple[int, list[str]]]:
-    """Window text -> its number of words and the ids of the items that hold it."""
-    found: dict[str, tuple[int, list[str]]] = {}
+def item_windows(items: Iterable[tuple[str, bytes]], size: int = WINDOW, most: int = MAX_WINDOWS) -> Iterator[dict[tuple[bytes, ...], list[str]]]:
+    """The items' windows (their words) with the ids of the items that hold them, in groups of `most` at most."""
+    found: dict[tuple[bytes, ...], list[str]] = {}
+    held = n_words = 0
     for item_id, text in items:
         words = normal(text).split()
         n = min(size, len(words))
         for i in range(len(words) - n + 1) if n else ():
-            key = b" ".join(words[i : i + n]).decode("latin-1")
-            ids = found.setdefault(key, (n, []))[1]
-            if item_id not in ids:
+            ids = found.setdefault(tuple(words[i : i + n]), [])
+            if item_id not in ids[-1:]:
                 ids.append(item_id)
-    return found
-
-
-def scanner(windows: dict[str, tuple[int, list[str]]]) -> Callable[[list[bytes | None]], list[list]]:
+                held += 1
+            n_words += n if i == 0 else 1  # words that may be new here
+            if held >= most or n_words + size > CODES:
+                yield found
+                found, held, n_words = {}, 0, 0
+    if found:
+        yield found
+
+
+def _code(k: int) -> str:
+    """A word's number as four letters, each from 32 of its own, so that no node has many children and no match can
+    begin inside a word."""
+    return "".join([chr(33 + 32 * place + (k >> 5 * place) % 32) for place in range(4)])
+
+
+_built: dict[str, tuple] = {}
+
+
+def automaton(name: str, windows: dict[tuple[bytes, ...], list[str]]):
+    """The benchmark's words, each with a code of four letters, and the automaton over windows as strings of codes,
+    built once a worker process."""
+    if name not in _built:
+        import ahocorasick
+
+        codes: dict[bytes, str] = {}
+        made = ahocorasick.Automaton()
+        for words, ids in windows.items():
+            made.add_word("".join([codes.setdefault(w, _code(len(codes))) for w in words]), (len(words), ids))
+        made.make_automaton()
+        _built.clear()
+        _built[name] = (codes, made)
+    return _built[name]
+
+
+def spans(text: bytes, hits: list[int]) -> list[dict[str, int]]:
+    """Runs of hit words as ranges of code points of the original text; hits are in order."""
+    if not hits:
+        return []
+    data = np.frombuffer(normal(text), np.uint8) != 0x20
+    edge = np.flatnonzero(np.diff(np.concatenate(([False], data, [False])).astype(np.int8)))
+    starts, ends = edge[0::2], edge[1::2]
+    points = np.concatenate(([0], np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)))
+    words = np.array(hits)
+    first = np.flatnonzero(np.diff(words, prepend=-2) > 1)
+    last = np.concatenate((first[1:], [len(words)])) - 1
+    return [{"start": a, "end": b} for a, b in zip(points[starts[words[first]]].tolist(), points[ends[words[last]]].tolist(), strict=True)]
+
+
+def scanner(windows: dict[tuple[bytes, ...], list[str]], name: str = "") -> Callable[[list[bytes | None]], list[list]]:
     """A function from texts to n_words, hit_words, item_ids and hit_spans."""
-    import ahocorasick
-
-    automaton = ahocorasick.Automaton()
-    for key, (n, ids) in windows.items():
-        automaton.add_word(f" {key} ", (n, ids))
-    if windows:
-        automaton.make_automaton()
-
-    def spans(text: bytes, flat: bytes, hits: list[int]) -> list[dict[str, int]]:
-        data = np.frombuffer(flat, np.uint8) != 0x20
-        edge = np.flatnonzero(np.diff(np.concatenate(([False], data, [False])).astype(np.int8)))
-        starts, ends = edge[0::2], edge[1::2]
-        points = np.concatenate(([0], np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)))
-        out: list[dict[str, int]] = []
-        last = -2
-        for w in hits:
-            if w == last + 1:
-                out[-1]["end"] = int(points[ends[w]])
-            else:
-                out.append({"start": int(points[starts[w]]), "end": int(points[ends[w]])})
-            last = w
-        return out
+    codes, made = automaton(name or uuid.uuid4().hex, windows) if windows else ({}, None)
 
     def scan(texts: list[bytes | None]) -> list[list]:
         out: list[list] = [[], [], [], []]
         for text in texts:
-            flat = normal(text)
-            words = flat.split()
-            hit: set[int] = set()
+            words = normal(text).split()
             ids: set[str] = set()
-            if words and windows:
-                line = b" ".join((b"", *words, b"")).decode("latin-1")
-                gaps = None
-                for end, (n, its) in automaton.iter(line):
-                    if gaps is None:
-                        gaps = [i for i, c in enumerate(line) if c == " "]
-                    w = bisect_left(gaps, end)
-                    hit.update(range(w - n, w))
+            hits: list[int] = []
+            if made and words:
+                steps = None
+                for end, (n, its) in made.iter("".join([codes.get(w, _UNKNOWN) for w in words])):
+                    if steps is None:
+                        steps = np.zeros(len(words) + 1, np.int32)
+                    last = end // 4
+                    steps[last - n + 1] += 1
+                    steps[last + 1] -= 1
                     ids.update(its)
-            order = sorted(hit)
+                if steps is not None:
+                    hits = np.flatnonzero(np.cumsum(steps[:-1])).tolist()
             out[0].append(len(words))
-            out[1].append(order)
+            out[1].append(hits)
             out[2].append(sorted(ids))
-            out[3].append(spans(text, flat, order) if order else [])
+            out[3].append(spans(text, hits) if hits else [])
         return out
 
     return scan
 
 
-def _scan(docs: DataFrame, text: str, items: list[tuple[str, bytes]], size: int, keep: list[str] | None) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(item_windows(items, size))
-    return annotate(docs, text, lambda: scanner(shared.value), FIELDS, keep)
-
-
 def scan_benchmark(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -112,40 +133,44 @@ def scan_benchmark(
     item_text: str = "text",
     size: int = WINDOW,
     keep: list[str] | None = None,
-    max_pattern_chars: int = MAX_PATTERN_CHARS,
+    max_windows: int = MAX_WINDOWS,
 ) -> DataFrame:
     """docs with n_words, hit_words (indexes), item_ids and hit_spans (code points of the original text).
 
-    Each text is normalised once, scanned once by the automaton, and hits are mapped back to words and to the
-    original. No shuffle. The automaton is broadcast after a check of its size: the benchmark's characters times
-    the window size bound it. A larger benchmark is dealt into groups of items that keep the bound, one scan a
-    group, and the groups' hits are united on the rows themselves, again without a shuffle.
+    Each text is normalised once and its words, as codes, are scanned once by the automaton; hits are mapped back to
+    words and to the original. No shuffle. The automaton is broadcast up to max_windows windows; of a larger benchmark
+    groups of so many are scanned one after another, each on the written result of the one before, and hits are united
+    by word, so results are the same with any bound.
 
     Null or wordless texts have no words and no hits; items with a null id or text are left out; rows of items
-    that share an id count as one item; repeated documents are scanned alike; an empty benchmark hits nothing;
-    columns of docs named like a result are replaced.
+    that share an id count as one item; repeated documents are scanned alike; texts of any length are scanned whole; an
+    empty benchmark hits nothing; columns of docs named like a result are replaced.
     """
+    context = docs.sparkSession.sparkContext
     items = benchmark.where(F.col(item_id).isNotNull() & F.col(item_text).isNotNull()).select(
         F.col(item_id).cast("string").alias("id"), F.col(item_text).cast("binary").alias("text")
     )
-    chars = items.agg(F.coalesce(F.sum(F.length("text") + F.lit(1)), F.lit(0))).first()[0] * size
-    groups = max(1, -(-chars // max_pattern_chars))
-    out = docs
-    for g in range(groups):
-        part = items if groups == 1 else items.where(F.pmod(F.xxhash64("id"), F.lit(groups)) == g)
-        rows = [(r["id"], bytes(r["text"])) for r in part.toLocalIterator()]
-        if groups == 1:
-            return _scan(docs, text, rows, size, keep)
-        names = [f.name for f in FIELDS]
-        before = [F.col(n).alias(f"__{n}") for n in names] if g else []
-        base = out.select(*[c for c in out.columns if c not in names or not g], *before) if g else out
-        base = base.drop(*names) if g else base
-        out = _scan(base, text, rows, size, None)
-        if g:
-            union = lambda n: F.array_sort(F.array_union(F.col(f"__{n}"), F.col(n)))
-            out = out.withColumns({"hit_words": union("hit_words"), "item_ids": union("item_ids"), "hit_spans": union("hit_spans")})
-            out = out.drop(*[f"__{n}" for n in names])
-    return out if keep is None else out.select(*[c for c in keep if c not in {f.name for f in FIELDS}], *[f.name for f in FIELDS])
+    names = [f.name for f in FIELDS]
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in names]
+    out, last = docs, None
+    for windows in item_windows(((r["id"], bytes(r["text"])) for r in items.toLocalIterator()), size, max_windows):
+        if last is not None:
+            out = _add_hits(out, text, last, kept)
+        last = context.broadcast((uuid.uuid4().hex, windows))
+    if last is None or out is docs:
+        return annotate(docs, text, lambda: scanner(*reversed(last.value)) if last else scanner({}), FIELDS, kept)
+    out = _add_hits(out, text, last, kept)
+    found = annotate(out.select("row", "text", *[f"hits.{f.name}" for f in HITS]), "text", lambda: lambda texts, hits: [[spans(t, h) for t, h in zip(texts, hits, strict=True)]], [SPANS], ["row", *names[:3]], ["hit_words"])
+    return found.select(*[F.col(f"row.`{c}`") for c in kept], *names)
+
+
+def _add_hits(docs: DataFrame, text: str, windows, kept: list[str]) -> DataFrame:
+    """row (the columns to keep), text and hits, united with those that docs has already."""
+    if docs.columns != ["row", "text", "hits"]:
+        docs = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept] or [F.lit(0)]).alias("row"), F.col(f"`{text}`").alias("text"), F.lit(None).cast(T.StructType(HITS)).alias("hits"))
+    found = annotate(docs, "text", lambda: lambda texts: scanner(*reversed(windows.value))(texts)[:3], HITS)
+    both = lambda c: F.array_sort(F.array_union(F.coalesce(f"hits.{c}", F.array().cast(dict((f.name, f.dataType) for f in HITS)[c])), F.col(c)))
+    return materialize(found.select("row", "text", F.struct("n_words", both("hit_words").alias("hit_words"), both("item_ids").alias("item_ids")).alias("hits")), "hits")
 
 
 def report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
