@@ -141,9 +141,13 @@ def test_decontamination(spark, docs, empty):
                         hit.update(range(i, i + len(key)))
                         items.add(str(item))
         expected[d] = (len(w), len(hit), len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest())
-    for limit in (4_000_000, 300):
-        got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256) for r in decontamination.report(docs, bench, max_pattern_chars=limit).collect()}
+    spans = []
+    for limit in (400_000, 7):
+        got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256) for r in decontamination.report(docs, bench, max_windows=limit).collect()}
         assert got == expected
+        found = decontamination.scan_benchmark(docs.withColumn("row", F.lit(1)).withColumn("hit_words", F.lit("own")), bench, max_windows=limit)
+        spans.append(sorted((r.doc_id, r.row, [tuple(x) for x in r.hit_spans]) for r in found.collect()))
+    assert spans[0] == spans[1] and any(s for _, _, s in spans[0])
     assert decontamination.report(empty, bench).count() == 0
     assert decontamination.decontaminate(docs, bench).columns == docs.columns
     span = decontamination.scan_benchmark(spark.createDataFrame([(1, "é  SOLO!")], "doc_id long, text string"), bench).first().hit_spans
@@ -260,6 +264,80 @@ def test_secrets(spark, empty):
     assert secrets.scan_secrets(empty, net).count() == 0
 
 
+def test_secrets_report_against_brute_force(spark):
+    """Base spans by walking the text character by character."""
+    rng = random.Random(12)
+    parts = ["password", "Passwd=", "SECRET", "token", "api_key", "apikey", ": ", "= ", '"', "'", " ", "abc", "AKIA", "ABCDEFGHIJKLMNOP", "X9", "0123456789abcdef", "deadbeef01", "é", "+/_.=-", "\n"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(0, 30))) for _ in range(400)] + [None, "", "token=" * 3000, "ab12" * 60_000]
+
+    def run(text, at, letters):
+        end = at
+        while end < len(text) and text[end] in letters:
+            end += 1
+        return end
+
+    upper, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    value = set(upper + upper.lower() + digits + "+/_.=-")
+
+    def assign(text, at):
+        for word in ("password", "passwd", "secret", "token", "api_key", "apikey"):
+            if text[at : at + len(word)].lower() == word:
+                k = at + len(word)
+                k += text[k : k + 1] in ('"', "'") and k < len(text)
+                k = run(text, k, " ")
+                if text[k : k + 1] not in (":", "=") or k >= len(text):
+                    continue
+                k = run(text, k + 1, " ")
+                k += k < len(text) and text[k] in "\"'"
+                end = run(text, k, value)
+                if end > k:
+                    return end, end - k >= 6
+        return None
+
+    def spans(text):
+        out = []
+        at = 0
+        while at < len(text):
+            m = assign(text, at)
+            if m:
+                out += [(at, 0, "assign", m[0])] if m[1] else []
+                at = m[0]
+            else:
+                at += 1
+        for order, kind, head, letters, least in ((1, "access", "AKIA", set(upper + digits), 20), (2, "hex", "", set(digits + "abcdef"), 24)):
+            at = 0
+            while at < len(text):
+                end = run(text, at + len(head), letters) if text.startswith(head, at) else at
+                if end > at + len(head):
+                    out += [(at, order, kind, end)] if end - at >= least else []
+                    at = end
+                else:
+                    at += 1
+        return [(k, a, e) for a, _, k, e in sorted(out)]
+
+    net = secrets.train_whole(secrets.made_findings(40), epochs=1)
+    net.threshold = net.keyed_threshold = 2.0
+    rows = spark.createDataFrame([(i, t, "own") for i, t in enumerate(texts)] * 2, "doc_id long, text string, found string")
+    got = [(r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256, r.spans) for r in secrets.report(rows, net).collect()]
+    expected = []
+    for i, t in enumerate(texts):
+        found = spans(t or "")
+        listed = ",".join(f"{k}:{a}:{e}" for k, a, e in found)
+        counts = [sum(k == x for k, _, _ in found) for x in ("assign", "access", "hex")]
+        expected += [(i, *counts, hashlib.sha256(listed.encode()).hexdigest(), listed)] * 2
+    assert sorted(got) == sorted(expected)
+
+
+def test_secrets_beyond_the_patterns():
+    """The network adds keys that no pattern knows, and leaves addresses and numbers alone."""
+    net = secrets.train_whole(secrets.made_findings(3000) + secrets.long_findings(1000))
+    assert all(recall > 0.9 and precision > 0.8 for recall, precision in net.measured)
+    good = ["pwd: x9Kf2LmQ7bTz4RvW8n", "uses sk-9aB3dE7gH1jK5mN8pQ2s here", "private_key=Zx81kQpL0vB7nM4tR6yU"]
+    bad = ["mail first.last34@mail7.example.com now", "from 161.17.88.162 on", "call 555-7713 or 20241-1180-22", "report_12_final_version_3"]
+    found = secrets.scanner(net)([t.encode() for t in good + bad])[1]
+    assert [len(f) for f in found] == [1, 1, 1, 0, 0, 0, 0]
+
+
 def test_secrets_in_long_tokens():
     token = "services/production/eu-west-1/accounts/v2/hooks/users/" + "Zq3" * 30
     read = list(secrets.windows(f"see {token}", 4, 4 + len(token)))
