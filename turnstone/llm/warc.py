@@ -14,34 +14,70 @@ from turnstone.llm.arrow import annotate
 CRLF = "\r\n"
 CAPTURE_DATE = "2024-01-01T00:00:00Z"
 
-_DROPPED = re.compile(r"<!--.*?-->|<script\b.*?</script[^>]*>|<style\b.*?</style[^>]*>|<head\b.*?</head[^>]*>", re.S | re.I | re.A)
+_OPENED = re.compile(r"<!(--)|<(script|style|head)\b", re.I | re.A)
+_CLOSED = {k: re.compile(f"</{k}", re.I | re.A) for k in ("script", "style", "head", "title")}
 _BREAK = re.compile(
     r"</?(?:p|div|br|hr|li|ul|ol|dl|dt|dd|h[1-6]|tr|td|th|table|article|section|aside|main|nav|header|footer|blockquote|pre|title|body|html)\b[^>]*>", re.I | re.A
 )
 _TAG = re.compile(r"<[^>]*>")
 _BLANK = re.compile("[ \t\r\f\v ]+")
 _LINES = re.compile(r" ?\n[ \n]*")
-_TITLE = re.compile(r"<title[^>]*>(.*?)</title", re.S | re.I | re.A)
-_LINK = re.compile(r"<a\s[^>]*href", re.I | re.A)
+_TITLE = re.compile(r"<title", re.I | re.A)
+_LINK = re.compile(r"<a\s", re.I | re.A)
 
 FIELDS = [T.StructField("plain", T.StringType()), T.StructField("title", T.StringType()), T.StructField("n_links", T.LongType())]
 
 
+def _without_hidden(page: str) -> str:
+    """The page without comments and without head, script and style elements. A kind that is not closed any more is
+    not looked for again, so pages with many unclosed marks take time in proportion to their length."""
+    out, at, unclosed = [], 0, set()
+    for opened in _OPENED.finditer(page):
+        kind = opened[1] or opened[2].lower()
+        if opened.start() < at or kind in unclosed:
+            continue
+        if kind == "--":
+            end = page.find("-->", opened.end()) + 3
+            found = end > 2
+        else:
+            closed = _CLOSED[kind].search(page, opened.end())
+            end = page.find(">", closed.end()) + 1 if closed else 0
+            found = end > 0
+        if found:
+            out.append(page[at : opened.start()])
+            at = end
+        else:
+            unclosed.add(kind)
+    return "".join([*out, page[at:]])
+
+
 def plain_text(page: str) -> str:
     """The visible text: block elements end lines, other tags vanish, character references are decoded."""
-    text = _TAG.sub("", _BREAK.sub("\n", _DROPPED.sub("", page)))
+    shown = _without_hidden(page)
+    end = shown.rfind(">") + 1  # beyond it no tag is closed
+    text = _TAG.sub("", _BREAK.sub("\n", shown[:end])) + shown[end:]
     return _LINES.sub("\n", _BLANK.sub(" ", html.unescape(text))).strip(" \n")
 
 
+def title_of(page: str) -> str:
+    opened = _TITLE.search(page)
+    begin = page.find(">", opened.end()) + 1 if opened else 0
+    closed = _CLOSED["title"].search(page, begin) if begin else None
+    return _BLANK.sub(" ", html.unescape(page[begin : closed.start()])).strip() if closed else ""
+
+
+def count_links(page: str) -> int:
+    """Link tags with a target; a tag reaches to the next closing mark."""
+    found = 0
+    for part in page.split(">"):
+        opened = _LINK.search(part)
+        found += bool(opened) and "href" in part[opened.end() :].lower()
+    return found
+
+
 def _facts(pages: list[bytes | None]) -> list[list]:
-    out: list[list] = [[], [], []]
-    for page in pages:
-        text = page.decode() if page else ""
-        title = _TITLE.search(text)
-        out[0].append(plain_text(text))
-        out[1].append(_BLANK.sub(" ", html.unescape(title[1])).strip() if title else "")
-        out[2].append(len(_LINK.findall(text)))
-    return out
+    texts = [page.decode() if page else "" for page in pages]
+    return [[f(text) for text in texts] for f in (plain_text, title_of, count_links)]
 
 
 def base32_sha1(value: Column) -> Column:
