@@ -154,14 +154,20 @@ def _tiles(vectors: DataFrame, size: int, axes: np.ndarray, kind: str, tile: int
 def _tile_pairs(tiles: DataFrame, cosine: float) -> DataFrame:
     """Tiles a <= b whose boxes are near enough for a link: unit vectors of that cosine are at most `reach` apart.
 
-    Tiles meet by cells along the first axis, as wide as the reach, so this is an equality join of small rows.
+    Tiles meet by cells along the first two axes, as wide as the reach, so this is an equality join of small rows
+    over as many keys as there are cells.
     """
     reach = float(np.sqrt(max(0.0, 2 - 2 * cosine)) + 1e-6)
     width = max(reach, 0.05)
-    cell = lambda c: F.floor(F.element_at(c, 1) / width)
+
+    def cells(room: int) -> Column:
+        spans = [F.sequence(F.floor(F.get("low", F.lit(k)) / width) - room, F.floor(F.get("high", F.lit(k)) / width) + room) for k in (0, 1)]
+        second = F.coalesce(spans[1], F.array(F.lit(0).cast("long")))  # vectors of one component have one axis
+        return F.explode(F.flatten(F.transform(spans[0], lambda x: F.transform(second, lambda y: F.struct(x.alias("x"), y.alias("y"))))))
+
     boxes = tiles.select("tile", "low", "high")
-    left = boxes.select(F.col("tile").alias("a"), F.col("low").alias("la"), F.col("high").alias("ha"), F.explode(F.sequence(cell("low"), cell("high"))).alias("cell"))
-    right = boxes.select(F.col("tile").alias("b"), F.col("low").alias("lb"), F.col("high").alias("hb"), F.explode(F.sequence(cell("low") - 1, cell("high") + 1)).alias("cell"))
+    left = boxes.select(F.col("tile").alias("a"), F.col("low").alias("la"), F.col("high").alias("ha"), cells(0).alias("cell"))
+    right = boxes.select(F.col("tile").alias("b"), F.col("low").alias("lb"), F.col("high").alias("hb"), cells(1).alias("cell"))
     gap = lambda z: F.pow(F.greatest(z["lb"] - z["ha"], z["la"] - z["hb"], F.lit(0.0)), 2)
     gaps = F.aggregate(F.transform(F.arrays_zip("la", "ha", "lb", "hb"), gap), F.lit(0.0), lambda s, x: s + x)
     return left.join(right, "cell").where(F.col("a") <= F.col("b")).where(gaps <= reach * reach).select("a", "b").distinct()
