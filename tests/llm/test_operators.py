@@ -374,6 +374,44 @@ def test_mixing(docs, empty):
     assert mixing.mix_documents(docs).columns == [*docs.columns, "n_copies"]
 
 
+def test_mixing_with_clashing_columns(docs):
+    names = ["epochs", "rest", "cut_key", "cut_start", "at_cut", "in_last_epoch", "name", "own", "domain", "n_copies", "__lang", "__key"]
+    clash = docs.withColumn("doc_id", F.when(F.col("doc_id") % 7 != 0, F.col("doc_id"))).withColumns({c: F.lit("own") for c in names})
+    for budget in (500, 10**9):
+        found = mixing.mix_documents(clash, budget=budget)
+        assert found.columns == [c for c in clash.columns if c != "n_copies"] + ["n_copies"]
+        rows = found.collect()
+        assert rows and all(r.rest == r.name == r.own == r["__lang"] == "own" for r in rows)
+        assert sorted(map(str, (r.doc_id for r in rows))) == sorted(map(str, (r.doc_id for r in mixing.mix(clash, budget=budget).collect())))
+
+
+def test_mixing_by_shuffle(docs, monkeypatch):
+    small = sorted(map(tuple, mixing.mix(docs, budget=700).collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_LEAVES", 0)
+    assert sorted(map(tuple, mixing.mix(docs, budget=700).collect())) == small
+
+
+def test_warc_unclosed_marks():
+    import re
+    import time
+
+    hidden = re.compile(r"<!--.*?-->|<script\b.*?</script[^>]*>|<style\b.*?</style[^>]*>|<head\b.*?</head[^>]*>", re.S | re.I | re.A)
+    parts = ["<!--", "-->", "<script>", "</script>", "</script", "<SCRIPT x", "<style>", "</style>", "<head", "</head>", "<header>", ">", "<", "a", "<a href=x>", "<a ", "href", "<title>", "</title>", "<title x", "é"]
+    rng = random.Random(2)
+    for _ in range(3000):
+        page = "".join(rng.choices(parts, k=rng.randrange(14)))
+        assert warc._without_hidden(page) == hidden.sub("", page)
+        title = re.search(r"<title[^>]*>(.*?)</title", page, re.S | re.I | re.A)
+        assert warc.title_of(page) == (title[1].strip() if title else "")
+        assert warc.count_links(page) == len(re.findall(r"<a\s[^>]*href", page, re.I | re.A))
+        text = re.sub(r"<[^>]*>", "", warc._BREAK.sub("\n", hidden.sub("", page)))
+        assert warc.plain_text(page) == re.sub(" ?\n[ \n]*", "\n", text).strip(" \n")
+    began = time.time()
+    for mark in ("<!--", "<script ", "<title ", "<a ", "<", "</script", "<p "):
+        warc._facts([mark.encode() * 400_000])
+    assert time.time() - began < 30
+
+
 def test_warc(spark):
     page = '<html><head><title>T &amp; t</title></head><body><!-- x --><p>one<b>two</b></p><script>no()</script><a href="/x">l&eacute;</a></body></html>'
     table = spark.createDataFrame([(1, "http://a/", page), (2, None, None)], "page_id long, url string, html string")

@@ -80,9 +80,14 @@ def allocate(leaves: DataFrame, budget: int, weights: Mapping[str, Mapping[str,
     return plan
 
 
-def order_key(seed: int, epoch: Column, doc_id: Column) -> Column:
+def order_name(doc_id: Column, text: Column) -> Column:
+    """What a document's place in an order is made from: its id, or, without one, a hash of its text."""
+    return F.coalesce(doc_id.cast("string"), F.concat(F.lit("text "), F.xxhash64(text).cast("string")))
+
+
+def order_key(seed: int, epoch: Column, name: Column) -> Column:
     """Where a document stands in an epoch's seeded order."""
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit(""))).cast("binary"))
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), name).cast("binary"))
 
 
 def _with_plan(rows: DataFrame, plan: DataFrame, levels: Sequence[str], small: bool) -> DataFrame:
@@ -90,7 +95,7 @@ def _with_plan(rows: DataFrame, plan: DataFrame, levels: Sequence[str], small: b
     if small:
         return rows.join(F.broadcast(plan), list(levels))
     salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    salted = rows.withColumn("__salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64("name"), F.lit(SALTS)).cast("int"))
     return salted.join(plan.withColumn("__salt", salt), [*levels, "__salt"]).drop("__salt")
 
 
@@ -104,7 +109,7 @@ def mixing_plan(
 ) -> tuple[DataFrame, bool]:
     """One row a leaf with its whole epochs and where its last epoch is cut, and whether the plan is small.
 
-    sizes: levels, doc_id, n_tokens. budget: tokens (None: BUDGET_PERCENT of all).
+    sizes: levels, doc_id, name (see order_name), n_tokens. budget: tokens (None: BUDGET_PERCENT of all).
     A leaf's last epoch orders documents by order_key; tokens are summed by the key's first digits, over at most
     16 ** BUCKET_DIGITS buckets a leaf, and only the bucket that holds the cut is ordered by document. So no task
     orders a leaf, however much of the input it holds.
@@ -120,7 +125,7 @@ def mixing_plan(
     plan = materialize(plan, "budgets")
 
     keyed = _with_plan(sizes, plan.where("rest > 0").select(*levels, "epochs", "rest"), levels, small)
-    keyed = keyed.withColumn("key", order_key(seed, F.col("epochs"), F.col("doc_id")))
+    keyed = keyed.withColumn("key", order_key(seed, F.col("epochs"), F.col("name")))
     keyed = keyed.withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS))
     running = Window.partitionBy(*levels).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     sums = keyed.groupBy(*levels, "bucket", "rest").agg(F.sum("n_tokens").alias("held"))
@@ -136,9 +141,9 @@ def mixing_plan(
 
 
 def select_documents(rows: DataFrame, plan: DataFrame, small: bool, levels: Sequence[str] = LEVELS, seed: int = SEED) -> DataFrame:
-    """rows (levels, doc_id, ...) with n_copies and in_last_epoch, those that are read at least once."""
+    """rows (levels, name, ...) with n_copies and in_last_epoch, those that are read at least once."""
     found = _with_plan(rows, plan.select(*levels, "epochs", "rest", "cut_key", "cut_start"), levels, small)
-    key = order_key(seed, F.col("epochs"), F.col("doc_id"))
+    key = order_key(seed, F.col("epochs"), F.col("name"))
     found = found.withColumn("__key", F.when(F.col("cut_key").isNotNull(), key))
     taken = F.coalesce(F.col("__key") <= F.col("cut_key"), F.lit(False))
     found = found.withColumn("in_last_epoch", taken).withColumn("at_cut", F.coalesce(F.col("__key") == F.col("cut_key"), F.lit(False)))
@@ -146,21 +151,16 @@ def select_documents(rows: DataFrame, plan: DataFrame, small: bool, levels: Sequ
     return found.where("n_copies > 0").drop("__key")
 
 
-def _leveled(docs: DataFrame) -> DataFrame:
-    """docs with their leaf in columns of reserved names; nulls are the empty name."""
+def _leveled(docs: DataFrame, *more: Column) -> DataFrame:
+    """Each document's leaf and order name, and `more`; nulls are the empty name."""
     return docs.select(
-        *[docs[f"`{c}`"] for c in docs.columns],
-        domain_of(F.col("source")).alias("__domain"),
-        F.coalesce("lang", F.lit("")).alias("__lang"),
-        F.coalesce("source", F.lit("")).alias("__source"),
-    )
+        domain_of(F.col("source")).alias("domain"), F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"),
+        order_name(F.col("doc_id"), F.col("text")).alias("name"), *more,
+    )
 
 
 def _sizes(docs: DataFrame) -> DataFrame:
-    leaf = _leveled(docs.select("doc_id", "text", "lang", "source"))
-    return leaf.select(
-        "doc_id", F.col("__domain").alias("domain"), F.col("__lang").alias("lang"), F.col("__source").alias("source"), token_count(F.col("text")).alias("n_tokens")
-    )
+    return _leveled(docs, F.col("doc_id"), token_count(F.col("text")).alias("n_tokens"))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
@@ -169,8 +169,9 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     n_copies: how many epochs read the document; n_taken: the tokens they take of it, the last document of a
     leaf's last epoch giving only its first tokens. Weights, levels, budget, epochs and seed: see mixing_plan.
 
-    A null source or language is a leaf of its own with an empty name; null or empty texts hold no tokens; rows
-    that repeat a doc_id are taken together; an empty table gives no rows; further columns are ignored.
+    A null source or language is a leaf of its own with an empty name; null or empty texts hold no tokens; a null
+    doc_id is ordered by a hash of its text; rows that repeat a doc_id are taken together, so they can exceed the
+    budget by what they hold; an empty table gives no rows; further columns are ignored.
     """
     sizes = materialize(_sizes(docs), "sizes")
     plan, small = mixing_plan(sizes, **options)
@@ -183,11 +184,9 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """docs themselves, those that the mixture reads, with n_copies. Texts are not shuffled while the plan is small."""
     plan, small = mixing_plan(materialize(_sizes(docs), "sizes"), **options)
-    levels = [f"__{x}" for x in LEVELS]
-    renamed = plan.withColumnsRenamed(dict(zip(LEVELS, levels, strict=True)))
     own = [c for c in docs.columns if c != "n_copies"]
-    found = select_documents(_leveled(docs.select(*[F.col(f"`{c}`") for c in own])), renamed, small, levels, options.get("seed", SEED))
-    return found.select(*[F.col(f"`{c}`") for c in own], "n_copies")
+    found = select_documents(_leveled(docs, F.struct(*[F.col(f"`{c}`") for c in own]).alias("own")), plan, small, seed=options.get("seed", SEED))
+    return found.select(*[F.col(f"own.`{c}`") for c in own], "n_copies")
 
 
 def _level_sql(depth: int) -> str:
