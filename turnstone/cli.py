@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
+from turnstone.operators import lines
 from turnstone.operators.worklist import pending
 from turnstone.plans.recording import fuse
-from turnstone.session import get_session
+from turnstone.session import drop_tables, get_session
 from turnstone.sources import files, listing
 
 
@@ -22,6 +24,8 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("--language", default="en")
     run.add_argument("--max-lines", type=int, default=2)
     run.add_argument("--highlight", action="store_true")
+    run.add_argument("--max-width", type=int, default=0, help="characters of a line; recordings whose lines fit keep them")
+    run.add_argument("--skip-list", help="a JSON array of recordings to leave out")
     for command in (run, commands.add_parser("status", help="finished recordings")):
         command.add_argument("--out", required=True, help="a folder that all executors see")
     return top
@@ -32,18 +36,25 @@ def main(args: list[str] | None = None) -> int:
     spark = get_session()
     done = listing.completed(spark, f"{given.out}/json")
     if given.command == "status":
-        found = listing.status(spark, f"{given.out}/json").first()
-        print(f"{found['finished']} finished", *found["ids"], sep="\n")
+        print(f"{listing.status(spark, f'{given.out}/json').first()['finished']} finished")
+        for row in done.orderBy("id").toLocalIterator():
+            print(row["id"])
         return 0
     words = spark.read.parquet(given.words)
     items = words.select("interview_id").distinct().select(F.col("interview_id").cast("string").alias("id"), F.col("interview_id").alias("ord"))
+    if given.skip_list:
+        done = done.union(listing.skip_list(spark, given.skip_list)).distinct()
     chosen = pending(items, done, given.max_files).select(F.col("ord").alias("interview_id"))
     made = fuse(words.join(chosen, "interview_id", "left_semi"), spark.read.parquet(given.turns).join(chosen, "interview_id", "left_semi"))
+    if given.max_width:
+        made = replace(made, lines=lines.lines_for_width(made.lines, made.words, None, given.max_width))
     both = made.json(given.language).join(made.vtt(given.max_lines, given.highlight), "interview_id")
     named = both.withColumn("interview_id", F.col("interview_id").cast("string"))
     written = files.write_files(named, given.out, {"json": ("json", ".json"), "vtt": ("vtts", ".vtt")}, "interview_id")
-    print(f"{written.agg(F.sum('files')).first()[0] or 0} files")
-    return 0
+    files_written, failed = written.agg(F.sum("files"), F.count_if(F.col("files") < 2)).first()
+    print(f"{files_written or 0} files")
+    drop_tables(spark)
+    return int(bool(failed))
 
 
 if __name__ == "__main__":

@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 
 from turnstone.functions.text import join_words
 from turnstone.operators.words import ordered
+from turnstone.session import materialize
 
 MAX_GAP = 1.0
 #: Words and turns meet in slices of so many seconds, so that a recording of any length is joined in linear work.
 SLICE_SECONDS = 30.0
 
 
-def _slices(start: str, end: str):
-    first, last = F.floor(F.col(start) / SLICE_SECONDS), F.floor(F.greatest(start, end) / SLICE_SECONDS)
-    return F.explode(F.sequence(first, last))
+def _slice(time: str):
+    return F.floor(F.col(time) / SLICE_SECONDS)
 
 
 def ranked_turns(turns: DataFrame) -> DataFrame:
@@ -25,16 +25,31 @@ def ranked_turns(turns: DataFrame) -> DataFrame:
     return turns.select("interview_id", "turn_ix", "start", "end", "speaker", rank.alias("rank"), F.count(F.lit(1)).over(one).alias("n"))
 
 
-def largest_overlaps(words: DataFrame, turns: DataFrame) -> DataFrame:
-    """interview_id, idx, rank and overlap of the turn that overlaps a word most; ties go to the lower rank."""
-    w = words.select("interview_id", "idx", F.col("start").alias("ws"), F.col("end").alias("we"))
-    w = w.where("we > ws").withColumn("slice", _slices("ws", "we"))
-    t = turns.select("interview_id", "rank", F.col("start").alias("ts"), F.col("end").alias("te"))
-    t = t.where("te > ts").withColumn("slice", _slices("ts", "te"))
-    overlap = F.least("we", "te") - F.greatest("ws", "ts")
-    met = w.join(t, ["interview_id", "slice"]).where("ts < we AND ws < te").withColumn("overlap", overlap).where("overlap > 0")
-    best = F.min(F.struct((-F.col("overlap")).alias("less"), "rank")).alias("best")
-    return met.groupBy("interview_id", "idx").agg(best).select("interview_id", "idx", "best.rank", (-F.col("best.less")).alias("overlap"))
+def turns_by_slice(turns: DataFrame) -> DataFrame:
+    """interview_id, slice and near: the turns that reach into a slice of SLICE_SECONDS."""
+    lasting = turns.where("end > start").withColumn("slice", F.explode(F.sequence(_slice("start"), _slice("end"))))
+    near = F.collect_list(F.struct("rank", F.col("start").alias("ts"), F.col("end").alias("te"), "turn_ix", "speaker"))
+    return lasting.groupBy("interview_id", "slice").agg(near.alias("near"))
+
+
+def with_largest_overlap(words: DataFrame, turns: DataFrame) -> DataFrame:
+    """words with best: of the turn that overlaps a word most, less (the negated overlap), rank, turn_ix, speaker; null
+    if none does. Ties go to the lower rank.
+
+    A word meets its slice's turns as one array, so it is shuffled once and no pairs are made; only words that reach
+    over several slices are spread and brought together again."""
+    near = turns_by_slice(turns)
+    overlap = lambda t: F.least("end", t["te"]) - F.greatest("start", t["ts"])
+    own = words.columns
+    first = F.when(F.col("end") > F.col("start"), _slice("start"))
+    placed = words.withColumn("slice", first).withColumn("reach", F.when(first < _slice("end"), _slice("end")))
+    met = F.filter("near", lambda t: (t["ts"] < F.col("end")) & (F.col("start") < t["te"]) & (overlap(t) > 0))
+    best = F.array_min(F.transform(met, lambda t: F.struct((-overlap(t)).alias("less"), t["rank"].alias("rank"), t["turn_ix"].alias("turn_ix"), t["speaker"].alias("speaker"))))
+    key = ["interview_id", "slice"]
+    over = placed.where("reach IS NOT NULL").withColumn("slice", F.explode(F.sequence("slice", "reach")))
+    top = over.join(near, key).select("interview_id", "idx", best.alias("best")).groupBy("interview_id", "idx").agg(F.min("best").alias("top"))
+    met = placed.join(near, key, "left").select(*own, "reach", best.alias("best")).join(top, ["interview_id", "idx"], "left")
+    return met.select(*own, F.when(F.col("reach").isNull(), F.col("best")).otherwise(F.col("top")).alias("best"))
 
 
 def cursors(words: DataFrame, turns: DataFrame) -> DataFrame:
@@ -47,7 +62,8 @@ def cursors(words: DataFrame, turns: DataFrame) -> DataFrame:
     asks = words.select("interview_id", F.col("start").alias("at"), F.lit(1).alias("kind"), F.lit(None).cast("int").alias("rank"), F.col("idx").cast("int").alias("idx"), F.lit(None).cast("long").alias("n"))
     merged = Window.partitionBy("interview_id").orderBy(F.desc("at"), "kind").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy("interview_id")
-    found = marks.union(asks).select("interview_id", "kind", "idx", F.min("rank").over(merged).alias("low"), F.max("n").over(whole).alias("n"))
+    # Spark 4.1 can take a union for partitioned as its parts were and then lose rows; an exchange of its own is safe
+    found = marks.union(asks).repartition("interview_id").select("interview_id", "kind", "idx", F.min("rank").over(merged).alias("low"), F.max("n").over(whole).alias("n"))
     return found.where("kind = 1 AND n IS NOT NULL").select("interview_id", "idx", F.coalesce("low", "n").cast("int").alias("cursor"))
 
 
@@ -67,18 +83,22 @@ def assign_speakers(words: DataFrame, turns: DataFrame, max_gap: float = MAX_GAP
     """words with turn_ix, speaker, overlap (0 if by proximity, null if none) and by_proximity.
 
     words: interview_id, idx, start, end, ..., with starts that never fall (see clamp_words); turns: interview_id,
-    turn_ix, start, end, speaker. Only words without any overlap go through the second join."""
+    turn_ix, start, end, speaker. The first join's result is stored; only words without any overlap are read from it for
+    the second."""
+    own = [c for c in words.columns if c not in {"turn_ix", "speaker", "overlap", "by_proximity"}]
     ranked = ranked_turns(turns)
-    best = largest_overlaps(words, ranked)
-    rest = words.select("interview_id", "idx", "start", "end").join(best, ["interview_id", "idx"], "left_anti")
-    near = nearest_turns(rest, ranked, max_gap)
-    chosen = best.select("interview_id", "idx", "rank", "overlap", F.lit(False).alias("by_proximity")).union(
-        near.select("interview_id", "idx", "rank", F.lit(0.0).alias("overlap"), F.lit(True).alias("by_proximity"))
+    met = materialize(with_largest_overlap(words.select(*own), ranked), "met")
+    near = nearest_turns(met.where("best IS NULL").select("interview_id", "idx", "start", "end"), ranked, max_gap)
+    named = near.join(ranked.select("interview_id", "rank", F.col("turn_ix").alias("near_turn"), F.col("speaker").alias("near_speaker")), ["interview_id", "rank"])
+    found = met.join(named.drop("rank"), ["interview_id", "idx"], "left")
+    far = F.col("best").isNull()
+    return found.select(
+        *own,
+        F.when(far, F.col("near_turn")).otherwise(F.col("best.turn_ix")).alias("turn_ix"),
+        F.when(far, F.col("near_speaker")).otherwise(F.col("best.speaker")).alias("speaker"),
+        F.when(~far, -F.col("best.less")).when(F.col("near_turn").isNotNull(), F.lit(0.0)).alias("overlap"),
+        (far & F.col("near_turn").isNotNull()).alias("by_proximity"),
     )
-    named = chosen.join(ranked.select("interview_id", "rank", "turn_ix", "speaker"), ["interview_id", "rank"])
-    own = [c for c in words.columns if c not in {"turn_ix", "speaker", "overlap", "by_proximity"}]
-    found = words.select(*own).join(named.drop("rank"), ["interview_id", "idx"], "left")
-    return found.select(*own, "turn_ix", "speaker", "overlap", F.coalesce("by_proximity", F.lit(False)).alias("by_proximity"))
 
 
 def mark_segments(assigned: DataFrame) -> DataFrame:
@@ -116,7 +136,7 @@ def fusion_stats(assigned: DataFrame, turns: DataFrame, interviews: DataFrame |
         F.avg(share).alias("share"),
     )
     spoken = turns.groupBy("interview_id").agg(F.count(F.lit(1)).alias("turns"), F.array_sort(F.collect_set("speaker")).alias("names"))
-    every = interviews.select("interview_id").distinct() if interviews is not None else words.select("interview_id").union(spoken.select("interview_id")).distinct()
+    every = interviews.select("interview_id").distinct() if interviews is not None else words.select("interview_id").union(spoken.select("interview_id")).repartition("interview_id").distinct()
     both = every.join(words, "interview_id", "left").join(spoken, "interview_id", "left")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
     some = F.col("words_total").isNotNull()

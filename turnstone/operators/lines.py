@@ -1,8 +1,8 @@
 """Readable lines and cues from the words of segments.
 
 Packing is sequential: a break resets what the next break depends on. So Spark brings each segment's words together
-in one sorted array, and a short loop over it, in Arrow batches, finds where lines start. Higher-order functions can
-express the same fold, but were some twenty times slower here. A segment, not a recording, is the unit of work.
+in one sorted array, and a short loop over it, in Arrow batches, finds where lines start. A segment, not a recording,
+is the unit of work.
 """
 
 from __future__ import annotations
@@ -84,12 +84,13 @@ def merge_slivers(cuts: list[int], starts, ends, texts, limits: LineLimits) -> l
 
 def pack_lines(words: DataFrame, limits: LineLimits = LineLimits(), merge: bool = True) -> DataFrame:
     """Words (interview_id, segment_index, idx, start, end, text) as lines: interview_id, segment_index,
-    line_in_segment, start, end, text, words.
+    line_in_segment, start, end, text, words, speaker (of the first word, where words have one).
 
     A line ends before a word that comes after a pause, would make it too long in time or characters, or follows a
     sentence's end once there is enough text. merge: slivers are folded backwards. One shuffle, by segment."""
     key = ["interview_id", "segment_index"]
-    packed = words.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("idx", "start", "end", "text"))).alias("words"))
+    speaker = F.min_by("speaker", "idx") if "speaker" in words.columns else F.lit(None).cast("string")
+    packed = words.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("idx", "start", "end", "text"))).alias("words"), speaker.alias("speaker"))
     kinds = {c: packed.schema[c].dataType.simpleString() for c in (*key, "words")}
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,36 +112,38 @@ def pack_lines(words: DataFrame, limits: LineLimits = LineLimits(), merge: bool
             places = pa.array([*first_word, int(sizes[-1])], pa.int32())
             at = pa.array(owner, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(number, pa.int32()), flat.field(1).take(pa.array(first_word, pa.int64())), pa.array(last_end, pa.float64()), pa.ListArray.from_arrays(places, flat)],
-                [*key, "line_in_segment", "start", "end", "words"],
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(number, pa.int32()), flat.field(1).take(pa.array(first_word, pa.int64())), pa.array(last_end, pa.float64()), pa.ListArray.from_arrays(places, flat), batch.column(3).take(at)],
+                [*key, "line_in_segment", "start", "end", "words", "speaker"],
             )
 
     ship(words.sparkSession)
-    flat = packed.mapInArrow(pack, f"interview_id {kinds['interview_id']}, segment_index {kinds['segment_index']}, line_in_segment int, start double, end double, words {kinds['words']}")
-    return flat.select(*key, "line_in_segment", "start", "end", join_words(F.transform("words", lambda w: w["text"])).alias("text"), "words")
+    flat = packed.mapInArrow(pack, f"interview_id {kinds['interview_id']}, segment_index {kinds['segment_index']}, line_in_segment int, start double, end double, words {kinds['words']}, speaker string")
+    return flat.select(*key, "line_in_segment", "start", "end", join_words(F.transform("words", lambda w: w["text"])).alias("text"), "words", "speaker")
 
 
-def build_lines(words: DataFrame, segments: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame:
+def build_lines(words: DataFrame, segments: DataFrame | None = None, limits: LineLimits = LineLimits()) -> DataFrame:
     """interview_id, line_ix, segment_index, start, end, text, speaker, words.
 
-    A segment without words but with a text is one line of its own times. Lines never cross segments."""
+    Lines never cross segments. Without segments, speakers are those of the words, and words are shuffled once; with
+    them, theirs are taken, and a segment without words but with a text is one line of its own times."""
     key = ["interview_id", "segment_index"]
-    named = pack_lines(words, limits).join(segments.select(*key, "speaker"), key, "left")
-    bare = segments.where(F.coalesce("text", F.lit("")) != "").join(words.select(*key).distinct(), key, "left_anti")
-    none = F.array().cast(named.schema["words"].dataType).alias("words")
-    bare = bare.select(*key, F.lit(0).alias("line_in_segment"), "start", "end", "text", none, "speaker")
-    every = named.unionByName(bare)
+    every = pack_lines(words, limits)
+    if segments is not None:
+        named = every.drop("speaker").join(segments.select(*key, "speaker"), key, "left")
+        bare = segments.where(F.coalesce("text", F.lit("")) != "").join(words.select(*key).distinct(), key, "left_anti")
+        none = F.array().cast(named.schema["words"].dataType).alias("words")
+        every = named.unionByName(bare.select(*key, F.lit(0).alias("line_in_segment"), "start", "end", "text", none, "speaker")).repartition("interview_id")
     order = Window.partitionBy("interview_id").orderBy("segment_index", "line_in_segment")
     return every.select("interview_id", (F.row_number().over(order) - 1).alias("line_ix"), "segment_index", "start", "end", "text", "speaker", "words")
 
 
-def lines_for_width(lines: DataFrame, words: DataFrame, segments: DataFrame, width: int) -> DataFrame:
+def lines_for_width(lines: DataFrame, words: DataFrame, segments: DataFrame | None, width: int) -> DataFrame:
     """A recording's own lines where all fit the width, else lines packed anew with this width and the other limits
     as they are by default."""
     fit = lines.groupBy("interview_id").agg(F.bool_and(F.length("text") <= width).alias("fit"))
     good = fit.where("fit").select("interview_id")
     rebuilt = build_lines(words, segments, LineLimits(max_chars=width))
-    return lines.join(good, "interview_id", "left_semi").unionByName(rebuilt.join(good, "interview_id", "left_anti"))
+    return lines.join(good, "interview_id", "left_semi").unionByName(rebuilt.join(good, "interview_id", "left_anti")).repartition("interview_id")
 
 
 def number_cues(lines: DataFrame, max_lines: int = 2) -> DataFrame:

@@ -85,34 +85,61 @@ def speaker_label(speaker: Column, prefix: str = "S") -> Column:
     return F.when(F.rlike(speaker, F.lit(r"\d")), F.concat(F.lit(prefix), F.format_string("%02d", number.try_cast("long") + 1))).otherwise(speaker)
 
 
+def _json_label(value: Column) -> Column:
+    """Of a JSON value what speaker_label takes: whole numbers as such; numbers with a fraction and truth values are
+    names as they are (is_name)."""
+    kind = F.schema_of_variant(value)
+    number = F.try_variant_get(value, "$", "double")
+    text = F.try_variant_get(value, "$", "string")
+    is_number = F.rlike(kind, F.lit("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"))
+    whole = is_number & (number == F.floor(number))
+    return F.struct(F.when(whole, number.cast("long").cast("string")).when(kind == "BOOLEAN", F.initcap(text)).otherwise(text).alias("label"), F.coalesce((is_number & ~whole) | (kind == "BOOLEAN"), F.lit(False)).alias("is_name"))
+
+
+def _read_turns(raw: DataFrame) -> DataFrame:
+    text = F.trim("raw")
+    entry = F.try_parse_json(F.when(F.rlike(text, F.lit(r"^[{\[]")), text))
+    fields = F.filter(F.split(F.regexp_replace(text, r'^\[|\]$|["()]', " "), r"[\s,]+"), lambda f: f != "")
+    is_object = F.startswith(text, F.lit("{"))
+    number = lambda *names: F.coalesce(*[F.try_variant_get(entry, f"$.{n}", "string") for n in names])
+    parts = F.size(fields) >= 3
+    start = F.when(is_object, number("start", "begin", "start_time")).when(parts, F.get(fields, F.lit(0)))
+    end = F.when(is_object, number("end", "end_time")).when(parts, F.get(fields, F.lit(1)))
+    value = F.coalesce(*[F.try_variant_get(entry, at, "variant") for at in ("$.speaker", "$.speaker_index", "$.label", "$[2]")])
+    plain = F.struct(F.when(parts & ~is_object, F.get(fields, F.lit(2))).alias("label"), F.lit(False).alias("is_name"))
+    label = F.when(value.isNotNull(), _json_label(value)).otherwise(plain)
+    return raw.select("*", start.try_cast("double").alias("start"), end.try_cast("double").alias("end"), label.alias("named"))
+
+
 def parse_raw_turns(raw: DataFrame) -> DataFrame:
-    """Raw turns (interview_id, raw) as interview_id, start, end, label; those that can't be read are left out.
+    """Raw turns (interview_id, raw, and ord, their place, if there is one) as interview_id, ord, start, end, label,
+    is_name; those that can't be read are left out (see unread_turns).
 
     Three shapes are read: an object with start/begin/start_time, end/end_time and speaker/speaker_index/label; an
     array of three; and three fields parted by blanks or commas."""
-    names = ["start", "begin", "start_time", "end", "end_time", "speaker", "speaker_index", "label"]
-    text = F.trim("raw")
-    entry = F.from_json(text, "map<string,string>")
-    fields = F.filter(F.split(F.regexp_replace(text, r'^\[|\]$|["()]', " "), r"[\s,]+"), lambda f: f != "")
-    is_object = F.startswith(text, F.lit("{"))
-    one = {n: F.element_at(entry, n) for n in names}
-    start = F.when(is_object, F.coalesce(one["start"], one["begin"], one["start_time"])).when(F.size(fields) >= 3, F.get(fields, F.lit(0)))
-    end = F.when(is_object, F.coalesce(one["end"], one["end_time"])).when(F.size(fields) >= 3, F.get(fields, F.lit(1)))
-    label = F.when(is_object, F.coalesce(one["speaker"], one["speaker_index"], one["label"])).when(F.size(fields) >= 3, F.get(fields, F.lit(2)))
-    read = raw.select("interview_id", start.try_cast("double").alias("start"), end.try_cast("double").alias("end"), label.alias("label"))
-    return read.where("start IS NOT NULL AND end IS NOT NULL")
+    own = ["ord"] if "ord" in raw.columns else []
+    read = _read_turns(raw.select("interview_id", "raw", *own)).where("start IS NOT NULL AND end IS NOT NULL")
+    return read.select("interview_id", *own, "start", "end", "named.label", "named.is_name")
+
+
+def unread_turns(raw: DataFrame) -> DataFrame:
+    """interview_id and warning of each raw turn that can't be read."""
+    lost = _read_turns(raw.select("interview_id", "raw")).where("start IS NULL OR end IS NULL")
+    return lost.select("interview_id", F.concat(F.lit("unrecognised diarization segment: "), F.coalesce("raw", F.lit("None"))).alias("warning"))
 
 
 def diarized_turns(parsed: DataFrame, durations: DataFrame | None = None, least: float = MIN_TURN_SECONDS) -> DataFrame:
-    """Parsed turns within the recording, long enough, labelled and numbered by start and end."""
+    """Parsed turns within the recording, long enough, labelled and numbered by start and end; ties stay in the order
+    of ord where there is one, or else go by speaker."""
     limited = parsed.withColumn("limit", F.lit(float("inf")))
     if durations is not None:
         known = durations.select("interview_id", F.when(F.col("duration") > 0, F.col("duration")).alias("limit"))
         limited = parsed.join(known, "interview_id", "left").withColumn("limit", F.coalesce("limit", F.lit(float("inf"))))
     start = F.greatest(F.lit(0.0), F.least("start", "limit"))
     turns = limited.withColumn("start", start).withColumn("end", F.greatest("start", F.least("end", "limit"))).where(F.col("end") - F.col("start") >= least)
-    turns = turns.withColumn("speaker", speaker_label(F.col("label")))
-    order = Window.partitionBy("interview_id").orderBy("start", "end", "speaker")
+    named = F.when(F.col("is_name"), F.col("label")).otherwise(speaker_label(F.col("label"))) if "is_name" in parsed.columns else speaker_label(F.col("label"))
+    turns = turns.withColumn("speaker", named)
+    order = Window.partitionBy("interview_id").orderBy("start", "end", *(["ord"] if "ord" in parsed.columns else []), "speaker")
     return turns.select("interview_id", (F.row_number().over(order) - 1).cast("int").alias("turn_ix"), "start", "end", "speaker")
 
 

@@ -42,7 +42,7 @@ def highlighted(numbered: DataFrame, show_speaker: bool = True) -> DataFrame:
     single = words.select("*", F.posexplode("words").alias("word_ix", "word"))
     single = single.select("interview_id", "cue_ix", "segment_index", F.col("word.start").alias("start"), F.col("word.end").alias("end"), "speaker", F.concat(_voice(show_speaker), F.array_join(texts(F.col("word_ix")), " ")).alias("body"), "word_ix")
     bare = whole.join(words.where(F.size("words") > 0).select("interview_id", "cue_ix"), ["interview_id", "cue_ix"], "left_anti")
-    return single.unionByName(bare.withColumn("word_ix", F.lit(0)))
+    return single.unionByName(bare.withColumn("word_ix", F.lit(0))).repartition("interview_id")
 
 
 def _times(decimal: str = ".") -> Column:

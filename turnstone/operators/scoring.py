@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from turnstone.functions.edits import edit_ops, token_distance
+from turnstone.functions.edits import char_distance, edit_ops
 from turnstone.functions.text import normalize_for_scoring, split_words
 from turnstone.operators.words import ordered
 from turnstone.session import ship
@@ -55,14 +55,13 @@ def error_rates(words: DataFrame, references: DataFrame) -> DataFrame:
         mean(F.when(F.col("status") == "substitution", F.col("confidence"))).alias("mean_confidence_incorrect"),
     )
     count = lambda kind: F.size(F.filter("ops", lambda o: o["kind"] == kind)).cast("long")
-    chars = lambda c: F.split(F.array_join(c, ""), "")
     counted = aligned.select(
         "interview_id",
         F.size("ref").cast("long").alias("reference_words"),
         F.size("hyp").cast("long").alias("hypothesis_words"),
         *[count(k).alias(n) for k, n in (("match", "hits"), ("substitution", "substitutions"), ("deletion", "deletions"), ("insertion", "insertions"))],
         F.length(F.array_join("ref", "")).alias("ref_chars"),
-        token_distance(F.filter(chars("ref"), lambda c: c != ""), F.filter(chars("hyp"), lambda c: c != "")).alias("char_edits"),
+        char_distance(F.array_join("ref", ""), F.array_join("hyp", "")).alias("char_edits"),
     )
     errors = F.col("substitutions") + F.col("deletions") + F.col("insertions")
     rated = counted.select(

@@ -11,6 +11,7 @@ from turnstone.functions import audio, text
 from turnstone.operators import fusion, lines, model_output, publish, render, scoring, stats, worklist
 from turnstone.operators import words as word_ops
 from turnstone.plans import fixtures, recording
+from turnstone.session import materialize
 from turnstone.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,15 +37,19 @@ def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.timed_words(_table(spark, sf_dir, "conversations"))
 
 
+def _recorded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Words and turns, stored, as a user has them."""
+    words = materialize(_words(spark, sf_dir), "words")
+    return words, materialize(fixtures.speaker_turns(words), "turns")
+
+
 def _marked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    words = _words(spark, sf_dir)
-    turns = fixtures.speaker_turns(words)
+    words, turns = _recorded(spark, sf_dir)
     return fusion.mark_segments(fusion.assign_speakers(words, turns)), turns
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked, _ = _marked(spark, sf_dir)
-    return lines.build_lines(marked, fusion.segments(marked))
+    return lines.build_lines(_marked(spark, sf_dir)[0])
 
 
 def _sql(body: str, depth: str = "fused") -> str:
@@ -135,11 +140,17 @@ def lines_packed(spark, sf_dir):
     return _lines(spark, sf_dir).drop("words")
 
 
-@query(_sql('SELECT interview_id, line_ix, segment_index, "start", "end", text, speaker FROM lines', "lines"))
+#: At this width some recordings keep their lines and most are packed anew.
+NARROW = 40
+
+
+@query(_sql(f''', narrow AS (WITH RECURSIVE {fixtures.LINES_SQL.replace("42", str(NARROW))} SELECT * FROM lines),
+fit AS (SELECT interview_id FROM lines GROUP BY interview_id HAVING bool_and(length(text) <= {NARROW}))
+SELECT interview_id, line_ix, segment_index, "start", "end", text, speaker FROM lines WHERE interview_id IN (FROM fit)
+UNION ALL SELECT interview_id, line_ix, segment_index, "start", "end", text, speaker FROM narrow WHERE interview_id NOT IN (FROM fit)''', "lines"))
 def lines_reused_at_width(spark, sf_dir):
-    marked, _ = _marked(spark, sf_dir)
-    parts = fusion.segments(marked)
-    return lines.lines_for_width(lines.build_lines(marked, parts), marked, parts, 42).drop("words")
+    marked = materialize(_marked(spark, sf_dir)[0], "marked")
+    return lines.lines_for_width(lines.build_lines(marked), marked, None, NARROW).drop("words")
 
 
 ESC_SQL = "replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
@@ -206,8 +217,8 @@ def transcript_json(spark, sf_dir):
 
 @query()
 def transcript_records(spark, sf_dir):
-    words = _words(spark, sf_dir)
-    made = recording.fuse(words, fixtures.speaker_turns(words))
+    words, turns = _recorded(spark, sf_dir)
+    made = recording.fuse(words, turns)
     facts = words.groupBy("interview_id").agg(F.max("end").alias("duration")).withColumn("audio_path", F.concat(F.lit("/audio/iv_"), "interview_id", F.lit(".mp3")))
     return render.to_full_json(render.nested_segments(made.words, made.segments), made.lines, facts)
 
@@ -400,6 +411,12 @@ def distinct_folders(spark, sf_dir):
     return worklist.distinct_folders(_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("ord"), value.alias("value")), 50)
 
 
+@query("SELECT o_custkey % 997 || '_' || o_custkey % 7 AS folder, min(o_orderkey) AS ord FROM orders GROUP BY folder")
+def distinct_folders_all(spark, sf_dir):
+    value = F.concat((F.col("o_custkey") % 997).cast("string"), F.lit("_"), F.col("o_custkey") % 7, F.when(F.col("o_orderkey") % 2 == 0, "-a").otherwise(" "))
+    return worklist.distinct_folders(_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("ord"), value.alias("value")))
+
+
 DONE_SQL = "done AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS id FROM orders WHERE o_orderstatus = 'F'), items AS (SELECT c_custkey AS ord, CAST(c_custkey AS VARCHAR) AS id FROM customer)"
 
 
@@ -560,8 +577,8 @@ def hypothesis_warnings(spark, sf_dir):
 @query(
     _sql(
         """, raw AS (SELECT *, CASE turn_ix % 3 WHEN 0 THEN 'speaker_' || (turn_ix % 4) WHEN 1 THEN CAST(turn_ix % 4 AS VARCHAR) ELSE 'spk' || turn_ix || '_ch' || (turn_ix % 4) END AS who FROM turns),
-cut AS (SELECT interview_id, least("start", 60.0) AS s, greatest(least("start", 60.0), least("end", 60.0)) AS e, turn_ix % 4 + 1 AS n FROM raw)
-SELECT interview_id, CAST(row_number() OVER (PARTITION BY interview_id ORDER BY s, e, n) - 1 AS INTEGER) AS turn_ix, s AS "start", e AS "end", printf('S%02d', n) AS speaker FROM cut""",
+cut AS (SELECT interview_id, least("start", 60.0) AS s, greatest(least("start", 60.0), least("end", 60.0)) AS e, turn_ix % 4 + 1 AS n, turn_ix AS place FROM raw)
+SELECT interview_id, CAST(row_number() OVER (PARTITION BY interview_id ORDER BY s, e, place) - 1 AS INTEGER) AS turn_ix, s AS "start", e AS "end", printf('S%02d', n) AS speaker FROM cut""",
         "turns",
     )
 )
@@ -572,8 +589,8 @@ def diarized_turns(spark, sf_dir):
     as_text = F.concat_ws(" ", "start", "end", who)
     as_object = F.to_json(F.struct(F.col("start").cast("string").alias("begin"), F.col("end").cast("string").alias("end_time"), who.alias("label")))
     as_array = F.concat(F.lit("["), F.concat_ws(", ", "start", "end", F.concat(F.lit('"'), who, F.lit('"'))), F.lit("]"))
-    raw = turns.select("interview_id", F.when(ix % 5 == 0, as_object).when(ix % 5 == 1, as_array).otherwise(as_text).alias("raw"))
-    raw = raw.union(turns.select("interview_id", F.lit("no turn")))
+    raw = turns.select("interview_id", ix.alias("ord"), F.when(ix % 5 == 0, as_object).when(ix % 5 == 1, as_array).otherwise(as_text).alias("raw"))
+    raw = raw.union(turns.select("interview_id", ix, F.lit("no turn")))
     limits = turns.select("interview_id").distinct().withColumn("duration", F.lit(60.0))
     return model_output.diarized_turns(model_output.parse_raw_turns(raw), limits)
 
@@ -648,8 +665,7 @@ def event_islands(spark, sf_dir):
 FROM marked w LEFT JOIN (SELECT interview_id, string_agg(DISTINCT speaker, ',' ORDER BY speaker) AS speakers FROM turns GROUP BY interview_id) u USING (interview_id) GROUP BY w.interview_id"""))
 def fused_recordings(spark, sf_dir):
     """The flagship: clamp, speaker join with fallback, segments, statistics."""
-    words = _words(spark, sf_dir)
-    made = recording.fuse(words, fixtures.speaker_turns(words))
+    made = recording.fuse(*_recorded(spark, sf_dir))
     counts = made.words.groupBy("interview_id").agg((F.max("segment_index") + 1).alias("segments"))
     return made.stats.join(counts, "interview_id").select(
         "interview_id",

@@ -31,8 +31,9 @@ class Recording:
 
 
 def fuse(words: DataFrame, turns: DataFrame, durations: DataFrame | None = None, limits: lines.LineLimits = lines.LineLimits()) -> Recording:
-    """Clamp, assign speakers, segment, pack lines. words: interview_id, idx, text, start, end, confidence, source."""
+    """Clamp, assign speakers, segment, pack lines. words: interview_id, idx, text, start, end, confidence, source.
+
+    The plan reads words and turns several times: give stored tables where they are dear to make."""
     clamped = word_ops.clamp_words(words, durations)
     marked = fusion.mark_segments(fusion.assign_speakers(clamped, turns))
-    segments = fusion.segments(marked)
-    return Recording(marked, segments, lines.build_lines(marked, segments, limits), fusion.fusion_stats(marked, turns))
+    return Recording(marked, fusion.segments(marked), lines.build_lines(marked, None, limits), fusion.fusion_stats(marked, turns))

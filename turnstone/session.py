@@ -21,6 +21,7 @@ def get_session(app: str = "turnstone", master: str | None = None, **conf: str)
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
+        "spark.sql.unionOutputPartitioning": "false",  # with adaptive execution it can lose rows
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     } | {k.replace("__", "."): v for k, v in conf.items()}
@@ -43,18 +44,30 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset."""
-    conf = spark.sparkContext.getConf()
-    found = conf.get("spark.checkpoint.dir", None) or getattr(spark.sparkContext, "_turnstone_dir", None)
+    """The folder that driver and executors share: spark.checkpoint.dir. On one machine it may be unset."""
+    context = spark.sparkContext
+    found = context.getConf().get("spark.checkpoint.dir", None) or getattr(context, "_turnstone_dir", None)
     if not found:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="turnstone-shared-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.sparkContext._turnstone_dir = found
+        context._turnstone_dir = found
     return found.rstrip("/")
 
 
+def _tables(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/turnstone/{spark.sparkContext.applicationId}"
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: its lineage is cut and it survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/turnstone/{name}-{uuid.uuid4().hex}"
+    path = f"{_tables(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Delete the tables that this application has materialized, once no result reads them any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_tables(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from turnstone.functions.text import basename, stem
 
 # Suffixes of recordings.
-AUDIO_SUFFIXES = (".mp3", ".mp4", ".wav", ".m4a", ".flac", ".ogg", ".aac", ".webm")
+AUDIO_SUFFIXES = (".mp3", ".wav", ".m4a", ".flac", ".ogg", ".mp4", ".mkv", ".mov")
 PREPARED = ".prepared.wav"
 
 
@@ -46,8 +46,8 @@ def completed(spark: SparkSession, json_dir: str) -> DataFrame:
 
 
 def status(spark: SparkSession, json_dir: str) -> DataFrame:
-    """How many recordings are finished, and which, sorted."""
-    return completed(spark, json_dir).agg(F.count(F.lit(1)).alias("finished"), F.array_sort(F.collect_list("id")).alias("ids"))
+    """finished: how many recordings are; `completed` has which."""
+    return completed(spark, json_dir).agg(F.count(F.lit(1)).alias("finished"))
 
 
 def skip_list(spark: SparkSession, path: str) -> DataFrame:
