@@ -115,6 +115,86 @@ def test_jaccard(docs, empty):
     assert kept.columns == docs.columns and kept.count() == len({c for _, c in got.values()})
 
 
+def test_jaccard_index():
+    """Similar sets share a key whatever is taken for repeated or frequent; unlike sets with a common part have none."""
+    rng = np.random.default_rng(4)
+    for n in (5, 40, 63, 64, 70, 130, 300, 900):
+        for _ in range(12):
+            base = rng.integers(0, 2**64, n, dtype=np.uint64)
+            cut = int(n * rng.uniform(0, 0.11))
+            other = np.concatenate((base[cut:], rng.integers(0, 2**64, cut, dtype=np.uint64)))
+            every = np.unique(np.concatenate((base, other)))
+            repeated = dict(zip(every.tolist(), (np.isin(every, base) & np.isin(every, other)) | (rng.random(len(every)) < 0.3), strict=True))
+            frequent = {t: r and rng.random() < rng.choice([0.1, 0.9, 1.0]) for t, r in repeated.items()}
+            keys = []
+            for tokens in (np.unique(base), np.unique(other)):
+                flags = [np.array([d[t] for t in tokens.tolist()], bool) for d in (repeated, frequent)]
+                keys.append(jaccard.signatures(tokens, *flags))
+            if jaccard.similar(np.unique(base), np.unique(other)):
+                assert len(np.intersect1d(*keys)), n
+    passage = rng.integers(0, 2**64, 60, dtype=np.uint64)
+    tokens = np.unique(np.concatenate((passage, rng.integers(0, 2**64, 60, dtype=np.uint64))))
+    common = np.isin(tokens, passage)
+    assert not len(jaccard.signatures(tokens, common, common))
+
+
+def test_jaccard_odd_rows(spark):
+    """Null and repeated ids, rows that repeat, long texts, clashing columns, and a large family of near copies."""
+    rng = random.Random(3)
+    base = [f"b{i}" for i in range(150)]
+
+    def near(k):
+        words = list(base)
+        for _ in range(k):
+            words[rng.randrange(150)] = f"z{rng.randrange(10**6)}"
+        return " ".join(words)
+
+    rows = [(i, near(rng.choice([2, 4, 6]))) for i in range(700)]
+    rows += [(800, "long " + " ".join(str(k) for k in range(40_000))), (801, "LONG " + " ".join(str(k) for k in range(40_000))), (None, rows[0][1]), (802, rows[1][1]), (802, rows[1][1]), (803, None)]
+    table = spark.createDataFrame([(*r, 1, "k", "f") for r in rows], "doc_id long, text string, component_id int, keys string, family string")
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in ((t or "").lower().split() for _, t in rows)]
+    up = {d: d for d, _ in rows if d is not None}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, (d, _) in enumerate(rows):
+        for b in range(a):
+            e = rows[b][0]
+            if d is not None and e is not None and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = root(d), root(e)
+                up[max(x, y)] = min(x, y)
+    got = [(r.doc_id, r.component_id) for r in jaccard.join_similar(table).collect()]
+    assert sorted(got, key=str) == sorted(((d, root(d) if d is not None else None) for d, _ in rows), key=str)
+
+
+def test_language_posteriors_by_enumeration():
+    import itertools
+
+    rng = np.random.default_rng(7)
+    for n in (1, 2, 5, 7):
+        e, t = rng.normal(size=(n, 3)), rng.normal(size=(3, 3))
+        expected = np.zeros((n, 3))
+        for path in itertools.product(range(3), repeat=n):
+            weight = np.exp(sum(e[i, k] for i, k in enumerate(path)) + sum(t[a, b] for a, b in itertools.pairwise(path)))
+            for i, k in enumerate(path):
+                expected[i, k] += weight
+        expected /= expected.sum(1, keepdims=True)
+        found = langid.posteriors(e, np.array([0, n]), t, 2)
+        free = langid.posteriors(e, np.array([0, n]), t - t.max(), 32)
+        assert np.allclose(found, free)
+        if n > 1:  # the start is a uniform message through the transitions; by enumeration with that start
+            start = np.exp(t).sum(0)
+            expected = np.zeros((n, 3))
+            for path in itertools.product(range(3), repeat=n):
+                weight = start[path[0]] * np.exp(sum(e[i, k] for i, k in enumerate(path)) + sum(t[a, b] for a, b in itertools.pairwise(path)))
+                for i, k in enumerate(path):
+                    expected[i, k] += weight
+            assert np.allclose(found, expected / expected.sum(1, keepdims=True))
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(0, i) for i in range(300, 340)] + [(i, i + 1) for i in range(400, 440)]
