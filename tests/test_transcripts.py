@@ -171,10 +171,55 @@ def test_sources(spark, tmp_path):
     assert [r.id for r in listing.completed(spark, str(tmp_path / "out/json")).collect()] == ["x"]
 
 
-def test_without_training_operators():
+def test_without_training_operators(tmp_path):
+    """A copy without the operators' folder and the pipeline imports, and registers everything else."""
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
     import __spark_entry__
 
-    assert "fused_recordings" in __spark_entry__.queries()
+    root = Path(__spark_entry__.__file__).parent
+    shutil.copytree(root / "turnstone", tmp_path / "turnstone", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; print(*sorted(e.queries()), '|', *sorted(e.oracle_sql()))"
+    told = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PATH": "/usr/bin:/bin"}, capture_output=True, text=True, check=True).stdout
+    names = told.split("|")[0].split()
+    assert "fused_recordings" in names and not [n for n in names if n.startswith("op") or n == "pipeline"]
+
+
+def test_raw_turns(spark):
+    shapes = ['{"start": 0, "end": 1, "speaker": 1}', '{"begin": 0, "end_time": 1, "label": 1.0}', '{"start": 0, "end": 1, "label": true}', '{"start": 0, "end": 1, "speaker": 1.5}', '[0, 1, 2.0]', '["0", "1", "spk2_ch3"]', "0 1 speaker_0", "0.0,1.0,3", '{"start": 0, "end": 1, "speaker": "1.0"}', "none", '{"start": 0}']
+    raw = spark.createDataFrame([(1, i, r) for i, r in enumerate(shapes)], "interview_id long, ord int, raw string")
+    got = model_output.diarized_turns(model_output.parse_raw_turns(raw)).orderBy("turn_ix").collect()
+    assert [r.speaker for r in got] == ["S02", "S02", "True", "1.5", "S03", "S04", "S01", "S04", "S01"]  # ties keep their order
+    assert sorted(r.warning for r in model_output.unread_turns(raw).collect()) == ["unrecognised diarization segment: none", 'unrecognised diarization segment: {"start": 0}']
+
+
+def test_suffixes(spark, tmp_path):
+    for suffix in (".mp3", ".wav", ".m4a", ".flac", ".ogg", ".mp4", ".mkv", ".mov", ".aac", ".webm"):
+        (tmp_path / f"x{suffix}").write_bytes(b"x")
+    found = [r.path.rpartition(".")[2] for r in listing.find_recordings(spark, str(tmp_path)).collect()]
+    assert sorted(found) == sorted(["mp3", "wav", "m4a", "flac", "ogg", "mp4", "mkv", "mov"])
+
+
+def test_text_distance():
+    rng = random.Random(9)
+    for _ in range(500):
+        a, b = ("".join(rng.choices("abc", k=rng.randrange(12))) for _ in range(2))
+        assert edits.text_distance(a, b) == edits.distance(a, b)
+
+
+def test_words_over_many_slices(spark):
+    """Words and turns that reach over several slices, beside short ones."""
+    rng = random.Random(5)
+    words = sorted((rng.randrange(0, 400) / 2, rng.choice([0.5, 20, 70, 95])) for _ in range(60))
+    spans = [(a, a + rng.choice([1, 40, 130])) for a in (rng.randrange(0, 400) / 2 for _ in range(25))]
+    rows = spark.createDataFrame([(1, i, a, a + n, "w") for i, (a, n) in enumerate(words)], WORD)
+    turns = spark.createDataFrame([(1, i, float(a), float(b), f"S{i}") for i, (a, b) in enumerate(spans)], TURN)
+    found = {r.idx: r.turn_ix for r in fusion.assign_speakers(rows, turns).collect()}
+    assert found == dict(enumerate(sweep([(a, a + n) for a, n in words], spans)))
 
 
 def test_run_status_and_streams(spark, tmp_path, capsys):

@@ -70,9 +70,3 @@ def valid_downloads(entries: DataFrame, limit: int = 0) -> DataFrame:
     first = entries.orderBy("ord").limit(limit) if limit else entries
     kept = first.where("coalesce(audio, '') <> '' AND coalesce(name, '') <> ''")
     return kept.select("ord", "name", F.col("audio").alias("url"), F.col("name").alias("folder"), stream_filename(F.col("audio"), F.col("name")).alias("filename"))
-
-
-def first_where(rows: DataFrame, key: str, order: str) -> DataFrame:
-    """The first row of each key, by order."""
-    place = Window.partitionBy(key).orderBy(order)
-    return rows.withColumn("__r", F.row_number().over(place)).where("__r = 1").drop("__r")
