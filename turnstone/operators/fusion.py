@@ -62,7 +62,7 @@ def cursors(words: DataFrame, turns: DataFrame) -> DataFrame:
     asks = words.select("interview_id", F.col("start").alias("at"), F.lit(1).alias("kind"), F.lit(None).cast("int").alias("rank"), F.col("idx").cast("int").alias("idx"), F.lit(None).cast("long").alias("n"))
     merged = Window.partitionBy("interview_id").orderBy(F.desc("at"), "kind").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy("interview_id")
-    # Spark 4.1 can take a union for partitioned as its parts were and then lose rows; an exchange of its own is safe
+    # not left to how Spark 4.1 takes a union to be partitioned, see the README
     found = marks.union(asks).repartition("interview_id").select("interview_id", "kind", "idx", F.min("rank").over(merged).alias("low"), F.max("n").over(whole).alias("n"))
     return found.where("kind = 1 AND n IS NOT NULL").select("interview_id", "idx", F.coalesce("low", "n").cast("int").alias("cursor"))
 
