@@ -509,3 +509,12 @@ def test_warc(spark):
 def test_pieces():
     texts = [b"a" * 10, None, b"b" * 30, b""]
     assert list(arrow.pieces(texts, 20)) == [(0, 3), (3, 4)]
+
+
+def test_token_table_of_copies(spark):
+    """A text with very many copies neither fills the sample nor is kept out of it."""
+    rows = [(i, "one text that many share") for i in range(3000)] + [(i, f"text{i} by itself") for i in range(3000, 6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    table = token_counts.frequent_lengths(docs, tokenizer_path(), entries=50, sample=600)
+    assert {" many", " by", " itself"} <= set(table) and len(table) == 50
+    assert token_counts.frequent_lengths(docs.where("false"), tokenizer_path()) == {}
