@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import io
-import math
 import wave
 
 import numpy as np
@@ -82,17 +81,28 @@ def encode(samples: np.ndarray, rate: int = RATE) -> bytes:
     return out.getvalue()
 
 
-@F.pandas_udf(T.ArrayType(T.FloatType()))
-def load_audio(content: pd.Series) -> pd.Series:
-    """A WAV file's samples, mono at RATE; null where it can't be read."""
-
-    def load(data: bytes | None):
+def _read(content: pd.Series) -> pd.DataFrame:
+    def read(data: bytes | None) -> tuple[np.ndarray | None, str | None]:
         try:
-            return None if data is None else resample(to_mono(decode(data)[0]), decode(data)[1])
-        except (ValueError, wave.Error, EOFError):
-            return None
+            if data is None:
+                return None, None
+            samples, rate = decode(data)
+            return resample(to_mono(samples), rate), None
+        except (ValueError, wave.Error, EOFError) as error:
+            return None, f"could not decode: wave: {type(error).__name__}: {error}"
+
+    return pd.DataFrame([read(data) for data in content], columns=["samples", "error"], dtype=object)
+
+
+@F.pandas_udf(T.StructType([T.StructField("samples", T.ArrayType(T.FloatType())), T.StructField("error", T.StringType())]))
+def read_audio(content: pd.Series) -> pd.DataFrame:
+    """A WAV file's samples, mono at RATE, or the error why it can't be read; both null where there is no file."""
+    return _read(content)
 
-    return content.map(load)
+
+def load_audio(content: Column) -> Column:
+    """A WAV file's samples, mono at RATE; null where it can't be read."""
+    return read_audio(content)["samples"]
 
 
 @F.pandas_udf(T.BinaryType())
@@ -101,7 +111,18 @@ def to_wav(samples: pd.Series) -> pd.Series:
 
 
 def prepare_audio(content: Column, boost: float = 1.0) -> Column:
-    """A recording's prepared copy: decoded, boosted, encoded. Denoising needs a library that is not here: samples
-    pass through it unchanged."""
-    samples = load_audio(content)
-    return to_wav(apply_boost(samples, boost) if not math.isclose(boost, 1.0) else samples)
+    """A recording's prepared copy: decoded, boosted, encoded; null where it can't be read. Denoising needs a library
+    that is not here: samples pass through it unchanged. Array functions can't take what a UDF returns, so all three
+    steps are one UDF."""
+
+    @F.pandas_udf(T.BinaryType())
+    def prepare(data: pd.Series) -> pd.Series:
+        def made(samples: np.ndarray | None) -> bytes | None:
+            if samples is None:
+                return None
+            loud = samples * np.float32(boost)
+            return encode(loud / max(1.0, float(np.abs(loud).max(initial=0.0))) if boost != 1.0 else samples)
+
+        return _read(data)["samples"].map(made)
+
+    return prepare(content)

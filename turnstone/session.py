@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,3 +74,26 @@ def drop_tables(spark: SparkSession) -> None:
     """Delete the tables that this application has materialized, once no result reads them any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path(_tables(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def timed(seconds: dict[str, float], stage: str) -> Iterator[None]:
+    """Add the wall-clock seconds of a block to seconds[stage], also where the block fails."""
+    began = time.monotonic()
+    try:
+        yield
+    finally:
+        seconds[stage] = seconds.get(stage, 0.0) + time.monotonic() - began
+
+
+#: Fixed value: seconds before a job's end from which no new work is begun.
+SPARE_SECONDS = 600.0
+
+
+def seconds_left(minutes: float, began: float | None = None) -> float:
+    """Seconds in which work may still be begun, of a job of so many minutes that began at time.monotonic() `began`
+    (now, if not given); without minutes there is no end."""
+    if not minutes:
+        return float("inf")
+    now = time.monotonic()
+    return (now if began is None else began) + minutes * 60 - SPARE_SECONDS - now

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import shutil
-import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 from urllib.request import urlopen
@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from turnstone.session import ship
 
 FETCH_SECONDS = 600
+#: Fixed value: a download of no more bytes has failed (for fetch_items' least_bytes).
+EMPTY_BYTES = 1000
 
 
 def _copy_url(item: dict, target: Path) -> None:
@@ -25,11 +27,12 @@ def _copy_url(item: dict, target: Path) -> None:
 FETCHERS: dict[str, Callable[[dict, Path], None]] = {"url": _copy_url}
 
 
-def fetch_items(items: DataFrame, dest: str, fetchers: dict[str, Callable[[dict, Path], None]] | None = None) -> DataFrame:
+def fetch_items(items: DataFrame, dest: str, fetchers: dict[str, Callable[[dict, Path], None]] | None = None, least_bytes: int = 0) -> DataFrame:
     """Items (id, kind, path, url, filename) with local_path and error.
 
     A local file is used where it is; others are fetched by their kind's function into dest, a folder that all
-    executors see, by a temporary name first. A missing file or an unknown kind is that item's error."""
+    executors see, by a temporary name first. A missing file, an unknown kind or a fetched file of no more than
+    least_bytes is that item's error."""
     known = FETCHERS | (fetchers or {})
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema) + ", local_path string, error string"
 
@@ -45,6 +48,9 @@ def fetch_items(items: DataFrame, dest: str, fetchers: dict[str, Callable[[dict,
         target.parent.mkdir(parents=True, exist_ok=True)
         part = target.with_name(target.name + ".part")
         known[kind](item, part)
+        if least_bytes and part.stat().st_size <= least_bytes:
+            part.unlink()
+            raise ValueError(f"only {least_bytes} bytes or fewer: {target.name}")
         part.replace(target)
         return str(target)
 
@@ -80,9 +86,8 @@ def write_files(rows: DataFrame, root: str, kinds: dict[str, tuple[str, str]], n
                     folder, suffix = kinds[column]
                     target = Path(root) / folder / f"{row[name]}{suffix}"
                     target.parent.mkdir(parents=True, exist_ok=True)
-                    handle, part = tempfile.mkstemp(dir=target.parent, prefix=".", suffix=".part")
-                    with os.fdopen(handle, "w", encoding="utf-8") as out:
-                        out.write(row[column])
+                    part = target.with_name(f".{uuid.uuid4().hex}.part")
+                    part.write_text(row[column], encoding="utf-8", newline="")
                     os.replace(part, target)
                     written += 1
                 counts.append(written)

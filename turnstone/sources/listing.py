@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from turnstone.functions.text import basename, stem
+from turnstone.functions.text import basename, slug, stem
 
 # Suffixes of recordings.
 AUDIO_SUFFIXES = (".mp3", ".wav", ".m4a", ".flac", ".ogg", ".mp4", ".mkv", ".mov")
@@ -95,6 +95,31 @@ def sheet_folders(spark: SparkSession, path: str, column: str = "as", limit: int
     return distinct_folders(placed, limit)
 
 
+def resolve_source(source: str | None = None, from_json: bool = False) -> str:
+    """Where recordings come from: the source that is named, or else json if wanted, or else smb."""
+    return source if source and source != "auto" else "json" if from_json else "smb"
+
+
+def work_items(spark: SparkSession, source: str, where: str, folders: list[str] | None = None) -> DataFrame:
+    """Items (ord, id, kind, ...) of a folder (local), a JSON work list (json) or the folders of a mounted share (smb)."""
+    from turnstone.operators import worklist
+
+    if source == "local":
+        return worklist.items_from_paths(find_recordings(spark, where))
+    if source == "json":
+        return worklist.items_from_entries(read_entries(spark, where))
+    if source != "smb":
+        raise ValueError(f"unknown source: {source}")
+    from turnstone.session import ship
+    from turnstone.sources.folders import FolderSource
+
+    ship(spark)
+    spark.dataSource.register(FolderSource)
+    found = spark.read.format("audio_folders").options(root=where, folders=",".join(folders or [])).load()
+    named = numbered(found, "remote_path")
+    return named.select("ord", slug(stem(F.col("name"))).alias("id"), F.lit("smb").alias("kind"), "remote_path", "folder")
+
+
 def count_files(spark: SparkSession, root: str, suffixes: tuple[str, ...] = ()) -> DataFrame:
     """files: the number under root with one of the suffixes, as they are written."""
     files = list_files(spark, root)

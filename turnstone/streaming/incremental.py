@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from turnstone.session import seconds_left
+
 
 def process_new_items(items: DataFrame, done: Callable[[], DataFrame], work: Callable[[DataFrame], None], checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Run `work` on every micro-batch of items (id, ...) that are not done yet.
@@ -22,6 +24,19 @@ def process_new_items(items: DataFrame, done: Callable[[], DataFrame], work: Cal
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def run_until(query: StreamingQuery, minutes: float = 0) -> bool:
+    """Wait for a stream's end, or stop it shortly before a job's minutes are over (see seconds_left); whether it
+    ended by itself. A batch that is stopped is done again by the next run from the same checkpoint."""
+    left = seconds_left(minutes)
+    if left == float("inf"):
+        query.awaitTermination()
+        return True
+    ended = bool(query.awaitTermination(max(0.001, left)))
+    if not ended:
+        query.stop()
+    return ended
+
+
 def speech_islands(words: DataFrame, pause: str = "800 milliseconds", late: str = "10 seconds") -> DataFrame:
     """Words with an event time (interview_id, ts) grouped wherever they pause: start, end and number of words."""
     marked = words.withWatermark("ts", late)
