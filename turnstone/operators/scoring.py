@@ -48,9 +48,9 @@ def error_rates(words: DataFrame, references: DataFrame) -> DataFrame:
     numbered = scored_words(words)
     aligned = align(numbered, references)
     tagged = tag_words(numbered, aligned)
-    mean = lambda c: F.round(F.avg(c), 4)
+    mean = lambda c: F.round(F.avg(c.try_cast("decimal(20,12)")), 4).cast("double")  # noqa: E731  the same in any order
     means = tagged.groupBy("interview_id").agg(
-        mean("confidence").alias("mean_confidence"),
+        mean(F.col("confidence")).alias("mean_confidence"),
         mean(F.when(F.col("status") == "correct", F.col("confidence"))).alias("mean_confidence_correct"),
         mean(F.when(F.col("status") == "substitution", F.col("confidence"))).alias("mean_confidence_incorrect"),
     )

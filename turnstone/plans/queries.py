@@ -215,6 +215,21 @@ def transcript_json(spark, sf_dir):
     return render.to_json(render.nested_segments(marked, fusion.segments(marked)))
 
 
+_JSON_WORD = "struct<word:string,start:double,end:double,score:double,speaker:string,source:string>"
+_JSON_SEGMENT = f"struct<start:double,end:double,text:string,speaker:string,words:array<{_JSON_WORD}>>"
+
+
+@query(_sql("""SELECT m.interview_id, 'en' AS "language", m.segment_index, round(s."start", 3) AS segment_start, round(s."end", 3) AS segment_end, s.text AS segment_text, s.speaker AS segment_speaker,
+  row_number() OVER (PARTITION BY m.interview_id, m.segment_index ORDER BY m.idx) - 1 AS place, m.text AS word, round(m."start", 3) AS "start", round(m."end", 3) AS "end", m.confidence AS score, m.speaker, m.source
+FROM marked m JOIN segs s USING (interview_id, segment_index)"""))
+def transcript_json_words(spark, sf_dir):
+    """Every word as a reader of the JSON finds it."""
+    read = transcript_json(spark, sf_dir).select("interview_id", F.from_json("json", f"struct<language:string,segments:array<{_JSON_SEGMENT}>>").alias("d"))
+    placed = read.select("interview_id", "d.language", F.posexplode("d.segments").alias("segment_index", "s"))
+    own = [F.col(f"s.{c}").alias(f"segment_{c}") for c in ("start", "end", "text", "speaker")]
+    return placed.select("interview_id", "language", "segment_index", *own, F.posexplode("s.words").alias("place", "w")).select("*", "w.*").drop("w")
+
+
 @query()
 def transcript_records(spark, sf_dir):
     words, turns = _recorded(spark, sf_dir)
@@ -223,6 +238,20 @@ def transcript_records(spark, sf_dir):
     return render.to_full_json(render.nested_segments(made.words, made.segments), made.lines, facts)
 
 
+_RECORD_LINE = "struct<index:int,start:double,end:double,speaker:string,segment_index:int,text:string>"
+
+
+@query(_sql(""", facts AS (SELECT interview_id, max("end") AS duration FROM words GROUP BY interview_id)
+SELECT interview_id, '/audio/iv_' || interview_id || '.mp3' AS audio_path, round(duration, 3) AS duration, line_ix AS index, round(l."start", 3) AS "start", round(l."end", 3) AS "end", l.speaker, segment_index, l.text, n_words AS segment_words
+FROM lines l JOIN facts USING (interview_id) JOIN (SELECT interview_id, segment_index, n_words FROM segs) USING (interview_id, segment_index)""", "lines"))
+def transcript_record_lines(spark, sf_dir):
+    """Every line as a reader of the whole records finds it, with the number of its segment's words."""
+    kind = f"struct<audio_path:string,duration:double,segments:array<struct<words:array<struct<word:string>>>>,lines:array<{_RECORD_LINE}>>"
+    read = transcript_records(spark, sf_dir).select("interview_id", F.from_json("json", kind).alias("d"))
+    flat = read.select("interview_id", "d.audio_path", "d.duration", "d.segments", F.inline("d.lines"))
+    return flat.withColumn("segment_words", F.size(F.get("segments", F.col("segment_index"))["words"]).cast("long")).drop("segments")
+
+
 @query(
     f"""SELECT event_id, {_stamp_sql("value")} AS dot, {_stamp_sql("value * 100", ",")} AS comma FROM events"""
 )
@@ -614,7 +643,24 @@ def diarization_meta(spark, sf_dir):
 # --- scoring ------------------------------------------------------------------------------------------------------------
 
 
-@query()
+def _mean_sql(which: str) -> str:
+    """The mean of three-digit confidences to four places, in whole numbers, halves up."""
+    total, n = f"CAST(sum(CAST(round(confidence * 1000) AS BIGINT)) FILTER ({which}) AS BIGINT)", f"count(confidence) FILTER ({which})"
+    return f"CASE WHEN {n} > 0 THEN ((20 * {total} + {n}) // (2 * {n})) / 10000.0 END"
+
+
+#: Swapped words match nothing and dropped ones can't come back, so a least-cost alignment has just these operations.
+#: DuckDB measures bytes: letters beyond ASCII get upper-case letters, which normalised words don't have.
+@query(_sql(f"""
+, heard AS (SELECT interview_id, idx, confidence, idx % 11 = 10 AS gone, idx % 11 <> 10 AND idx % 13 = 12 AS swapped,
+  translate(trim(replace(lower(regexp_replace(text, '[^\\PP'']', '', 'g')), 'ß', 'ss'), ''''), 'äöüéèêçñóáíú', 'ABCDEFGHIJKL') AS token FROM words),
+counted AS (SELECT interview_id, count(*) AS reference_words, count(*) FILTER (NOT gone) AS hypothesis_words, count(*) FILTER (NOT gone AND NOT swapped) AS hits,
+  count(*) FILTER (swapped) AS substitutions, count(*) FILTER (gone) AS deletions, CAST(0 AS BIGINT) AS insertions,
+  string_agg(token, '' ORDER BY idx) AS ref, string_agg(CASE WHEN swapped THEN 'qqq' ELSE token END, '' ORDER BY idx) FILTER (NOT gone) AS hyp,
+  {_mean_sql('NOT gone')} AS mean_confidence, {_mean_sql('NOT gone AND NOT swapped')} AS mean_confidence_correct,
+  {_mean_sql('swapped')} AS mean_confidence_incorrect FROM heard GROUP BY interview_id)
+SELECT * EXCLUDE (ref, hyp), round((substitutions + deletions) / reference_words, 4) AS wer, round(hits / reference_words, 4) AS word_accuracy,
+  round(levenshtein(ref, coalesce(hyp, '')) / greatest(1, length(ref)), 4) AS cer FROM counted""", "words"))
 def error_rates(spark, sf_dir):
     words = _words(spark, sf_dir)
     kept = words.where("idx % 11 <> 10").withColumn("text", F.when(F.col("idx") % 13 == 12, "qqq").otherwise(F.col("text")))
