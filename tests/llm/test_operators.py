@@ -4,6 +4,8 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,7 +74,7 @@ def brute_removed(rows, size=20):
 
 def test_substring_dedup_odd_rows(spark, monkeypatch):
     monkeypatch.setattr(substring_dedup, "CHUNK_BYTES", 4000)  # many chunks
-    monkeypatch.setattr(substring_dedup, "SHARD_CELLS", 64)  # a narrow sketch: many false repeats
+    monkeypatch.setattr(sketch, "SHARD_CELLS", 64)  # a narrow sketch: many false repeats
     rng = random.Random(8)
     passage = " ".join(f"p{i}" for i in range(45))
     rows = [(i, " ".join(f"u{rng.randrange(3000)}" for _ in range(60)) + " " + passage + f" end{i}") for i in range(120)]
@@ -86,15 +88,28 @@ def test_substring_dedup_odd_rows(spark, monkeypatch):
     assert sorted((str(r.doc_id), r.kept_text) for r in found.collect()) == expected
 
 
-def test_sketch_never_too_low(docs):
+@pytest.mark.parametrize("shard", [64, 1 << 20])
+def test_sketch_never_too_low(monkeypatch, shard):
+    monkeypatch.setattr(sketch, "SHARD_CELLS", shard)
     hashes = lambda texts: hashing.word_hashes(hashing.split_words(texts))
-    found = sketch.build(docs, "text", hashes, 1 << 20, lambda load: (2, 33))
-    tokens = [t.encode() for t in make_texts() if t]
-    every = hashes(tokens)
-    values, counts = np.unique(every, return_counts=True)
-    for least in (2, 33):
-        assert found.at_least(values[counts >= least], least).all()
-    assert found.at_least(values[counts == 1], 33).mean() < 0.1
+    texts = [t.encode() for t in make_texts() if t]
+    values, counts = np.unique(hashes(texts), return_counts=True)
+    for rows in (1, 2):
+        layout = sketch.Layout(sum(map(len, texts)), 4000, 0.5, 3, rows, (2, 33))
+        chunks = [hashes(texts[k :: layout.chunks]) for k in range(layout.chunks)]
+        asked = pa.concat_tables([sketch._question(layout, k, h) for k, h in enumerate(chunks)])
+        told = []
+        for row, shard_no in set(zip(asked["row"].to_pylist(), asked["shard"].to_pylist(), strict=True)):
+            told.append(sketch._answer(layout, asked.filter((pc.field("row") == row) & (pc.field("shard") == shard_no))))
+        told = pa.concat_tables(told)
+        wrong = 0
+        for k, mine in enumerate(chunks):
+            masks = sketch.at_least(layout, mine, told.filter(pc.field("chunk") == k))
+            exact = counts[np.searchsorted(values, mine)]
+            for least, mask in zip((2, 33), masks, strict=True):
+                assert mask[exact >= least].all()
+            wrong += int(masks[1][exact == 1].sum())
+        assert shard == 64 or wrong < 0.1 * (counts == 1).sum()
 
 
 def test_jaccard(docs, empty):
@@ -138,8 +153,10 @@ def test_jaccard_index():
     assert not len(jaccard.signatures(tokens, common, common))
 
 
-def test_jaccard_odd_rows(spark):
+def test_jaccard_odd_rows(spark, monkeypatch):
     """Null and repeated ids, rows that repeat, long texts, clashing columns, and a large family of near copies."""
+    monkeypatch.setattr(jaccard, "CHUNK_BYTES", 4000)  # many chunks
+    monkeypatch.setattr(sketch, "SHARD_CELLS", 64)  # a narrow sketch: many tokens taken for repeated and frequent
     rng = random.Random(3)
     base = [f"b{i}" for i in range(150)]
 

@@ -20,14 +20,15 @@ SHINGLE = 5
 #: Least similarity, in hundredths.
 SIMILARITY = 80
 #: Tokens (shingles) whose estimated document frequency is above this are frequent: they are indexed in pairs.
-#: A sketch at its largest width raises it with its load (see CountMin.load), so that rare tokens stay single.
 FREQUENT = 32
-LOAD_ROOM = 4
 #: Sets up to this size are indexed by single tokens only; beyond, frequent tokens fall into about a quarter as many
 #: classes as a set has tokens, and pairs are made within a class.
 SMALL_SET = 63
-#: Sketch cells a byte of text: about three a token. One row of them does: a token wrongly taken for repeated is a key without a partner.
+#: Documents are dealt into chunks of about so many bytes of text, each of which asks the sketch for its tokens.
+CHUNK_BYTES = 1 << 22
+#: Sketch cells a byte of text (no bound) and a token, about. One row does: a token wrongly taken for repeated is a key without a partner.
 CELLS_PER_BYTE = 0.4
+CELLS_PER_TOKEN = 3
 #: Documents this alike to a pivot, in hundredths, are its family and are compared among themselves.
 KIN = 30
 #: Documents and tokens of a family in a block, about.
@@ -47,9 +48,13 @@ def shingle_sets(texts: list[bytes | None], size: int = SHINGLE) -> list[np.ndar
     return [np.unique(hashes[cuts[i] : cuts[i + 1]]) for i in range(len(texts))]
 
 
-def _tokens(texts: list[bytes | None]) -> np.ndarray:
-    sets = shingle_sets(texts)
-    return np.concatenate(sets) if sets else np.zeros(0, U)
+def _sets(texts: list[bytes | None]) -> list[np.ndarray]:
+    """shingle_sets of any number of texts, made in pieces."""
+    return [s for a, b in pieces(texts) for s in shingle_sets(texts[a:b])]
+
+
+def _tokens(table: pa.Table) -> np.ndarray:
+    return np.concatenate(_sets(raw(table["text"])))
 
 
 def required(n: int) -> int:
@@ -138,41 +143,45 @@ def similar_pairs(left: list[np.ndarray], right: list[np.ndarray], columns: int
     return np.nonzero((union > 0) & (100 * both >= SIMILARITY * union))
 
 
+def _index_chunk(layout: sketch.Layout, names: pa.Schema):
+    """Sets and keys of a chunk's documents."""
+
+    def index(held: pa.Table, side: pa.Table) -> pa.Table:
+        if not held.num_rows:
+            return names.empty_table()
+        texts = raw(held["text"])
+        sets = _sets(texts)
+        flat = np.concatenate(sets)
+        cuts = np.cumsum([0, *map(len, sets)])
+        repeated, frequent = sketch.at_least(layout, flat, side)
+        spans = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        keys = [signatures(s, repeated[at], frequent[at]) if len(s) else s for s, at in zip(sets, spans, strict=True)]
+        mixed = np.concatenate(([U(0)], np.cumsum(mix(flat ^ _KEYS[0]))))
+        plain = np.concatenate(([U(0)], np.cumsum(flat)))
+        set_names = [(sums[cuts[1:]] - sums[cuts[:-1]]).view(np.int64) for sums in (plain, mixed)]
+        sizes = np.cumsum([0, *map(len, keys)])
+        listed = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.concatenate(keys).view(np.int64)))
+        keyed = pa.array([t if len(k) else None for t, k in zip(texts, keys, strict=True)], pa.binary())
+        return pa.Table.from_arrays([held["doc_id"], pa.array(np.diff(cuts), pa.int64()), *map(pa.array, set_names), listed, keyed], schema=names)
+
+    return index
+
+
 def index_documents(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, s1, s2 (the set's name), keys, and text where a document has keys."""
-    total = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
-    made = sketch.build(docs, text, _tokens, int(total * CELLS_PER_BYTE), lambda load: (2, FREQUENT + 1 + int(LOAD_ROOM * load)), rows=1)
-    counts = docs.sparkSession.sparkContext.broadcast(made)
+    """doc_id, n_shingles, s1, s2 (the set's name), keys, and text where a document has keys.
 
-    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        twice, often = counts.value.thresholds
-        for batch in batches:
-            texts = raw(batch.column(1))
-            for begin, end in pieces(texts):
-                sets = shingle_sets(texts[begin:end])
-                flat = np.concatenate(sets)
-                cuts = np.cumsum([0, *map(len, sets)])
-                repeated, frequent = counts.value.at_least(flat, twice), counts.value.at_least(flat, often)
-                spans = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-                keys = [signatures(s, repeated[at], frequent[at]) if len(s) else s for s, at in zip(sets, spans, strict=True)]
-                mixed = np.concatenate(([U(0)], np.cumsum(mix(flat ^ _KEYS[0]))))
-                plain = np.concatenate(([U(0)], np.cumsum(flat)))
-                names = [(sums[cuts[1:]] - sums[cuts[:-1]]).view(np.int64) for sums in (plain, mixed)]
-                sizes = np.cumsum([0, *map(len, keys)])
-                listed = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.concatenate(keys).view(np.int64)))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(begin, end - begin),
-                        pa.array(np.diff(cuts), pa.int64()),
-                        *map(pa.array, names),
-                        listed,
-                        pa.array([t if len(k) else None for t, k in zip(texts[begin:end], keys, strict=True)], pa.binary()),
-                    ],
-                    ["doc_id", "n_shingles", "s1", "s2", "keys", "text"],
-                )
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text)
-    return materialize(rows.mapInArrow(index, "doc_id long, n_shingles long, s1 long, s2 long, keys array<long>, text binary"), "shingles")
+    Documents are dealt into chunks by a hash of id and text; a chunk counts its tokens in a count-min sketch as wide as
+    the corpus asks for, whose shards answer with two bits a token: estimated repeated, and estimated frequent.
+    """
+    total = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
+    layout = sketch.Layout(total, CHUNK_BYTES, CELLS_PER_BYTE, CELLS_PER_TOKEN, 1, (2, FREQUENT + 1))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
+    dealt = rows.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(layout.chunks)).alias("chunk"), "doc_id", "text")
+    answers = sketch.answers(dealt, layout, _tokens)
+    whole = ("doc_id", "n_shingles", "s1", "s2")
+    names = pa.schema([*((n, pa.int64()) for n in whole), ("keys", pa.list_(pa.int64())), ("text", pa.binary())])
+    indexed = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_index_chunk(layout, names), "doc_id long, n_shingles long, s1 long, s2 long, keys array<long>, text binary")
+    return materialize(indexed, "shingles")
 
 
 def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -213,7 +222,7 @@ def _block_links(table: pa.Table) -> pa.Table:
     outer = table["outer"].to_numpy(zero_copy_only=False)
     parts, held = table["component"].to_numpy(), table["text"].to_pylist()
     sides = [np.flatnonzero(outer), np.flatnonzero(~outer)]
-    sets = [[s for a, b in pieces(mine) for s in shingle_sets(mine[a:b])] for mine in ([held[k] for k in p] for p in sides)]
+    sets = [_sets([held[k] for k in p]) for p in sides]
     if not sets[1]:
         sides[1], sets[1] = sides[0], sets[0]
     i, j = similar_pairs(*sets)

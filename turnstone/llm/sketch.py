@@ -1,29 +1,26 @@
-"""Count-min sketches of 64-bit hashes: made by partition, merged by shard, read as bit maps of 'at least t'."""
+"""Count-min sketches of 64-bit hashes, of any width: each chunk of texts asks, shards merge and answer with bits.
+
+Nothing of a sketch passes the driver or is broadcast, and no task holds more than a shard.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from turnstone.llm.arrow import pieces, raw
-from turnstone.session import ship
-
-SHARD_BITS = 20
-#: Cells of a row at most: a merged bit map then has 128 MB a row and threshold, in the driver and in every Python worker.
-#: This is a bound on memory, to be raised with it; beyond it cells hold several hashes (load), estimates get coarser
-#: by about that many, and thresholds that are given as a function of the load rise with it.
-MAX_WIDTH = 1 << 30
-#: Hashes that a task holds before it writes them out.
-FLUSH = 1 << 21
+from turnstone.llm.hashing import U, mix
 
+#: Chunks grow beyond so many of them, and so do shards.
+MAX_CHUNKS = 2_000_000
+MAX_SHARDS = 65_536
+#: Cells of a shard, a byte each in the task that merges it.
+SHARD_CELLS = 1 << 24
 
-def cells_of(hashes: np.ndarray, row: int, width: int) -> np.ndarray:
-    """The cell of each hash in a row; the rows use different halves of the hash."""
-    half = hashes >> np.uint64(32) if row == 0 else hashes & np.uint64(0xFFFFFFFF)
-    return (half * np.uint64(width)) >> np.uint64(32)
+_SALTS = [U(0x9E3779B97F4A7C15), U(0xD1B54A32D192ED03)]
+_ASKED = pa.schema([("chunk", pa.int64()), ("row", pa.int32()), ("shard", pa.int32()), ("payload", pa.binary())])
 
 
 def pack(cells: np.ndarray, unit: type = np.uint8) -> bytes:
@@ -42,89 +39,92 @@ def unpack(payload: bytes, unit: type = np.uint8) -> np.ndarray:
     return np.cumsum(gaps, dtype=np.int64)[gaps != np.iinfo(unit).max]
 
 
-class CountMin:
-    """Merged estimates. They are never too low; bit maps tell which cells have reached each threshold."""
+class Layout:
+    """How a corpus is dealt into chunks, and the sketch of its hashes into shards, both in proportion to its bytes.
 
-    def __init__(self, width: int, rows: int, thresholds: Sequence[int], maps: dict[tuple[int, int], np.ndarray]):
-        self.width, self.rows, self.thresholds, self.maps = width, rows, tuple(thresholds), maps
+    total: bytes of text; chunk: bytes of a chunk, about; cells: a byte of text; each: cells a hash, about; levels:
+    the counts (under 256) that are told apart.
+    """
 
-    def at_least(self, hashes: np.ndarray, threshold: int) -> np.ndarray:
-        """Whether each hash may have been counted `threshold` times; False is certain."""
-        found = np.ones(len(hashes), bool)
-        for row in range(self.rows):
-            cells = cells_of(hashes, row, self.width)
-            bits = self.maps[row, threshold][cells >> np.uint64(3)]
-            found &= (bits >> (cells & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    def __init__(self, total: int, chunk: int, cells: float, each: float, rows: int, levels: tuple[int, ...]):
+        self.rows, self.levels = rows, levels
+        self.chunks = max(1, min(MAX_CHUNKS, -(-total // chunk)))
+        self.width = max(SHARD_CELLS, int(total * cells))
+        self.shard = max(SHARD_CELLS, -(-self.width // MAX_SHARDS))
+        gap = self.width / max(1.0, total * cells / each / self.chunks)
+        self.unit = np.uint8 if gap < 100 else np.uint16 if gap < 20_000 else np.uint32
+
+    def cells(self, hashes: np.ndarray, row: int) -> np.ndarray:
+        return mix(hashes + _SALTS[row]) % U(self.width)
+
+    def fresh(self, cells: np.ndarray) -> np.ndarray:
+        """Which of sorted cells are sent: each one as often as the highest level asks for."""
+        most = max(self.levels)
+        found = np.ones(len(cells), bool)
+        found[most:] = cells[most:] != cells[:-most]
         return found
 
-
-def _flush(held: list[np.ndarray], width: int, rows: int, most: int, unit: type) -> Iterator[pa.RecordBatch]:
-    hashes = np.concatenate(held)
-    for row in range(rows):
-        cells = np.sort(cells_of(hashes, row, width))
-        fresh = np.ones(len(cells), bool)
-        fresh[most:] = cells[most:] != cells[:-most]
-        cells = cells[fresh]
-        shards = np.arange(((width - 1) >> SHARD_BITS) + 2, dtype=np.uint64)
-        at = np.searchsorted(cells, shards << np.uint64(SHARD_BITS))
+    def cuts(self, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The shards that sorted cells fall into, and where each one's begin (one more entry)."""
+        every = np.arange(-(-self.width // self.shard) + 1, dtype=U) * U(self.shard)
+        at = np.searchsorted(cells, every)
         full = np.flatnonzero(at[1:] > at[:-1])
-        payloads = [pack(cells[at[s] : at[s + 1]] - (np.uint64(s) << np.uint64(SHARD_BITS)), unit) for s in full]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(full), row, np.int32)), pa.array(full.astype(np.int32)), pa.array(payloads, pa.binary())],
-            ["row", "shard", "payload"],
-        )
+        return full, np.concatenate((at[full], at[-1:]))
+
+
+def _question(layout: Layout, chunk: int, hashes: np.ndarray) -> pa.Table:
+    """A chunk's part of the sketch: its hashes' cells, sorted and packed, by row and shard."""
+    out = []
+    for row in range(layout.rows):
+        cells = np.sort(layout.cells(hashes, row))
+        cells = cells[layout.fresh(cells)]
+        full, at = layout.cuts(cells)
+        out += [{"chunk": chunk, "row": row, "shard": s, "payload": pack(cells[a:b] - U(int(s) * layout.shard), layout.unit)} for s, a, b in zip(full.tolist(), at[:-1], at[1:], strict=True)]
+    return pa.Table.from_pylist(out, _ASKED)
+
 
+def _answer(layout: Layout, table: pa.Table) -> pa.Table:
+    """Merges a shard: adds up all chunks' cells, and tells each chunk, a bit a cell and level, which have reached it."""
+    counts, most = np.zeros(layout.shard, np.uint8), max(layout.levels)
+    for payload in table["payload"]:
+        own, times = np.unique(unpack(payload.as_buffer(), layout.unit), return_counts=True)
+        counts[own] = np.minimum(counts[own] + times, most)
+    bits = []
+    for payload in table["payload"]:
+        found = counts[unpack(payload.as_buffer(), layout.unit)]
+        bits.append(b"".join(np.packbits(found >= level).tobytes() for level in layout.levels))
+    return pa.table({"chunk": table["chunk"], "row": table["row"], "shard": table["shard"], "bits": pa.array(bits, pa.binary())})
 
-def build(
-    docs: DataFrame, text: str, hashes_of: Callable[[list[bytes | None]], np.ndarray], width: int, thresholds: Callable[[float], Sequence[int]], rows: int = 2
-) -> CountMin:
-    """Count `hashes_of` every piece of texts.
 
-    thresholds: from the load, the hashes there are to a cell at the wanted width, 0 unless MAX_WIDTH cuts that.
-    Each task packs its own sparse counts by shard (a byte or two a hash and row); shards are merged apart from one
-    another, in streams; the driver gets bit maps, of width / 8 bytes a row and threshold, which MAX_WIDTH bounds.
+def answers(dealt: DataFrame, layout: Layout, hashes_of: Callable[[pa.Table], np.ndarray]) -> DataFrame:
+    """chunk, row, shard, bits: what each chunk of dealt (chunk, and what hashes_of reads) may know of its hashes."""
+
+    def ask(table: pa.Table) -> pa.Table:
+        return _question(layout, table["chunk"][0].as_py(), hashes_of(table))
+
+    asked = dealt.groupBy("chunk").applyInArrow(ask, "chunk long, row int, shard int, payload binary")
+    return asked.groupBy("row", "shard").applyInArrow(lambda table: _answer(layout, table), "chunk long, row int, shard int, bits binary")
+
+
+def at_least(layout: Layout, hashes: np.ndarray, side: pa.Table) -> list[np.ndarray]:
+    """For each level, whether each of a chunk's hashes may have been counted so often; False is certain.
+
+    side: the chunk's answers; rows without `row` are others.
     """
-    wanted = max(1 << SHARD_BITS, width)
-    width = min(MAX_WIDTH, wanted)
-    levels = tuple(thresholds(wanted / width - 1))
-    most = max(levels)
-    kind = np.uint8 if most < 128 else np.uint32
-    unit = np.uint8 if width < 256 * FLUSH else np.uint16
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            texts = raw(batch.column(0))
-            for begin, end in pieces(texts):
-                held.append(hashes_of(texts[begin:end]))
-                size += len(held[-1])
-                if size >= FLUSH:
-                    yield from _flush(held, width, rows, most, unit)
-                    held, size = [], 0
-        if size:
-            yield from _flush(held, width, rows, most, unit)
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[tuple[int, int], np.ndarray] = {}
-        for batch in batches:
-            for row, shard, payload in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                cells, times = np.unique(unpack(payload, unit), return_counts=True)
-                mine = counts.setdefault((row, shard), np.zeros(1 << SHARD_BITS, kind))
-                mine[cells] = np.minimum(mine[cells].astype(np.int64) + times, most)
-        for (row, shard), mine in counts.items():
-            maps = [np.packbits(mine >= t, bitorder="little").tobytes() for t in levels]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row] * len(maps), pa.int32()), pa.array([shard] * len(maps), pa.int32()), pa.array(list(levels), pa.int32()), pa.array(maps, pa.binary())],
-                ["row", "shard", "threshold", "bits"],
-            )
-
-    ship(docs.sparkSession)
-    counted = docs.select(text).mapInArrow(count, "row int, shard int, payload binary")
-    merged = counted.repartition("row", "shard").mapInArrow(merge, "row int, shard int, threshold int, bits binary")
-    size = 1 << (SHARD_BITS - 3)
-    maps = {(row, t): np.zeros((((width - 1) >> SHARD_BITS) + 1) * size, np.uint8) for row in range(rows) for t in levels}
-    for batch in merged.toArrow().to_batches():
-        for row, shard, threshold, bits in zip(*batch.columns, strict=True):
-            place = shard.as_py() * size
-            maps[row.as_py(), threshold.as_py()][place : place + size] = np.frombuffer(bits.as_buffer(), np.uint8)
-    return CountMin(width, rows, levels, maps)
+    known = {(row, shard): bits.as_buffer() for row, shard, bits in zip(side["row"].to_pylist(), side["shard"].to_pylist(), side["bits"], strict=True) if row is not None}
+    found = [np.ones(len(hashes), bool) for _ in layout.levels]
+    if not len(hashes):
+        return found
+    for row in range(layout.rows):
+        cells = layout.cells(hashes, row)
+        order = np.argsort(cells, kind="stable")
+        fresh = layout.fresh(cells[order])
+        full, at = layout.cuts(cells[order][fresh])
+        parts: list[list[np.ndarray]] = [[] for _ in layout.levels]
+        for shard, n in zip(full.tolist(), np.diff(at).tolist(), strict=True):
+            for part, bits in zip(parts, np.frombuffer(known[row, shard], np.uint8).reshape(len(layout.levels), -1), strict=True):
+                part.append(np.unpackbits(bits, count=n))
+        place = np.cumsum(fresh) - 1
+        for mask, part in zip(found, parts, strict=True):
+            mask[order] &= np.concatenate(part).astype(bool)[place]
+    return found

@@ -12,27 +12,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from turnstone.llm import sketch
 from turnstone.llm.arrow import raw
-from turnstone.llm.hashing import U, mix, split_words, window_hashes, word_hashes
-from turnstone.llm.sketch import pack, unpack
+from turnstone.llm.hashing import U, split_words, window_hashes, word_hashes
+from turnstone.llm.sketch import Layout
 from turnstone.session import ship
 
 WINDOW = 20
 #: Words of the grams among which each window has its anchor, the one of least hash.
 GRAM = 6
-#: Documents are dealt into chunks of about so many bytes of text; beyond MAX_CHUNKS of them chunks grow.
+#: Documents are dealt into chunks of about so many bytes of text.
 CHUNK_BYTES = 1 << 20
-MAX_CHUNKS = 2_000_000
-#: The sketch: rows, cells of each a byte of text (about four an anchor, and no bound), and cells of a shard; beyond
-#: MAX_SHARDS of them shards grow.
+#: The sketch: rows, cells of each a byte of text (no bound) and an anchor, about.
 ROWS = 2
 CELLS_PER_BYTE = 0.08
-SHARD_CELLS = 1 << 24
-MAX_SHARDS = 65_536
+CELLS_PER_ANCHOR = 4
 #: Bits of a packed place that hold the start; a text has at most half as many words as bytes, and one more.
 PLACE_BITS = 26
 _NULL_IDS = -(1 << 62)
-_SALTS = [U(0x9E3779B97F4A7C15), U(0xD1B54A32D192ED03)]
 _LAST = U(2**64 - 1)
 
 
@@ -75,9 +72,6 @@ class Anchors:
         words = self.hashes if not which else word_hashes(self.words, which)
         return window_hashes(words, self.words.bounds, self.size, which)[1]
 
-    def cells(self, row: int, width: int) -> np.ndarray:
-        return mix(self.grams[self.places] + _SALTS[row]) % U(width)
-
     def likely(self, hot: np.ndarray) -> np.ndarray:
         """Which windows have an anchor that is hot; hot goes with places."""
         marked = self.grams.copy()
@@ -85,73 +79,23 @@ class Anchors:
         return np.flatnonzero(_sliding(np.minimum, marked, self.span)[self.starts] & U(1))
 
 
-class Layout:
-    """How the corpus is dealt into chunks, and the sketch into shards, both in proportion to its bytes."""
-
-    def __init__(self, total: int):
-        self.chunks = max(1, min(MAX_CHUNKS, -(-total // CHUNK_BYTES)))
-        self.width = max(SHARD_CELLS, int(total * CELLS_PER_BYTE))
-        self.shard = max(SHARD_CELLS, -(-self.width // MAX_SHARDS))
-        gap = self.width / max(1.0, total * CELLS_PER_BYTE / 4 / self.chunks)
-        self.unit = np.uint8 if gap < 100 else np.uint16 if gap < 20_000 else np.uint32
-
-    def cuts(self, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The shards that sorted cells fall into, and where each one's begin (one more entry)."""
-        every = np.arange(-(-self.width // self.shard) + 1, dtype=U) * U(self.shard)
-        at = np.searchsorted(cells, every)
-        full = np.flatnonzero(at[1:] > at[:-1])
-        return full, np.concatenate((at[full], at[-1:]))
-
-
 def _ordered(table: pa.Table) -> tuple[pa.Table, list[bytes | None]]:
     """A chunk's documents in an order that doesn't depend on how they came, and their texts."""
     table = table.sort_by([("key", "ascending"), ("text", "ascending")]).combine_chunks()
     return table, raw(table["text"])
 
 
-def _chunk_sketch(layout: Layout, size: int):
-    """A chunk's part of the sketch: its anchors' cells, sorted and packed, by row and shard."""
-
-    def ask(table: pa.Table) -> pa.Table:
-        chunk = table["chunk"][0].as_py()
-        found = Anchors(_ordered(table)[1], size)
-        out = []
-        for row in range(ROWS):
-            cells = np.sort(found.cells(row, layout.width))
-            full, at = layout.cuts(cells)
-            out += [{"chunk": chunk, "row": row, "shard": s, "payload": pack(cells[a:b] - U(int(s) * layout.shard), layout.unit)} for s, a, b in zip(full.tolist(), at[:-1], at[1:], strict=True)]
-        return pa.Table.from_pylist(out, pa.schema([("chunk", pa.int64()), ("row", pa.int32()), ("shard", pa.int32()), ("payload", pa.binary())]))
-
-    return ask
-
-
-def _shard_answers(layout: Layout):
-    """Merges a shard: adds up all chunks' cells, and tells each chunk, a bit a cell, which have reached two."""
-
-    def answer(table: pa.Table) -> pa.Table:
-        counts = np.zeros(layout.shard, np.uint8)
-        asked = [unpack(p.as_buffer(), layout.unit) for p in table["payload"]]
-        for cells in asked:
-            own, times = np.unique(cells, return_counts=True)
-            counts[own] = np.minimum(counts[own] + times, 2)
-        bits = pa.array([np.packbits(counts[cells] > 1).tobytes() for cells in asked], pa.binary())
-        return pa.table({"chunk": table["chunk"], "row": table["row"], "shard": table["shard"], "bits": bits})
+def _anchor_grams(size: int):
+    def grams(table: pa.Table) -> np.ndarray:
+        found = Anchors(raw(table["text"]), size)
+        return found.grams[found.places]
 
-    return answer
+    return grams
 
 
 def _hot(found: Anchors, layout: Layout, side: pa.Table) -> np.ndarray:
-    """Which anchors of a chunk are repeated by every row of the sketch."""
-    answers = {(row, shard): bits.as_buffer() for row, shard, bits in zip(side["row"].to_pylist(), side["shard"].to_pylist(), side["bits"], strict=True) if row is not None}
-    hot = np.ones(len(found.places), bool)
-    for row in range(ROWS):
-        cells = found.cells(row, layout.width)
-        order = np.argsort(cells, kind="stable")
-        full, at = layout.cuts(cells[order])
-        bits = [np.unpackbits(np.frombuffer(answers[row, s], np.uint8), count=int(b - a)) for s, a, b in zip(full.tolist(), at[:-1], at[1:], strict=True)]
-        if bits:
-            hot[order] &= np.concatenate(bits).astype(bool)
-    return hot
+    """Which anchors of a chunk are estimated repeated."""
+    return sketch.at_least(layout, found.grams[found.places], side)[0]
 
 
 def _occurrences(layout: Layout, size: int):
@@ -268,11 +212,10 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, keep: list[str] | None =
     kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
     keyed = docs.select(_document_key().alias("key"), "text")
     total, low, high, longest = keyed.agg(F.sum(F.octet_length("text")), F.min("key"), F.max("key"), F.max(F.octet_length("text"))).first()
-    layout = Layout(total or 0)
+    layout = Layout(total or 0, CHUNK_BYTES, CELLS_PER_BYTE, CELLS_PER_ANCHOR, ROWS, (2,))
     chunk = F.pmod(F.xxhash64("key"), F.lit(layout.chunks)).alias("chunk")
     dealt = keyed.select(chunk, "key", "text")
-    asked = dealt.groupBy("chunk").applyInArrow(_chunk_sketch(layout, size), "chunk long, row int, shard int, payload binary")
-    answers = asked.groupBy("row", "shard").applyInArrow(_shard_answers(layout), "chunk long, row int, shard int, bits binary")
+    answers = sketch.answers(dealt, layout, _anchor_grams(size))
     rows = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_occurrences(layout, size), "a long, b int, key long, start int")
     firsts = _first_places(rows, low, high, longest).select(chunk, "key", "mark")
     side = answers.unionByName(firsts, allowMissingColumns=True)
