@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnstone.llm import chat, decontamination, embedding_dedup, jaccard, langid, mixing, secrets, substring_dedup, token_counts, warc
+from turnstone.llm import chat, decontamination, divergence, embedding_dedup, jaccard, langid, mixing, resampling, secrets, substring_dedup, token_counts, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,9 +59,17 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derive(_table(spark, sf_dir, "pages"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.report(_table(spark, sf_dir, "documents"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_mixing, op3_chat_format, op4_language_id, op5_embedding_dedup, op6_secrets, op7_token_counts, op8_decontamination, op9_jaccard_join, op10_warc)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_mixing, op3_chat_format, op4_language_id, op5_embedding_dedup, op6_secrets, op7_token_counts, op8_decontamination, op9_jaccard_join, op10_warc, op11_divergence, op12_resampling)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": substring_dedup.ORACLE_SQL, "op2_mixing": mixing.ORACLE_SQL, "op3_chat_format": chat.ORACLE_SQL, "op5_embedding_dedup": embedding_dedup.ORACLE_SQL, "op9_jaccard_join": jaccard.ORACLE_SQL, "op10_warc": warc.ORACLE_SQL}
+    return {"op1_substring_dedup": substring_dedup.ORACLE_SQL, "op2_mixing": mixing.ORACLE_SQL, "op3_chat_format": chat.ORACLE_SQL, "op5_embedding_dedup": embedding_dedup.ORACLE_SQL, "op9_jaccard_join": jaccard.ORACLE_SQL, "op10_warc": warc.ORACLE_SQL, "op11_divergence": divergence.ORACLE_SQL, "op12_resampling": resampling.ORACLE_SQL}
