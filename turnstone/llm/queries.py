@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnstone.llm import chat, decontamination, divergence, embedding_dedup, jaccard, langid, mixing, resampling, secrets, substring_dedup, token_counts, warc
+from turnstone.llm import chat, decontamination, divergence, embedding_dedup, jaccard, langid, mixing, personal, resampling, secrets, substring_dedup, token_counts, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,8 +67,12 @@ def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.report(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_mixing, op3_chat_format, op4_language_id, op5_embedding_dedup, op6_secrets, op7_token_counts, op8_decontamination, op9_jaccard_join, op10_warc, op11_divergence, op12_resampling)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_mixing, op3_chat_format, op4_language_id, op5_embedding_dedup, op6_secrets, op7_token_counts, op8_decontamination, op9_jaccard_join, op10_warc, op11_divergence, op12_resampling, op13_personal)}
 
 
 def oracle_sql() -> dict[str, str]:
