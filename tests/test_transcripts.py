@@ -5,7 +5,6 @@ import random
 from pyspark.sql import functions as F
 
 from turnstone.functions import audio, edits, text
-from turnstone.functions.edits import alignment, distance
 from turnstone.operators import fusion, lines, model_output, publish, scoring, stats, worklist
 from turnstone.sources import files, listing
 
@@ -119,11 +118,55 @@ def test_merge_and_limits(spark):
     assert [r.id for r in worklist.pending(items, done, 2).orderBy("ord").collect()] == ["2", "3"]
 
 
-def test_edits():
-    assert [k for k, _, _ in alignment("abc", "axc")] == ["match", "substitution", "match"]
-    assert [k for k, _, _ in alignment("ab", "b")] == ["deletion", "match"]
-    assert distance("kitten", "sitting") == 3
-    assert alignment(["a"] * 6000, ["b"] * 6000) is None
+def whole_table(a, b):
+    """The operations by the whole table of distances: back from its end, a diagonal step first, then a deletion."""
+    table = [list(range(len(b) + 1))]
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(table[-1][j - 1] + (x != y), table[-1][j] + 1, row[-1] + 1))
+        table.append(row)
+    i, j, back = len(a), len(b), []
+    while i or j:
+        differs = int(i > 0 and j > 0 and a[i - 1] != b[j - 1])
+        if i and j and table[i][j] == table[i - 1][j - 1] + differs:
+            i, j = i - 1, j - 1
+            back.append(("substitution" if differs else "match", i, j))
+        elif i and table[i][j] == table[i - 1][j] + 1:
+            i -= 1
+            back.append(("deletion", i, None))
+        else:
+            j -= 1
+            back.append(("insertion", None, j))
+    return back[::-1], table[-1][-1]
+
+
+def random_pair(rng):
+    letters = "abcd"[: rng.randrange(1, 5)] if rng.random() < 0.7 else [f"w{k}" for k in range(30)]
+    a = [rng.choice(letters) for _ in range(rng.randrange(40))]
+    if rng.random() < 0.5:
+        return a, [rng.choice(letters) for _ in range(rng.randrange(40))]
+    b = []
+    for x in a:
+        kind = rng.random()
+        b += [] if kind < 0.1 else [rng.choice(letters)] if kind < 0.2 else [rng.choice(letters), x] if kind < 0.3 else [x]
+    return a, b
+
+
+def test_edits(monkeypatch):
+    assert [k for k, _, _ in edits.alignment("abc", "axc")] == ["match", "substitution", "match"]
+    assert [k for k, _, _ in edits.alignment("ab", "b")] == ["deletion", "match"]
+    rng = random.Random(11)
+    for n in range(2500):
+        a, b = random_pair(rng)
+        expected, distance = whole_table(a, b)
+        monkeypatch.setattr(edits, "MASK_BYTES", 0 if n % 3 == 0 else 1 << 26)  # places put together for each column
+        for reach, held in ((None, 1 << 26), (1, 1 << 26), (3, 1)):  # a band that is doubled; columns made again
+            kinds, rows, columns = edits.align(a, b, reach, held)
+            own = [(edits.KINDS[k], None if i < 0 else i, None if j < 0 else j) for k, i, j in zip(kinds.tolist(), rows.tolist(), columns.tolist(), strict=True)]
+            assert own == expected, (a, b, reach, held)
+        numbers = {t: k for k, t in enumerate({*a, *b})}
+        assert edits.banded_distance([numbers[t] for t in a], [numbers[t] for t in b], 1) == distance
 
 
 def test_error_rates(spark):
@@ -136,9 +179,6 @@ def test_error_rates(spark):
 
 def test_large_alignments(spark):
     rng = random.Random(4)
-    for _ in range(300):
-        a, b = (rng.choices("abcd", k=rng.randrange(40)) for _ in range(2))
-        assert edits.whole_alignment(a, b, cells=rng.choice((1, 20, 100))) == alignment(a, b)
     said = [f"w{rng.randrange(500)}" for _ in range(5500)]
     heard = [w for i, w in enumerate(said) if i % 50]
     words = spark.createDataFrame([(1, i, w, 0.5) for i, w in enumerate(heard)], "interview_id long, idx int, text string, confidence double")
@@ -208,7 +248,10 @@ def test_text_distance():
     rng = random.Random(9)
     for _ in range(500):
         a, b = ("".join(rng.choices("abc", k=rng.randrange(12))) for _ in range(2))
-        assert edits.text_distance(a, b) == edits.distance(a, b)
+        assert edits.text_distance(a, b) == whole_table(a, b)[1]
+    a = "".join(rng.choices("abcdefgh ", k=30_000))
+    b = "".join(c for i, c in enumerate(a) if i % 500)  # sixty letters are left out
+    assert edits.text_distance(a, b) == edits.text_distance(b, a) == 60
 
 
 def test_words_over_many_slices(spark):

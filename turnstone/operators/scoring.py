@@ -2,67 +2,84 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnstone.functions.edits import char_distance, edit_ops
+from turnstone.functions.edits import KINDS, align, char_distance
 from turnstone.functions.text import normalize_for_scoring, split_words
-from turnstone.operators.words import ordered
-from turnstone.session import ship
+from turnstone.session import materialize, ship
 
 
 def reference_tokens(references: DataFrame) -> DataFrame:
-    """interview_id and ref: the normalised, non-empty tokens of reference_text. References without any are left out."""
+    """interview_id, idx and token: the normalised, non-empty tokens of reference_text, in the order of idx."""
     flat = references.select("interview_id", F.posexplode(split_words(F.col("reference_text"))).alias("idx", "word"))
-    flat = flat.withColumn("token", normalize_for_scoring("word")).where("token <> ''")
-    return flat.groupBy("interview_id").agg(ordered("idx", "token").alias("ref"))
+    return flat.select("interview_id", "idx", normalize_for_scoring("word").alias("token")).where("token <> ''")
 
 
 def scored_words(words: DataFrame) -> DataFrame:
-    """Words with their normalised token and its place among the recording's non-empty tokens (null if empty)."""
-    tokens = words.withColumn("token", normalize_for_scoring("text"))
-    order = Window.partitionBy("interview_id", F.col("token") == "").orderBy("idx")
-    return tokens.withColumn("hyp_index", F.when(F.col("token") != "", F.row_number().over(order) - 1))
+    """Words with their normalised token, which may be empty."""
+    return words.withColumn("token", normalize_for_scoring("text"))
 
 
-def align(words: DataFrame, references: DataFrame) -> DataFrame:
-    """interview_id, ref, hyp, ops: one row a reference with tokens, of whatever length."""
+def _aligned(said: pa.Table, heard: pa.Table) -> pa.Table:
+    """The operations of one recording, from its reference's and its words' tokens (key, idx, token)."""
+    said, heard = (side.sort_by("idx").combine_chunks() for side in (said, heard))
+    kinds, rows, columns = align(said["token"].to_pylist(), heard["token"].to_pylist()) if said.num_rows else (np.zeros(0, np.int8), *[np.zeros(0, np.int32)] * 2)
+    ref, hyp = pa.array(rows, mask=rows < 0), pa.array(columns, mask=columns < 0)
+    key = (said if said.num_rows else heard)["interview_id"].combine_chunks().take(pa.array(np.zeros(len(kinds), np.int64)))
+    names = pa.DictionaryArray.from_arrays(pa.array(kinds), pa.array(KINDS)).cast(pa.string())
+    place = pa.array(np.arange(len(kinds), dtype=np.int32))
+    taken = [said["token"].combine_chunks().take(ref), heard["token"].combine_chunks().take(hyp), heard["idx"].combine_chunks().cast(pa.int64()).take(hyp)]
+    return pa.Table.from_arrays([key, place, names, ref, hyp, *taken], ["interview_id", "place", "kind", "ref_index", "hyp_index", "reference", "token", "idx"])
+
+
+def operations(words: DataFrame, references: DataFrame) -> DataFrame:
+    """One row an edit operation of every recording with a reference: interview_id, place, kind (match, substitution, deletion,
+    insertion), ref_index and hyp_index (places among the non-empty tokens), reference and token, and idx of the word.
+
+    words: see scored_words. Tokens of both sides are brought together by recording, as rows, and no cell holds
+    more than one of them; recordings of any length are aligned, in time of their length times their errors."""
     ship(words.sparkSession)
-    hyp = words.where("token <> ''").groupBy("interview_id").agg(ordered("hyp_index", "token").alias("hyp"))
-    both = reference_tokens(references).join(hyp, "interview_id", "left")
-    both = both.withColumn("hyp", F.coalesce("hyp", F.array().cast("array<string>")))
-    return both.withColumn("ops", edit_ops("ref", "hyp"))
+    heard = words.where("token <> ''").select("interview_id", "idx", "token")
+    said = reference_tokens(references)
+    key, number = (heard.schema[c].dataType.simpleString() for c in ("interview_id", "idx"))
+    said = said.select(F.col("interview_id").cast(key).alias("interview_id"), "idx", "token")
+    made = said.groupBy("interview_id").cogroup(heard.groupBy("interview_id")).applyInArrow(
+        _aligned, f"interview_id {key}, place int, kind string, ref_index int, hyp_index int, reference string, token string, idx long"
+    )
+    return made.withColumn("idx", F.col("idx").cast(number))
 
 
-def tag_words(words: DataFrame, aligned: DataFrame) -> DataFrame:
-    """words (see scored_words) with status and reference, where an operation touches them."""
-    ops = aligned.select("interview_id", "ref", F.inline("ops")).where("hyp_index IS NOT NULL")
+def tag_words(words: DataFrame, found: DataFrame) -> DataFrame:
+    """words with status and reference, where an operation (see operations) touches them."""
     status = F.when(F.col("kind") == "match", "correct").otherwise(F.col("kind"))
-    ops = ops.select("interview_id", "hyp_index", status.alias("status"), F.get("ref", "ref_index").alias("reference"))
+    touched = found.where("idx IS NOT NULL").select("interview_id", "idx", status.alias("status"), "reference")
     own = [c for c in words.columns if c not in {"status", "reference"}]
-    return words.select(*own).join(ops, ["interview_id", "hyp_index"], "left").select(*own, "status", "reference")
+    return words.select(*own).join(touched, ["interview_id", "idx"], "left").select(*own, "status", "reference")
 
 
 def error_rates(words: DataFrame, references: DataFrame) -> DataFrame:
     """One row a recording with a reference: words, hits, errors, rates and mean confidences, to 4 places."""
-    numbered = scored_words(words)
-    aligned = align(numbered, references)
-    tagged = tag_words(numbered, aligned)
+    tokens = scored_words(words)
+    found = materialize(operations(tokens, references), "operations")
+    tagged = tag_words(tokens, found)
     mean = lambda c: F.round(F.avg(c.try_cast("decimal(20,12)")), 4).cast("double")  # noqa: E731  the same in any order
     means = tagged.groupBy("interview_id").agg(
         mean(F.col("confidence")).alias("mean_confidence"),
         mean(F.when(F.col("status") == "correct", F.col("confidence"))).alias("mean_confidence_correct"),
         mean(F.when(F.col("status") == "substitution", F.col("confidence"))).alias("mean_confidence_incorrect"),
     )
-    count = lambda kind: F.size(F.filter("ops", lambda o: o["kind"] == kind)).cast("long")
-    counted = aligned.select(
-        "interview_id",
-        F.size("ref").cast("long").alias("reference_words"),
-        F.size("hyp").cast("long").alias("hypothesis_words"),
-        *[count(k).alias(n) for k, n in (("match", "hits"), ("substitution", "substitutions"), ("deletion", "deletions"), ("insertion", "insertions"))],
-        F.length(F.array_join("ref", "")).alias("ref_chars"),
-        char_distance(F.array_join("ref", ""), F.array_join("hyp", "")).alias("char_edits"),
+    joined = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col(c).isNotNull(), F.struct("place", F.col(c).alias("t"))))), lambda t: t["t"]), "")
+    counted = found.groupBy("interview_id").agg(
+        F.count("ref_index").alias("reference_words"),
+        F.count("hyp_index").alias("hypothesis_words"),
+        *[F.count_if(F.col("kind") == k).alias(n) for k, n in (("match", "hits"), ("substitution", "substitutions"), ("deletion", "deletions"), ("insertion", "insertions"))],
+        joined("reference").alias("said"),
+        joined("token").alias("heard"),
     )
+    counted = counted.withColumn("ref_chars", F.length("said")).withColumn("char_edits", char_distance("said", "heard"))
     errors = F.col("substitutions") + F.col("deletions") + F.col("insertions")
     rated = counted.select(
         "*",
@@ -70,4 +87,4 @@ def error_rates(words: DataFrame, references: DataFrame) -> DataFrame:
         F.round(F.col("hits") / F.col("reference_words"), 4).alias("word_accuracy"),
         F.round(F.col("char_edits") / F.greatest(F.lit(1), "ref_chars"), 4).alias("cer"),
     )
-    return rated.drop("ref_chars", "char_edits").join(means, "interview_id", "left")
+    return rated.drop("ref_chars", "char_edits", "said", "heard").join(means, "interview_id", "left")

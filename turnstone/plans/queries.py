@@ -670,6 +670,32 @@ def error_rates(spark, sf_dir):
     return scoring.error_rates(kept, references)
 
 
+#: The whole table of distances, row by row, then back from its end: a diagonal step first, then a deletion.
+@query(
+    r"""WITH RECURSIVE t AS (SELECT p_partkey AS interview_id, regexp_extract_all(lower(p_type), '[a-z]') AS x, regexp_extract_all(lower(p_name), '[a-z]') AS y FROM part),
+grid AS (SELECT interview_id, x, y, 0 AS i, range(0, len(y) + 1) AS d FROM t
+  UNION ALL SELECT interview_id, x, y, i + 1, list_reduce(range(1, len(y) + 1),
+    lambda row, j: list_append(row, least(d[j] + CASE WHEN x[i + 1] = y[j] THEN 0 ELSE 1 END, d[j + 1] + 1, row[-1] + 1)), [i + 1]::BIGINT[]) FROM (
+    SELECT interview_id, x, y, i, d FROM grid WHERE i < len(x))),
+back AS (SELECT interview_id, x, y, len(x) AS i, len(y) AS j, 0 AS steps, '' AS kind FROM t
+  UNION ALL SELECT interview_id, x, y, CASE WHEN k = 'insertion' THEN i ELSE i - 1 END, CASE WHEN k = 'deletion' THEN j ELSE j - 1 END, steps + 1, k FROM (
+    SELECT b.*, CASE WHEN b.i > 0 AND b.j > 0 AND here.d[b.j + 1] = above.d[b.j] + CASE WHEN b.x[b.i] = b.y[b.j] THEN 0 ELSE 1 END
+      THEN CASE WHEN b.x[b.i] = b.y[b.j] THEN 'match' ELSE 'substitution' END
+      WHEN b.i > 0 AND here.d[b.j + 1] = above.d[b.j + 1] + 1 THEN 'deletion' ELSE 'insertion' END AS k
+    FROM back b JOIN grid here ON here.interview_id = b.interview_id AND here.i = b.i
+    LEFT JOIN grid above ON above.interview_id = b.interview_id AND above.i = b.i - 1 WHERE b.i > 0 OR b.j > 0)),
+ops AS (SELECT interview_id, steps, kind, CASE WHEN kind <> 'insertion' THEN CAST(i AS INTEGER) END AS ref_index, CASE WHEN kind <> 'deletion' THEN CAST(j AS INTEGER) END AS hyp_index, x, y FROM back WHERE steps > 0)
+SELECT interview_id, CAST(row_number() OVER (PARTITION BY interview_id ORDER BY steps DESC) - 1 AS INTEGER) AS place, kind, ref_index, hyp_index, x[ref_index + 1] AS reference, y[hyp_index + 1] AS token FROM ops"""
+)
+def edit_operations(spark, sf_dir):
+    """Letters of part names as words, held against those of part types: short, with ties and repeats, and of every operation."""
+    parts = _table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "interview_id")
+    letters = lambda c: F.expr(f"regexp_extract_all(lower({c}), '[a-z]', 0)")
+    words = parts.select("interview_id", F.posexplode(letters("p_name")).alias("idx", "text"))
+    references = parts.select("interview_id", F.array_join(letters("p_type"), " ").alias("reference_text"))
+    return scoring.operations(scoring.scored_words(words), references).drop("idx")
+
+
 # --- sample arrays --------------------------------------------------------------------------------------------------------
 
 
