@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from turnstone import cli
 from turnstone.functions import audio
 from turnstone.operators import model_output, render
+from turnstone.operators.ordinals import number_rows
 from turnstone.session import seconds_left, timed
 from turnstone.sources import files, listing, lists
 from turnstone.streaming import incremental
@@ -45,6 +46,30 @@ def test_lists_are_read_as_written(spark, tmp_path):
     assert listing.count_files(spark, str(tmp_path), (".JSON",)).first().files == 0
 
 
+def test_order_and_exclusion(spark, tmp_path):
+    """Paths go by their parts; exclusion is of a folder, not of a text; a suffix is read as it is written."""
+    names = ["a/x.wav", "a-b/x.wav", "data/one.mp3", "b/a/z.flac", "b/a2/z.FLAC", "b/note.txt", "c/k.prepared.wav", "c/K.PREPARED.WAV", "c d/é.ogg"]
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"x")
+    found = lambda exclude: [(r.ord, r.path.split(f"{tmp_path}/")[1]) for r in listing.find_recordings(spark, str(tmp_path), exclude).orderBy("ord").collect()]
+    every = sorted((n for n in names if not n.endswith((".txt", ".prepared.wav"))), key=lambda n: n.split("/"))
+    assert every[0] == "a/x.wav" and every[1] == "a-b/x.wav"
+    assert found(None) == list(enumerate(every))
+    for exclude in (f"{tmp_path}/a", f"{tmp_path}/b/../a/", f"file://{tmp_path}/a"):
+        assert found(exclude) == list(enumerate(n for n in every if not n.startswith("a/")))
+    assert found("a") == list(enumerate(every))
+
+
+def test_places_in_order(spark):
+    rows = spark.range(5000).selectExpr("pmod(xxhash64(id), 300) AS k", "id", "1 AS Inside", "2 AS place")
+    placed = number_rows(rows, F.desc("k"), "id", first=1, parts=7)
+    assert placed.columns == ["k", "id", "Inside", "place"]
+    got = [(r.k, r.id) for r in sorted(placed.collect(), key=lambda r: r.place)]
+    assert got == sorted(got, key=lambda r: (-r[0], r[1])) and sorted(r.place for r in placed.collect()) == list(range(1, 5001))
+    assert number_rows(rows.where("id < 0"), "id").count() == 0
+
+
 def test_sheet(spark, tmp_path):
     (tmp_path / "s.csv").write_text("as,b\n02_00113-a,1\n,2\n02_00113-b,3\n")
     assert [r.folder for r in listing.sheet_folders(spark, str(tmp_path / "s.csv")).orderBy("ord").collect()] == ["02_00113", "nan"]

@@ -1,7 +1,9 @@
 """Goldens for each documented rule, and a brute-force check of the speaker join."""
 
 import random
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from turnstone.functions import audio, edits, text
@@ -54,7 +56,11 @@ def sweep(words, turns, gap=1.0):
     return out
 
 
-def test_speaker_join_against_sweep(spark):
+@pytest.mark.parametrize(("seconds", "pairs"), [(1800.0, 1 << 20), (3.0, 1 << 20), (0.7, 2)])
+def test_speaker_join_against_sweep(spark, monkeypatch, seconds, pairs):
+    """Also in slices so short that most turns are in many of them, and with few pairs at once."""
+    monkeypatch.setattr(fusion, "SLICE_SECONDS", seconds)
+    monkeypatch.setattr(fusion, "PAIRS", pairs)
     rng = random.Random(3)
     word_rows, turn_rows, expected = [], [], {}
     cases = [([(10.5, 10.8)], [(0, 10), (2, 3)]), ([(1, 1)], [(0, 5)]), ([(1, 3)], [(0, 2), (2, 4)]), ([(2, 3)], [(0, 1)]), ([(1, 2)], [])]
@@ -72,6 +78,32 @@ def test_speaker_join_against_sweep(spark):
     assert [expected[k, 0] for k in range(5)] == [None, 0, 0, 0, None]
 
 
+def test_speaker_sweep():
+    import numpy as np
+
+    rng = random.Random(12)
+    for pairs in (2, 1 << 20):
+        fusion_pairs, fusion.PAIRS = fusion.PAIRS, pairs
+        for _ in range(300):
+            words = sorted((rng.randrange(80) / 4, rng.choice([0, 0.25, 1, 5])) for _ in range(rng.randrange(12)))
+            spans = sorted((a, a + rng.choice([-1, 0, 0.5, 3, 30])) for a in (rng.randrange(80) / 4 for _ in range(rng.randrange(9))))
+            ws, we = (np.array([f(w) for w in words], float) for f in (lambda w: w[0], lambda w: w[0] + w[1]))
+            ts, te = (np.array([s[k] for s in spans], float) for k in (0, 1))
+            turn, overlap = fusion.sweep(ws, we, ts, te, np.arange(len(ts)), 1.0)
+            expected = sweep(list(zip(ws.tolist(), we.tolist(), strict=True)), spans)
+            assert [None if t < 0 else t for t in turn.tolist()] == expected
+        fusion.PAIRS = fusion_pairs
+
+
+def test_missing_times(spark):
+    """Words and turns without times meet nothing; own columns of any name stay."""
+    words = spark.createDataFrame([(1, 0, 0.0, 1.0, "a", "s"), (1, 1, None, None, "b", "t"), (2, 0, 0.0, 1.0, "c", "u")], WORD + ", slice string")
+    turns = spark.createDataFrame([(1, 0, None, 5.0, "S01"), (1, 1, 0.5, 9.0, "S02"), (3, 0, 0.0, 1.0, "S03")], TURN)
+    found = fusion.assign_speakers(words, turns)
+    assert found.columns == [*words.columns, "turn_ix", "speaker", "overlap", "by_proximity"]
+    assert sorted((r.interview_id, r.idx, r.slice, r.turn_ix, r.overlap, r.by_proximity) for r in found.collect()) == [(1, 0, "s", 1, 0.5, False), (1, 1, "t", None, None, False), (2, 0, "u", None, None, False)]
+
+
 def test_segments_and_stats(spark):
     words = spark.createDataFrame([(1, 0, 0.0, 1.0, "a"), (1, 1, 1.0, 2.0, "b"), (1, 2, 9.0, 9.5, "c"), (1, 3, 9.5, 9.6, "d")], WORD)
     turns = spark.createDataFrame([(1, 0, 0.0, 1.0, "S01"), (1, 1, 1.0, 2.0, "S01"), (2, 0, 0.0, 1.0, "S02")], TURN)
@@ -83,21 +115,83 @@ def test_segments_and_stats(spark):
     assert (got[2].turns_total, got[2].turns_without_words, got[2].speakers) == (1, 0, [])
 
 
+def starts_of(starts, ends, texts, limits):
+    flat = [False] * len(texts)
+    return lines.line_starts(starts, ends, [len(t) for t in texts], flat, [t[-1:] in text.SENTENCE_ENDERS for t in texts], limits)[0]
+
+
 def test_lines(spark):
     limits = lines.LineLimits()
     w = [("x" * 41, 0.0, 1.0), ("y", 1.0, 1.5), ("z", 1.5, 1.6)]
-    assert lines.line_starts(*zip(*[(a, b, t) for t, a, b in w], strict=True), limits) == [0, 1]
-    assert lines.line_starts((0.0, 1.75), (1.0, 2.0), ("a", "b"), limits) == [0]
-    assert lines.line_starts((0.0, 1.875), (1.0, 2.0), ("a", "b"), limits) == [0, 1]
-    assert lines.line_starts((0.0, 1.0), (1.0, 2.0), ("abcdefghijkl.", "b"), limits) == [0, 1]
-    assert lines.merge_slivers([0, 1], (0.0, 1.0), (1.0, 1.2), ("ab", "c"), limits) == [(0, 2, 1.2)]
-    assert lines.merge_slivers([0, 1], (0.0, 1.0), (0.2, 2.0), ("ab", "c"), limits) == [(0, 1, 0.2), (1, 2, 2.0)]
+    assert starts_of(*zip(*[(a, b, t) for t, a, b in w], strict=True), limits) == [0, 1]
+    assert starts_of((0.0, 1.75), (1.0, 2.0), ("a", "b"), limits) == [0]
+    assert starts_of((0.0, 1.875), (1.0, 2.0), ("a", "b"), limits) == [0, 1]
+    assert starts_of((0.0, 1.0), (1.0, 2.0), ("abcdefghijkl.", "b"), limits) == [0, 1]
+    assert lines.merge_slivers((0.0, 1.0), (1.0, 1.2), (2, 1), (False, False), limits) == [0]
+    assert lines.merge_slivers((0.0, 1.0), (0.2, 2.0), (2, 1), (False, False), limits) == [0, 1]
     segments = spark.createDataFrame([(1, 0, 0.0, 5.0, "bare text", "S01")], "interview_id long, segment_index int, start double, end double, text string, speaker string")
     none = spark.createDataFrame([], WORD + ", segment_index int")
     got = lines.build_lines(none, segments).collect()
     assert [(r.text, r.start, r.end) for r in got] == [("bare text", 0.0, 5.0)]
 
 
+def lines_in_turn(words, limits, merge=True):
+    """The rules word by word over a whole segment, then line by line: (first word, one past the last, end)."""
+    import unicodedata
+
+    def tight(left, right):
+        closing = not right or unicodedata.category(right[0])[0] == "P" and right[0] not in "([{\"'"
+        return closing or "\u4e00" <= right[:1] <= "\u9fff" or "\u4e00" <= left[-1:] <= "\u9fff"
+
+    out, chars = [], 0
+    for k, (a, b, t) in enumerate(words):
+        if out:
+            _, end, before = words[k - 1]
+            fresh = a - end > limits.max_gap or b - words[out[-1]][0] > limits.max_duration or before[-1:] in text.SENTENCE_ENDERS and chars >= limits.min_chars_for_sentence_break or chars + 1 + len(t) > limits.max_chars
+        if not out or fresh:
+            out.append(k)
+            chars = len(t)
+        else:
+            chars += len(t) + (not tight(words[k - 1][2], t))
+    joined = []
+    for first, stop in zip(out, [*out[1:], len(words)], strict=True):
+        size = len(words[first][2]) + sum(len(t) + (not tight(p, t)) for (_, _, p), (_, _, t) in zip(words[first:stop], words[first + 1 : stop], strict=False))
+        end = words[stop - 1][1]
+        if merge and joined:
+            begin, _, last, held = joined[-1]
+            if max(0.0, end - words[first][0]) < limits.min_duration and held + size + 1 <= limits.max_chars and end - words[begin][0] <= limits.max_duration:
+                joined[-1] = (begin, stop, max(last, end), held + size + (not tight(words[first - 1][2], words[first][2])))
+                continue
+        joined.append((first, stop, end, size))
+    return [(first, stop, end) for first, stop, end, _ in joined]
+
+
+@pytest.mark.parametrize("merge", [True, False])
+def test_lines_in_stretches(spark, merge):
+    """Packed by stretches and folded over them, against one pass over each segment; one segment is very long."""
+    rng = random.Random(21)
+    rows, expected = [], {}
+    limits = lines.LineLimits()
+    for k in range(40):
+        at, words = 0.0, []
+        for _ in range(20_000 if k == 0 else rng.randrange(1, 60)):
+            at += rng.choice([0, 0, 0, 0.05, 0.5, 0.75, 0.875, 2])
+            long = rng.choice([0, 0.03125, 0.25, 0.5, 3])
+            words.append((at, at + long, rng.choice(["a", "bb", "word", "longer-word", "end.", ",", "(so", "中", "文。", "!", "x" * 30, "it's"])))
+            at += long * rng.choice([1, 1, 0.5])
+        rows += [(k // 3, k % 3, 7 * i, a, b, t, f"S{k}") for i, (a, b, t) in enumerate(words)]
+        expected[k // 3, k % 3] = [(words[a][0], end, [7 * i for i in range(a, b)]) for a, b, end in lines_in_turn(words, limits, merge)]
+    table = spark.createDataFrame(rows, "interview_id long, segment_index int, idx int, start double, end double, text string, speaker string").repartition(5)
+    packed = lines.pack_lines(table, limits, merge)
+    got = {}
+    for r in packed.orderBy("interview_id", "segment_index", "line_in_segment").collect():
+        mine = got.setdefault((r.interview_id, r.segment_index), [])
+        assert r.line_in_segment == len(mine) and r.speaker == f"S{3 * r.interview_id + r.segment_index}"
+        mine.append((r.start, r.end, [w.idx for w in r.words]))
+    assert got == expected
+    assert re.search(r"hashpartitioning\(interview_id#\w+, segment_index#\w+, stretch#", packed._jdf.queryExecution().toString())
+
+
 def test_bands(spark):
     rows = [(1, float(v)) for v in (0.1, 0.2, 0.3, 0.4)] + [(2, None)]
     got = {r.interview_id: (r.good, r.neutral, r.bad) for r in stats.score_bands(spark.createDataFrame(rows, "interview_id long, confidence double")).collect()}
@@ -254,8 +348,9 @@ def test_text_distance():
     assert edits.text_distance(a, b) == edits.text_distance(b, a) == 60
 
 
-def test_words_over_many_slices(spark):
+def test_words_over_many_slices(spark, monkeypatch):
     """Words and turns that reach over several slices, beside short ones."""
+    monkeypatch.setattr(fusion, "SLICE_SECONDS", 30.0)
     rng = random.Random(5)
     words = sorted((rng.randrange(0, 400) / 2, rng.choice([0.5, 20, 70, 95])) for _ in range(60))
     spans = [(a, a + rng.choice([1, 40, 130])) for a in (rng.randrange(0, 400) / 2 for _ in range(25))]

@@ -2,102 +2,111 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnstone.functions.text import join_words
+from turnstone.operators.ordinals import free_name
 from turnstone.operators.words import ordered
-from turnstone.session import materialize
+from turnstone.session import ship
 
 MAX_GAP = 1.0
-#: Words and turns meet in slices of so many seconds, so that a recording of any length is joined in linear work.
-SLICE_SECONDS = 30.0
-
-
-def _slice(time: str):
-    return F.floor(F.col(time) / SLICE_SECONDS)
-
-
-def ranked_turns(turns: DataFrame) -> DataFrame:
-    """Turns with their rank by start, end and original place, from 0, and n, the recording's number of turns."""
-    one = Window.partitionBy("interview_id")
-    rank = F.row_number().over(one.orderBy("start", "end", "turn_ix")) - 1
-    return turns.select("interview_id", "turn_ix", "start", "end", "speaker", rank.alias("rank"), F.count(F.lit(1)).over(one).alias("n"))
-
-
-def turns_by_slice(turns: DataFrame) -> DataFrame:
-    """interview_id, slice and near: the turns that reach into a slice of SLICE_SECONDS."""
-    lasting = turns.where("end > start").withColumn("slice", F.explode(F.sequence(_slice("start"), _slice("end"))))
-    near = F.collect_list(F.struct("rank", F.col("start").alias("ts"), F.col("end").alias("te"), "turn_ix", "speaker"))
-    return lasting.groupBy("interview_id", "slice").agg(near.alias("near"))
-
-
-def with_largest_overlap(words: DataFrame, turns: DataFrame) -> DataFrame:
-    """words with best: of the turn that overlaps a word most, less (the negated overlap), rank, turn_ix, speaker; null
-    if none does. Ties go to the lower rank.
-
-    A word meets its slice's turns as one array, so it is shuffled once and no pairs are made; only words that reach
-    over several slices are spread and brought together again."""
-    near = turns_by_slice(turns)
-    overlap = lambda t: F.least("end", t["te"]) - F.greatest("start", t["ts"])
-    own = words.columns
-    first = F.when(F.col("end") > F.col("start"), _slice("start"))
-    placed = words.withColumn("slice", first).withColumn("reach", F.when(first < _slice("end"), _slice("end")))
-    met = F.filter("near", lambda t: (t["ts"] < F.col("end")) & (F.col("start") < t["te"]) & (overlap(t) > 0))
-    best = F.array_min(F.transform(met, lambda t: F.struct((-overlap(t)).alias("less"), t["rank"].alias("rank"), t["turn_ix"].alias("turn_ix"), t["speaker"].alias("speaker"))))
-    key = ["interview_id", "slice"]
-    over = placed.where("reach IS NOT NULL").withColumn("slice", F.explode(F.sequence("slice", "reach")))
-    top = over.join(near, key).select("interview_id", "idx", best.alias("best")).groupBy("interview_id", "idx").agg(F.min("best").alias("top"))
-    met = placed.join(near, key, "left").select(*own, "reach", best.alias("best")).join(top, ["interview_id", "idx"], "left")
-    return met.select(*own, F.when(F.col("reach").isNull(), F.col("best")).otherwise(F.col("top")).alias("best"))
-
-
-def cursors(words: DataFrame, turns: DataFrame) -> DataFrame:
-    """interview_id, idx and cursor: the lowest rank whose turn ends at or after the word's start, else n.
-
-    The running maximum of ends over ranks rises, so turns and words are merged by falling time, and the lowest
-    rank seen so far is the cursor: one sort a recording, no pairs."""
-    ends = Window.partitionBy("interview_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-    marks = turns.select("interview_id", F.max("end").over(ends).alias("at"), F.lit(0).alias("kind"), "rank", F.lit(None).cast("int").alias("idx"), "n")
-    asks = words.select("interview_id", F.col("start").alias("at"), F.lit(1).alias("kind"), F.lit(None).cast("int").alias("rank"), F.col("idx").cast("int").alias("idx"), F.lit(None).cast("long").alias("n"))
-    merged = Window.partitionBy("interview_id").orderBy(F.desc("at"), "kind").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy("interview_id")
-    # not left to how Spark 4.1 takes a union to be partitioned, see the README
-    found = marks.union(asks).repartition("interview_id").select("interview_id", "kind", "idx", F.min("rank").over(merged).alias("low"), F.max("n").over(whole).alias("n"))
-    return found.where("kind = 1 AND n IS NOT NULL").select("interview_id", "idx", F.coalesce("low", "n").cast("int").alias("cursor"))
-
-
-def nearest_turns(words: DataFrame, turns: DataFrame, max_gap: float = MAX_GAP) -> DataFrame:
-    """interview_id, idx and rank of the nearest of three turns: the cursor's and its neighbours by rank. A longer
-    turn further back is not looked at. Ties go to the lower rank; farther than max_gap is no match."""
-    asked = cursors(words, turns).join(words.select("interview_id", "idx", F.col("start").alias("ws"), F.col("end").alias("we")), ["interview_id", "idx"])
-    asked = asked.withColumn("rank", F.explode(F.sequence(F.col("cursor") - 1, F.col("cursor") + 1)))
-    spans = turns.select("interview_id", "rank", F.col("start").alias("ts"), F.col("end").alias("te"))
-    away = F.greatest(F.lit(0.0), F.col("ts") - F.col("we"), F.col("ws") - F.col("te"))
-    near = asked.join(spans, ["interview_id", "rank"]).withColumn("away", away)
-    best = near.groupBy("interview_id", "idx").agg(F.min(F.struct("away", "rank")).alias("best"))
-    return best.where(F.col("best.away") <= max_gap).select("interview_id", "idx", "best.rank")
+#: Words are dealt into slices of so many seconds of their recording, which are swept one by one.
+SLICE_SECONDS = 1800.0
+#: Pairs of words and turns that a sweep looks at together.
+PAIRS = 1 << 20
+
+
+def _slice(time):
+    return F.floor(time / SLICE_SECONDS)
+
+
+def turns_by_slice(words: DataFrame, turns: DataFrame, max_gap: float = MAX_GAP) -> DataFrame:
+    """Turns with rank (their place by start, end and original place) and slice, one row for each slice that needs them.
+
+    A slice needs every turn that comes within max_gap of one of its words, which may reach out of it as far as the
+    recording's longest word, and the last turn that begins before all later ones it does not need: so the lowest rank
+    that ends after a word, and what ranks beside it, are the same in the slice as in the whole recording."""
+    one = Window.partitionBy("interview_id").orderBy("start", "end", "turn_ix")
+    ranked = turns.select("interview_id", "turn_ix", "start", "end", "speaker", (F.row_number().over(one) - 1).alias("rank"), F.lead("start").over(one).alias("next"))
+    facts = words.groupBy("interview_id").agg(F.greatest(F.lit(0.0), F.max(F.col("end") - F.col("start"))).alias("longest"), F.max("start").alias("last_start"))
+    known = ranked.where("start IS NOT NULL AND end IS NOT NULL").join(facts, "interview_id")
+    early = lambda t: F.col(t) - max_gap - F.col("longest")
+    until = F.least(F.col("last_start"), F.greatest(F.col("end") + max_gap, F.coalesce(early("next"), "last_start")))
+    first = _slice(F.greatest(F.lit(0.0), early("start")))
+    copied = known.withColumn("slice", F.explode(F.when(first <= _slice(until), F.sequence(first, _slice(until)))))
+    return copied.select("interview_id", "slice", "rank", F.col("start").alias("ts"), F.col("end").alias("te"), F.col("turn_ix").alias("turn"), F.col("speaker").alias("name"))
+
+
+def sweep(ws: np.ndarray, we: np.ndarray, ts: np.ndarray, te: np.ndarray, rank: np.ndarray, max_gap: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of words (start, end) the place of each one's turn, -1 if it has none, and the overlap, 0 for one that is only near.
+
+    Turns come by rank, so by start, and the running maximum of their ends rises: two searches give the turns that can
+    overlap a word, and one the lowest rank that ends at or after its start, beside which near turns are looked for."""
+    reach = np.maximum.accumulate(te)
+    low, high = np.searchsorted(reach, ws, "right"), np.searchsorted(ts, we, "left")
+    sizes = np.where(we > ws, np.maximum(0, high - low), 0)
+    turn, overlap = np.full(len(ws), -1, np.int64), np.zeros(len(ws))
+    some = np.flatnonzero(sizes)
+    bounds = np.cumsum(sizes[some])
+    begin = 0
+    while begin < len(some):
+        stop = max(begin + 1, int(np.searchsorted(bounds, (bounds[begin - 1] if begin else 0) + PAIRS, "right")))
+        mine, counts = some[begin:stop], sizes[some[begin:stop]]
+        firsts = np.cumsum(counts) - counts
+        word = np.repeat(mine, counts)
+        at = low[word] + np.arange(len(word)) - np.repeat(firsts, counts)
+        shared = np.where(te[at] > ts[at], np.minimum(we[word], te[at]) - np.maximum(ws[word], ts[at]), 0)
+        best = np.maximum.reduceat(shared, firsts)
+        top = np.flatnonzero(shared == np.repeat(best, counts))
+        lowest = top[np.searchsorted(top, firsts)]  # ties go to the lower rank
+        good = best > 0
+        turn[mine[good]], overlap[mine[good]] = at[lowest[good]], best[good]
+        begin = stop
+    left = np.flatnonzero(turn < 0)
+    if len(left) and len(ts):
+        ahead = np.searchsorted(reach, ws[left], "left")
+        cursor = np.where(ahead < len(rank), rank[np.minimum(ahead, len(rank) - 1)], rank[-1] + 1)
+        found, away = np.full(len(left), -1, np.int64), np.full(len(left), np.inf)
+        for step in (-1, 0, 1):
+            place = np.minimum(np.searchsorted(rank, cursor + step), len(rank) - 1)
+            gap = np.maximum(0.0, np.maximum(ts[place] - we[left], ws[left] - te[place]))
+            nearer = (rank[place] == cursor + step) & (gap < away)
+            found[nearer], away[nearer] = place[nearer], gap[nearer]
+        turn[left] = np.where(away <= max_gap, found, -1)
+    return turn, overlap
 
 
 def assign_speakers(words: DataFrame, turns: DataFrame, max_gap: float = MAX_GAP) -> DataFrame:
     """words with turn_ix, speaker, overlap (0 if by proximity, null if none) and by_proximity.
 
     words: interview_id, idx, start, end, ..., with starts that never fall (see clamp_words); turns: interview_id,
-    turn_ix, start, end, speaker. The first join's result is stored; only words without any overlap are read from it for
-    the second."""
+    turn_ix, start, end, speaker. A word's turn is the one that overlaps it most, the lower rank of equals; without any, the
+    nearest of the lowest rank that ends at or after its start and that rank's neighbours, if no more than max_gap away. A longer
+    turn further back is not looked at.
+
+    Words are shuffled once, by recording and slice, and each slice is swept beside copies of the turns it needs, so a
+    recording of any length is spread over tasks. Words without times, and turns without them, meet nothing."""
     own = [c for c in words.columns if c not in {"turn_ix", "speaker", "overlap", "by_proximity"}]
-    ranked = ranked_turns(turns)
-    met = materialize(with_largest_overlap(words.select(*own), ranked), "met")
-    near = nearest_turns(met.where("best IS NULL").select("interview_id", "idx", "start", "end"), ranked, max_gap)
-    named = near.join(ranked.select("interview_id", "rank", F.col("turn_ix").alias("near_turn"), F.col("speaker").alias("near_speaker")), ["interview_id", "rank"])
-    found = met.join(named.drop("rank"), ["interview_id", "idx"], "left")
-    far = F.col("best").isNull()
-    return found.select(
-        *own,
-        F.when(far, F.col("near_turn")).otherwise(F.col("best.turn_ix")).alias("turn_ix"),
-        F.when(far, F.col("near_speaker")).otherwise(F.col("best.speaker")).alias("speaker"),
-        F.when(~far, -F.col("best.less")).when(F.col("near_turn").isNotNull(), F.lit(0.0)).alias("overlap"),
-        (far & F.col("near_turn").isNotNull()).alias("by_proximity"),
+    part = free_name(words, "slice")
+    dealt = words.select(*own, F.coalesce(_slice(F.greatest(F.lit(0.0), "start")), F.lit(0)).alias(part))
+    near = turns_by_slice(words, turns, max_gap)
+    kinds = turns.schema
+
+    def meet(spoken: pa.Table, beside: pa.Table) -> pa.Table:
+        beside = beside.sort_by("rank")
+        times = [t.column(c).to_numpy().astype(float) for t, c in ((spoken, "start"), (spoken, "end"), (beside, "ts"), (beside, "te"))]
+        turn, overlap = sweep(*times, beside["rank"].to_numpy(), max_gap)
+        at = pa.array(turn, mask=turn < 0)
+        taken = [beside["turn"].combine_chunks().take(at), beside["name"].combine_chunks().take(at), pa.array(overlap, mask=turn < 0), pa.array((turn >= 0) & (overlap == 0))]
+        return pa.Table.from_arrays([*(spoken[c] for c in own), *taken], [*own, "turn_ix", "speaker", "overlap", "by_proximity"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (words.schema[c] for c in own))
+    ship(words.sparkSession)
+    return dealt.groupBy("interview_id", part).cogroup(near.groupBy("interview_id", "slice")).applyInArrow(
+        meet, f"{fields}, turn_ix {kinds['turn_ix'].dataType.simpleString()}, speaker {kinds['speaker'].dataType.simpleString()}, overlap double, by_proximity boolean"
     )
 
 

@@ -1,15 +1,13 @@
 """Readable lines and cues from the words of segments.
 
-Packing is sequential: a break resets what the next break depends on. So Spark brings each segment's words together
-in one sorted array, and a short loop over it, in Arrow batches, finds where lines start. A segment, not a recording,
-is the unit of work.
+Packing is sequential: a break resets what the next break depends on. But a pause always breaks, so the stretches between
+pauses are packed apart, in any number of tasks; and only lines that are too short look at the line before them. Short loops
+over numbers, in Arrow batches, find where lines start and which of them join; the words themselves stay in Spark.
 """
 
 from __future__ import annotations
 
-import re
-import unicodedata
-from collections.abc import Iterator
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,12 +15,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from turnstone.functions.text import SENTENCE_ENDERS, join_words
+from turnstone.functions.text import ends_sentence, join_words, no_space_between
 from turnstone.session import ship
 
-#: The same ranges as functions.text.CJK, as Python writes them.
-CJK_RANGES = "\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uac00-\ud7af\U00020000-\U0002fa1f"
-
 
 @dataclass(frozen=True)
 class LineLimits:
@@ -35,90 +30,106 @@ class LineLimits:
     min_duration: float = 0.25
 
 
-_CJK = re.compile(f"[{CJK_RANGES}]")
-
+def line_starts(starts: Sequence[float], ends: Sequence[float], sizes: Sequence[int], tight: Sequence[bool], stops: Sequence[bool], limits: LineLimits) -> tuple[list[int], list[int]]:
+    """Places of words at which a line starts, and each line's characters.
 
-def _tight(left: str, right: str) -> bool:
-    """Whether `right` follows `left` without a space (see no_space_between)."""
-    first = right[:1]
-    closing = unicodedata.category(first)[0] == "P" and first not in "([{\"'" if first else True
-    return closing or bool(_CJK.match(first) or _CJK.match(left[-1:]))
+    sizes: each word's characters; tight: whether it follows the one before without a space; stops: whether it ends a sentence."""
+    cuts: list[int] = []
+    held: list[int] = []
+    for k, size in enumerate(sizes):
+        if cuts:
+            chars = held[-1]
+            slow = starts[k] - ends[k - 1] > limits.max_gap or ends[k] - starts[cuts[-1]] > limits.max_duration
+            if not (slow or (stops[k - 1] and chars >= limits.min_chars_for_sentence_break) or chars + 1 + size > limits.max_chars):
+                held[-1] = chars + size + (not tight[k])
+                continue
+        cuts.append(k)
+        held.append(size)
+    return cuts, held
+
+
+def merge_slivers(starts: Sequence[float], ends: Sequence[float], chars: Sequence[int], tight: Sequence[bool], limits: LineLimits) -> list[int]:
+    """Places of lines that stay, once lines that are too short have joined the line before them, if both together still fit."""
+    kept: list[int] = []
+    held = 0
+    for k, size in enumerate(chars):
+        short = max(0.0, ends[k] - starts[k]) < limits.min_duration
+        if kept and short and held + size + 1 <= limits.max_chars and ends[k] - starts[kept[-1]] <= limits.max_duration:
+            held += size + (not tight[k])
+        else:
+            kept.append(k)
+            held = size
+    return kept
 
 
-def line_starts(starts, ends, texts, limits: LineLimits) -> list[int]:
-    """Places of a segment's words at which a line starts."""
-    out: list[int] = []
-    chars = 0
-    for k, text in enumerate(texts):
-        size = len(text)
-        fresh = not out
-        if out:
-            before = texts[k - 1]
-            stops = before[-1:] in SENTENCE_ENDERS and chars >= limits.min_chars_for_sentence_break
-            slow = starts[k] - ends[k - 1] > limits.max_gap or ends[k] - starts[out[-1]] > limits.max_duration
-            fresh = slow or stops or chars + 1 + size > limits.max_chars
-        if fresh:
-            out.append(k)
-            chars = size
-        else:
-            chars += size + (0 if _tight(texts[k - 1], text) else 1)
-    return out
-
-
-def merge_slivers(cuts: list[int], starts, ends, texts, limits: LineLimits) -> list[tuple[int, int, float]]:
-    """Lines (first word, one past the last, end) once lines that are too short have joined the line before them, if
-    both together still fit."""
-    out: list[list] = []
-    for first, stop in zip(cuts, [*cuts[1:], len(texts)], strict=True):
-        chars = len(texts[first]) + sum(len(t) + (0 if _tight(p, t) else 1) for p, t in zip(texts[first:stop], texts[first + 1 : stop], strict=False))
-        end = ends[stop - 1]
-        if out:
-            begin, at, last, held = out[-1]
-            fits = held + chars + 1 <= limits.max_chars and end - starts[begin] <= limits.max_duration
-            if fits and max(0.0, end - starts[first]) < limits.min_duration:
-                out[-1] = [begin, stop, max(last, end), held + chars + (0 if _tight(texts[first - 1], texts[first]) else 1)]
-                continue
-        out.append([first, stop, end, chars])
-    return [(first, stop, end) for first, stop, end, _ in out]
+def _lists(columns: Sequence[pa.Array]) -> tuple[list[list], np.ndarray]:
+    """The values of list columns that are alike in shape, one list a column, and where each row begins in them (one more entry)."""
+    bounds = np.concatenate(([0], np.cumsum(columns[0].value_lengths().to_numpy(zero_copy_only=False)))).astype(np.int64)
+    return [c.flatten().to_pylist() for c in columns], bounds
 
 
 def pack_lines(words: DataFrame, limits: LineLimits = LineLimits(), merge: bool = True) -> DataFrame:
     """Words (interview_id, segment_index, idx, start, end, text) as lines: interview_id, segment_index,
-    line_in_segment, start, end, text, words, speaker (of the first word, where words have one).
+    line_in_segment, start, end, text, words, speaker (of the segment's first word, where words have one).
 
     A line ends before a word that comes after a pause, would make it too long in time or characters, or follows a
-    sentence's end once there is enough text. merge: slivers are folded backwards. One shuffle, by segment."""
-    key = ["interview_id", "segment_index"]
-    speaker = F.min_by("speaker", "idx") if "speaker" in words.columns else F.lit(None).cast("string")
-    packed = words.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("idx", "start", "end", "text"))).alias("words"), speaker.alias("speaker"))
-    kinds = {c: packed.schema[c].dataType.simpleString() for c in (*key, "words")}
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held = batch.column(2)
-            flat = held.flatten()
-            starts, ends, texts = (flat.field(k).to_pylist() for k in (1, 2, 3))
-            sizes = np.concatenate(([0], np.cumsum(held.value_lengths().to_numpy(zero_copy_only=False)))).astype(np.int64)
-            owner, number, first_word, last_end = [], [], [], []
-            for row in range(batch.num_rows):
-                cut = slice(sizes[row], sizes[row + 1])
-                times = starts[cut], ends[cut], texts[cut]
-                cuts = line_starts(*times, limits)
-                lines = merge_slivers(cuts, *times, limits) if merge else [(a, b, times[1][b - 1]) for a, b in zip(cuts, [*cuts[1:], len(times[2])], strict=True)]
-                owner += [row] * len(lines)
-                number += range(len(lines))
-                first_word += [int(sizes[row]) + a for a, _, _ in lines]
-                last_end += [end for _, _, end in lines]
-            places = pa.array([*first_word, int(sizes[-1])], pa.int32())
-            at = pa.array(owner, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(number, pa.int32()), flat.field(1).take(pa.array(first_word, pa.int64())), pa.array(last_end, pa.float64()), pa.ListArray.from_arrays(places, flat), batch.column(3).take(at)],
-                [*key, "line_in_segment", "start", "end", "words", "speaker"],
-            )
+    sentence's end once there is enough text. merge: slivers are folded backwards, over pauses too.
+
+    Words are dealt by the stretches between pauses, so a segment of any length is packed in many tasks; lines are then
+    brought together by recording, in which a line and the slivers right behind it are folded by themselves."""
+
+    @F.arrow_udf("array<struct<at:int,chars:int>>")
+    def cut(starts: pa.Array, ends: pa.Array, sizes: pa.Array, tight: pa.Array, stops: pa.Array) -> pa.Array:
+        columns, bounds = _lists((starts, ends, sizes, tight, stops))
+        found = [line_starts(*(c[a:b] for c in columns), limits) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        flat = [pa.array([x for row in found for x in row[k]], pa.int32()) for k in (0, 1)]
+        return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(f[0]) for f in found)]), pa.int32()), pa.StructArray.from_arrays(flat, ["at", "chars"]))
+
+    @F.arrow_udf("array<int>")
+    def fold(starts: pa.Array, ends: pa.Array, chars: pa.Array, tight: pa.Array) -> pa.Array:
+        columns, bounds = _lists((starts, ends, chars, tight))
+        return pa.array([merge_slivers(*(c[a:b] for c in columns), limits) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], pa.list_(pa.int32()))
 
     ship(words.sparkSession)
-    flat = packed.mapInArrow(pack, f"interview_id {kinds['interview_id']}, segment_index {kinds['segment_index']}, line_in_segment int, start double, end double, words {kinds['words']}, speaker string")
-    return flat.select(*key, "line_in_segment", "start", "end", join_words(F.transform("words", lambda w: w["text"])).alias("text"), "words", "speaker")
+    key = ["interview_id", "segment_index"]
+    inside = Window.partitionBy(*key).orderBy("idx")
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    before = F.lag("text").over(inside)
+    pause = F.coalesce(F.col("start") - F.lag("end").over(inside) > limits.max_gap, F.lit(False))
+    marked = words.select(
+        *key, "idx", "start", "end", "text",
+        F.sum(pause.cast("int")).over(upto).alias("stretch"),
+        ((F.col("text") == "") | F.coalesce(no_space_between(before, F.col("text")), F.lit(False))).alias("tight"),
+        (F.first("speaker").over(upto) if "speaker" in words.columns else F.lit(None).cast("string")).alias("speaker"),
+    )
+    held = F.array_sort(F.collect_list(F.struct("idx", "start", "end", "text", "tight")))
+    stretches = marked.repartition(*key, "stretch").groupBy(*key, "stretch").agg(held.alias("held"), F.first("speaker").alias("speaker"))
+    each = lambda column, f: F.transform(column, f)
+    numbers = (each("held", lambda w: w["start"]), each("held", lambda w: w["end"]), each("held", lambda w: F.length(w["text"])), each("held", lambda w: w["tight"]), each("held", lambda w: ends_sentence(w["text"])))
+    cuts = stretches.withColumn("cuts", cut(*numbers))
+    place = lambda k: F.get(F.col("cuts"), k)
+    flat = cuts.select(*key, "stretch", "speaker", "held", "cuts", F.explode(F.sequence(F.lit(0), F.size("cuts") - 1)).alias("k"))
+    size = F.coalesce(place(F.col("k") + 1)["at"], F.size("held")) - place(F.col("k"))["at"]
+    flat = flat.select(*key, "stretch", "speaker", "k", place(F.col("k"))["chars"].alias("chars"), F.slice("held", place(F.col("k"))["at"] + 1, size).alias("held"))
+    own = each("held", lambda w: F.struct(w["idx"].alias("idx"), w["start"].alias("start"), w["end"].alias("end"), w["text"].alias("text")))
+    first, last = F.get("held", F.lit(0)), F.element_at("held", -1)
+    made = flat.select(*key, "stretch", "k", "speaker", "chars", first["start"].alias("start"), last["end"].alias("end"), first["tight"].alias("tight"), own.alias("words"))
+    if merge:
+        order = Window.partitionBy("interview_id").orderBy("segment_index", "stretch", "k")
+        behind = (F.greatest(F.lit(0.0), F.col("end") - F.col("start")) < limits.min_duration) & F.col("segment_index").eqNullSafe(F.lag("segment_index").over(order))
+        runs = made.withColumn("run", F.sum((~behind).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        part = lambda name: each("parts", lambda line: line[name])
+        parts = F.array_sort(F.collect_list(F.struct("stretch", "k", "start", "end", "chars", "tight", "words")))
+        runs = runs.groupBy("interview_id", "run").agg(F.first("segment_index").alias("segment_index"), F.first("speaker").alias("speaker"), parts.alias("parts"))
+        runs = runs.withColumn("kept", fold(*map(part, ("start", "end", "chars", "tight"))))
+        runs = runs.select("interview_id", "run", "segment_index", "speaker", "parts", "kept", F.explode(F.sequence(F.lit(0), F.size("kept") - 1)).alias("k"))
+        at = F.get("kept", F.col("k"))
+        runs = runs.withColumn("parts", F.slice("parts", at + 1, F.coalesce(F.get("kept", F.col("k") + 1), F.size("parts")) - at))
+        made = runs.select(
+            *key, F.col("run").alias("stretch"), "k", "speaker", F.get("parts", F.lit(0))["start"].alias("start"), F.array_max(part("end")).alias("end"), F.flatten(part("words")).alias("words")
+        )
+    number = F.row_number().over(Window.partitionBy(*key).orderBy("stretch", "k")) - 1
+    return made.select(*key, number.alias("line_in_segment"), "start", "end", join_words(each("words", lambda w: w["text"])).alias("text"), "words", "speaker")
 
 
 def build_lines(words: DataFrame, segments: DataFrame | None = None, limits: LineLimits = LineLimits()) -> DataFrame:

@@ -1,4 +1,4 @@
-"""From words and turns to everything that is published of a recording, as one lazy plan."""
+"""From words and turns to everything that is published of a recording."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from turnstone.operators import fusion, lines, render, words as word_ops
+from turnstone.session import materialize
 
 
 @dataclass(frozen=True)
@@ -33,7 +34,8 @@ class Recording:
 def fuse(words: DataFrame, turns: DataFrame, durations: DataFrame | None = None, limits: lines.LineLimits = lines.LineLimits()) -> Recording:
     """Clamp, assign speakers, segment, pack lines. words: interview_id, idx, text, start, end, confidence, source.
 
-    The plan reads words and turns several times: give stored tables where they are dear to make."""
+    Words with their speakers are stored once, since all four tables read them; the rest is lazy. Words and turns are read
+    twice: give stored tables where they are dear to make."""
     clamped = word_ops.clamp_words(words, durations)
-    marked = fusion.mark_segments(fusion.assign_speakers(clamped, turns))
+    marked = fusion.mark_segments(materialize(fusion.assign_speakers(clamped, turns), "assigned"))
     return Recording(marked, fusion.segments(marked), lines.build_lines(marked, None, limits), fusion.fusion_stats(marked, turns))

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import os
+import re
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnstone.functions.text import basename, slug, stem
+from turnstone.operators.ordinals import number_rows
 
 # Suffixes of recordings.
 AUDIO_SUFFIXES = (".mp3", ".wav", ".m4a", ".flac", ".ogg", ".mp4", ".mkv", ".mov")
 PREPARED = ".prepared.wav"
+#: What stands before a path in a file system.
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?/+"
 
 
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
@@ -20,21 +26,23 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
 
 
 def find_recordings(spark: SparkSession, root: str, exclude: str | None = None) -> DataFrame:
-    """ord and path of recordings under root, sorted; prepared copies and an excluded folder are left out."""
+    """ord and path of recordings under root, by the parts of their paths; prepared copies, by their suffix as it is
+    written, and what is inside an excluded folder are left out."""
     files = list_files(spark, root)
     lower = F.lower("path")
     kept = F.lit(False)
     for suffix in AUDIO_SUFFIXES:
         kept = kept | F.endswith(lower, F.lit(suffix))
-    kept = kept & ~F.endswith(lower, F.lit(PREPARED))
+    kept = kept & ~F.endswith("path", F.lit(PREPARED))
     if exclude:
-        kept = kept & ~F.contains("path", F.lit(exclude.rstrip("/") + "/"))
-    return numbered(files.where(kept), "path")
+        folder = re.sub(_SCHEME, "/", exclude) if re.match(_SCHEME, exclude) else os.path.abspath(exclude)
+        kept = kept & ~F.startswith(F.regexp_replace("path", _SCHEME, "/"), F.lit(os.path.normpath(folder).rstrip("/") + "/"))
+    return numbered(files.where(kept), F.split("path", "/"))
 
 
-def numbered(rows: DataFrame, column: str) -> DataFrame:
-    """rows with ord, their place in the column's order. A global order of a work list's names; not for large tables."""
-    return rows.withColumn("ord", F.row_number().over(Window.orderBy(column)) - 1)
+def numbered(rows: DataFrame, column: str | Column) -> DataFrame:
+    """rows with ord, their place in the column's order, found by ranges and not in one task."""
+    return number_rows(rows, column, name="ord")
 
 
 def completed(spark: SparkSession, json_dir: str) -> DataFrame:
