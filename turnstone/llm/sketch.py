@@ -18,6 +18,10 @@ MAX_CHUNKS = 2_000_000
 MAX_SHARDS = 65_536
 #: Cells of a shard, a byte each in the task that merges it.
 SHARD_CELLS = 1 << 24
+#: Beyond so many bytes of text, chunks and shards both grow with the square root of the corpus, so that what a chunk sends
+#: to a shard holds as many hashes at any size, and the rows sent grow with the corpus. They grow up to so many times.
+STEADY_BYTES = 30_000_000_000
+MAX_GROWTH = 20.0
 
 _SALTS = [U(0x9E3779B97F4A7C15), U(0xD1B54A32D192ED03)]
 _ASKED = pa.schema([("chunk", pa.int64()), ("row", pa.int32()), ("shard", pa.int32()), ("payload", pa.binary())])
@@ -48,9 +52,10 @@ class Layout:
 
     def __init__(self, total: int, chunk: int, cells: float, each: float, rows: int, levels: tuple[int, ...]):
         self.rows, self.levels = rows, levels
-        self.chunks = max(1, min(MAX_CHUNKS, -(-total // chunk)))
+        growth = min(MAX_GROWTH, max(1.0, (total / STEADY_BYTES) ** 0.5))
+        self.chunks = max(1, min(MAX_CHUNKS, -(-total // int(chunk * growth))))
         self.width = max(SHARD_CELLS, int(total * cells))
-        self.shard = max(SHARD_CELLS, -(-self.width // MAX_SHARDS))
+        self.shard = max(int(SHARD_CELLS * growth), -(-self.width // MAX_SHARDS))
         gap = self.width / max(1.0, total * cells / each / self.chunks)
         self.unit = np.uint8 if gap < 100 else np.uint16 if gap < 20_000 else np.uint32
 
