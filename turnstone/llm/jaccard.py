@@ -34,8 +34,8 @@ KIN = 30
 #: Documents and tokens of a family in a block, about.
 BLOCK = 512
 BLOCK_TOKENS = 1_000_000
-#: An unsettled group of at most so many documents is compared as it is; documents of larger ones are dealt out first.
-SETTLED = 128
+#: Rounds in which open groups are looked for that lie wholly in another.
+ROUNDS = 3
 
 _KEYS = [U(0x9FB21C651E98DF25), U(0xA24BAED4963EE407), U(0xC2B2AE3D27D4EB4F)]
 
@@ -298,10 +298,9 @@ def link_components(indexed: DataFrame) -> DataFrame:
     1. Equal sets are linked and one document stands for each. 2. In a group of documents that share a key, the
     smallest is the pivot and is compared with all others: one pair a member, so a group costs in proportion to
     its size. 3. Documents that are at least kin to a pivot are its family, whose members are compared in blocks
-    (connect_families). 4. What is left are groups with members of different families and different components. Small
-    ones are compared in blocks as they are. Documents of larger ones become the family of their smallest open key,
-    until no group has members of two families and two components: keys are hashes, so every round settles a
-    good part of them. In the end every pair that shares a key is compared or known to be connected. Nothing is capped.
+    (connect_families). 4. What is left are groups with members of different families and different components. Those
+    that lie in others go (maximal_groups), and the rest are families once more, of any size. In the end every pair that shares a key is compared or
+    known to be connected. Nothing is capped.
     """
     held = indexed.where("doc_id IS NOT NULL AND size(keys) > 0")
     named = held.select("doc_id", "s1", "s2", "n_shingles")
@@ -331,23 +330,40 @@ def link_components(indexed: DataFrame) -> DataFrame:
     led = materialize(led.join(sizes, "doc_id").select("doc_id", "family", "n_shingles"), "kin")
     labels = connect_families(led, texts, labels)
 
-    groups = groups.where("doc_id <> pivot").select("key", "doc_id")
-    groups = groups.join(led.select("doc_id", "family"), "doc_id", "left").select("key", "doc_id", F.coalesce("family", "doc_id").alias("family"))
-    while True:
-        known = labels.select(F.col("node").alias("doc_id"), "component")
-        named = groups.join(known, "doc_id", "left").select("key", "doc_id", "family", F.coalesce("component", "doc_id").alias("component"))
-        ends = [f(c).alias(f"{n}_{c}") for c in ("family", "component") for n, f in (("least", F.min), ("most", F.max))]
-        unsettled = named.groupBy("key").agg(*ends, F.count(F.lit(1)).alias("n"))
-        unsettled = unsettled.where("least_family < most_family AND least_component < most_component")
-        left = materialize(named.join(unsettled.select("key", "n"), "key").select("key", "doc_id", "n"), "left")
-        if left.isEmpty():
-            return labels
-        texts = materialize(texts.join(left.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
-        many = left.where(F.col("n") > SETTLED)
-        own = materialize(many.groupBy("doc_id").agg(F.min("key").alias("family")), "own")
-        members = left.where(F.col("n") <= SETTLED).select(F.col("key").alias("family"), "doc_id").union(own.select("family", "doc_id"))
-        labels = connect_families(materialize(members.join(sizes, "doc_id"), "members"), texts, labels)
-        groups = many.select("key", "doc_id").join(own, "doc_id").select("key", "doc_id", "family")
+    known = labels.select(F.col("node").alias("doc_id"), "component")
+    named = groups.where("doc_id <> pivot").select("key", "doc_id").join(led.select("doc_id", "family"), "doc_id", "left").join(known, "doc_id", "left")
+    named = named.select("key", "doc_id", F.coalesce("family", "doc_id").alias("family"), F.coalesce("component", "doc_id").alias("component"))
+    ends = [f(c).alias(f"{n}_{c}") for c in ("family", "component") for n, f in (("least", F.min), ("most", F.max))]
+    unsettled = named.groupBy("key").agg(*ends).where("least_family < most_family AND least_component < most_component")
+    left = materialize(named.join(unsettled.select("key"), "key").select("key", "doc_id"), "left")
+    if left.isEmpty():
+        return labels
+    members = maximal_groups(left).select(F.col("key").alias("family"), "doc_id")
+    return connect_families(materialize(members.join(sizes, "doc_id"), "members"), texts, labels)
+
+
+def maximal_groups(rows: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """rows (key, doc_id; distinct) of fewer groups, such that any two documents of one group are still in one.
+
+    A passage that documents share gives a key for many of its shingles, whose groups are the same or lie in one another.
+    Of groups with the same members (by 128 bits of hash) one stays. Then, for each group, the largest one is taken that two of its
+    documents share, other two in each round, and the group goes if all of its documents are in that one."""
+    mark = lambda k: F.bit_xor(F.xxhash64("doc_id", F.lit(k))).alias(f"x{k}")
+    names = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), mark(1), mark(2))
+    rows = materialize(rows.join(names.groupBy("n", "x1", "x2").agg(F.min("key").alias("key")).select("key", "n"), "key"), "open")
+    for salt in range(rounds):
+        order = F.xxhash64("doc_id", F.lit(salt))
+        pairs = rows.groupBy("key", "n").agg(F.min_by("doc_id", order).alias("a"), F.max_by("doc_id", order).alias("b"))
+        own = rows.select(F.col("doc_id").alias("a"), F.col("key").alias("top"), F.col("n").alias("most"))
+        wider = pairs.join(own, "a").where("most > n OR (most = n AND top > key)")
+        both = wider.join(rows.select(F.col("doc_id").alias("b"), F.col("key").alias("top")), ["b", "top"])
+        tops = both.groupBy("key").agg(F.max(F.struct("most", "top")).alias("best")).select("key", F.col("best.top").alias("top"))
+        inside = rows.join(tops, "key").join(rows.select(F.col("key").alias("top"), "doc_id"), ["top", "doc_id"])
+        gone = materialize(inside.groupBy("key", "n").agg(F.count(F.lit(1)).alias("both")).where("both = n").select("key"), "inside")
+        if gone.isEmpty():
+            break
+        rows = materialize(rows.join(gone, "key", "left_anti"), "open")
+    return rows.select("key", "doc_id")
 
 
 def join_similar(docs: DataFrame, text: str = "text") -> DataFrame:
