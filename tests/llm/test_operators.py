@@ -535,3 +535,73 @@ def test_token_table_of_copies(spark):
     table = token_counts.frequent_lengths(docs, tokenizer_path(), entries=50, sample=600)
     assert {" many", " by", " itself"} <= set(table) and len(table) == 50
     assert token_counts.frequent_lengths(docs.where("false"), tokenizer_path()) == {}
+
+
+def test_names_of_results_as_own_columns(spark):
+    """Own columns named like results, or like what hides them, come back as they were."""
+    rows = [(1, "plain words of one text here now", 0.5, "own", "mine", "theirs", 3), (2, 'token = "0123456789abcdef0123456789abcdef"', 1.5, "other", "x", "y", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score double, `own_score` string, `plain` string, __text string, n_hit int").withColumn("lang", F.lit("en"))
+    masked = {r.doc_id: r for r in secrets.mask_secrets(docs).collect()}
+    assert masked[1] == docs.where("doc_id = 1").first() and "[secret]" in masked[2].text and masked[2]["__text"] == "y" and masked[2].plain == "x"
+    kept = langid.keep_identified(docs.withColumn("Certainty", F.lit("c")))
+    assert kept.columns == [*docs.columns, "Certainty"] and all(r.score == 0.5 and r.own_score == "own" for r in kept.where("doc_id = 1").collect())
+    bench = spark.createDataFrame([(7, "nothing of it")], "item_id long, text string")
+    clean = decontamination.decontaminate(docs, bench)
+    assert clean.columns == docs.columns and sorted(map(tuple, clean.collect())) == sorted(map(tuple, docs.collect()))
+
+
+def test_groups_that_lie_in_others(spark):
+    """Documents of three passages out of twenty: many keys, but rows of few groups a document, whatever their number."""
+    for n in (200, 800):
+        rng = random.Random(n)
+        rows = []
+        for doc in range(n):
+            for passage in rng.sample(range(20), 3):
+                rows += [(1000 * passage + k, doc) for k in range(60) if rng.random() < 0.9 or k < 3]
+        table = spark.createDataFrame(rows, "key long, doc_id long")
+        left = [tuple(r) for r in jaccard.maximal_groups(table).collect()]
+        assert len(left) < 10 * n < len(rows) / 10
+        groups = lambda some: [set(d for k, d in some if k == key) for key in {k for k, _ in some}]
+        pairs = lambda some: {(a, b) for g in groups(some) for a in g for b in g if a < b}
+        if n == 200:
+            assert pairs(left) == pairs(rows)
+
+
+def test_passages_shared_by_many(spark):
+    """Long shared passages, in groups of more and of fewer than 128 documents: all links are found, with few texts sent."""
+    rng = random.Random(6)
+    passages = [" ".join(f"p{k}x{i}" for i in range(100)) for k in range(12)]
+    rows = []
+    for doc in range(600):
+        chosen = sorted(rng.sample(range(12), 3))
+        own = " ".join(f"o{doc}y{i}" for i in range(rng.choice([0, 3, 10, 200])))
+        rows.append((doc, " ".join([*(passages[k] for k in chosen), own])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in jaccard.join_similar(docs).collect()}
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for _, t in rows for w in [t.split()]]
+    up = list(range(len(rows)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if min(len(sets[i]), len(sets[j])) * 100 >= 80 * max(len(sets[i]), len(sets[j])) and 100 * (both := len(sets[i] & sets[j])) >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((root(i), root(j)))
+                up[b] = a
+    assert got == {i: root(i) for i in range(len(rows))}
+
+
+def test_layout_at_any_size():
+    """What a chunk sends to a shard stays worth its row, and rows grow with the corpus, up to tens of terabytes."""
+    for chunk, cells, each, rows in ((substring_dedup.CHUNK_BYTES, substring_dedup.CELLS_PER_BYTE, substring_dedup.CELLS_PER_ANCHOR, 2), (jaccard.CHUNK_BYTES, jaccard.CELLS_PER_BYTE, jaccard.CELLS_PER_TOKEN, 1)):
+        for total in (30e9, 1e12, 10e12):
+            layout = sketch.Layout(int(total), chunk, cells, each, rows, (2,))
+            shards = -(-layout.width // layout.shard)
+            hashes = total * cells / each
+            payloads = layout.chunks * shards
+            assert hashes / payloads > 100, (total, hashes / payloads)
+            assert layout.shard < 1 << 29 and total / layout.chunks < 100e6
+    assert sketch.Layout(10**9, 1 << 20, 0.08, 4, 2, (2,)).shard == sketch.SHARD_CELLS

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnstone.llm.arrow import annotate
+from turnstone.operators.ordinals import free_name
 from turnstone.session import materialize
 
 WINDOW = 10
@@ -189,7 +190,7 @@ def report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents that hold no window of the benchmark, with the columns they came with."""
     names = {f.name for f in FIELDS}
-    hidden = {c: f"__own_{c}" for c in docs.columns if c in names}
+    hidden = {c: free_name(docs, f"own_{c.lower()}") for c in docs.columns if c.lower() in names}
     found = scan_benchmark(docs.withColumnsRenamed(hidden), benchmark, **options)
     kept = found.where(F.size("hit_words") == 0).drop(*names)
     return kept.withColumnsRenamed({v: k for k, v in hidden.items()}).select(*[F.col(f"`{c}`") for c in docs.columns])

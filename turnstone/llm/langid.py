@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from turnstone.llm.arrow import annotate
 from turnstone.llm.hashing import U, Words, mix, split_words, word_hashes
+from turnstone.operators.ordinals import free_name
 
 UNKNOWN = "und"
 #: Distinct texts of each language that the model is fitted on at most, and the words taken of each.
@@ -333,7 +334,7 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     Texts in several languages stay if their words are labelled with certainty.
     """
     names = {f.name for f in (*FIELDS, CERTAINTY)}
-    hidden = {c: f"__own_{c}" for c in docs.columns if c in names}
+    hidden = {c: free_name(docs, f"own_{c.lower()}") for c in docs.columns if c.lower() in names}
     found = identify(docs.withColumnsRenamed(hidden), fit(docs))
     kept = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("certainty") >= LEAST_SCORE)).drop(*names)
     return kept.withColumnsRenamed({v: k for k, v in hidden.items()}).select(*[F.col(f"`{c}`") for c in docs.columns])
