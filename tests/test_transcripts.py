@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -192,6 +193,83 @@ def test_lines_in_stretches(spark, merge):
     assert re.search(r"hashpartitioning\(interview_id#\w+, segment_index#\w+, stretch#", packed._jdf.queryExecution().toString())
 
 
+def test_live_packer():
+    """Words in any order and cut, with restarts in between, give the lines of the whole."""
+    from turnstone.streaming.live_lines import LinePacker
+
+    rng = random.Random(31)
+    limits = lines.LineLimits()
+    for _ in range(200):
+        at, words = 0.0, []
+        for _ in range(rng.randrange(1, 80)):
+            at += rng.choice([0, 0, 0.05, 0.5, 0.875, 2])
+            long = rng.choice([0, 0.03125, 0.25, 0.5, 3])
+            words.append((at, at + long, rng.choice(["a", "word", "end.", ",", "(so", "中", "文。", "x" * 30])))
+            at += long
+        cuts = sorted({0, len(words), *(rng.randrange(len(words)) for _ in range(rng.randrange(3)))})
+        expected, rows = [], []
+        for segment, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            expected += [(segment, words[a + i][0], end, list(range(a + i, a + j)), f"S{segment}") for i, j, end in lines_in_turn(words[a:b], limits)]
+            shuts = [t[0] in ",中文" for _, _, t in words[a:b]]
+            rows += [[a + i, x, y, t, segment, f"S{segment}", len(t), shuts[i], t[-1] in "中文", t[-1] in ".。"] for i, (x, y, t) in enumerate(words[a:b])]
+        rows = [rows[i] for i in sorted(range(len(rows)), key=lambda i: i + rng.random() * rng.choice([0, 5]))]
+        held, got = None, []
+        while rows:
+            n = rng.randrange(1, 9)
+            packer = LinePacker(limits, held)
+            got += packer.add(rows[:n] + rows[: rng.randrange(2)])
+            rows, held = rows[n:], packer.held()
+        got += LinePacker(limits, held).end()
+        assert [(g["segment_index"], g["start"], g["end"], [w["idx"] for w in g["words"]], g["speaker"]) for g in got] == expected
+        assert [g["line_ix"] for g in got] == list(range(len(got)))
+
+
+def test_live_lines(spark, tmp_path):
+    """A stream in several batches, with a restart: the same lines as of all words together; the idle timer gives the rest."""
+    from turnstone.streaming.live_lines import live_lines
+
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    rng = random.Random(8)
+    rows = []
+    for k in range(3):
+        at = 0.0
+        for i in range(50):
+            at += rng.choice([0.05, 0.5, 0.875, 2])
+            rows.append((k, i // 17, i, at, at + 0.1, rng.choice(["a", "word", "end.", ",", "中"]), f"S{i // 17}"))
+            at += 0.1
+    schema = "interview_id long, segment_index int, idx int, start double, end double, text string, speaker string"
+    given = tmp_path / "given"
+
+    def run(name, idle=None):
+        stream = spark.readStream.schema(schema).parquet(str(given))
+        writer = live_lines(stream, idle_seconds=idle).writeStream.option("checkpointLocation", str(tmp_path / f"check-{name}")).format("parquet").option("path", str(tmp_path / name))
+        if idle is None:
+            query = writer.trigger(availableNow=True).start()
+            assert query.awaitTermination(120)
+        else:
+            query = writer.start()
+            ends = time.time() + 120
+            while time.time() < ends and query.isActive and not ((tmp_path / name / "_spark_metadata").exists() and spark.read.schema(made.schema).parquet(str(tmp_path / name)).where("interview_id = 2").count() == count):
+                time.sleep(1)
+            query.stop()
+
+    rng.shuffle(rows)
+    for part in (rows[:70], rows[70:]):
+        spark.createDataFrame(part, schema).write.mode("append").parquet(str(given))
+        run("out")
+    ends = [(k, None, None, None, None, None, None) for k in (0, 1)]
+    spark.createDataFrame(ends, schema).write.mode("append").parquet(str(given))
+    run("out")
+    columns = ["interview_id", "line_ix", "segment_index", "start", "end", "text", "speaker"]
+    whole = lines.build_lines(spark.createDataFrame(rows, schema)).where("interview_id < 2").select(*columns)
+    made = spark.read.parquet(str(tmp_path / "out")).select(*columns)
+    assert sorted(map(tuple, made.where("interview_id < 2").collect())) == sorted(map(tuple, whole.collect()))
+    count = lines.build_lines(spark.createDataFrame(rows, schema)).where("interview_id = 2").count()
+    assert 0 < made.where("interview_id = 2").count() < count
+    run("idle", 3.0)
+    assert spark.read.parquet(str(tmp_path / "idle")).where("interview_id = 2").count() == count
+
+
 def test_bands(spark):
     rows = [(1, float(v)) for v in (0.1, 0.2, 0.3, 0.4)] + [(2, None)]
     got = {r.interview_id: (r.good, r.neutral, r.bad) for r in stats.score_bands(spark.createDataFrame(rows, "interview_id long, confidence double")).collect()}
