@@ -70,6 +70,41 @@ def test_places_in_order(spark):
     assert number_rows(rows.where("id < 0"), "id").count() == 0
 
 
+def test_published_together(spark, tmp_path):
+    """A task that fails leaves no file; a commit that is cut short is finished; parts are joined in order."""
+    from turnstone.sources import publishing
+
+    root = tmp_path / "out"
+    rows = spark.createDataFrame([(i, f"text {i}", None if i % 2 else "vtt") for i in range(20)], "name long, json string, vtt string").repartition(5)
+    kinds = {"json": ("json", ".json"), "vtt": ("vtts", ".vtt")}
+    bad = rows.withColumn("json", F.when(F.col("name") == 7, F.raise_error(F.lit("no more"))).otherwise(F.col("json")))
+    with pytest.raises(Exception, match="no more"):
+        publishing.publish_files(bad, str(root), kinds)
+    assert not [p for p in root.rglob("*") if not p.relative_to(root).parts[0].startswith(".staged-")]
+    time.sleep(2)  # tasks that were still running
+    publishing.forget(str(root), 0)
+    publishing.publish_files(rows, str(root), kinds)
+    assert sorted(p.name for p in (root / "json").iterdir()) == sorted(f"{i}.json" for i in range(20))
+    assert (root / "vtts/4.vtt").read_text() == "vtt" and len(list((root / "vtts").iterdir())) == 10 and not list(root.glob(".staged-*"))
+    with pytest.raises(Exception, match="no path inside"):
+        publishing.publish(spark.createDataFrame([("../x", "y")], "path string, content string"), str(root))
+    assert not list(root.glob(".staged-*")) and not (tmp_path / "x").exists()
+    # a driver that is lost after the decision: the rest is moved later
+    cut = root / ".staged-abc" / "task"
+    cut.mkdir(parents=True)
+    (cut / "late.txt").write_text("late")
+    (root / ".staged-abc/other").mkdir()
+    (root / ".staged-abc/other/failed.txt").write_text("attempt that failed")
+    (root / ".staged-abc/commit.json").write_text('["task"]')
+    assert publishing.finish_commits(str(root)) == 1 and publishing.finish_commits(str(root)) == 0
+    assert (root / "late.txt").read_text() == "late" and not (root / "failed.txt").exists()
+    many = spark.range(3000).selectExpr("3000 - id AS ord", "to_json(named_struct('n', 3000 - id)) AS entry").repartition(6)
+    assert lists.write_array(many, str(tmp_path / "all.json"), "ord") == 3000
+    assert [e["n"] for e in json.loads((tmp_path / "all.json").read_text())] == list(range(1, 3001))
+    assert lists.write_array(many.limit(0), str(tmp_path / "none.json"), "ord") == 0 and (tmp_path / "none.json").read_text() == "[]"
+    assert not list(tmp_path.glob(".*"))
+
+
 def test_sheet(spark, tmp_path):
     (tmp_path / "s.csv").write_text("as,b\n02_00113-a,1\n,2\n02_00113-b,3\n")
     assert [r.folder for r in listing.sheet_folders(spark, str(tmp_path / "s.csv")).orderBy("ord").collect()] == ["02_00113", "nan"]

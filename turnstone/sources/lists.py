@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import json
-import os
+import shutil
 import uuid
 from pathlib import Path
 from textwrap import indent
 
+import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from turnstone.operators.publish import merge_counts, merge_index
+from turnstone.session import ship
+from turnstone.sources.publishing import join_parts, publish
 
 
 def raw_entries(spark: SparkSession, path: str) -> DataFrame:
@@ -25,26 +29,29 @@ def raw_entries(spark: SparkSession, path: str) -> DataFrame:
     return flat.select("ord", F.get_json_object("entry", "$.name").alias("name"), "entry")
 
 
+@F.pandas_udf(T.StringType())
+def _entry_text(entries: pd.Series) -> pd.Series:
+    """Each JSON text as an indented entry of an array, after a comma and a line end."""
+    return entries.map(lambda e: ",\n" + indent(json.dumps(json.loads(e), indent=2), "  "))
+
+
 def write_array(rows: DataFrame, path: str, *order: str, entry: str = "entry") -> int:
     """Write a column of JSON texts, sorted, as one indented JSON array; the number of entries.
 
-    Spark sorts, and the driver takes one partition at a time. The file at path, on a mounted folder, is replaced
-    only once the new one is whole, so rows may come from the file itself."""
-    target = Path(path)
+    Tasks write the sorted parts beside the file, and one task puts them together; nothing passes the driver. The file at
+    path, on a mounted folder, is replaced only once the new one is whole, so rows may come from the file itself."""
+    target = Path(path).absolute()
     target.parent.mkdir(parents=True, exist_ok=True)
-    part = target.with_name(f".{uuid.uuid4().hex}.part")
-    written = 0
+    parts = target.with_name(f".{uuid.uuid4().hex}.parts")
+    ship(rows.sparkSession)
+    seen = Observation()
+    counted = rows.orderBy(*order).select(entry).observe(seen, F.count(F.lit(1)).alias("n"))
     try:
-        with part.open("w", encoding="utf-8") as out:
-            out.write("[")
-            for row in rows.orderBy(*order).select(entry).toLocalIterator():
-                out.write((",\n" if written else "\n") + indent(json.dumps(json.loads(row[0]), indent=2), "  "))
-                written += 1
-            out.write("\n]" if written else "]")
-        os.replace(part, target)
+        publish(counted.select(F.format_string("part-%09d", F.spark_partition_id()).alias("path"), _entry_text(entry).alias("content")), str(parts))
+        join_parts(rows.sparkSession, str(parts), str(target), b"[", b"\n]", 1)
     finally:
-        part.unlink(missing_ok=True)
-    return written
+        shutil.rmtree(parts, ignore_errors=True)
+    return int(seen.get["n"])
 
 
 def write_work_list(entries: DataFrame, path: str) -> int:
