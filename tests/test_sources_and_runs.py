@@ -137,6 +137,81 @@ def test_fetching(spark, tmp_path):
     assert [p.name for p in (tmp_path / "to").iterdir()] == ["big.mp3"]
 
 
+def test_playlists(spark, tmp_path):
+    """Variants, ranges, templates and what is missing, from files."""
+    from turnstone.sources import playlists
+
+    web = tmp_path / "web"
+    (web / "low").mkdir(parents=True)
+    (web / "master.m3u8").write_text('#EXTM3U\n#EXT-X-MEDIA:TYPE=AUDIO,GROUP-ID="a",NAME="x, y",URI="other.m3u8"\n#EXT-X-MEDIA:TYPE=AUDIO,GROUP-ID="a",DEFAULT=YES,URI="low/a.m3u8"\n#EXT-X-STREAM-INF:BANDWIDTH=9,AUDIO="a",RESOLUTION=1x1\nvideo.m3u8\n')
+    (web / "low/a.m3u8").write_text("#EXTM3U\r\n#EXT-X-MAP:URI=\"../all.bin\",BYTERANGE=\"2@0\"\r\n#EXTINF:4,\r\n#EXT-X-BYTERANGE:3@4\r\n../all.bin\r\n#EXTINF:4,\r\n#EXT-X-BYTERANGE:2\r\n../all.bin\r\n#EXTINF:1,\r\nlast.ts?x=1\r\n#EXT-X-ENDLIST\r\n".replace("?x=1", ""))
+    (web / "all.bin").write_bytes(b"0123456789")
+    (web / "low/last.ts").write_bytes(b"END")
+    (web / "plain.m3u8").write_text("#EXTM3U\n#EXT-X-STREAM-INF:BANDWIDTH=900,CODECS=\"avc1.4d,mp4a.40\"\nv.m3u8\n#EXT-X-STREAM-INF:BANDWIDTH=5,CODECS=\"mp4a.40.2\"\nlow/a.m3u8\n#EXT-X-STREAM-INF:BANDWIDTH=2,CODECS=\"mp4a.40.2\"\nx.m3u8\n")
+    (web / "gone.m3u8").write_text("#EXTM3U\n#EXTINF:1,\nall.bin\n#EXTINF:1,\nnone.ts\n")
+    (web / "locked.m3u8").write_text('#EXTM3U\n#EXT-X-KEY:METHOD=AES-128,URI="k"\nall.bin\n')
+    (web / "loop.m3u8").write_text("#EXTM3U\n#EXT-X-STREAM-INF:BANDWIDTH=1\nloop.m3u8\n")
+    (web / "short.m3u8").write_text("#EXTM3U\n#EXT-X-BYTERANGE:20@5\nall.bin\n")
+    (web / "a.mpd").write_text(
+        '<MPD xmlns="urn:mpeg:dash:schema:mpd:2011" mediaPresentationDuration="PT0M5S"><Period><AdaptationSet contentType="video"><Representation id="v" bandwidth="99"><BaseURL>all.bin</BaseURL></Representation></AdaptationSet>'
+        '<AdaptationSet mimeType="audio/mp4"><SegmentTemplate initialization="$RepresentationID$-i.m" media="$RepresentationID$-$Number%03d$.m" duration="20" timescale="10" startNumber="7"/>'
+        '<Representation id="q" bandwidth="1"/><Representation id="r" bandwidth="2"/></AdaptationSet></Period></MPD>'
+    )
+    for name, content in (("r-i.m", b"I"), ("r-007.m", b"a"), ("r-008.m", b"b"), ("r-009.m", b"c")):
+        (web / name).write_bytes(content)
+    (web / "t.mpd").write_text('<MPD><Period><AdaptationSet contentType="audio"><Representation id="r"><SegmentTemplate media="t-$Time$.m"><SegmentTimeline><S t="5" d="3" r="1"/><S d="9"/></SegmentTimeline></SegmentTemplate></Representation></AdaptationSet></Period></MPD>')
+    (web / "l.mpd").write_text('<MPD><Period><AdaptationSet contentType="audio"><Representation><SegmentList><Initialization sourceURL="all.bin" range="0-1"/><SegmentURL media="all.bin" mediaRange="7-9"/></SegmentList></Representation></AdaptationSet></Period></MPD>')
+    url = lambda name: (web / name).as_uri()
+    assert [p.url.rpartition("/")[2] for p in playlists.resolve(url("t.mpd"))] == ["t-5.m", "t-8.m", "t-11.m"]
+    wanted = {"master.m3u8": b"0145678END", "plain.m3u8": b"0145678END", "a.mpd": b"Iabc", "l.mpd": b"01789", "all.bin": b"0123456789", "gone.m3u8": "URLError", "locked.m3u8": "ValueError", "loop.m3u8": "ValueError", "short.m3u8": "ValueError", "absent.m3u8": "URLError"}
+    items = spark.createDataFrame([(name, "url", None, url(name), f"{name}.mp4") for name in wanted], "id string, kind string, path string, url string, filename string")
+    for made, to in ((playlists.fetch_playlists(items, str(tmp_path / "one")), tmp_path / "one"), (files.fetch_items(items, str(tmp_path / "two")), tmp_path / "two")):
+        got = {r.id: r for r in made.collect()}
+        for name, expected in wanted.items():
+            if isinstance(expected, bytes):
+                assert got[name].error is None and (to / f"{name}.mp4").read_bytes() == expected, name
+            else:
+                assert got[name].local_path is None and got[name].error.startswith(expected), (name, got[name])
+        assert sorted(p.name for p in to.iterdir() if not p.name.startswith(".") and not p.name.endswith(".part")) == sorted(f"{n}.mp4" for n, e in wanted.items() if isinstance(e, bytes))
+
+
+def test_resampling_keeps_tones():
+    for rate, to in ((48_000, 16_000), (44_100, 16_000), (11_025, 16_000), (8_000, 16_000), (16_000, 48_000)):
+        low, at = min(rate, to) / 2, np.arange(rate) / rate
+        for share in (0.02, 0.5, 0.89):
+            made = audio.resample(np.sin(2 * np.pi * share * low * at).astype(np.float32), rate, to)
+            assert len(made) == to
+            inside = slice(to // 4, 3 * to // 4)
+            angle = 2 * np.pi * share * low * np.arange(to)[inside] / to
+            waves = np.stack((np.sin(angle), np.cos(angle)), 1)
+            parts, *_ = np.linalg.lstsq(waves, made[inside].astype(float), rcond=None)
+            assert abs(20 * np.log10(np.hypot(*parts))) < 0.1 and abs(parts[1]) < 1e-3  # neither louder nor later
+            assert 20 * np.log10(np.abs(made[inside] - waves @ parts).max()) < -60
+        for share in (1.1, 1.4) if to < rate else ():
+            made = audio.resample(np.sin(2 * np.pi * share * low * at).astype(np.float32), rate, to)
+            assert 20 * np.log10(np.abs(made[to // 4 : 3 * to // 4]).max()) < -60
+    assert abs(audio.resample(np.ones(4410, np.float32), 44_100)[400:1200] - 1).max() < 1e-6 and len(audio.resample(np.zeros(0), 8000)) == 0
+
+
+def test_decoders_in_turn(spark):
+    tone = np.full(1600, 0.25, np.float32)
+
+    def odd(data):
+        if not data.startswith(b"ODD"):
+            raise ValueError("not odd")
+        return np.stack((tone, tone * 3), 1), 16_000
+
+    def missing(data):
+        raise ImportError("no codec")
+
+    rows = spark.createDataFrame([(0, bytearray(audio.encode(tone))), (1, bytearray(b"ODD")), (2, bytearray(b"junk"))], "k int, content binary")
+    decoders = [("missing", missing), ("odd", odd)]
+    got = {r.k: r for r in rows.select("k", audio.read_audio("content", decoders).alias("r"), audio.prepare_audio(F.col("content"), None, lambda s, rate: s / 2, decoders).alias("p")).collect()}
+    assert got[0].r.error is None and abs(got[1].r.samples[0] - 0.5) < 1e-6
+    assert got[2].r.error.startswith("could not decode: missing: not installed (no codec); odd: ValueError: not odd; wave: ")
+    assert abs(audio.decode(got[1].p)[0].max() - 0.75) < 1e-3 and got[2].p is None  # halved, then boosted three times
+
+
 def test_decoding_in_a_table(spark):
     tone = (np.sin(np.arange(1600) / 10) / 2).astype(np.float32)
     rows = spark.createDataFrame([(0, bytearray(audio.encode(tone))), (1, bytearray(b"junk" * 20)), (2, None)], "k int, content binary")

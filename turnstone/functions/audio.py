@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import io
+import math
 import wave
+from collections.abc import Callable, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -12,8 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RATE = 16_000
-# The fallback resampler's taps and the share of the lower Nyquist frequency that it passes.
-TAPS, PASS = 101, 0.95
+#: The resampler's filter: zero crossings of its sinc on each side, its Kaiser window, and where it passes half, as a share of
+#: the lower Nyquist frequency.
+CROSSINGS, KAISER, PASS = 28, 7.0, 1.0
+#: Output samples that are made together.
+STRETCH = 1 << 16
+# What a copy is boosted by that has been denoised, and one that has not.
+DENOISED_BOOST, PLAIN_BOOST = 3.0, 1.0
 
 
 def duration_of(samples: Column, rate: Column) -> Column:
@@ -57,17 +65,40 @@ def to_mono(samples: np.ndarray) -> np.ndarray:
     return samples.mean(axis=1 if samples.shape[0] > samples.shape[1] else 0).astype(np.float32)
 
 
+@lru_cache(maxsize=8)
+def filter_bank(up: int, down: int) -> tuple[np.ndarray, int]:
+    """The low-pass of a change of rate by up / down as `up` rows, each the taps that one phase of the output sees, last first,
+    and how many input samples before its own place a phase reaches back."""
+    most = max(up, down)
+    half = CROSSINGS * most
+    n = np.arange(-half, half + 1)
+    taps = PASS / most * np.sinc(PASS * n / most) * np.kaiser(2 * half + 1, KAISER)
+    reach = half // up + 1
+    bank = np.zeros((up, 2 * reach + 1))
+    for phase in range(up):
+        places = phase + up * np.arange(-reach, reach + 1)  # of the filter, for the samples around
+        inside = np.abs(places) <= half
+        bank[phase, inside] = taps[places[inside] + half]
+        bank[phase] /= bank[phase].sum()  # each phase keeps a constant as it is
+    return np.ascontiguousarray(bank[:, ::-1]), reach
+
+
 def resample(samples: np.ndarray, rate: int, to: int = RATE) -> np.ndarray:
-    """Low-pass by a Hamming-windowed sinc where the rate falls, then linear interpolation."""
+    """By a rational factor through a polyphase filter bank: a Kaiser-windowed sinc, of which an output sample needs one
+    phase only. Silence is taken before and after the samples."""
     if rate == to or not len(samples):
         return samples.astype(np.float32)
-    if to < rate:
-        n = np.arange(TAPS) - (TAPS - 1) / 2
-        cutoff = PASS * to / rate
-        taps = cutoff * np.sinc(cutoff * n) * np.hamming(TAPS)
-        samples = np.convolve(samples, taps / taps.sum(), mode="same")
+    shared = math.gcd(rate, to)
+    up, down = to // shared, rate // shared
+    bank, reach = filter_bank(up, down)
     size = round(len(samples) * to / rate)
-    return np.interp(np.arange(size) * rate / to, np.arange(len(samples)), samples).astype(np.float32)
+    padded = np.concatenate((np.zeros(reach), samples.astype(np.float64), np.zeros(reach + down // up + 2)))
+    around = np.lib.stride_tricks.sliding_window_view(padded, 2 * reach + 1)
+    out = np.empty(size, np.float32)
+    for begin in range(0, size, STRETCH):
+        at = np.arange(begin, min(size, begin + STRETCH)) * down
+        out[begin : begin + STRETCH] = np.einsum("ij,ij->i", around[at // up], bank[at % up])
+    return out
 
 
 def encode(samples: np.ndarray, rate: int = RATE) -> bytes:
@@ -81,28 +112,52 @@ def encode(samples: np.ndarray, rate: int = RATE) -> bytes:
     return out.getvalue()
 
 
-def _read(content: pd.Series) -> pd.DataFrame:
+Decoder = Callable[[bytes], tuple[np.ndarray, int]]
+
+
+def decode_any(data: bytes, decoders: Sequence[tuple[str, Decoder]]) -> np.ndarray:
+    """The samples, mono at RATE, by the first of the named decoders that can read them; or an error that lists every attempt."""
+    tried = []
+    for name, decoder in decoders:
+        try:
+            samples, rate = decoder(data)
+            return resample(to_mono(samples), rate)
+        except ImportError as error:
+            tried.append(f"{name}: not installed ({error})")
+        except Exception as error:  # noqa: BLE001  the next one is tried
+            tried.append(f"{name}: {type(error).__name__}: {error}")
+    raise ValueError("could not decode: " + "; ".join(tried))
+
+
+def _read(content: pd.Series, decoders: Sequence[tuple[str, Decoder]] = ()) -> pd.DataFrame:
     def read(data: bytes | None) -> tuple[np.ndarray | None, str | None]:
         try:
-            if data is None:
-                return None, None
-            samples, rate = decode(data)
-            return resample(to_mono(samples), rate), None
-        except (ValueError, wave.Error, EOFError) as error:
-            return None, f"could not decode: wave: {type(error).__name__}: {error}"
+            return (None, None) if data is None else (decode_any(data, [*decoders, ("wave", decode)]), None)
+        except ValueError as error:
+            return None, str(error)
 
     return pd.DataFrame([read(data) for data in content], columns=["samples", "error"], dtype=object)
 
 
-@F.pandas_udf(T.StructType([T.StructField("samples", T.ArrayType(T.FloatType())), T.StructField("error", T.StringType())]))
-def read_audio(content: pd.Series) -> pd.DataFrame:
-    """A WAV file's samples, mono at RATE, or the error why it can't be read; both null where there is no file."""
-    return _read(content)
+_READ = T.StructType([T.StructField("samples", T.ArrayType(T.FloatType())), T.StructField("error", T.StringType())])
 
 
-def load_audio(content: Column) -> Column:
-    """A WAV file's samples, mono at RATE; null where it can't be read."""
-    return read_audio(content)["samples"]
+def read_audio(content: Column | str, decoders: Sequence[tuple[str, Decoder]] = ()) -> Column:
+    """A recording's samples, mono at RATE, or the error why it can't be read; both null where there is no file.
+
+    decoders: names and functions from a file's bytes to samples (frames, or frames and channels) and their rate,
+    which are tried in turn; WAV files are read here, last of all."""
+
+    @F.pandas_udf(_READ)
+    def read(data: pd.Series) -> pd.DataFrame:
+        return _read(data, decoders)
+
+    return read(content)
+
+
+def load_audio(content: Column | str, decoders: Sequence[tuple[str, Decoder]] = ()) -> Column:
+    """A recording's samples, mono at RATE; null where it can't be read."""
+    return read_audio(content, decoders)["samples"]
 
 
 @F.pandas_udf(T.BinaryType())
@@ -110,19 +165,26 @@ def to_wav(samples: pd.Series) -> pd.Series:
     return samples.map(lambda s: None if s is None else encode(np.asarray(s, np.float32)))
 
 
-def prepare_audio(content: Column, boost: float = 1.0) -> Column:
-    """A recording's prepared copy: decoded, boosted, encoded; null where it can't be read. Denoising needs a library
-    that is not here: samples pass through it unchanged. Array functions can't take what a UDF returns, so all three
-    steps are one UDF."""
+def prepare_audio(content: Column, boost: float | None = None, denoise: Callable[[np.ndarray, int], np.ndarray] | None = None, decoders: Sequence[tuple[str, Decoder]] = ()) -> Column:
+    """A recording's prepared copy: decoded, denoised, boosted, encoded; null where it can't be read.
+
+    denoise: a function of samples and their rate, for which no library is here; without it samples are as they were. Without a boost
+    that is given, denoised copies are boosted by DENOISED_BOOST and others not. Array functions can't take what a UDF
+    returns, so all steps are one UDF."""
+    factor = boost if boost is not None else PLAIN_BOOST if denoise is None else DENOISED_BOOST
 
     @F.pandas_udf(T.BinaryType())
     def prepare(data: pd.Series) -> pd.Series:
         def made(samples: np.ndarray | None) -> bytes | None:
             if samples is None:
                 return None
-            loud = samples * np.float32(boost)
-            return encode(loud / max(1.0, float(np.abs(loud).max(initial=0.0))) if boost != 1.0 else samples)
-
-        return _read(data)["samples"].map(made)
+            if denoise is not None:
+                samples = np.asarray(denoise(samples, RATE), np.float32)
+            if factor and factor != 1.0:
+                samples = samples * np.float32(factor)
+                samples = samples / max(1.0, float(np.abs(samples).max(initial=0.0)))
+            return encode(samples)
+
+        return _read(data, decoders)["samples"].map(made)
 
     return prepare(content)

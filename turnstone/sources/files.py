@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from turnstone.session import ship
+from turnstone.sources.playlists import download, is_playlist
 
 FETCH_SECONDS = 600
 #: Fixed value: a download of no more bytes has failed (for fetch_items' least_bytes).
@@ -20,6 +21,8 @@ EMPTY_BYTES = 1000
 
 
 def _copy_url(item: dict, target: Path) -> None:
+    if is_playlist(item["url"]):
+        return download(item["url"], target)
     with urlopen(item["url"], timeout=FETCH_SECONDS) as source, target.open("wb") as out:  # noqa: S310
         shutil.copyfileobj(source, out)
 
