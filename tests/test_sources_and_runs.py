@@ -193,6 +193,38 @@ def test_resampling_keeps_tones():
     assert abs(audio.resample(np.ones(4410, np.float32), 44_100)[400:1200] - 1).max() < 1e-6 and len(audio.resample(np.zeros(0), 8000)) == 0
 
 
+def test_folders_as_a_stream(spark, tmp_path):
+    """Each file once, over restarts; a folder that can't be read yet is looked at again."""
+    from turnstone.session import ship
+    from turnstone.sources.folders import FolderSource
+
+    ship(spark)
+    spark.dataSource.register(FolderSource)
+    share = tmp_path / "share"
+    for name in ("a/1.wav", "a/note.txt", "b/2.MP3"):
+        (share / name).parent.mkdir(parents=True, exist_ok=True)
+        (share / name).write_bytes(b"x")
+
+    def run():
+        stream = spark.readStream.format("audio_folders").options(root=str(share), folders="a,b,late", ledger=str(tmp_path / "ledger")).load()
+        query = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "check")).start()
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+        return sorted((r.folder, r.name, r.remote_path) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    row = lambda folder, name: (folder, name, f"{share}/{folder}/{name}")
+    assert run() == [row("a", "1.wav"), row("b", "2.MP3")]
+    (share / "late").mkdir()
+    (share / "late/3.ogg").write_bytes(b"x")
+    (share / "a/0.wav").write_bytes(b"x")
+    expected = [row("a", "0.wav"), row("a", "1.wav"), row("b", "2.MP3"), row("late", "3.ogg")]
+    assert run() == expected and run() == expected
+    with pytest.raises(Exception, match="ledger"):
+        spark.readStream.format("audio_folders").options(root=str(share)).load().writeStream.format("noop").option("checkpointLocation", str(tmp_path / "no")).start().processAllAvailable()
+
+
 def test_decoders_in_turn(spark):
     tone = np.full(1600, 0.25, np.float32)
 
