@@ -515,7 +515,8 @@ def test_warc(spark):
     rows = {(r.page_id, r.record_type): r for r in warc.derive(table).collect()}
     assert rows[1, "conversion"].block == "onetwo\nlé" and rows[2, "conversion"].block == ""
     meta, text = rows[1, "metadata"], rows[1, "conversion"]
-    assert meta.refers_to == text.refers_to and meta.concurrent_to == text.record_id and text.concurrent_to == meta.record_id
+    assert meta.refers_to == text.refers_to == meta.concurrent_to and text.concurrent_to is None
+    assert f"WARC-Concurrent-To: {meta.refers_to}\r\n" in meta.headers and "Concurrent" not in text.headers and "\r\n\r\n" not in text.headers[:-4]
     import base64
 
     digest = base64.b32encode(hashlib.sha1(text.block.encode()).digest()).decode()

@@ -194,3 +194,21 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     found = scan_benchmark(docs.withColumnsRenamed(hidden), benchmark, **options)
     kept = found.where(F.size("hit_words") == 0).drop(*names)
     return kept.withColumnsRenamed({v: k for k, v in hidden.items()}).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+_WORDS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+#: Windows of every length that items have, in items and in documents, joined as texts.
+ORACLE_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce({_WORDS}, []) AS words FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS words, least({WINDOW}, len({_WORDS})) AS n FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+item_windows AS (SELECT DISTINCT item_id, n, array_to_string(words[k:k + n - 1], ' ') AS seq FROM (SELECT *, unnest(range(1, len(words) - n + 2)) AS k FROM i WHERE n > 0)),
+sizes AS (SELECT DISTINCT n FROM item_windows),
+doc_windows AS (SELECT doc_id, n, k, array_to_string(words[k:k + n - 1], ' ') AS seq FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS k FROM d, sizes)),
+hits AS (SELECT doc_id, n, k, item_id FROM doc_windows JOIN item_windows USING (n, seq)),
+hit_words AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS place FROM hits) GROUP BY doc_id),
+hit_items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""

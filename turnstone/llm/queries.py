@@ -76,4 +76,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": substring_dedup.ORACLE_SQL, "op2_mixing": mixing.ORACLE_SQL, "op3_chat_format": chat.ORACLE_SQL, "op5_embedding_dedup": embedding_dedup.ORACLE_SQL, "op9_jaccard_join": jaccard.ORACLE_SQL, "op10_warc": warc.ORACLE_SQL, "op11_divergence": divergence.ORACLE_SQL, "op12_resampling": resampling.ORACLE_SQL}
+    return {"op1_substring_dedup": substring_dedup.ORACLE_SQL, "op2_mixing": mixing.ORACLE_SQL, "op3_chat_format": chat.ORACLE_SQL, "op5_embedding_dedup": embedding_dedup.ORACLE_SQL, "op8_decontamination": decontamination.ORACLE_SQL, "op9_jaccard_join": jaccard.ORACLE_SQL, "op10_warc": warc.ORACLE_SQL, "op11_divergence": divergence.ORACLE_SQL, "op12_resampling": resampling.ORACLE_SQL}

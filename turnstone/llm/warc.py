@@ -104,14 +104,15 @@ def responses(pages: DataFrame, date: str = CAPTURE_DATE) -> DataFrame:
 
 
 def _headers(*pairs: tuple[str, Column]) -> Column:
-    lines = [F.concat(F.lit(f"{k}: "), v) for k, v in pairs]
+    lines = [F.concat(F.lit(f"{k}: "), v) for k, v in pairs]  # none where there is no value
     return F.concat(F.concat_ws(CRLF, F.lit("WARC/1.0"), *lines), F.lit(CRLF + CRLF))
 
 
 def derivatives(found: DataFrame) -> DataFrame:
     """Two records for each response (page_id, record_id, target_uri, date, http, payload).
 
-    page_id, record_type (metadata, conversion), record_id, refers_to, concurrent_to (the other record),
+    page_id, record_type (metadata, conversion), record_id, refers_to, concurrent_to (of metadata the response, with which it
+    belongs to one capture; a conversion has none, as the format allows none there),
     target_uri, date, content_type, content_length (bytes), block_digest, source_digest (the payload's), headers
     (the record's WARC headers), block. refers_to is the response's identifier; the metadata block holds the
     response's own HTTP headers, payload length and digest besides title and counts. Map side only.
@@ -143,10 +144,10 @@ def derivatives(found: DataFrame) -> DataFrame:
         )
     )
 
-    def record(kind: str, other: str, content_type: str, block: Column) -> Column:
-        return F.struct(F.lit(kind).alias("record_type"), F.col(f"{kind}_id").alias("record_id"), F.col(f"{other}_id").alias("concurrent_to"), F.lit(content_type).alias("content_type"), block.alias("block"))
+    def record(kind: str, beside: Column, content_type: str, block: Column) -> Column:
+        return F.struct(F.lit(kind).alias("record_type"), F.col(f"{kind}_id").alias("record_id"), beside.alias("concurrent_to"), F.lit(content_type).alias("content_type"), block.alias("block"))
 
-    both = F.array(record("metadata", "conversion", "application/json", facts_json), record("conversion", "metadata", "text/plain", F.col("plain")))
+    both = F.array(record("metadata", F.col("refers_to"), "application/json", facts_json), record("conversion", F.lit(None).cast("string"), "text/plain", F.col("plain")))
     rows = base.select("page_id", "refers_to", "target_uri", "date", "source_digest", F.inline(both))
     rows = rows.withColumn("content_length", F.octet_length("block").cast("long")).withColumn("block_digest", base32_sha1(F.col("block").cast("binary")))
     headers = _headers(
@@ -206,11 +207,11 @@ b AS (SELECT *, strlen(payload) AS payload_length, {_b32("payload")} AS source_d
 j AS (SELECT *, CAST(json_object('refers_to', refers_to, 'target_uri', target_uri, 'date', '{CAPTURE_DATE}', 'http_headers',
   'HTTP/1.1 200 OK' || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10) || 'Content-Length: ' || payload_length || chr(13) || chr(10) || chr(13) || chr(10),
   'payload_length', payload_length, 'payload_digest', source_digest, 'title', title, 'n_links', n_links, 'text_length', length(plain)) AS VARCHAR) AS facts FROM b),
-u AS (SELECT page_id, 'metadata' AS record_type, metadata_id AS record_id, conversion_id AS concurrent_to, 'application/json' AS content_type, facts AS block, refers_to, target_uri, source_digest FROM j
-  UNION ALL SELECT page_id, 'conversion', conversion_id, metadata_id, 'text/plain', plain, refers_to, target_uri, source_digest FROM j),
+u AS (SELECT page_id, 'metadata' AS record_type, metadata_id AS record_id, refers_to AS concurrent_to, 'application/json' AS content_type, facts AS block, refers_to, target_uri, source_digest FROM j
+  UNION ALL SELECT page_id, 'conversion', conversion_id, NULL, 'text/plain', plain, refers_to, target_uri, source_digest FROM j),
 d AS (SELECT *, CAST(strlen(block) AS BIGINT) AS content_length, {_b32("block")} AS block_digest, chr(13) || chr(10) AS nl FROM u)
 SELECT page_id, record_type, record_id, refers_to, concurrent_to, target_uri, '{CAPTURE_DATE}' AS date, content_type, content_length, block_digest, source_digest,
-  'WARC/1.0' || nl || 'WARC-Type: ' || record_type || nl || 'WARC-Record-ID: ' || record_id || nl || 'WARC-Refers-To: ' || refers_to || nl || 'WARC-Concurrent-To: ' || concurrent_to
+  'WARC/1.0' || nl || 'WARC-Type: ' || record_type || nl || 'WARC-Record-ID: ' || record_id || nl || 'WARC-Refers-To: ' || refers_to || coalesce(nl || 'WARC-Concurrent-To: ' || concurrent_to, '')
   || nl || 'WARC-Target-URI: ' || target_uri || nl || 'WARC-Date: {CAPTURE_DATE}' || nl || 'WARC-Block-Digest: ' || block_digest || nl || 'Content-Type: ' || content_type
   || nl || 'Content-Length: ' || content_length || nl || nl AS headers, block FROM d
 """
