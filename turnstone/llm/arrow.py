@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -27,6 +28,16 @@ def pieces(texts: Sequence[bytes | None], limit: int = PIECE_BYTES) -> Iterator[
         yield begin, len(texts)
 
 
+def release() -> None:
+    """Give back to the system what a worker has freed: workers are used again, and would keep the most that they ever held
+    beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def raw(column: pa.Array) -> list[bytes | None]:
     """A string column's UTF-8 bytes."""
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
@@ -62,6 +73,7 @@ def annotate(
                 columns = [batch.column(i).slice(begin, end - begin) for i in range(n_kept)]
                 columns += [pa.array(v, f.type) for v, f in zip(work(texts[begin:end], *(batch.column(i).slice(begin, end - begin).to_pylist() for i in more)), arrow_fields, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, schema=names)
+            release()
 
     ship(df.sparkSession)
     return df.select(*[df[f"`{c}`"] for c in sent]).mapInArrow(run, schema)

@@ -22,7 +22,7 @@ TOP_TERMS = 50
 MAX_HELD = 300_000
 PIECE = 1 << 20
 #: Postings in a block of terms, about, in which pairs of sources are corrected together.
-BLOCK_POSTINGS = 300_000
+BLOCK_POSTINGS = 30_000
 
 #: A-Z as a-z, and every byte that is in no term as a blank.
 _PLAIN = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnstone.llm import sketch
-from turnstone.llm.arrow import pieces, raw
+from turnstone.llm.arrow import pieces, raw, release
 from turnstone.llm.components import components, roots
 from turnstone.llm.hashing import U, mix, split_words, window_hashes, word_hashes
 from turnstone.session import materialize, ship
@@ -162,6 +162,7 @@ def _index_chunk(layout: sketch.Layout, names: pa.Schema):
         sizes = np.cumsum([0, *map(len, keys)])
         listed = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.concatenate(keys).view(np.int64)))
         keyed = pa.array([t if len(k) else None for t, k in zip(texts, keys, strict=True)], pa.binary())
+        release()
         return pa.Table.from_arrays([held["doc_id"], pa.array(np.diff(cuts), pa.int64()), *map(pa.array, set_names), listed, keyed], schema=names)
 
     return index
@@ -209,6 +210,7 @@ def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                         found.append(i)
                         linked.append(similar(mine, other))
             kept = [batch.column(k).take(pa.array(found, pa.int64())) for k in range(2)]
+            release()
             yield pa.RecordBatch.from_arrays([*kept, pa.array(linked, pa.bool_())], ["a", "b", "linked"])
 
     joined = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from turnstone.llm.arrow import release
 from turnstone.llm.hashing import U, mix
 
 #: Chunks grow beyond so many of them, and so do shards.
@@ -105,7 +106,9 @@ def answers(dealt: DataFrame, layout: Layout, hashes_of: Callable[[pa.Table], np
     """chunk, row, shard, bits: what each chunk of dealt (chunk, and what hashes_of reads) may know of its hashes."""
 
     def ask(table: pa.Table) -> pa.Table:
-        return _question(layout, table["chunk"][0].as_py(), hashes_of(table))
+        asked = _question(layout, table["chunk"][0].as_py(), hashes_of(table))
+        release()
+        return asked
 
     asked = dealt.groupBy("chunk").applyInArrow(ask, "chunk long, row int, shard int, payload binary")
     return asked.groupBy("row", "shard").applyInArrow(lambda table: _answer(layout, table), "chunk long, row int, shard int, bits binary")
