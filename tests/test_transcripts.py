@@ -1,14 +1,16 @@
 """Goldens for each documented rule, and a brute-force check of the speaker join."""
 
+import json
 import random
 import re
 import time
+import weakref
 
 import pytest
 from pyspark.sql import functions as F
 
 from turnstone.functions import audio, edits, text
-from turnstone.operators import fusion, lines, model_output, publish, scoring, stats, worklist
+from turnstone.operators import fusion, lines, model_output, publish, render, scoring, stats, worklist
 from turnstone.sources import files, listing
 
 WORD = "interview_id long, idx int, start double, end double, text string"
@@ -472,3 +474,34 @@ def test_folder_source(spark, tmp_path):
     spark.dataSource.register(FolderSource)
     read = lambda **o: [(r.folder, r.name) for r in spark.read.format("audio_folders").options(root=str(tmp_path), **o).load().collect()]
     assert read() == [("f1", "x.MP3")] and read(folders="none,f1") == [("f1", "x.MP3")]
+
+
+def test_json_by_pieces(spark):
+    """A record's segments are read one after another, never held together; texts are those of json.dumps over the whole."""
+
+    class Segment(dict):
+        __hash__ = object.__hash__
+
+    alive = weakref.WeakSet()
+
+    def read(n):
+        for k in range(n):
+            words = [{"idx": 2 * k + i, "text": f'w"{i}\n', "start": k / 7, "end": k + 0.12345, "confidence": [None, 0.12345][i], "source": "measured", "speaker": "S"} for i in (0, 1)]
+            made = Segment(segment_index=k, start=k / 7, end=k + 1.0, text=f"é {k}", speaker=None, words=words)
+            alive.add(made)
+            assert len(alive) <= 2
+            yield made
+            del made
+
+    line = {"line_ix": 0, "segment_index": 3, "start": 0.0, "end": 1.0, "text": "x", "speaker": None, "idx": [6, 7]}
+    record = render.full_document({"audio_path": "p", "duration": 9.87654, "segments": read(50), "lines": iter([line])})
+    again = json.loads(record)
+    assert record == json.dumps(again, indent=2, ensure_ascii=False) and again["text"].startswith("é 0 é 1 ")
+    assert len(again["segments"]) == 50 and again["segments"][9]["confidence"] == again["lines"][0]["confidence"] == 0.1235
+    made = render.document(read(50), "en", {"more": []})
+    assert made == json.dumps(json.loads(made), indent=2, ensure_ascii=False) and render.document([], "en") == json.dumps({"segments": [], "language": "en"}, indent=2)
+    kind = "interview_id long, segments array<struct<segment_index:int,start:double,end:double,text:string,speaker:string,words:array<struct<idx:int,text:string,start:double,end:double,confidence:double,source:string,speaker:string>>>>"
+    rows = [(i, [dict(s) for s in read(i)] + [{"segment_index": 99, "start": 0.0, "end": 0.5, "text": "bare", "speaker": "S", "words": None}]) for i in range(30)]
+    nested = spark.createDataFrame(rows, kind).coalesce(1)
+    assert {r.interview_id: r.json for r in render.to_json(nested).collect()} == {i: render.document(s, "en") for i, s in rows}
+    assert render.to_json(nested.where("false")).count() == 0

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,52 +89,102 @@ def _word_entry(word: dict) -> dict:
     return entry
 
 
-def document(segments: list[dict], language: str, extras: dict | None = None) -> str:
+def _dumps(value: object, pad: str = "\n") -> str:
+    """A value as JSON inside a larger one; pad: a new line and the blanks before the value. No string holds a line's end as it is."""
+    return json.dumps(value, indent=2, ensure_ascii=False).replace("\n", pad)
+
+
+def _listed(parts: list[str]) -> str:
+    """A top-level list of values that are texts already, made with pad ENTRY."""
+    return "[" + ENTRY + f",{ENTRY}".join(parts) + "\n  ]" if parts else "[]"
+
+
+ENTRY = "\n    "
+
+
+def document(segments: Iterable[dict], language: str, extras: dict | None = None) -> str:
     """A recording's JSON. A score is there even if null, a speaker only where there is one, a status only where
     words were scored; times have 3 digits, scores 4, rounded as Python rounds."""
-    entries = []
+    parts = []
     for s in segments:
-        entry = {"start": round(s["start"], 3), "end": round(s["end"], 3), "text": s["text"], "words": [_word_entry(w) for w in s["words"] if w]}
+        entry = {"start": round(s["start"], 3), "end": round(s["end"], 3), "text": s["text"], "words": [_word_entry(w) for w in s["words"] or [] if w]}
         if s["speaker"]:
             entry["speaker"] = s["speaker"]
-        entries.append(entry)
-    return json.dumps({"segments": entries, "language": language} | (extras or {}), indent=2, ensure_ascii=False)
-
-
-def _plain(value):
-    """Arrow and pandas containers as plain Python ones."""
-    if hasattr(value, "asDict"):
-        return {k: _plain(v) for k, v in value.asDict().items()}
-    if isinstance(value, dict):
-        return {k: _plain(v) for k, v in value.items()}
-    if hasattr(value, "tolist") and not isinstance(value, (str, bytes)):
-        value = value.tolist()
-    return [_plain(v) for v in value] if isinstance(value, list) else value
+        parts.append(_dumps(entry, ENTRY))
+    facts = {"language": language} | (extras or {})
+    whole = {k: _dumps(v, "\n  ") for k, v in ({"segments": None} | facts).items()}
+    if "segments" not in facts:
+        whole["segments"] = _listed(parts)
+    return "{\n  " + ",\n  ".join([f"{_dumps(k)}: {v}" for k, v in whole.items()]) + "\n}"
 
 
 def full_document(row: dict) -> str:
     """A recording's whole record as JSON: its text, facts, segments with confidences and words, and lines. Here an
-    unknown confidence or speaker is null, and a word's status and reference come together."""
-    known = lambda words: [w["confidence"] for w in words if w.get("confidence") is not None and not math.isnan(w["confidence"])]
-    mean = lambda words: _maybe(sum(known(words)) / len(known(words)), 4) if known(words) else None
+    unknown confidence or speaker is null, and a word's status and reference come together. row: audio_path, duration,
+    segments and lines, which are gone through once."""
+    known = lambda scores: [x for x in scores if x is not None and not math.isnan(x)]
+    mean = lambda scores: _maybe(sum(scores) / len(scores), 4) if scores else None
     span = lambda x: {"start": round(x["start"], 3), "end": round(x["end"], 3)}
 
     def word(w: dict, segment: int) -> dict:
         entry = {"word": w["text"], **span(w), "confidence": _maybe(w.get("confidence"), 4), "source": w.get("source"), "speaker": w.get("speaker"), "segment_index": segment}
         return entry | ({"status": w["status"], "reference": w.get("reference")} if w.get("status") is not None else {})
 
-    segments = [
-        {"index": s["segment_index"], **span(s), "speaker": s["speaker"], "text": s["text"], "confidence": mean(s["words"] or []), "words": [word(w, s["segment_index"]) for w in s["words"] or []]}
-        for s in row["segments"]
-    ]
-    of = {w["idx"]: w for s in row["segments"] for w in s["words"] or []}
+    of: dict[int, float | None] = {}
+    texts, segments = [], []
+    for s in row["segments"]:
+        words = s["words"] or []
+        of |= {w["idx"]: w.get("confidence") for w in words}
+        texts += [s["text"]] if s["text"] else []
+        mine = mean(known(w.get("confidence") for w in words))
+        entry = {"index": s["segment_index"], **span(s), "speaker": s["speaker"], "text": s["text"], "confidence": mine, "words": [word(w, s["segment_index"]) for w in words]}
+        segments.append(_dumps(entry, ENTRY))
     lines = [
-        {"index": x["line_ix"], **span(x), "speaker": x["speaker"], "segment_index": x["segment_index"], "text": x["text"], "confidence": mean([of[k] for k in x["idx"]])}
+        _dumps({"index": x["line_ix"], **span(x), "speaker": x["speaker"], "segment_index": x["segment_index"], "text": x["text"], "confidence": mean(known(of[k] for k in x["idx"]))}, ENTRY)
         for x in row["lines"] or []
     ]
-    text = " ".join(s["text"] for s in row["segments"] if s["text"])
-    facts = {"audio_path": row.get("audio_path"), "duration": _maybe(row.get("duration"), 3), "text": text}
-    return json.dumps(facts | {"segments": segments, "lines": lines}, indent=2, ensure_ascii=False)
+    facts = {"audio_path": row.get("audio_path"), "duration": _maybe(row.get("duration"), 3), "text": " ".join(texts)}
+    whole = {k: _dumps(v) for k, v in facts.items()} | {"segments": _listed(segments), "lines": _listed(lines)}
+    return "{\n  " + ",\n  ".join([f"{_dumps(k)}: {v}" for k, v in whole.items()]) + "\n}"
+
+
+#: Texts of recordings leave a worker once they have so many characters together.
+SENT_CHARS = 1 << 22
+
+
+def _items(value: pa.Scalar) -> Iterator[dict | None]:
+    """The entries of a list of structs; lists within an entry become Python values only when its turn comes."""
+    if not value.is_valid:
+        return
+    within = lambda column: ([*_items(x)] if x.is_valid else None for x in column)
+    deep = lambda kind: pa.types.is_list(kind) and pa.types.is_struct(kind.value_type)
+    held = value.values
+    whole = lambda c: not c.null_count and pa.types.is_primitive(c.type) or pa.types.is_string(c.type)
+    names = [f.name for f in held.type]
+    plain = lambda c: c.to_numpy(zero_copy_only=False).tolist() if whole(c) else c.to_pylist()
+    columns = [within(c) if deep(c.type) else plain(c) for c in held.flatten()]
+    entries = (dict(zip(names, entry, strict=True)) for entry in zip(*columns, strict=True))
+    yield from entries if not held.null_count else (e if there else None for e, there in zip(entries, held.is_valid().to_pylist(), strict=True))
+
+
+def _render(rows: DataFrame, write: Callable[[dict[str, pa.Scalar]], str]) -> DataFrame:
+    """interview_id and json, a recording's text from its row. Spark bounds a batch in bytes; of what is in it one
+    recording at a time becomes Python values, its words by segments, since those take many times its size."""
+
+    def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            begin = size = 0
+            texts: list[str] = []
+            for k in range(batch.num_rows):
+                texts.append(write({name: batch.column(i)[k] for i, name in enumerate(batch.schema.names)}))
+                size += len(texts[-1])
+                if size >= SENT_CHARS or k + 1 == batch.num_rows:
+                    ids = batch.column(batch.schema.names.index("interview_id")).slice(begin, len(texts))
+                    yield pa.RecordBatch.from_arrays([ids, pa.array(texts, pa.string())], ["interview_id", "json"])
+                    begin, size, texts = k + 1, 0, []
+
+    ship(rows.sparkSession)
+    return rows.mapInArrow(render, f"interview_id {rows.schema['interview_id'].dataType.simpleString()}, json string")
 
 
 def to_full_json(nested: DataFrame, lines: DataFrame, interviews: DataFrame) -> DataFrame:
@@ -143,26 +193,18 @@ def to_full_json(nested: DataFrame, lines: DataFrame, interviews: DataFrame) ->
     rows = nested.join(lines.groupBy("interview_id").agg(F.array_sort(F.collect_list(packed)).alias("lines")), "interview_id", "left")
     rows = rows.join(interviews.select("interview_id", "audio_path", "duration"), "interview_id", "left")
 
-    def render(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = [full_document({k: _plain(v) for k, v in row.items()}) for row in batch.to_dict("records")]
-            yield pd.DataFrame({"interview_id": batch["interview_id"], "json": texts})
+    def write(row: dict[str, pa.Scalar]) -> str:
+        return full_document({"audio_path": row["audio_path"].as_py(), "duration": row["duration"].as_py(), "segments": _items(row["segments"]), "lines": _items(row["lines"])})
 
-    ship(nested.sparkSession)
-    kept = rows.select("interview_id", "audio_path", "duration", "segments", "lines")
-    return kept.mapInPandas(render, f"interview_id {nested.schema['interview_id'].dataType.simpleString()}, json string")
+    return _render(rows.select("interview_id", "audio_path", "duration", "segments", "lines"), write)
 
 
 def to_json(nested: DataFrame, language: str = "en", extras: str | None = None) -> DataFrame:
     """interview_id and json, from segments (see nested_segments); extras: a column with more top-level entries, as
-    JSON. Exact null and rounding rules need Python; recordings are rendered one by one in Arrow batches."""
+    JSON. Exact null and rounding rules need Python."""
 
-    def render(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            more = [json.loads(x) if x else {} for x in batch[extras]] if extras else [{}] * len(batch)
-            texts = [document([s | {"words": s["words"] or []} for s in _plain(segments)], language, m) for segments, m in zip(batch["segments"], more, strict=True)]
-            yield pd.DataFrame({"interview_id": batch["interview_id"], "json": texts})
+    def write(row: dict[str, pa.Scalar]) -> str:
+        more = row[extras].as_py() if extras else None
+        return document(_items(row["segments"]), language, json.loads(more) if more else None)
 
-    ship(nested.sparkSession)
-    kept = nested.select("interview_id", "segments", *([extras] if extras else []))
-    return kept.mapInPandas(render, f"interview_id {nested.schema['interview_id'].dataType.simpleString()}, json string")
+    return _render(nested.select("interview_id", "segments", *([extras] if extras else [])), write)
