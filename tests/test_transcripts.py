@@ -505,3 +505,14 @@ def test_json_by_pieces(spark):
     nested = spark.createDataFrame(rows, kind).coalesce(1)
     assert {r.interview_id: r.json for r in render.to_json(nested).collect()} == {i: render.document(s, "en") for i, s in rows}
     assert render.to_json(nested.where("false")).count() == 0
+
+
+def test_lines_for_width_without_words_in_lines(spark):
+    """Lines may come without their words; only recordings with a line that is too long are packed anew."""
+    rows = [(1, k, k / 2, k / 2 + 0.4, "abcde") for k in range(12)] + [(2, 0, 0.0, 0.4, "short")]
+    words = spark.createDataFrame([(*r, 0) for r in rows], f"{WORD}, segment_index int")
+    own = lines.build_lines(words).drop("words").withColumn("text", F.when(F.col("interview_id") == 2, "kept").otherwise(F.col("text")))
+    made = lines.lines_for_width(own, words, None, 20)
+    assert made.columns == own.columns
+    got = sorted((r.interview_id, r.line_ix, r.text) for r in made.collect())
+    assert got == [(1, k, "abcde abcde abcde") for k in range(4)] + [(2, 0, "kept")]

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnstone.functions.text import ends_sentence, join_words, no_space_between
-from turnstone.session import ship
+from turnstone.session import materialize, ship
 
 
 @dataclass(frozen=True)
@@ -150,11 +150,13 @@ def build_lines(words: DataFrame, segments: DataFrame | None = None, limits: Lin
 
 def lines_for_width(lines: DataFrame, words: DataFrame, segments: DataFrame | None, width: int) -> DataFrame:
     """A recording's own lines where all fit the width, else lines packed anew with this width and the other limits
-    as they are by default."""
+    as they are by default. Only words of recordings that need it are packed anew; which do not is stored, as ids. The columns
+    are those of lines, which are read twice: give stored lines where they are dear to make."""
     fit = lines.groupBy("interview_id").agg(F.bool_and(F.length("text") <= width).alias("fit"))
-    good = fit.where("fit").select("interview_id")
-    rebuilt = build_lines(words, segments, LineLimits(max_chars=width))
-    return lines.join(good, "interview_id", "left_semi").unionByName(rebuilt.join(good, "interview_id", "left_anti")).repartition("interview_id")
+    good = materialize(fit.where("fit").select("interview_id"), "fitting")
+    open_ = lambda df: df.join(good, "interview_id", "left_anti")
+    rebuilt = build_lines(open_(words), segments if segments is None else open_(segments), LineLimits(max_chars=width))
+    return lines.join(good, "interview_id", "left_semi").unionByName(rebuilt.select(*lines.columns)).repartition("interview_id")
 
 
 def number_cues(lines: DataFrame, max_lines: int = 2) -> DataFrame:

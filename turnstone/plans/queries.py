@@ -150,7 +150,7 @@ SELECT interview_id, line_ix, segment_index, "start", "end", text, speaker FROM
 UNION ALL SELECT interview_id, line_ix, segment_index, "start", "end", text, speaker FROM narrow WHERE interview_id NOT IN (FROM fit)''', "lines"))
 def lines_reused_at_width(spark, sf_dir):
     marked = materialize(_marked(spark, sf_dir)[0], "marked")
-    return lines.lines_for_width(lines.build_lines(marked), marked, None, NARROW).drop("words")
+    return lines.lines_for_width(materialize(lines.build_lines(marked).drop("words"), "lines"), marked, None, NARROW)
 
 
 ESC_SQL = "replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
