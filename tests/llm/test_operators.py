@@ -606,3 +606,21 @@ def test_layout_at_any_size():
             assert hashes / payloads > 100, (total, hashes / payloads)
             assert layout.shard < 1 << 29 and total / layout.chunks < 100e6
     assert sketch.Layout(10**9, 1 << 20, 0.08, 4, 2, (2,)).shard == sketch.SHARD_CELLS
+
+
+def test_secrets_fit_takes_every_finding(spark, monkeypatch):
+    """All distinct findings are trained on or held out, over several rounds and shards."""
+    texts = [f'see file{i}x{i * 7919}abc and host{i}.example.org then token = "{hashlib.md5(str(i).encode()).hexdigest()}"' for i in range(300)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    seen, trained = [], []
+    calibrate, averaged = secrets._calibrate, secrets._averaged
+    monkeypatch.setattr(secrets, "MADE", 400)
+    monkeypatch.setattr(secrets, "MADE_LONG", 200)
+    monkeypatch.setattr(secrets, "SHARD", 200)
+    monkeypatch.setattr(secrets, "_calibrate", lambda net, counted: seen.append(counted) or calibrate(net, counted))
+    monkeypatch.setattr(secrets, "_averaged", lambda net, states: trained.append([n for n, _ in states]) or averaged(net, states))
+    net = secrets.fit(rows)
+    every = len(set(secrets.labelled_findings(texts)))
+    own = sum(n for *_, n in seen[0][:-150])
+    assert sum(map(sum, trained)) + own == every > 1000 and len(trained) > 1 and len(trained[0]) >= 1
+    assert all(recall >= 0.9 for recall, _ in net.measured)
