@@ -516,3 +516,59 @@ def test_lines_for_width_without_words_in_lines(spark):
     assert made.columns == own.columns
     got = sorted((r.interview_id, r.line_ix, r.text) for r in made.collect())
     assert got == [(1, k, "abcde abcde abcde") for k in range(4)] + [(2, 0, "kept")]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("rows", [1, 3, 1000])
+def test_speaker_join_over_batches(spark, rows):
+    """A slice's turns and words over many small batches, or many slices in one; no group goes to Python by itself."""
+    rng = random.Random(rows)
+    word_rows, turn_rows, expected = [], [], {}
+    for k in range(12):
+        words = sorted((rng.randrange(0, 80 if k % 3 else 16_000) / 2, rng.choice([0, 0.5, 9])) for _ in range(rng.randrange(30)))
+        spans = [(a, a + rng.choice([1, 4, 30])) for a in (rng.randrange(0, 80 if k % 2 else 16_000) / 2 for _ in range(rng.randrange(12)))]
+        word_rows += [(k, i, a, a + n, "w") for i, (a, n) in enumerate(words)]
+        turn_rows += [(k, i, float(a), float(b), f"S{i}") for i, (a, b) in enumerate(spans)]
+        expected |= {(k, i): t for i, t in enumerate(sweep([(a, a + n) for a, n in words], spans))}
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    try:
+        found = fusion.assign_speakers(spark.createDataFrame(word_rows, WORD), spark.createDataFrame(turn_rows, TURN))
+        got = found.collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert {(r.interview_id, r.idx): r.turn_ix for r in got} == expected
+    assert all(r.speaker == (None if r.turn_ix is None else f"S{r.turn_ix}") for r in got)
+    assert "CoGroups" not in plan_of(found)
+
+
+def test_speaker_join_keeps_words_of_partitioned_tables(spark):
+    """Words that are partitioned by recording, as turns are, in a session that lets unions keep that partitioning."""
+    from turnstone.operators.words import clamp_words
+
+    words = spark.range(4000).selectExpr("id % 200 interview_id", "cast(id div 200 as int) idx", "cast(id div 200 as double) start", "(id div 200) + 0.5D end", "'w' text")
+    turns = spark.range(200).selectExpr("id interview_id", "0 turn_ix", "0D start", "99D end", "'S01' speaker")
+    for kept in ("true", "false"):
+        before = spark.conf.get("spark.sql.unionOutputPartitioning")
+        spark.conf.set("spark.sql.unionOutputPartitioning", kept)
+        try:
+            found = fusion.mark_segments(fusion.assign_speakers(clamp_words(words), turns))
+            assert found.where("turn_ix = 0 AND overlap = 0.5").count() == 4000 and found.count() == 4000
+        finally:
+            spark.conf.set("spark.sql.unionOutputPartitioning", before)
+
+
+def test_shuffles_of_words_and_cues(spark):
+    """Turns are dealt before they become words; lines are dealt by recording once after they are folded."""
+    from turnstone.plans import fixtures
+
+    talk = spark.createDataFrame([(1, 0, "user", "a b"), (1, 1, "assistant", "c d")], "conv_id long, turn int, role string, text string")
+    plan = plan_of(fixtures.timed_words(talk))
+    assert plan.count("Exchange") == 1 and plan.index("Generate") < plan.index("Exchange")
+    words = spark.createDataFrame([(1, 0, 0.0, 1.0, "a", 0)], WORD + ", segment_index int")
+    made = render.to_vtt(render.cues(lines.number_cues(lines.build_lines(words))))
+    assert plan_of(made).count("Exchange") == 4  # words, stretches, lines, folded lines
+    assert made.first().vtt == "WEBVTT\n\n00:00:00.000 --> 00:00:01.000\na\n"

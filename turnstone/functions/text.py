@@ -112,10 +112,11 @@ def escape(text: Column) -> Column:
 
 def stamp(seconds: Column, decimal: str = ".") -> Column:
     """HH:MM:SS.mmm, never negative, milliseconds rounded half to even."""
-    millis = F.bround(F.greatest(seconds.cast("double"), F.lit(0.0)) * 1000).cast("long")
-    part = lambda unit, size: (F.floor(millis / unit) % size).cast("long")
-    hours = F.floor(millis / 3_600_000).cast("long")
-    return F.format_string(f"%02d:%02d:%02d{decimal}%03d", hours, part(60_000, 60), part(1000, 60), (millis % 1000).cast("long"))
+    millis = F.rint(F.greatest(seconds.cast("double"), F.lit(0.0)) * 1000).cast("long")
+    part = lambda unit, size: F.lpad((F.floor(millis / unit) % size).cast("string"), 2, "0")
+    hours = F.floor(millis / 3_600_000)
+    shown = F.when(hours > 99, hours.cast("string")).otherwise(F.lpad(hours.cast("string"), 2, "0"))
+    return F.concat(shown, F.lit(":"), part(60_000, 60), F.lit(":"), part(1000, 60), F.lit(decimal), F.lpad((millis % 1000).cast("string"), 3, "0"))
 
 
 def basename(path: Column) -> Column:

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnstone.functions.text import join_words
 from turnstone.operators.ordinals import free_name
 from turnstone.operators.words import ordered
-from turnstone.session import ship
+from turnstone.session import ship, spread
 
 MAX_GAP = 1.0
 #: Words are dealt into slices of so many seconds of their recording, which are swept one by one.
@@ -79,6 +82,11 @@ def sweep(ws: np.ndarray, we: np.ndarray, ts: np.ndarray, te: np.ndarray, rank:
     return turn, overlap
 
 
+def _runs(*columns: pa.Array) -> np.ndarray:
+    """Places at which rows begin that are alike in the columns, and the number of rows."""
+    return np.unique(np.concatenate([[0], *(pc.run_end_encode(c).run_ends.to_numpy() for c in columns)]))
+
+
 def assign_speakers(words: DataFrame, turns: DataFrame, max_gap: float = MAX_GAP) -> DataFrame:
     """words with turn_ix, speaker, overlap (0 if by proximity, null if none) and by_proximity.
 
@@ -88,33 +96,56 @@ def assign_speakers(words: DataFrame, turns: DataFrame, max_gap: float = MAX_GAP
     turn further back is not looked at.
 
     Words are shuffled once, by recording and slice, and each slice is swept beside copies of the turns it needs, so a
-    recording of any length is spread over tasks. Words without times, and turns without them, meet nothing."""
+    recording of any length is spread over tasks. In a sorted task a slice's turns come by rank, then its words; batches of
+    many slices go to Python, or parts of one. Words without times, and turns without them, meet nothing."""
     own = [c for c in words.columns if c not in {"turn_ix", "speaker", "overlap", "by_proximity"}]
-    part = free_name(words, "slice")
-    dealt = words.select(*own, F.coalesce(_slice(F.greatest(F.lit(0.0), "start")), F.lit(0)).alias(part))
-    near = turns_by_slice(words, turns, max_gap)
-    kinds = turns.schema
-
-    def meet(spoken: pa.Table, beside: pa.Table) -> pa.Table:
-        beside = beside.sort_by("rank")
-        times = [t.column(c).to_numpy().astype(float) for t, c in ((spoken, "start"), (spoken, "end"), (beside, "ts"), (beside, "te"))]
-        turn, overlap = sweep(*times, beside["rank"].to_numpy(), max_gap)
-        at = pa.array(turn, mask=turn < 0)
-        taken = [beside["turn"].combine_chunks().take(at), beside["name"].combine_chunks().take(at), pa.array(overlap, mask=turn < 0), pa.array((turn >= 0) & (overlap == 0))]
-        return pa.Table.from_arrays([*(spoken[c] for c in own), *taken], [*own, "turn_ix", "speaker", "overlap", "by_proximity"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (words.schema[c] for c in own))
+    part, beside, met = (free_name(words, stem) for stem in ("slice", "beside", "met"))
+    kinds = {f.name: f.dataType for f in words.schema}
+    turn_kind = turns.schema["turn_ix"].dataType.simpleString()
+    name_kind = turns.schema["speaker"].dataType.simpleString()
+    near = spread(turns_by_slice(words, turns, max_gap), "rank")  # few rows; never partitioned as words are, which a union could lose rows by
+    none = [F.col("interview_id").cast(kinds[c]).alias(c) if c == "interview_id" else F.lit(None).cast(kinds[c]).alias(c) for c in own]
+    copies = near.select(*none, F.col("slice").alias(part), F.struct("rank", F.col("ts").cast("double").alias("ts"), F.col("te").cast("double").alias("te"), "turn", "name").alias(beside))
+    dealt = words.select(*own, F.coalesce(_slice(F.greatest(F.lit(0.0), "start")), F.lit(0)).alias(part), F.lit(None).cast(copies.schema[beside].dataType).alias(beside))
+
+    @F.arrow_udf(f"struct<turn_ix:{turn_kind},speaker:{name_kind},overlap:double,by_proximity:boolean>")
+    def meet(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        last, held = None, None  # what the batch before ended with: its recording and slice, and that slice's turns
+        for ids, slices, starts, ends, spoken in batches:
+            bounds, is_turn = _runs(ids, slices), spoken.is_valid().to_numpy(zero_copy_only=False)
+            goes_on = len(ids) and last is not None and last[0].equals(ids[0]) and last[1].equals(slices[0])
+            fresh = spoken.filter(spoken.is_valid())
+            pool = pa.concat_arrays([held, fresh]) if goes_on else fresh
+            until = np.concatenate(([0], np.cumsum(is_turn))) + len(pool) - len(fresh)
+            rank, ts, te, turns_at, names = pool.flatten()
+            rank, ts, te = rank.to_numpy(), ts.to_numpy(), te.to_numpy()
+            ws, we = (c.to_numpy(zero_copy_only=False).astype(float) for c in (starts, ends))
+            turn, overlap = np.full(len(ids), -1, np.int64), np.zeros(len(ids))
+            begin = 0
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                begin, stop = until[a] if a else 0, until[b]
+                first = a + int(is_turn[a:b].sum())
+                if begin < stop and first < b:
+                    found, overlap[first:b] = sweep(ws[first:b], we[first:b], ts[begin:stop], te[begin:stop], rank[begin:stop], max_gap)
+                    turn[first:b] = np.where(found < 0, -1, found + begin)
+            if len(ids):
+                last, held = (ids[-1], slices[-1]), pool.slice(begin)
+            at = pa.array(turn, mask=turn < 0)
+            values = [turns_at.take(at), names.take(at), pa.array(overlap, mask=turn < 0), pa.array((turn >= 0) & (overlap == 0))]
+            yield pa.StructArray.from_arrays(values, ["turn_ix", "speaker", "overlap", "by_proximity"], mask=pa.array(is_turn))
+
     ship(words.sparkSession)
-    return dealt.groupBy("interview_id", part).cogroup(near.groupBy("interview_id", "slice")).applyInArrow(
-        meet, f"{fields}, turn_ix {kinds['turn_ix'].dataType.simpleString()}, speaker {kinds['speaker'].dataType.simpleString()}, overlap double, by_proximity boolean"
-    )
+    meet = meet.asNondeterministic()  # what it gives hangs on the rows before: Spark must neither drop the sort nor filter first
+    both = spread(dealt.unionByName(copies), "interview_id", part).sortWithinPartitions("interview_id", part, F.col(beside).isNull(), F.col(beside)["rank"])
+    swept = both.withColumn(met, meet("interview_id", part, "start", "end", beside)).where(F.col(met).isNotNull())
+    return swept.select(*own, *(F.col(met)[c].alias(c) for c in ("turn_ix", "speaker", "overlap", "by_proximity")))
 
 
 def mark_segments(assigned: DataFrame) -> DataFrame:
     """Assigned words with segment_index: it rises wherever the turn changes; no turn is a turn of its own kind."""
     order = Window.partitionBy("interview_id").orderBy("idx")
     changed = (F.row_number().over(order) == 1) | ~F.col("turn_ix").eqNullSafe(F.lag("turn_ix").over(order))
-    marked = assigned.withColumn("__new", changed.cast("int"))
+    marked = spread(assigned, "interview_id").withColumn("__new", changed.cast("int"))
     rows = order.rowsBetween(Window.unboundedPreceding, 0)
     return marked.withColumn("segment_index", (F.sum("__new").over(rows) - 1).cast("int")).drop("__new")
 

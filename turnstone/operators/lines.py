@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnstone.functions.text import ends_sentence, join_words, no_space_between
-from turnstone.session import materialize, ship
+from turnstone.session import materialize, ship, spread
 
 
 @dataclass(frozen=True)
@@ -34,18 +34,21 @@ def line_starts(starts: Sequence[float], ends: Sequence[float], sizes: Sequence[
     """Places of words at which a line starts, and each line's characters.
 
     sizes: each word's characters; tight: whether it follows the one before without a space; stops: whether it ends a sentence."""
+    gap, span, most, enough = limits.max_gap, limits.max_duration, limits.max_chars, limits.min_chars_for_sentence_break
     cuts: list[int] = []
     held: list[int] = []
-    for k, size in enumerate(sizes):
-        if cuts:
-            chars = held[-1]
-            slow = starts[k] - ends[k - 1] > limits.max_gap or ends[k] - starts[cuts[-1]] > limits.max_duration
-            if not (slow or (stops[k - 1] and chars >= limits.min_chars_for_sentence_break) or chars + 1 + size > limits.max_chars):
-                held[-1] = chars + size + (not tight[k])
-                continue
-        cuts.append(k)
-        held.append(size)
-    return cuts, held
+    begin = last = chars = 0
+    stopped = False
+    for k, (start, end, size, close, stop) in enumerate(zip(starts, ends, sizes, tight, stops, strict=True)):
+        if k and not (start - last > gap or end - begin > span or (stopped and chars >= enough) or chars + 1 + size > most):
+            chars += size + (not close)
+        else:
+            if k:
+                held.append(chars)
+            cuts.append(k)
+            begin, chars = start, size
+        last, stopped = end, stop
+    return cuts, held + [chars] * bool(cuts)
 
 
 def merge_slivers(starts: Sequence[float], ends: Sequence[float], chars: Sequence[int], tight: Sequence[bool], limits: LineLimits) -> list[int]:
@@ -65,7 +68,8 @@ def merge_slivers(starts: Sequence[float], ends: Sequence[float], chars: Sequenc
 def _lists(columns: Sequence[pa.Array]) -> tuple[list[list], np.ndarray]:
     """The values of list columns that are alike in shape, one list a column, and where each row begins in them (one more entry)."""
     bounds = np.concatenate(([0], np.cumsum(columns[0].value_lengths().to_numpy(zero_copy_only=False)))).astype(np.int64)
-    return [c.flatten().to_pylist() for c in columns], bounds
+    flat = [c.flatten() for c in columns]
+    return [c.to_pylist() if c.null_count else c.to_numpy(zero_copy_only=False).tolist() for c in flat], bounds
 
 
 def pack_lines(words: DataFrame, limits: LineLimits = LineLimits(), merge: bool = True) -> DataFrame:
@@ -102,23 +106,23 @@ def pack_lines(words: DataFrame, limits: LineLimits = LineLimits(), merge: bool
         ((F.col("text") == "") | F.coalesce(no_space_between(before, F.col("text")), F.lit(False))).alias("tight"),
         (F.first("speaker").over(upto) if "speaker" in words.columns else F.lit(None).cast("string")).alias("speaker"),
     )
-    held = F.array_sort(F.collect_list(F.struct("idx", "start", "end", "text", "tight")))
-    stretches = marked.repartition(*key, "stretch").groupBy(*key, "stretch").agg(held.alias("held"), F.first("speaker").alias("speaker"))
-    each = lambda column, f: F.transform(column, f)
-    numbers = (each("held", lambda w: w["start"]), each("held", lambda w: w["end"]), each("held", lambda w: F.length(w["text"])), each("held", lambda w: w["tight"]), each("held", lambda w: ends_sentence(w["text"])))
+    word = F.struct("idx", "start", "end", "text").alias("word")
+    held = F.array_sort(F.collect_list(F.struct("idx", word, "tight", F.length("text").alias("size"), ends_sentence(F.col("text")).alias("stops"))))
+    grouped = marked.groupBy(*key, "stretch").agg(held.alias("held"), F.first("speaker").alias("speaker"))  # where they lie in order
+    stretches = spread(grouped, *key, "stretch")
+    numbers = [F.col(f"held.{name}") for name in ("word.start", "word.end", "size", "tight", "stops")]
     cuts = stretches.withColumn("cuts", cut(*numbers))
     place = lambda k: F.get(F.col("cuts"), k)
     flat = cuts.select(*key, "stretch", "speaker", "held", "cuts", F.explode(F.sequence(F.lit(0), F.size("cuts") - 1)).alias("k"))
     size = F.coalesce(place(F.col("k") + 1)["at"], F.size("held")) - place(F.col("k"))["at"]
     flat = flat.select(*key, "stretch", "speaker", "k", place(F.col("k"))["chars"].alias("chars"), F.slice("held", place(F.col("k"))["at"] + 1, size).alias("held"))
-    own = each("held", lambda w: F.struct(w["idx"].alias("idx"), w["start"].alias("start"), w["end"].alias("end"), w["text"].alias("text")))
     first, last = F.get("held", F.lit(0)), F.element_at("held", -1)
-    made = flat.select(*key, "stretch", "k", "speaker", "chars", first["start"].alias("start"), last["end"].alias("end"), first["tight"].alias("tight"), own.alias("words"))
+    made = flat.select(*key, "stretch", "k", "speaker", "chars", first["word"]["start"].alias("start"), last["word"]["end"].alias("end"), first["tight"].alias("tight"), F.col("held.word").alias("words"))
     if merge:
         order = Window.partitionBy("interview_id").orderBy("segment_index", "stretch", "k")
         behind = (F.greatest(F.lit(0.0), F.col("end") - F.col("start")) < limits.min_duration) & F.col("segment_index").eqNullSafe(F.lag("segment_index").over(order))
         runs = made.withColumn("run", F.sum((~behind).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        part = lambda name: each("parts", lambda line: line[name])
+        part = lambda name: F.col("parts")[name]
         parts = F.array_sort(F.collect_list(F.struct("stretch", "k", "start", "end", "chars", "tight", "words")))
         runs = runs.groupBy("interview_id", "run").agg(F.first("segment_index").alias("segment_index"), F.first("speaker").alias("speaker"), parts.alias("parts"))
         runs = runs.withColumn("kept", fold(*map(part, ("start", "end", "chars", "tight"))))
@@ -128,8 +132,9 @@ def pack_lines(words: DataFrame, limits: LineLimits = LineLimits(), merge: bool
         made = runs.select(
             *key, F.col("run").alias("stretch"), "k", "speaker", F.get("parts", F.lit(0))["start"].alias("start"), F.array_max(part("end")).alias("end"), F.flatten(part("words")).alias("words")
         )
+    made = spread(made, "interview_id")  # serves the numbers here and those of recordings, lines and cues later
     number = F.row_number().over(Window.partitionBy(*key).orderBy("stretch", "k")) - 1
-    return made.select(*key, number.alias("line_in_segment"), "start", "end", join_words(each("words", lambda w: w["text"])).alias("text"), "words", "speaker")
+    return made.select(*key, number.alias("line_in_segment"), "start", "end", join_words(F.col("words.text")).alias("text"), "words", "speaker")
 
 
 def build_lines(words: DataFrame, segments: DataFrame | None = None, limits: LineLimits = LineLimits()) -> DataFrame:

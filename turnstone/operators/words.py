@@ -34,7 +34,7 @@ def turns_from_segments(segments: DataFrame) -> DataFrame:
 
 def ordered(key: str, value: str) -> Column:
     """An aggregate: value as an array in the order of key."""
-    return F.transform(F.array_sort(F.collect_list(F.struct(key, value))), lambda x: x[value])
+    return F.array_sort(F.collect_list(F.struct(key, value)))[value]
 
 
 def transcript_text(segments: DataFrame) -> DataFrame:

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from turnstone.session import spread
+
 
 def timed_words(conversations: DataFrame) -> DataFrame:
     """Words with times from their lengths: interview_id, idx, turn, role, text, start, end, confidence, source."""
-    tokens = conversations.select("conv_id", "turn", "role", F.posexplode(F.split("text", "[ \n]+")).alias("pos", "w")).where("w <> ''")
+    dealt = spread(conversations.select("conv_id", "turn", "role", "text"), "conv_id")  # turns, before they are many times as many words
+    tokens = dealt.select("conv_id", "turn", "role", F.posexplode(F.split("text", "[ \n]+")).alias("pos", "w")).where("w <> ''")
     length = 120 + 40 * F.least(F.length("w"), F.lit(17))
     gap = F.when((F.col("conv_id") * 7 + F.col("turn") * 13 + F.col("pos") * 5) % 11 == 0, 1400).otherwise(40)
     tokens = tokens.withColumn("dur", length.cast("long")).withColumn("gap", gap.cast("long"))

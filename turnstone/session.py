@@ -46,6 +46,12 @@ def ship(spark: SparkSession) -> None:
     context._turnstone_shipped = True
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """df dealt by keys over all of spark.sql.shuffle.partitions: adaptive execution would put rows that cost much work a byte
+    into about one task more than there are cores, so that half the cores idle in the second wave."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. On one machine it may be unset."""
     context = spark.sparkContext
