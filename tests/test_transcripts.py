@@ -572,3 +572,28 @@ def test_shuffles_of_words_and_cues(spark):
     made = render.to_vtt(render.cues(lines.number_cues(lines.build_lines(words))))
     assert plan_of(made).count("Exchange") == 4  # words, stretches, lines, folded lines
     assert made.first().vtt == "WEBVTT\n\n00:00:00.000 --> 00:00:01.000\na\n"
+
+
+def test_highlighted_groups_once(spark):
+    """Cues with words, without, and with the words of one line unknown; lines are read and grouped once."""
+    kind = "interview_id long, line_ix int, segment_index int, start double, end double, text string, speaker string, words array<struct<idx:int,start:double,end:double,text:string>>, cue_ix int"
+    rows = [
+        (1, 0, 0, 0.0, 1.0, "a <b", "S01", [(0, 0.0, 0.5, "a"), (1, 0.5, 1.0, "<b")], 0),
+        (1, 1, 0, 1.0, 2.0, "c", "S01", [(2, 1.0, 2.0, "c")], 0),
+        (1, 2, 1, 3.0, 4.0, "x & y", None, [], 1),
+        (1, 3, 1, 4.0, 5.0, "z", None, [], 1),
+        (1, 4, 2, 6.0, 7.0, "p", "S02", [(3, 6.0, 7.0, "p")], 2),
+        (1, 5, 2, 7.0, 360_000.0005, "q", "S02", None, 2),
+    ]
+    made = render.highlighted(spark.createDataFrame(rows, kind))
+    got = [(r.cue_ix, r.word_ix, r.start, r.end, r.body) for r in made.orderBy("cue_ix", "word_ix").collect()]
+    assert got == [
+        (0, 0, 0.0, 0.5, "<v S01><u>a</u> &lt;b c"),
+        (0, 1, 0.5, 1.0, "<v S01>a <u>&lt;b</u> c"),
+        (0, 2, 1.0, 2.0, "<v S01>a &lt;b <u>c</u>"),
+        (1, 0, 3.0, 5.0, "x &amp; y\nz"),
+        (2, 0, 6.0, 360_000.0005, "<v S02>p\nq"),
+    ]
+    plan = plan_of(render.to_vtt(made))
+    assert plan.count("Exchange") <= 2 and "Join" not in plan and "Union" not in plan
+    assert render.to_vtt(made).first().vtt.endswith("00:00:06.000 --> 100:00:00.000\n<v S02>p\nq\n")

@@ -21,7 +21,7 @@ def _voice(show_speaker: bool) -> Column:
 
 def cues(numbered: DataFrame, show_speaker: bool = True) -> DataFrame:
     """Lines with cue_ix as cues: interview_id, cue_ix, segment_index, start, end, speaker, body."""
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_ix", "text"))), lambda x: escape(x["text"])), "\n")
+    body = F.array_join(_in_order(escape(F.col("text")), "line_ix"), "\n")
     made = numbered.groupBy("interview_id", "cue_ix").agg(
         F.min("segment_index").alias("segment_index"),
         F.min_by("start", "line_ix").alias("start"),
@@ -34,15 +34,27 @@ def cues(numbered: DataFrame, show_speaker: bool = True) -> DataFrame:
 
 def highlighted(numbered: DataFrame, show_speaker: bool = True) -> DataFrame:
     """Cues of one word each: the words of a cue, that one underlined. Lines carry their words; a cue without words
-    stays whole. Same columns as cues, and word_ix."""
-    whole = cues(numbered, show_speaker)
-    lists = F.transform(F.array_sort(F.collect_list(F.struct("line_ix", "words"))), lambda x: x["words"])
-    words = numbered.groupBy("interview_id", "cue_ix").agg(F.flatten(lists).alias("words"), F.min_by("speaker", "line_ix").alias("speaker"), F.min("segment_index").alias("segment_index"))
-    texts = lambda at: F.transform("words", lambda w, i: F.when(i == at, F.concat(F.lit("<u>"), escape(w["text"]), F.lit("</u>"))).otherwise(escape(w["text"])))
-    single = words.select("*", F.posexplode("words").alias("word_ix", "word"))
-    single = single.select("interview_id", "cue_ix", "segment_index", F.col("word.start").alias("start"), F.col("word.end").alias("end"), "speaker", F.concat(_voice(show_speaker), F.array_join(texts(F.col("word_ix")), " ")).alias("body"), "word_ix")
-    bare = whole.join(words.where(F.size("words") > 0).select("interview_id", "cue_ix"), ["interview_id", "cue_ix"], "left_anti")
-    return single.unionByName(bare.withColumn("word_ix", F.lit(0))).repartition("interview_id")
+    stays whole. Same columns as cues, and word_ix. Lines are grouped once, and texts escaped once."""
+    grouped = numbered.groupBy("interview_id", "cue_ix").agg(
+        F.array_sort(F.collect_list(F.struct("line_ix", "start", "end", "speaker", escape(F.col("text")).alias("text"), "words"))).alias("lines"),
+        F.min("segment_index").alias("segment_index"),
+    )
+    made = grouped.select("interview_id", "cue_ix", "segment_index", "lines", F.get("lines", F.lit(0))["speaker"].alias("speaker"), F.flatten(F.col("lines")["words"]).alias("words"))
+    made = made.withColumn("texts", F.transform("words", lambda w: escape(w["text"])))
+    made = made.select("*", F.posexplode_outer("words").alias("word_ix", "word"))
+    at, texts = F.col("word_ix"), F.col("texts")
+    rest = F.slice(texts, at + 2, F.greatest(F.size(texts) - at - 1, F.lit(0)))
+    marked = F.concat_ws(" ", F.slice(texts, 1, at), F.concat(F.lit("<u>"), F.get(texts, at), F.lit("</u>")), rest)
+    bare = at.isNull()
+    first, last = F.get("lines", F.lit(0)), F.element_at("lines", -1)
+    return made.select(
+        "interview_id", "cue_ix", "segment_index",
+        F.when(bare, first["start"]).otherwise(F.col("word.start")).alias("start"),
+        F.when(bare, last["end"]).otherwise(F.col("word.end")).alias("end"),
+        "speaker",
+        F.concat(_voice(show_speaker), F.when(bare, F.array_join(F.col("lines")["text"], "\n")).otherwise(marked)).alias("body"),
+        F.coalesce(at, F.lit(0)).alias("word_ix"),
+    )
 
 
 def _times(decimal: str = ".") -> Column:
@@ -50,7 +62,7 @@ def _times(decimal: str = ".") -> Column:
 
 
 def _in_order(block: Column, *order: str) -> Column:
-    return F.transform(F.array_sort(F.collect_list(F.struct(*order, block.alias("__block")))), lambda x: x["__block"])
+    return F.array_sort(F.collect_list(F.struct(*order, block.alias("__block"))))["__block"]
 
 
 def to_vtt(made: DataFrame) -> DataFrame:
